@@ -1,3 +1,10 @@
 """Sensor time-series analytics as PySpark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions sent to executors carry their code, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from barograph.operators.features import median_and_noise
 from barograph.params import KalmanParams, SeriesSpec
-from barograph.plans.layout import BLOCK, POS, fill_gaps, split_blocks
+from barograph.plans.layout import BLOCK, POS, fill_gaps, split_blocks, spread
 from barograph.session import materialize
 
 
@@ -77,7 +77,8 @@ def kalman_smooth(
     work = {c: f"_x_{c}" for c in columns}
     filled = fill_gaps(df.withColumns({x: F.col(c).cast("double") for c, x in work.items()}), spec, work.values())
     halo = params.median_window + params.history - 2
-    blocks = median_and_noise(split_blocks(filled, spec, before=halo), spec, work.values(), params)
+    blocks = spread(split_blocks(filled, spec, before=halo), [*spec.keys, BLOCK] if not spec.one_block else spec.keys)
+    blocks = median_and_noise(blocks, spec, work.values(), params)
     blocks = blocks.filter("_own").drop("_own", *work.values())
     if spec.one_block:
         out = _smooth_whole(blocks, spec, columns, params, suffix)

@@ -86,6 +86,17 @@ def split_blocks(df: DataFrame, spec: SeriesSpec, before: int = 0, after: int =
     return df.withColumn(BLOCK, F.explode(F.sequence(first, last))).withColumn(OWN, F.col(BLOCK) == home)
 
 
+def spread(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Hash rows by key into a fixed number of tasks.
+
+    For work that is heavy per byte, such as model fits: adaptive execution would
+    merge its small inputs into a single task.
+    """
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
+
+
 def block_window(spec: SeriesSpec) -> WindowSpec:
     return Window.partitionBy(*spec.keys, BLOCK).orderBy(POS)
 
