@@ -50,11 +50,14 @@ def header_name(header: str) -> str:
     return HEADER_NAMES.get(cleaned) or cleaned.replace(" ", "_")
 
 
-def canonical_headers(df: DataFrame) -> DataFrame:
-    """Rename columns; several sources of one name are coalesced in header order."""
+def canonical_headers(df: DataFrame, headers: Iterable[str] | None = None) -> DataFrame:
+    """Rename columns; several sources of one name are coalesced in header order.
+
+    ``headers`` are the raw header cells where they differ from the column names.
+    """
     positional = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
     sources: dict[str, list[str]] = {}
-    for i, header in enumerate(df.columns):
+    for i, header in enumerate(headers or df.columns):
         sources.setdefault(header_name(header), []).append(f"_c{i}")
     return positional.select(
         *[(F.coalesce(*found) if len(found) > 1 else F.col(found[0])).alias(name) for name, found in sources.items()]

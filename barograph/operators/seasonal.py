@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,18 +143,23 @@ def extend_trend(trended: DataFrame, spec: SeriesSpec, columns: Iterable[str]) -
 
 
 def seasonal_parts(
-    df: DataFrame, spec: SeriesSpec, columns: Iterable[str], params: SeasonalParams = SeasonalParams()
+    df: DataFrame,
+    spec: SeriesSpec,
+    columns: Iterable[str],
+    params: SeasonalParams = SeasonalParams(),
+    names: Iterable[str] | None = None,
 ) -> DataFrame:
     """Add trend, seasonal and residual of each column, computed on the filled values.
 
-    Columns that do not qualify get nulls. Phase means are a partial aggregate on
+    ``names`` gives the output prefixes. Columns that do not qualify get nulls. Phase means are a partial aggregate on
     (series, phase) and are joined back per block.
     """
     columns = list(columns)
+    names = dict(zip(columns, names or columns))
     work = {c: f"_y_{c}" for c in columns}
     ys = list(work.values())
-    filled_in = df.withColumns({y: F.col(c).cast("double") for c, y in work.items()})
-    trended = centered_trend(filled_in, spec, ys, params)
+    inputs = df.withColumns({y: F.col(c).cast("double") for c, y in work.items()})
+    trended = centered_trend(inputs, spec, ys, params)
     if not spec.one_block:
         trended = materialize(trended, "trend")
     extended = extend_trend(trended, spec, ys)
@@ -184,11 +188,7 @@ def seasonal_parts(
     out = {}
     for c, y in work.items():
         value, trend, season = F.col(y), F.col(f"{y}{TREND}"), F.col(f"{y}{SEASONAL}")
-        out[f"{c}{TREND}"], out[f"{c}{SEASONAL}"] = trend, season
-        out[f"{c}{RESIDUAL}"] = value / season / trend if ratio else value - trend - season
+        name = names[c]
+        out[f"{name}{TREND}"], out[f"{name}{SEASONAL}"] = trend, season
+        out[f"{name}{RESIDUAL}"] = value / season / trend if ratio else value - trend - season
     return joined.select(*df.columns, *[e.alias(name) for name, e in out.items()])
-
-
-def qualifying(columns: Iterable[str]) -> Column:
-    """True where any of the columns was decomposed."""
-    return reduce(lambda a, b: a | b, [F.col(f"_ok_{c}") for c in columns])
