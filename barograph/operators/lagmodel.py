@@ -1,4 +1,9 @@
-"""Multivariate forecaster on lag windows: ridge regression for all sensors at once."""
+"""Multivariate forecaster on lag windows: ridge regression for all sensors at once.
+
+The regression explains the change from the row before, so a strong penalty leans
+towards the last reading and not towards the mean. The penalty of each sensor is
+the one with the least error on the held-out rows.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +19,7 @@ from barograph.operators.scaling import scale_limits, scaled, unscaled
 from barograph.params import ForecastParams, SeriesSpec
 from barograph.plans.layout import BLOCK, OWN, POS, attach, block_window, merge_blocks, split_blocks
 
-RIDGE = 1e-4
+RIDGES = (1e-4, 1e-3, 1e-2, 1e-1)
 TRAIN_SHARE = 0.8
 MIN_WINDOWS = 10
 _CHUNK = 16_384
@@ -23,7 +28,7 @@ _FINAL_PARTS = 32
 
 @dataclass(frozen=True)
 class LagModel:
-    """Coefficients (intercept, then lags in row order) by target column."""
+    """Coefficients (intercept, then lags in row order) of the change of each target column."""
 
     columns: tuple[str, ...]
     lookback: int
@@ -80,7 +85,7 @@ def _scaled_rows(df: DataFrame, spec: SeriesSpec, columns: list[str], plan: Data
 
 
 def _windows(pdf: pd.DataFrame, columns: list[str], lookback: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row numbers, lag matrix view, targets) of the owned rows with a full, gap-free window."""
+    """(row numbers, lag matrix, change from the row before) of owned rows with a full, gap-free window."""
     z = pdf[[f"_z_{c}" for c in columns]].to_numpy(float)
     pos = pdf[POS].to_numpy()
     if len(z) <= lookback:
@@ -89,7 +94,7 @@ def _windows(pdf: pd.DataFrame, columns: list[str], lookback: int) -> tuple[np.n
     usable = pdf[OWN].to_numpy()[lookback:] & (pos[lookback:] - pos[:-lookback] == lookback)
     usable &= ~np.isnan(lags).any(axis=(1, 2))
     at = np.flatnonzero(usable)
-    return at + lookback, lags[at].reshape(len(at), -1), z[at + lookback]
+    return at + lookback, lags[at].reshape(len(at), -1), z[at + lookback] - z[at + lookback - 1]
 
 
 def _add_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -145,13 +150,19 @@ def fit_lag_model(
     train = sum(np.frombuffer(r["train"]) for r in merged).reshape(width, width)
     held = sum(np.frombuffer(r["held"]) for r in merged).reshape(width, width)
     inputs = width - k
-    penalty = RIDGE * train[0, 0] * np.eye(inputs)
+    penalty = train[0, 0] * np.eye(inputs)
     penalty[0, 0] = 0.0
-    beta = np.linalg.solve(train[:inputs, :inputs] + penalty, train[:inputs, inputs:])
-    quality = {}
-    for i, c in enumerate(columns):
+    options = [np.linalg.solve(train[:inputs, :inputs] + r * penalty, train[:inputs, inputs:]) for r in RIDGES]
+
+    def held_out_rmse(beta: np.ndarray, i: int) -> float:
         v = np.concatenate([beta[:, i], -np.eye(k)[i]])
-        quality[c] = float(np.sqrt(max(v @ held @ v, 0.0) / held[0, 0])) if held[0, 0] else None
+        return float(np.sqrt(max(v @ held @ v, 0.0) / held[0, 0])) if held[0, 0] else float("nan")
+
+    beta, quality = np.empty((inputs, k)), {}
+    for i, c in enumerate(columns):
+        errors = [held_out_rmse(option, i) for option in options]
+        best = int(np.argmin(np.nan_to_num(errors)))
+        beta[:, i], quality[c] = options[best][:, i], errors[best]
     return LagModel(tuple(columns), lookback, beta, quality)
 
 
@@ -181,7 +192,8 @@ def lag_forecast(
         pdf = pdf.sort_values(POS)
         at, lags, _ = _windows(pdf, columns, lookback)
         out = pdf.iloc[at][[*spec.keys, POS, "start", *limits]].reset_index(drop=True)
-        out[[f"_p_{c}" for c in columns]] = beta[0] + lags @ beta[1:]
+        last = lags[:, lags.shape[1] - len(columns) :]
+        out[[f"_p_{c}" for c in columns]] = last + beta[0] + lags @ beta[1:]
         return out
 
     predicted = blocks.groupBy(*spec.keys, BLOCK).applyInPandas(predict, schema).filter(F.col(POS) >= F.col("start"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barograph.functions.columns import capped_period
 from barograph.params import SeasonalParams, SeriesSpec
 from barograph.plans.layout import (
     BLOCK,
+    OWN,
     POS,
     attach,
     block_window,
@@ -22,7 +23,16 @@ from barograph.plans.layout import (
 from barograph.session import materialize
 
 TREND, SEASONAL, RESIDUAL = "_trend", "_seasonal", "_residual"
-_PLAN = ("n", "period", "half")
+
+
+def _plan_columns(columns: list[str], params: SeasonalParams) -> dict[str, Column]:
+    """``period``, ``half`` and the ``_ok_`` flags, from row and value counts."""
+    period = capped_period(params.period, "n")
+    out = {"period": period, "half": F.floor(period / 2)}
+    for c in columns:
+        enough = F.col(f"_k_{c}") >= 2 * period
+        out[f"_ok_{c}"] = enough & (F.col(f"_m_{c}") > 0) if params.model == "multiplicative" else enough
+    return out
 
 
 def season_plan(df: DataFrame, spec: SeriesSpec, columns: Iterable[str], params: SeasonalParams) -> DataFrame:
@@ -32,17 +42,29 @@ def season_plan(df: DataFrame, spec: SeriesSpec, columns: Iterable[str], params:
     multiplicative model, only positive ones.
     """
     columns = list(columns)
-    stats = df.groupBy(*spec.keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(c).alias(f"_k_{c}") for c in columns],
-        *[F.min(c).alias(f"_m_{c}") for c in columns],
+    counts = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"), *_value_counts(columns))
+    plan = _plan_columns(columns, params)
+    return counts.withColumns(plan).select(*spec.keys, "n", *plan)
+
+
+def _value_counts(columns: list[str]) -> list[Column]:
+    return [e for c in columns for e in (F.count(c).alias(f"_k_{c}"), F.min(c).alias(f"_m_{c}"))]
+
+
+def _planned(df: DataFrame, spec: SeriesSpec, columns: list[str], params: SeasonalParams) -> DataFrame:
+    """Filled rows with the plan columns; a window where the series is known to be short."""
+    filled = fill_gaps(df, spec, columns)
+    if not spec.one_block:
+        return attach(filled, season_plan(df, spec, columns, params), spec)
+    whole = Window.partitionBy(*spec.keys)
+    raw = {f"_r_{c}": F.col(c) for c in columns}
+    counted = fill_gaps(df.withColumns(raw), spec, columns).withColumns(
+        {"n": F.count(F.lit(1)).over(whole)}
+        | {f"_k_{c}": F.count(f"_r_{c}").over(whole) for c in columns}
+        | {f"_m_{c}": F.min(f"_r_{c}").over(whole) for c in columns}
     )
-    stats = stats.withColumn("period", capped_period(params.period, "n")).withColumn("half", F.expr("period div 2"))
-    fits = {}
-    for c in columns:
-        enough = F.col(f"_k_{c}") >= 2 * F.col("period")
-        fits[f"_ok_{c}"] = enough & (F.col(f"_m_{c}") > 0) if params.model == "multiplicative" else enough
-    return stats.withColumns(fits).select(*spec.keys, *_PLAN, *fits)
+    helpers = [*raw, *[f"_{part}_{c}" for part in "km" for c in columns]]
+    return counted.withColumns(_plan_columns(columns, params)).drop(*helpers)
 
 
 def _long_trend(df: DataFrame, spec: SeriesSpec, columns: list[str], period: int) -> DataFrame:
@@ -91,8 +113,7 @@ def centered_trend(
     Adds the plan columns of :func:`season_plan` as well.
     """
     columns = list(columns)
-    plan = season_plan(df, spec, columns, params)
-    filled = attach(fill_gaps(df, spec, columns), plan, spec)
+    filled = _planned(df, spec, columns, params)
     wanted = max(2, int(params.period))
     if spec.shortest is not None and spec.shortest >= max(8, 3 * wanted):
         return _long_trend(filled, spec, columns, wanted)
@@ -103,14 +124,24 @@ def centered_trend(
     return long_part.unionByName(_short_trend(filled.filter(~is_long), spec, columns))
 
 
-def _line(y: Column, x: Column, inside: Column, name: str) -> list[Column]:
+class _Line:
     """Least-squares line over the chosen rows; one single row gives the shortest solution."""
-    y_in, x_in = F.when(inside & y.isNotNull(), y), F.when(inside & y.isNotNull(), x.cast("double"))
-    one_y, one_x = F.max(y_in), F.max(x_in)
-    single = F.count(y_in) == 1
-    slope = F.when(single, one_y * one_x / (one_x * one_x + 1)).otherwise(F.regr_slope(y_in, x_in))
-    start = F.when(single, one_y / (one_x * one_x + 1)).otherwise(F.regr_intercept(y_in, x_in))
-    return [slope.alias(f"_{name}_slope"), start.alias(f"_{name}_start")]
+
+    def __init__(self, part: str, y: Column, x: Column, inside: Column):
+        chosen = inside & y.isNotNull()
+        self.part, self.y, self.x = part, F.when(chosen, y), F.when(chosen, x.cast("double"))
+
+    def _value(self, over) -> Column:
+        one_y, one_x = over(F.max(self.y)), over(F.max(self.x))
+        many = over((F.regr_slope if self.part == "slope" else F.regr_intercept)(self.y, self.x))
+        alone = one_y * (one_x if self.part == "slope" else F.lit(1.0)) / (one_x * one_x + 1)
+        return F.when(over(F.count(self.y)) == 1, alone).otherwise(many)
+
+    def aggregate(self) -> Column:
+        return self._value(lambda e: e)
+
+    def over(self, w: WindowSpec) -> Column:
+        return self._value(lambda e: e.over(w))
 
 
 def extend_trend(trended: DataFrame, spec: SeriesSpec, columns: Iterable[str]) -> DataFrame:
@@ -123,12 +154,17 @@ def extend_trend(trended: DataFrame, spec: SeriesSpec, columns: Iterable[str]) -
     back = n - 1 - half
     front_rows = (pos >= half) & (pos < F.least(half + period, back))
     back_rows = (pos >= F.greatest(half, back - period)) & (pos < back)
-    lines = []
+    lines = {}
     for c in columns:
-        lines += _line(F.col(f"{c}{TREND}"), pos, front_rows, f"front_{c}")
-        lines += _line(F.col(f"{c}{TREND}"), pos, back_rows, f"back_{c}")
-    fitted = trended.filter(front_rows | back_rows).groupBy(*spec.keys).agg(F.max("n").alias("_n"), *lines)
-    joined = join_series(split_blocks(trended, spec), fitted, spec, rows="_n", how="left")
+        for end, rows in (("front", front_rows), ("back", back_rows)):
+            for part in ("slope", "start"):
+                lines[f"_{end}_{c}_{part}"] = _Line(part, F.col(f"{c}{TREND}"), pos, rows)
+    if spec.one_block:
+        joined = trended.withColumns({name: line.over(Window.partitionBy(*spec.keys)) for name, line in lines.items()})
+    else:
+        named = [line.aggregate().alias(name) for name, line in lines.items()]
+        fitted = trended.filter(front_rows | back_rows).groupBy(*spec.keys).agg(F.max("n").alias("_n"), *named)
+        joined = join_series(split_blocks(trended, spec), fitted, spec, rows="_n", how="left")
     extended = {}
     for c in columns:
         at = lambda end, c=c: F.col(f"_{end}_{c}_slope") * pos + F.col(f"_{end}_{c}_start")
@@ -138,8 +174,35 @@ def extend_trend(trended: DataFrame, spec: SeriesSpec, columns: Iterable[str]) -
             .when(pos > back, at("back"))
             .otherwise(F.col(f"{c}{TREND}"))
         )
-    helpers = ["_n", *[f"_{end}_{c}_{part}" for end in ("front", "back") for c in columns for part in ("slope", "start")]]
-    return joined.withColumns(extended).drop(BLOCK, "_own", *helpers)
+    return joined.withColumns(extended).drop(BLOCK, OWN, "_n", *lines)
+
+
+def _centred(mean: Column, overall: Column, ratio: bool) -> Column:
+    return mean / overall if ratio else mean - overall
+
+
+def _phase_windows(df: DataFrame, spec: SeriesSpec, detrended: dict[str, Column], ratio: bool) -> DataFrame:
+    """Seasonal columns of short series; all windows share the partitioning by series."""
+    phases, whole = Window.partitionBy(*spec.keys, "_phase"), Window.partitionBy(*spec.keys)
+    means = df.withColumns({f"_p_{y}": F.avg(d).over(phases) for y, d in detrended.items()})
+    once = F.col(POS) < F.col("period")
+    overall = {y: F.avg(F.when(once, F.col(f"_p_{y}"))).over(whole) for y in detrended}
+    return means.withColumns({f"{y}{SEASONAL}": _centred(F.col(f"_p_{y}"), overall[y], ratio) for y in detrended})
+
+
+def _phase_joins(df: DataFrame, spec: SeriesSpec, detrended: dict[str, Column], ratio: bool) -> DataFrame:
+    """Seasonal columns of long series: phase means are aggregated and joined back per block."""
+    whole = Window.partitionBy(*spec.keys)
+    means = df.groupBy(*spec.keys, "_phase").agg(
+        F.max("n").alias("_n"), *[F.avg(d).alias(f"_p_{y}") for y, d in detrended.items()]
+    )
+    # At most ``period`` rows per series.
+    overall = {y: F.avg(f"_p_{y}").over(whole) for y in detrended}
+    centred = [_centred(F.col(f"_p_{y}"), overall[y], ratio).alias(f"{y}{SEASONAL}") for y in detrended]
+    count = F.expr(f"(_n - 1) div {spec.block_rows}")
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), count)).alias(BLOCK)
+    means = means.select(*spec.keys, "_phase", "_n", *centred).select("*", blocks).drop("_n")
+    return split_blocks(df, spec).join(means, [*spec.keys, BLOCK, "_phase"])
 
 
 def seasonal_parts(
@@ -166,25 +229,9 @@ def seasonal_parts(
     ratio = params.model == "multiplicative"
     phase = F.col(POS) % F.col("period")
     detrended = {y: (F.col(y) / F.col(f"{y}{TREND}")) if ratio else (F.col(y) - F.col(f"{y}{TREND}")) for y in ys}
-    whole = Window.partitionBy(*spec.keys)
-    means = (
-        extended.groupBy(*spec.keys, phase.alias("_phase"))
-        .agg(F.max("n").alias("_n"), *[F.avg(d).alias(f"_p_{y}") for y, d in detrended.items()])
-        # At most ``period`` rows per series.
-        .withColumns({f"_q_{y}": F.avg(f"_p_{y}").over(whole) for y in ys})
+    joined = (_phase_windows if spec.one_block else _phase_joins)(
+        extended.withColumn("_phase", phase), spec, detrended, ratio
     )
-    centred = {
-        f"{y}{SEASONAL}": (F.col(f"_p_{y}") / F.col(f"_q_{y}")) if ratio else (F.col(f"_p_{y}") - F.col(f"_q_{y}"))
-        for y in ys
-    }
-    means = means.select(*spec.keys, "_phase", "_n", *[c.alias(name) for name, c in centred.items()])
-    blocks = split_blocks(extended.withColumn("_phase", phase), spec)
-    if spec.one_block:
-        joined = blocks.join(means, [*spec.keys, "_phase"])
-    else:
-        count = F.expr(f"(_n - 1) div {spec.block_rows}")
-        spread = means.withColumn(BLOCK, F.explode(F.sequence(F.lit(0).cast("long"), count)))
-        joined = blocks.join(spread, [*spec.keys, BLOCK, "_phase"])
     out = {}
     for c, y in work.items():
         value, trend, season = F.col(y), F.col(f"{y}{TREND}"), F.col(f"{y}{SEASONAL}")

@@ -30,8 +30,8 @@ def run_stations(readings: DataFrame, params: RunParams = RunParams()) -> Statio
     """Validate, smooth, build features, decompose, forecast, flag and test for drift.
 
     ``readings`` hold ``station``, ``timestamp`` and the sensors, one row per key.
-    Stations are independent series. The frame is written down after smoothing and
-    after forecasting, where several consumers follow or Python work would repeat.
+    Stations are independent series. The frame is written down where several
+    consumers follow: after the features, the decomposition and the forecasts.
     """
     sensors = list(params.sensors)
     smooth = [f"{s}_filt" for s in sensors]
@@ -42,7 +42,7 @@ def run_stations(readings: DataFrame, params: RunParams = RunParams()) -> Statio
     features = composite_ratios(rolling_features(smoothed, sized, smooth, params.rolling_window, sensors))
     kept = materialize(complete_rows(features, sized, params.rolling_window, params.drop), "features")
     indexed, sized = index_series(kept.drop(POS), spec)
-    parts = seasonal_parts(indexed, sized, smooth, params.seasonal, sensors)
+    parts = materialize(seasonal_parts(indexed, sized, smooth, params.seasonal, sensors), "parts")
     forecast = replace(params.forecast, primary=params.primary)
     predicted = materialize(forecast_series(parts, sized, smooth, sensors, forecast), "forecasts")
     flags = params.anomaly
