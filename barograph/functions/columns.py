@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Windows with a population variance up to this count as noise around a constant.
@@ -47,23 +47,23 @@ def full_window(value: Column, counted: Column, rows: int) -> Column:
     return F.when(counted == rows, value)
 
 
-def window_skew(x: Column, w: WindowSpec, rows: int) -> Column:
+def window_skew(stats: Mapping[str, Column], rows: int) -> Column:
     """Bias-corrected skewness of a frame of ``rows`` values; 0 for a constant frame."""
     if rows < 3:
         return F.lit(None).cast("double")
     correction = (rows * (rows - 1)) ** 0.5 / (rows - 2)
-    return F.when(F.max(x).over(w) == F.min(x).over(w), F.lit(0.0)).when(
-        F.var_pop(x).over(w) > TINY_VARIANCE, F.skewness(x).over(w) * correction
+    return F.when(stats["max"] == stats["min"], F.lit(0.0)).when(
+        stats["var"] > TINY_VARIANCE, stats["skewness"] * correction
     )
 
 
-def window_kurtosis(x: Column, w: WindowSpec, rows: int) -> Column:
+def window_kurtosis(stats: Mapping[str, Column], rows: int) -> Column:
     """Bias-corrected excess kurtosis of a frame of ``rows`` values; -3 for a constant frame."""
     if rows < 4:
         return F.lit(None).cast("double")
     scale = (rows - 1) / ((rows - 2) * (rows - 3))
-    return F.when(F.max(x).over(w) == F.min(x).over(w), F.lit(-3.0)).when(
-        F.var_pop(x).over(w) > TINY_VARIANCE, (F.kurtosis(x).over(w) * (rows + 1) + 6) * scale
+    return F.when(stats["max"] == stats["min"], F.lit(-3.0)).when(
+        stats["var"] > TINY_VARIANCE, (stats["kurtosis"] * (rows + 1) + 6) * scale
     )
 
 

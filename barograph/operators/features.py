@@ -11,6 +11,28 @@ from barograph.functions.columns import full_window, median_of, window_kurtosis,
 from barograph.params import KalmanParams, SeriesSpec
 from barograph.plans.layout import block_window, merge_blocks, split_blocks
 
+_STATISTICS = {
+    "count": lambda x, d, frame, rows, w: F.count(x).over(frame),
+    "avg": lambda x, d, frame, rows, w: F.avg(x).over(frame),
+    "var": lambda x, d, frame, rows, w: F.var_pop(x).over(frame),
+    "min": lambda x, d, frame, rows, w: F.min(x).over(frame),
+    "max": lambda x, d, frame, rows, w: F.max(x).over(frame),
+    "skewness": lambda x, d, frame, rows, w: F.skewness(x).over(frame),
+    "kurtosis": lambda x, d, frame, rows, w: F.kurtosis(x).over(frame),
+    "back": lambda x, d, frame, rows, w: F.lag(x, rows).over(w),
+    "power": lambda x, d, frame, rows, w: F.avg(d * d).over(frame),
+    "steps": lambda x, d, frame, rows, w: F.count(d).over(frame),
+}
+_NEEDS = {
+    "mean": ("count", "avg"),
+    "std": ("count", "var"),
+    "skew": ("count", "var", "min", "max", "skewness"),
+    "kurt": ("count", "var", "min", "max", "kurtosis"),
+    "min": ("count", "min"),
+    "max": ("count", "max"),
+    "gradient": ("back",),
+    "energy": ("power", "steps"),
+}
 FEATURES = ("mean", "std", "skew", "kurt", "gradient", "energy")
 RATIO_GUARD = 1e-6
 
@@ -36,23 +58,29 @@ def rolling_features(
     deltas = {f"_d_{n}": F.col(c) - F.lag(c).over(w) for c, n in zip(columns, names)}
     if "energy" in which or "delta" in which:
         blocks = blocks.withColumns(deltas)
-    added = {}
+    # Each frame statistic is one column, shared by the features that need it.
+    stats, added = {}, {}
     for column, name in zip(columns, names):
         x, delta = F.col(column), F.col(f"_d_{name}")
-        seen = F.count(x).over(frame)
+        s = {kind: f"_{kind}_{name}" for kind in _STATISTICS}
+        needed = set().union(*(_NEEDS.get(kind, ()) for kind in which))
+        stats.update({s[kind]: _STATISTICS[kind](x, delta, frame, window, w) for kind in needed})
+        c = {kind: F.col(column_name) for kind, column_name in s.items()}
+        seen = c["count"]
         made = {
-            "mean": lambda: full_window(F.avg(x).over(frame), seen, window),
-            "std": lambda: full_window(F.stddev_samp(x).over(frame), seen, window),
-            "skew": lambda: full_window(window_skew(x, frame, window), seen, window),
-            "kurt": lambda: full_window(window_kurtosis(x, frame, window), seen, window),
-            "min": lambda: full_window(F.min(x).over(frame), seen, window),
-            "max": lambda: full_window(F.max(x).over(frame), seen, window),
-            "delta": lambda: delta,
-            "gradient": lambda: x - F.lag(x, window).over(w),
-            "energy": lambda: full_window(F.avg(delta * delta).over(frame), F.count(delta).over(frame), window),
+            "mean": lambda c=c, seen=seen: full_window(c["avg"], seen, window),
+            "std": lambda c=c, seen=seen: full_window(F.sqrt(c["var"] * (window / (window - 1))), seen, window),
+            "skew": lambda c=c, seen=seen: full_window(window_skew(c, window), seen, window),
+            "kurt": lambda c=c, seen=seen: full_window(window_kurtosis(c, window), seen, window),
+            "min": lambda c=c, seen=seen: full_window(c["min"], seen, window),
+            "max": lambda c=c, seen=seen: full_window(c["max"], seen, window),
+            "delta": lambda delta=delta: delta,
+            "gradient": lambda x=x, c=c: x - c["back"],
+            "energy": lambda c=c: full_window(c["power"], c["steps"], window),
         }
         added.update({f"{name}_{kind}": made[kind]() for kind in which})
-    return merge_blocks(blocks.withColumns(added), spec).drop(*deltas)
+    blocks = blocks.withColumns(stats) if stats else blocks
+    return merge_blocks(blocks.withColumns(added), spec).drop(*deltas, *stats)
 
 
 def composite_ratios(df: DataFrame) -> DataFrame:

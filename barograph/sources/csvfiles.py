@@ -27,7 +27,12 @@ def header_cells(header: str) -> list[str]:
 
 def file_headers(spark: SparkSession, path: str, glob: str) -> dict[str, list[str]]:
     """Header lines found below ``path``, with the files that have them."""
-    lines = spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", True).text(path)
+    lines = (
+        spark.read.option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
+        .option("ignoreCorruptFiles", True)
+        .text(path)
+    )
     first = (
         lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
         .withColumn("row", F.monotonically_increasing_id())
@@ -62,6 +67,7 @@ def read_delimited(spark: SparkSession, path: str, glob: str = "*.csv") -> DataF
             .option("sep", separator_of(header))
             .option("mode", "PERMISSIVE")
             .option("ignoreCorruptFiles", True)
+            .option("recursiveFileLookup", True)
         )
         scan = reader.option("pathGlobFilter", glob).csv(path) if len(headers) == 1 else reader.csv(files)
         origin = scan.select(
