@@ -28,7 +28,6 @@ from barograph.operators.anomaly import (
     error_flag,
     mean_impute as impute,
     outlier_label,
-    residual_flags as flag_residuals,
     series_stats as stats_of,
     zscore_flags as flag_zscores,
 )
@@ -115,7 +114,7 @@ z AS (SELECT *, CAST(coalesce(stddev_samp(value) OVER w > 0
 @query(f"WITH {ZSCORE_SQL} SELECT {K}, anomaly_zscore FROM z")
 def zscore_flags(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
-    return flag_zscores(df, spec, ["value"], 2.0).select(*KEYS, "anomaly_zscore")
+    return flag_zscores(df, spec, {"anomaly_zscore": ["value"]}, 2.0).select(*KEYS, "anomaly_zscore")
 
 
 _TAIL = "avg(value) OVER (PARTITION BY station, sensor ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"
@@ -232,14 +231,11 @@ rf AS (SELECT station, sensor, seq, CAST(coalesce(stddev_samp(residual) OVER w >
   FROM s5 WINDOW w AS ({_Z}))"""
 
 
-def _residual_flagged(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    parts = seasonal_parts(df, spec, ["value"], DAY)
-    return flag_residuals(parts, spec, "value_residual", 2.0)
-
-
 @query(f"WITH {RESIDUAL_SQL} SELECT {K}, anomaly_residual FROM rf")
 def residual_flags(spark, sf_dir):
-    return _residual_flagged(*indexed(spark, sf_dir)).select(*KEYS, "anomaly_residual")
+    df, spec = indexed(spark, sf_dir)
+    parts = materialize(seasonal_parts(df, spec, ["value"], DAY), "parts")
+    return flag_zscores(parts, spec, {"anomaly_residual": ["value_residual"]}, 2.0).select(*KEYS, "anomaly_residual")
 
 
 FLAGS = ("anomaly_zscore", "anomaly_residual", "anomaly_forecast_error")
@@ -255,7 +251,8 @@ a AS (SELECT *, greatest(anomaly_zscore, anomaly_residual, anomaly_forecast_erro
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, spec = indexed(spark, sf_dir)
-    flagged = flag_zscores(_with_errors(_residual_flagged(df, spec), spec), spec, ["value"], 2.0)
+    parts = materialize(_with_errors(seasonal_parts(df, spec, ["value"], DAY), spec), "parts")
+    flagged = flag_zscores(parts, spec, {"anomaly_zscore": ["value"], "anomaly_residual": ["value_residual"]}, 2.0)
     return combine_flags(flagged.withColumn("anomaly_forecast_error", error_flag()), FLAGS)
 
 
@@ -480,4 +477,4 @@ def flagged_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = split_valid(readings(spark, sf_dir, stations=1), {"value": (0.0, 1000.0)}, ["value"])
     df, spec = index_series(valid, LONG)
     made = rolling_features(df, spec, ["value"], 6)
-    return flag_zscores(made, spec, ["value"], 2.0).drop(POS)
+    return flag_zscores(made, spec, {"anomaly_zscore": ["value"]}, 2.0).drop(POS)

@@ -183,7 +183,7 @@ SELECT station, count(*) AS total_records, CAST(sum(flagged) AS BIGINT) AS anoma
 def stream_alert_rows(spark, sf_dir):
     landing, out = work_path(spark, "flagged"), work_path(spark, "alerts")
     df, spec = indexed(spark, sf_dir)
-    flagged = zscore_flags(df, spec, ["value"], 2.0, "anomaly_combined")
+    flagged = zscore_flags(df, spec, {"anomaly_combined": ["value"]}, 2.0)
     flagged.write.parquet(landing)
     stream = spark.readStream.schema(flagged.schema).parquet(landing)
     stream_alerts(stream, ["station"], ["ts", "seq"], out, f"{out}-checkpoint").awaitTermination()
@@ -194,4 +194,4 @@ def stream_alert_rows(spark, sf_dir):
 @query(ZSCORE_ALERTS_SQL)
 def alert_counts(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
-    return alert_summary(zscore_flags(df, spec, ["value"], 2.0, "anomaly_combined"), ["station"])
+    return alert_summary(zscore_flags(df, spec, {"anomaly_combined": ["value"]}, 2.0), ["station"])

@@ -35,7 +35,7 @@ KEYS = ("station", "sensor", "seq")
 K = "station, sensor, seq"
 DAY = SeasonalParams(period=24)
 # Blocks shorter than the series: the same operators on their distributed path.
-SMALL_BLOCKS = SeriesSpec(block_rows=64)
+SMALL_BLOCKS = SeriesSpec(block_rows=128)
 
 
 def _w(rows: int) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,32 +22,25 @@ def series_stats(df: DataFrame, spec: SeriesSpec, columns: Iterable[str]) -> Dat
     )
 
 
-def zscore_flags(
-    df: DataFrame, spec: SeriesSpec, columns: Iterable[str], threshold: float = 3.0, name: str = "anomaly_zscore"
-) -> DataFrame:
-    """Flag rows where any column lies more than ``threshold`` deviations off its mean.
+def zscore_flags(df: DataFrame, spec: SeriesSpec, flags: Mapping[str, Iterable[str]], threshold: float = 3.0):
+    """Add one flag per entry: any of its columns lies more than ``threshold`` deviations off its mean.
 
-    Aggregate and join, not a whole-series window; a flat series never flags.
+    Aggregate and join, not a whole-series window; all flags share one aggregate.
+    ``df`` is read twice, so write an expensive frame down first. A flat series
+    never flags, nor does a null.
     """
-    columns = list(columns)
-    work = {c: f"_v_{c}" for c in columns}
+    flags = {name: list(columns) for name, columns in flags.items()}
+    work = {c: f"_v_{c}" for c in dict.fromkeys(c for columns in flags.values() for c in columns)}
     stats = series_stats(df.select(*spec.keys, *[F.col(c).alias(v) for c, v in work.items()]), spec, work.values())
     joined = attach(df, stats, spec)
-    far = [
-        flag(
-            (F.col(f"{v}_std") > 0) & (F.abs((F.col(c) - F.col(f"{v}_mean")) / F.col(f"{v}_std")) > threshold)
-        )
-        for c, v in work.items()
-    ]
-    any_far = F.greatest(*far) if len(far) > 1 else far[0]
-    return joined.withColumn(name, any_far).select(*df.columns, name)
-
-
-def residual_flags(
-    df: DataFrame, spec: SeriesSpec, residual: str, threshold: float = 3.0, name: str = "anomaly_residual"
-) -> DataFrame:
-    """Z-score flag on the residual of the primary sensor; no residual, no flag."""
-    return zscore_flags(df, spec, [residual], threshold, name)
+
+    def far(c: str) -> Column:
+        mean, std = F.col(f"{work[c]}_mean"), F.col(f"{work[c]}_std")
+        return flag((std > 0) & (F.abs((F.col(c) - mean) / std) > threshold))
+
+    found = {name: [far(c) for c in columns] for name, columns in flags.items()}
+    added = {name: F.greatest(*hits) if len(hits) > 1 else hits[0] for name, hits in found.items()}
+    return joined.withColumns(added).select(*df.columns, *added)
 
 
 def error_flag(mode: str = "adaptive", threshold: float = 2.5, k: float = 3.0) -> Column:

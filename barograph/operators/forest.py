@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from barograph.functions.columns import flag
 from barograph.operators.anomaly import mean_impute
 from barograph.params import ForestParams, SeriesSpec
-from barograph.plans.layout import BLOCK, POS, attach, exact_quantile, join_series, series_sizes, split_blocks, spread
+from barograph.plans.layout import BLOCK, POS, attach, exact_quantile, series_sizes, split_blocks, spread
 from barograph.session import materialize
 
 EULER_GAMMA = 0.5772156649015329
@@ -95,7 +95,7 @@ def forest_scores(x: np.ndarray, forest: dict[str, np.ndarray], roots: np.ndarra
 def isolation_scores(
     df: DataFrame, spec: SeriesSpec, columns: Iterable[str], params: ForestParams = ForestParams()
 ) -> DataFrame:
-    """Add ``score`` in (0, 1]; higher is more isolated. One forest per series key.
+    """Keys, position and ``score`` in (0, 1]; higher is more isolated. One forest per series key.
 
     Nulls are replaced by the mean of the series. The trees are built on a hashed
     sample of at most about trees x sample rows per series, whatever its length.
@@ -103,9 +103,10 @@ def isolation_scores(
     """
     columns = list(columns)
     work = [f"_f_{c}" for c in columns]
-    inputs = mean_impute(df.withColumns({f: F.col(c).cast("double") for c, f in zip(columns, work)}), spec, work)
+    numbers = [F.col(c).cast("double").alias(f) for c, f in zip(columns, work)]
+    inputs = mean_impute(df.select(*spec.keys, POS, *numbers), spec, work)
     wanted = params.trees * params.sample_rows
-    sized = attach(inputs.select(*spec.keys, POS, *work), series_sizes(inputs, spec), spec)
+    sized = attach(inputs, series_sizes(inputs, spec), spec)
     draw = F.pmod(F.xxhash64(*spec.keys, POS, F.lit(params.seed)), F.lit(2**31)) / F.lit(float(2**31))
     pool = sized.filter(draw * F.col("n") < wanted)
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in spec.keys)
@@ -135,12 +136,10 @@ def isolation_scores(
         forests = materialize(forests, "forests")
         count = F.expr(f"(n - 1) div {spec.block_rows}")
         forests = forests.withColumn(BLOCK, F.explode(F.sequence(F.lit(0).cast("long"), count)))
-    kept = [f for f in df.schema.fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", score double"
-    names = [f.name for f in kept]
+    schema = f"{key_schema}, {POS} long, score double"
 
     def score(rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        out = rows[names].copy()
+        out = rows[[*spec.keys, POS]].copy()
         if model.empty or rows.empty:
             out["score"] = np.nan
             return out
@@ -162,10 +161,9 @@ def isolation_flags(
     name: str = "anomaly_iforest",
 ) -> DataFrame:
     """Flag the rows scoring above the exact (1 - contamination) quantile of their series."""
-    scored = isolation_scores(df, spec, columns, params)
     # Scores are read three times (histogram, cut, flags): write them down once.
-    scored = materialize(scored, "scores")
+    scored = materialize(isolation_scores(df, spec, columns, params), "scores")
     cuts = exact_quantile(scored, spec.keys, "score", 1.0 - params.contamination)
-    sizes = series_sizes(scored, spec).join(cuts, list(spec.keys))
-    joined = join_series(split_blocks(scored, spec), sizes.withColumnRenamed("n", "_n"), spec, rows="_n", how="left")
-    return joined.withColumn(name, flag(F.col("score") > F.col("cut"))).select(*df.columns, name)
+    cuts = series_sizes(scored, spec).join(cuts, list(spec.keys))
+    marked = attach(scored, cuts, spec).select(*spec.keys, POS, flag(F.col("score") > F.col("cut")).alias(name))
+    return df.join(marked, [*spec.keys, POS]).select(*df.columns, name)

@@ -13,13 +13,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barograph.operators.features import median_and_noise
 from barograph.params import KalmanParams, SeriesSpec
-from barograph.plans.layout import BLOCK, POS, fill_gaps, split_blocks, spread
+from barograph.plans.layout import BLOCK, OWN, POS, fill_gaps, split_blocks, spread
 from barograph.session import materialize
 
 
@@ -65,6 +65,26 @@ def error_matrix(levels: np.ndarray, params: KalmanParams) -> tuple[float, float
     return a, b, c, d
 
 
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy().astype(float)
+
+
+def _first(table: pa.Table, name: str):
+    return table.column(name)[0].as_py()
+
+
+def _fields(df: DataFrame, names: Iterable[str]) -> str:
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return ", ".join(f"`{n}` {types[n]}" for n in names)
+
+
+def _with_results(table: pa.Table, kept: list[str], results: dict[str, np.ndarray]) -> pa.Table:
+    out = table.select(kept)
+    for name, values in results.items():
+        out = out.append_column(name, pa.array(values, pa.float64(), from_pandas=True))
+    return out
+
+
 def kalman_smooth(
     df: DataFrame,
     spec: SeriesSpec,
@@ -77,36 +97,28 @@ def kalman_smooth(
     work = {c: f"_x_{c}" for c in columns}
     filled = fill_gaps(df.withColumns({x: F.col(c).cast("double") for c, x in work.items()}), spec, work.values())
     halo = params.median_window + params.history - 2
-    blocks = spread(split_blocks(filled, spec, before=halo), [*spec.keys, BLOCK] if not spec.one_block else spec.keys)
+    keys = list(spec.keys) if spec.one_block else [*spec.keys, BLOCK]
+    blocks = spread(split_blocks(filled, spec, before=halo), keys)
     blocks = median_and_noise(blocks, spec, work.values(), params)
-    blocks = blocks.filter("_own").drop("_own", *work.values())
+    blocks = blocks.filter(OWN).drop(OWN, *work.values())
+    kept = [*df.columns]
     if spec.one_block:
-        out = _smooth_whole(blocks, spec, columns, params, suffix)
-    else:
-        out = _smooth_blocks(materialize(blocks, "medians"), spec, columns, params, suffix)
-    return out.select(*df.columns, *[f"{c}{suffix}" for c in columns])
+        return _smooth_whole(blocks, spec, columns, params, suffix, kept)
+    return _smooth_blocks(materialize(blocks, "medians"), spec, columns, params, suffix, kept)
 
 
-def _result_schema(blocks: DataFrame, columns: list[str], suffix: str, helpers: Iterable[str]) -> str:
-    kept = [f for f in blocks.schema.fields if f.name not in set(helpers)]
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
-    return ", ".join(fields + [f"`{c}{suffix}` double" for c in columns])
-
-
-def _smooth_whole(blocks, spec, columns, params, suffix) -> DataFrame:
-    helpers = [f"_x_{c}_{part}" for c in columns for part in ("med", "var")]
-    schema = _result_schema(blocks, columns, suffix, helpers)
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
+def _smooth_whole(blocks, spec, columns, params, suffix, kept) -> DataFrame:
+    def smooth(table: pa.Table) -> pa.Table:
+        table, results = table.sort_by(POS), {}
         for c in columns:
-            medians = pdf[f"_x_{c}_med"].to_numpy(float)
-            levels = noise_levels(pdf[f"_x_{c}_var"].to_numpy(float), params.measurement_variance, params)
+            medians = _column(table, f"_x_{c}_med")
+            levels = noise_levels(_column(table, f"_x_{c}_var"), params.measurement_variance, params)
             gain, _ = gains(levels, params.estimated_error, params)
-            pdf[f"{c}{suffix}"] = estimates(medians, gain, medians[0])
-        return pdf.drop(columns=helpers)
+            results[f"{c}{suffix}"] = estimates(medians, gain, medians[0])
+        return _with_results(table, kept, results)
 
-    return blocks.groupBy(*spec.keys).applyInPandas(smooth, schema)
+    schema = ", ".join([_fields(blocks, kept), *[f"`{c}{suffix}` double" for c in columns]])
+    return blocks.groupBy(*spec.keys).applyInArrow(smooth, schema)
 
 
 def _scan(summaries: DataFrame, spec: SeriesSpec, step, start, values: list[str]) -> DataFrame:
@@ -114,30 +126,28 @@ def _scan(summaries: DataFrame, spec: SeriesSpec, step, start, values: list[str]
 
     One row per block, so even the longest series is a small group here.
     """
-    key_fields = [f for f in summaries.schema.fields if f.name in spec.keys]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
-    schema += f", {BLOCK} long, " + ", ".join(f"`{v}` double" for v in values)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(BLOCK)
-        rows = pdf.to_dict("records")
-        state = {v: start(v, rows[0]) for v in values}
-        starts = []
-        for row in rows:
-            starts.append([state[v] for v in values])
+    schema = f"{_fields(summaries, spec.keys)}, {BLOCK} long, " + ", ".join(f"`{v}` double" for v in values)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(BLOCK)
+        state, starts = None, {v: [] for v in values}
+        for row in table.to_pylist():
+            state = state or {v: start(v, row) for v in values}
+            for v in values:
+                starts[v].append(state[v])
             state = {v: step(v, row, state[v]) for v in values}
-        out = pdf[[*spec.keys, BLOCK]].copy()
-        out[values] = np.array(starts, dtype=float)
-        return out
+        return _with_results(table, [*spec.keys, BLOCK], {v: np.array(x, float) for v, x in starts.items()})
 
-    return summaries.groupBy(*spec.keys).applyInPandas(run, schema)
+    return summaries.groupBy(*spec.keys).applyInArrow(run, schema)
 
 
-def _smooth_blocks(blocks, spec, columns, params, suffix) -> DataFrame:
+def _smooth_blocks(blocks, spec, columns, params, suffix, kept) -> DataFrame:
     keys = [*spec.keys, BLOCK]
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema.fields if f.name in keys)
     keep, learn = 1.0 - params.adaptation_rate, params.adaptation_rate
 
+    def one_row(table: pa.Table, values: dict[str, float]) -> pa.Table:
+        return _with_results(table.slice(0, 1), keys, {name: np.array([v], float) for name, v in values.items()})
+
     # Noise: level_out = keep^k * level_in + sum(learn * keep^(rows left) * variance).
     last = (F.col(BLOCK) + 1) * spec.block_rows - 1
     parts = []
@@ -158,13 +168,12 @@ def _smooth_blocks(blocks, spec, columns, params, suffix) -> DataFrame:
     )
 
     # Error: a product of 2x2 matrices.
-    def error_parts(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
-        row = {k: pdf[k].iloc[0] for k in keys}
+    def error_parts(table: pa.Table) -> pa.Table:
+        table, out = table.sort_by(POS), {}
         for c in columns:
-            level = noise_levels(pdf[f"_x_{c}_var"].to_numpy(float), pdf[f"r_{c}"].iloc[0], params)
-            row.update(zip((f"m{i}_{c}" for i in range(4)), error_matrix(level, params)))
-        return pd.DataFrame([row])
+            level = noise_levels(_column(table, f"_x_{c}_var"), _first(table, f"r_{c}"), params)
+            out.update(zip((f"m{i}_{c}" for i in range(4)), error_matrix(level, params)))
+        return one_row(table, out)
 
     def next_error(v: str, row: dict, p: float) -> float:
         m = [row[f"m{i}_{v[2:]}"] for i in range(4)]
@@ -172,9 +181,8 @@ def _smooth_blocks(blocks, spec, columns, params, suffix) -> DataFrame:
 
     matrix_schema = ", ".join(f"`m{i}_{c}` double" for c in columns for i in range(4))
     noise = blocks.select(*keys, POS, *[f"_x_{c}_var" for c in columns])
-    medians_only = blocks.select(*keys, POS, *[f"_x_{c}_{part}" for c in columns for part in ("med", "var")])
     errors = _scan(
-        noise.join(levels, keys).groupBy(*keys).applyInPandas(error_parts, f"{key_schema}, {matrix_schema}"),
+        noise.join(levels, keys).groupBy(*keys).applyInArrow(error_parts, f"{_fields(blocks, keys)}, {matrix_schema}"),
         spec,
         next_error,
         lambda v, row: params.estimated_error,
@@ -182,38 +190,37 @@ def _smooth_blocks(blocks, spec, columns, params, suffix) -> DataFrame:
     )
     carried = materialize(levels.join(errors, keys), "errors")
 
-    # Estimate: value_out = a * value_in + b.
-    def value_parts(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
-        row = {k: pdf[k].iloc[0] for k in keys}
+    # Estimate: value_out = a * value_in + b; the first block starts from its first median.
+    def gain_of(table: pa.Table, c: str) -> np.ndarray:
+        level = noise_levels(_column(table, f"_x_{c}_var"), _first(table, f"r_{c}"), params)
+        return gains(level, _first(table, f"p_{c}"), params)[0]
+
+    def value_parts(table: pa.Table) -> pa.Table:
+        table, out = table.sort_by(POS), {}
         for c in columns:
-            medians = pdf[f"_x_{c}_med"].to_numpy(float)
-            level = noise_levels(pdf[f"_x_{c}_var"].to_numpy(float), pdf[f"r_{c}"].iloc[0], params)
-            gain, _ = gains(level, pdf[f"p_{c}"].iloc[0], params)
-            row.update({f"a_{c}": np.prod(1.0 - gain), f"b_{c}": estimates(medians, gain, 0.0)[-1]})
-            row[f"s_{c}"] = medians[0]
-        return pd.DataFrame([row])
+            medians, gain = _column(table, f"_x_{c}_med"), gain_of(table, c)
+            out[f"a_{c}"], out[f"b_{c}"] = np.prod(1.0 - gain), estimates(medians, gain, 0.0)[-1]
+            out[f"s_{c}"] = medians[0]
+        return one_row(table, out)
 
     value_schema = ", ".join(f"`{part}_{c}` double" for c in columns for part in "abs")
+    medians_only = blocks.select(*keys, POS, *[f"_x_{c}_{part}" for c in columns for part in ("med", "var")])
+    summaries = medians_only.join(carried, keys).groupBy(*keys)
     values = _scan(
-        medians_only.join(carried, keys).groupBy(*keys).applyInPandas(value_parts, f"{key_schema}, {value_schema}"),
+        summaries.applyInArrow(value_parts, f"{_fields(blocks, keys)}, {value_schema}"),
         spec,
-        affine,
+        lambda v, row, x: affine(v, row, x) if x is not None else None,
         lambda v, row: row[f"s_{v[2:]}"],
         [f"x_{c}" for c in columns],
     )
 
-    helpers = [f"_x_{c}_{part}" for c in columns for part in ("med", "var")]
-    carries = [f"{part}_{c}" for c in columns for part in "rpx"]
-    schema = _result_schema(blocks, columns, suffix, helpers)
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
+    def replay(table: pa.Table) -> pa.Table:
+        table, results = table.sort_by(POS), {}
         for c in columns:
-            medians = pdf[f"_x_{c}_med"].to_numpy(float)
-            level = noise_levels(pdf[f"_x_{c}_var"].to_numpy(float), pdf[f"r_{c}"].iloc[0], params)
-            gain, _ = gains(level, pdf[f"p_{c}"].iloc[0], params)
-            pdf[f"{c}{suffix}"] = estimates(medians, gain, pdf[f"x_{c}"].iloc[0])
-        return pdf.drop(columns=helpers + carries)
+            start = _first(table, f"x_{c}")
+            start = float("nan") if start is None else start
+            results[f"{c}{suffix}"] = estimates(_column(table, f"_x_{c}_med"), gain_of(table, c), start)
+        return _with_results(table, kept, results)
 
-    return blocks.join(carried, keys).join(values, keys).groupBy(*keys).applyInPandas(replay, schema)
+    schema = ", ".join([_fields(blocks, kept), *[f"`{c}{suffix}` double" for c in columns]])
+    return blocks.join(carried, keys).join(values, keys).groupBy(*keys).applyInArrow(replay, schema)

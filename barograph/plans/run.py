@@ -6,7 +6,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
-from barograph.operators.anomaly import combine_flags, error_flag, residual_flags, zscore_flags
+from barograph.operators.anomaly import combine_flags, error_flag, zscore_flags
 from barograph.operators.drift import drift_samples, ks_drift
 from barograph.operators.features import complete_rows, composite_ratios, rolling_features
 from barograph.operators.forecast import forecast_series
@@ -47,8 +47,8 @@ def run_stations(readings: DataFrame, params: RunParams = RunParams()) -> Statio
     predicted = materialize(forecast_series(parts, sized, smooth, sensors, forecast), "forecasts")
     flags = params.anomaly
     flagged = isolation_flags(predicted, sized, smooth, flags.forest)
-    flagged = zscore_flags(flagged, sized, smooth, flags.z_threshold)
-    flagged = residual_flags(flagged, sized, f"{params.primary}_residual", flags.z_threshold)
+    by_score = {"anomaly_zscore": smooth, "anomaly_residual": [f"{params.primary}_residual"]}
+    flagged = zscore_flags(flagged, sized, by_score, flags.z_threshold)
     scored = "forecast_error" in flagged.columns
     error = error_flag(flags.error_mode, flags.error_threshold, flags.error_k) if scored else None
     flagged = flagged.withColumn("anomaly_forecast_error", error) if scored else flagged.selectExpr(

@@ -133,8 +133,10 @@ def ingest(
 def count_new_keys(incoming: DataFrame, existing: DataFrame, keys) -> DataFrame:
     """One row: how many incoming keys the existing table does not hold, and the total after."""
     keys = list(keys)
-    fresh = incoming.select(*keys).distinct().join(existing.select(*keys).distinct(), keys, "left_anti")
-    before = existing.select(*keys).distinct().agg(F.count(F.lit(1)).alias("_before"))
-    added = fresh.agg(F.count(F.lit(1)).alias("new_records"))
-    # Two one-row frames.
-    return added.join(before).select("new_records", (F.col("new_records") + F.col("_before")).alias("total_records"))
+    marked = incoming.select(*keys, F.lit(0).alias("_known")).unionByName(
+        existing.select(*keys, F.lit(1).alias("_known"))
+    )
+    seen = marked.groupBy(*keys).agg(F.max("_known").alias("_known"))
+    return seen.agg(
+        F.count(F.when(F.col("_known") == 0, 1)).alias("new_records"), F.count(F.lit(1)).alias("total_records")
+    )
