@@ -118,7 +118,7 @@ def zscore_flags(spark, sf_dir):
 
 
 _TAIL = "avg(value) OVER (PARTITION BY station, sensor ORDER BY pos ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"
-_START = "greatest(least(54, n - 1), n - 120)"
+_START = "CASE WHEN n < 30 THEN n ELSE greatest(least(54, n - 1), n - 120) END"
 FORECAST_SQL = f"{INDEXED_SQL}, f AS (SELECT *, {_TAIL} AS forecast FROM p)"
 
 
@@ -158,7 +158,7 @@ def forecast_error_stats(spark, sf_dir):
 
 
 _MASKED = ", ".join(
-    rounded_sql(f"CASE WHEN NOT (pos >= {_START} AND pos < {_START} + 48) THEN {c} END", c, 7) for c in ERRORS
+    rounded_sql(f"CASE WHEN NOT (pos >= ({_START}) AND pos < ({_START}) + 48) THEN {c} END", c, 7) for c in ERRORS
 )
 
 
@@ -171,7 +171,7 @@ def warmup_mask(spark, sf_dir):
 
 
 @query(
-    f"""WITH {INDEXED_SQL}, f AS (SELECT *, CASE WHEN pos >= {_START} THEN {_TAIL} END AS forecast FROM p),
+    f"""WITH {INDEXED_SQL}, f AS (SELECT *, CASE WHEN pos >= ({_START}) THEN {_TAIL} END AS forecast FROM p),
 e0 AS (SELECT *, abs(value - forecast) AS forecast_error FROM f),
 e AS (SELECT *, avg(forecast_error) OVER {_E} AS forecast_error_mean, coalesce(stddev_samp(forecast_error) OVER {_E}, 0.0) AS forecast_error_std FROM e0)
 SELECT {K}, {rounded_sql('forecast', 'forecast_value', 7)}, {_MASKED} FROM e"""

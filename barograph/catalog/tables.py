@@ -87,8 +87,8 @@ def master_upsert(spark, sf_dir):
 @query(
     f"""WITH {CLEAN_SQL}, o AS (SELECT count(*) AS n FROM c),
 t AS (SELECT count(*) AS n FROM (SELECT station, "timestamp" FROM c UNION SELECT station, "timestamp" + INTERVAL 12 DAY FROM c))
-SELECT CAST(0 AS BIGINT) AS batch, n AS new_rows, n AS total_rows FROM o
-UNION ALL SELECT CAST(1 AS BIGINT), t.n - o.n, t.n FROM t, o"""
+SELECT CAST(0 AS BIGINT) AS batch, n AS new_rows, n AS total_rows FROM o WHERE n > 0
+UNION ALL SELECT CAST(1 AS BIGINT), t.n - o.n, t.n FROM t, o WHERE o.n > 0"""
 )
 def master_ledger(spark, sf_dir):
     master = MasterTable(work_path(spark, "master"), SENSORS)

@@ -222,11 +222,11 @@ def centered_trend(spark, sf_dir):
     return rounded(made.select(*KEYS, "trend"), ["trend"], PLACES)
 
 
-@query(f"WITH {trend_sql(25)} SELECT {K}, {rounded_sql('trend', 'trend')} FROM s4")
+@query(f"WITH {trend_sql(25)} SELECT {K}, {rounded_sql('trend', 'trend', 6)} FROM s4")
 def trend_extrapolated(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
     made = extend_trend(add_trend(df, spec, ["value"], SeasonalParams(period=25)), spec, ["value"])
-    return rounded(made.withColumnRenamed("value_trend", "trend").select(*KEYS, "trend"), ["trend"])
+    return rounded(made.withColumnRenamed("value_trend", "trend").select(*KEYS, "trend"), ["trend"], PLACES)
 
 
 def _parts(df, spec, params, places=PLACES):
