@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from barograph.operators.scaling import scale_limits, scaled, unscaled
 from barograph.params import ForecastParams, SeriesSpec
-from barograph.plans.layout import BLOCK, OWN, POS, attach, block_window, merge_blocks, split_blocks
+from barograph.plans.layout import BLOCK, OWN, POS, attach, block_window, merge_blocks, split_blocks, spread
 
 RIDGES = (1e-4, 1e-3, 1e-2, 1e-1)
 TRAIN_SHARE = 0.8
 MIN_WINDOWS = 10
-_CHUNK = 16_384
+_GROUP = "_group"
 _FINAL_PARTS = 32
 
 
@@ -85,14 +85,18 @@ def _scaled_rows(df: DataFrame, spec: SeriesSpec, columns: list[str], plan: Data
 
 
 def _windows(pdf: pd.DataFrame, columns: list[str], lookback: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row numbers, lag matrix, change from the row before) of owned rows with a full, gap-free window."""
+    """(row numbers, lag matrix, change from the row before) of owned rows with a full, gap-free window.
+
+    Rows come in block and position order; a window must not cross a block.
+    """
     z = pdf[[f"_z_{c}" for c in columns]].to_numpy(float)
-    pos = pdf[POS].to_numpy()
     if len(z) <= lookback:
         return np.empty(0, int), np.empty((0, lookback * len(columns))), np.empty((0, len(columns)))
+    pos, group = pdf[POS].to_numpy(), pdf[_GROUP].to_numpy()
     lags = np.lib.stride_tricks.sliding_window_view(z, lookback, axis=0)[:-1].transpose(0, 2, 1)
-    usable = pdf[OWN].to_numpy()[lookback:] & (pos[lookback:] - pos[:-lookback] == lookback)
-    usable &= ~np.isnan(lags).any(axis=(1, 2))
+    usable = pdf[OWN].to_numpy(bool)[lookback:] & (pos[lookback:] - pos[:-lookback] == lookback)
+    usable &= (group[lookback:] == group[:-lookback]) & ~np.isnan(lags).any(axis=(1, 2))
+    usable &= ~np.isnan(z[lookback:]).any(axis=1)
     at = np.flatnonzero(usable)
     return at + lookback, lags[at].reshape(len(at), -1), z[at + lookback] - z[at + lookback - 1]
 
@@ -115,35 +119,36 @@ def fit_lag_model(
 ) -> LagModel | None:
     """Fit on the rows before the forecast start; the last fifth of them validates.
 
-    One pass: every block yields the cross products of its windows, tasks add them
-    up before anything is shuffled, and the driver solves one small system whose
-    size depends on lookback and sensors only. ``None`` below ten windows.
+    One pass: every task adds up the cross products of its windows while it reads
+    its sorted blocks, a few tasks merge these sums, and the driver solves one small
+    system whose size depends on lookback and sensors only. ``None`` below ten
+    windows.
     """
     columns = list(columns)
     lookback, k = params.lookback, len(columns)
     width = 1 + lookback * k + k
     rows = _scaled_rows(df, spec, columns, plan).filter(F.col(POS) < F.col("start"))
-    blocks = split_blocks(rows, spec, before=lookback).select(
-        *spec.keys, BLOCK, OWN, POS, "start", *[f"_z_{c}" for c in columns]
-    )
+    group = F.xxhash64(*spec.keys, BLOCK).alias(_GROUP)
+    blocks = split_blocks(rows, spec, before=lookback)
+    blocks = blocks.select(group, OWN, POS, "start", *[f"_z_{c}" for c in columns])
     schema = "train binary, held binary, rows long"
 
-    def cross_products(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
-        at, lags, targets = _windows(pdf, columns, lookback)
-        early = pdf[POS].to_numpy()[at] < np.floor(pdf["start"].to_numpy()[at] * TRAIN_SHARE)
-        sums = []
-        for part in (early, ~early):
-            total = np.zeros((width, width))
-            chosen = np.flatnonzero(part)
-            for i in range(0, len(chosen), _CHUNK):
-                rows = chosen[i : i + _CHUNK]
-                m = np.hstack([np.ones((len(rows), 1)), lags[rows], targets[rows]])
-                total += m.T @ m
-            sums.append(total.tobytes())
-        return pd.DataFrame({"train": [sums[0]], "held": [sums[1]], "rows": [int(early.sum())]})
-
-    parts = blocks.groupBy(*spec.keys, BLOCK).applyInPandas(cross_products, schema).mapInPandas(_add_up, schema)
+    def cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        train, held, rows = np.zeros((width, width)), np.zeros((width, width)), 0
+        before = None
+        for batch in batches:
+            # The last rows of a batch are the lags of the first rows of the next.
+            pdf = batch if before is None else pd.concat([before, batch], ignore_index=True)
+            before = pdf.iloc[-lookback:].assign(**{OWN: False})
+            at, lags, changes = _windows(pdf, columns, lookback)
+            early = pdf[POS].to_numpy()[at] < np.floor(pdf["start"].to_numpy()[at] * TRAIN_SHARE)
+            m = np.hstack([np.ones((len(at), 1)), lags, changes])
+            train += m[early].T @ m[early]
+            held += m[~early].T @ m[~early]
+            rows += int(early.sum())
+        yield pd.DataFrame({"train": [train.tobytes()], "held": [held.tobytes()], "rows": [rows]})
+
+    parts = spread(blocks, [_GROUP]).sortWithinPartitions(_GROUP, POS).mapInPandas(cross_products, schema)
     merged = parts.repartition(_FINAL_PARTS).mapInPandas(_add_up, schema).collect()  # one row per part
     if sum(r["rows"] for r in merged) < MIN_WINDOWS:
         return None
@@ -183,7 +188,7 @@ def lag_forecast(
     lookback, beta = model.lookback, model.coefficients
     rows = _scaled_rows(df, spec, columns, plan).filter(F.col(POS) >= F.col("start") - lookback)
     limits = [f"{c}_{end}" for c in columns for end in ("low", "high")]
-    blocks = split_blocks(rows, spec, before=lookback).drop(*columns, "n")
+    blocks = split_blocks(rows, spec, before=lookback).drop(*columns, "n").withColumn(_GROUP, F.lit(0))
     keys = [f for f in df.schema.fields if f.name in spec.keys]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys)
     schema += f", {POS} long, start long, " + ", ".join(f"`{c}` double" for c in [*limits, *[f"_p_{c}" for c in columns]])

@@ -74,6 +74,12 @@ def select_sensors(df: DataFrame, sensors: Iterable[str] = SENSORS, keep: Iterab
     )
 
 
+def data_columns(df: DataFrame, sensors: Iterable[str] = SENSORS) -> dict[str, str]:
+    """The column to compute on, by sensor: the smoothed one if present, else the raw one."""
+    options = {s: [c for c in (f"{s}_filt", s) if c in df.columns] for s in sensors}
+    return {s: found[0] for s, found in options.items() if found}
+
+
 def coerce_types(df: DataFrame, sensors: Iterable[str] = SENSORS) -> DataFrame:
     """Cast timestamp and sensors; what cannot be read becomes null."""
     return df.withColumns({"timestamp": to_time("timestamp"), **{s: to_number(s) for s in sensors}})

@@ -85,6 +85,23 @@ def fit_sarima(
     return spread(tail, spec.keys).groupBy(*spec.keys).applyInPandas(fit, schema)
 
 
+def refresh_models(
+    models: DataFrame,
+    to_refit: DataFrame,
+    df: DataFrame,
+    spec: SeriesSpec,
+    column: str,
+    plan: DataFrame,
+    params: SarimaParams = SarimaParams(),
+    train_rows: int = 1500,
+) -> DataFrame:
+    """Model table with the listed series fitted anew; the others are taken over as they are."""
+    keys = list(spec.keys)
+    chosen = df.join(to_refit.select(*keys).distinct(), keys, "left_semi")
+    fresh = fit_sarima(chosen, spec, column, plan, params, train_rows)
+    return models.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
+
+
 def forecast_ahead(
     df: DataFrame,
     spec: SeriesSpec,

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from barograph.operators.anomaly import combine_flags, error_flag, zscore_flags
 from barograph.operators.drift import drift_samples, ks_drift
 from barograph.operators.features import complete_rows, composite_ratios, rolling_features
-from barograph.operators.forecast import forecast_series
+from barograph.operators.forecast import forecast_plan, forecast_series
 from barograph.operators.forest import isolation_flags
+from barograph.operators.lagmodel import LagModel, fit_lag_model
 from barograph.operators.seasonal import seasonal_parts
 from barograph.operators.smooth import kalman_smooth
 from barograph.operators.validate import split_valid
@@ -24,13 +25,17 @@ class StationRun:
     results: DataFrame
     rejected: DataFrame
     drift: DataFrame
+    lag_model: LagModel | None = None
 
 
-def run_stations(readings: DataFrame, params: RunParams = RunParams()) -> StationRun:
+def run_stations(
+    readings: DataFrame, params: RunParams = RunParams(), lag_model: LagModel | None = None
+) -> StationRun:
     """Validate, smooth, build features, decompose, forecast, flag and test for drift.
 
     ``readings`` hold ``station``, ``timestamp`` and the sensors, one row per key.
-    Stations are independent series. The frame is written down where several
+    Stations are independent series. A ``lag_model`` of an earlier run saves the
+    fit. The frame is written down where several
     consumers follow: after the features, the decomposition and the forecasts.
     """
     sensors = list(params.sensors)
@@ -44,7 +49,10 @@ def run_stations(readings: DataFrame, params: RunParams = RunParams()) -> Statio
     indexed, sized = index_series(kept.drop(POS), spec)
     parts = materialize(seasonal_parts(indexed, sized, smooth, params.seasonal, sensors), "parts")
     forecast = replace(params.forecast, primary=params.primary)
-    predicted = materialize(forecast_series(parts, sized, smooth, sensors, forecast), "forecasts")
+    if lag_model is None and forecast.use_lag_model and not forecast.fast:
+        lag_model = fit_lag_model(parts, sized, smooth, forecast_plan(parts, sized, forecast), forecast)
+        forecast = replace(forecast, use_lag_model=lag_model is not None)
+    predicted = materialize(forecast_series(parts, sized, smooth, sensors, forecast, lag_model), "forecasts")
     flags = params.anomaly
     flagged = isolation_flags(predicted, sized, smooth, flags.forest)
     by_score = {"anomaly_zscore": smooth, "anomaly_residual": [f"{params.primary}_residual"]}
@@ -56,4 +64,4 @@ def run_stations(readings: DataFrame, params: RunParams = RunParams()) -> Statio
     )
     results = combine_flags(flagged).drop(POS)
     drift = ks_drift(drift_samples(predicted, sized, smooth, params.drift), ("station", "sensor"), params.drift)
-    return StationRun(results, rejected, drift)
+    return StationRun(results, rejected, drift, lag_model)

@@ -26,7 +26,7 @@ def header_cells(header: str) -> list[str]:
 
 
 def file_headers(spark: SparkSession, path: str, glob: str) -> dict[str, list[str]]:
-    """Header lines found below ``path``, with the files that have them."""
+    """Header lines found below ``path``; with several, also the files that have them."""
     lines = (
         spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
@@ -40,8 +40,11 @@ def file_headers(spark: SparkSession, path: str, glob: str) -> dict[str, list[st
         .groupBy("file")
         .agg(F.min_by("value", "row").alias("header"))
     )
-    found = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    return {r["header"]: r["files"] for r in found}
+    headers = [r["header"] for r in first.select("header").distinct().orderBy("header").collect()]
+    if len(headers) < 2:
+        return {h: [] for h in headers}
+    files = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header")
+    return {r["header"]: r["files"] for r in files.collect()}
 
 
 def read_delimited(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame | None:
@@ -69,7 +72,7 @@ def read_delimited(spark: SparkSession, path: str, glob: str = "*.csv") -> DataF
             .option("ignoreCorruptFiles", True)
             .option("recursiveFileLookup", True)
         )
-        scan = reader.option("pathGlobFilter", glob).csv(path) if len(headers) == 1 else reader.csv(files)
+        scan = reader.option("pathGlobFilter", glob).csv(path) if not files else reader.csv(files)
         origin = scan.select(
             "*",
             F.col("_metadata.file_path").alias(ORIGIN[0]),

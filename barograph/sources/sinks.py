@@ -12,7 +12,9 @@ from barograph.operators.report import run_metrics
 
 
 def write_results(df: DataFrame, path: str, file_format: str = "parquet", by: Iterable[str] = ("station",)) -> None:
-    writer = df.write.mode("overwrite").format(file_format)
+    """Write results partitioned by column; a heavy partition value is split over several tasks."""
+    by = list(by)
+    writer = df.hint("rebalance", *by).write.mode("overwrite").format(file_format)
     if file_format == "csv":
         writer = writer.option("header", True)
     writer.partitionBy(*by).save(path)

@@ -17,7 +17,7 @@ from barograph.operators.forecast import forecast_plan, forecast_series, mask_wa
 from barograph.operators.forest import isolation_flags, isolation_scores
 from barograph.operators.lagmodel import LagModel, fit_lag_model, lag_forecast, lag_windows
 from barograph.operators.report import alert_summary, alerts, markdown_report
-from barograph.operators.sarima import fit_sarima, forecast_ahead, rolling_sarima
+from barograph.operators.sarima import fit_sarima, forecast_ahead, refresh_models, rolling_sarima
 from barograph.operators.scaling import minmax_scale
 from barograph.params import DriftParams, ForecastParams, ForestParams, SarimaParams
 from barograph.plans.layout import index_series
@@ -346,3 +346,13 @@ def test_no_forecast_when_nothing_is_long_enough(series):
     indexed, spec = index_series(df, spec)
     made = ordered(forecast_series(indexed, spec, ["value"], params=SMALL))
     assert pd.isna(made["forecast_value"]).all() and pd.isna(made["forecast_error"]).all()
+
+
+def test_only_listed_models_are_fitted_anew(spark, series):
+    df, spec = series({(0, "a"): wave(80), (1, "a"): wave(80, 3)})
+    indexed, spec = index_series(df, spec)
+    plan = forecast_plan(indexed, spec, SMALL)
+    old = fit_sarima(indexed, spec, "value", plan, SMALL.sarima).withColumn("sigma", F.lit(-1.0))
+    listed = spark.createDataFrame([(1, "a")], "station long, sensor string")
+    made = {r.station: r.sigma for r in refresh_models(old, listed, indexed, spec, "value", plan, SMALL.sarima).collect()}
+    assert made[0] == -1.0 and made[1] > 0

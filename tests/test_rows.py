@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from barograph.functions.columns import hour_of, to_number, to_time
-from barograph.operators.normalize import canonical_headers, header_name, keep_last, normalize
+from barograph.operators.normalize import canonical_headers, data_columns, header_name, keep_last, normalize
 from barograph.operators.validate import check_bounds, split_valid
 
 
@@ -101,3 +101,8 @@ def test_valid_and_rejected_make_up_the_input(spark):
     valid, rejected = split_valid(df)
     assert valid.count() + rejected.count() == 200
     assert valid.agg(F.min("temp"), F.max("temp")).first()[:] == (-40.0, 55.0)
+
+
+def test_data_columns_prefer_the_smoothed_one(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "temp double, temp_filt double, rh double")
+    assert data_columns(df) == {"rh": "rh", "temp": "temp_filt"}

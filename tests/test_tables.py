@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -9,8 +10,11 @@ import pytest
 from conftest import ordered, same
 from test_series import brute_kalman
 
-from barograph.params import RunParams, SeasonalParams, SeriesSpec
+from pyspark.sql import functions as F
+
+from barograph.params import DriftParams, ForecastParams, RunParams, SeasonalParams, SeriesSpec
 from barograph.plans.layout import index_series
+from barograph.plans.job import drifted_stations, run_job
 from barograph.plans.run import run_stations
 from barograph.sources.csvfiles import scan_readings
 from barograph.sources.master import MasterTable, count_new_keys, ingest
@@ -213,3 +217,29 @@ def test_index_of_an_empty_frame(spark):
     df = station_frame(spark).limit(0)
     indexed, spec = index_series(df, SeriesSpec(("station",), ("timestamp",)))
     assert indexed.count() == 0 and spec.longest == 0
+
+
+def test_job_writes_every_table_and_keeps_the_model_until_drift(spark, folder):
+    params = RunParams(
+        sensors=SENSORS,
+        seasonal=SeasonalParams(30),
+        forecast=ForecastParams(lookback=12, tail_rows=100),
+        drift=DriftParams(p_threshold=0.0),
+    )
+    cells = station_frame(spark).select("station", F.col("timestamp").cast("string"), *SENSORS)
+    cells.write.option("header", True).csv(f"{folder}/landing")
+    run, metrics = run_job(spark, f"{folder}/job", f"{folder}/landing", params=params)
+    assert metrics["run"] == 1 and metrics["new_records_last_run"] == 840
+    assert metrics["records_total"] == run.results.count()
+    _, again = run_job(spark, f"{folder}/job", f"{folder}/landing", params=params, refresh=False)
+    assert again == metrics | {"run": 2, "new_records_last_run": 0}
+    assert spark.read.parquet(f"{folder}/job/model_runs").count() == 1
+    assert spark.read.parquet(f"{folder}/job/results/run=2").count() == metrics["records_total"]
+    assert spark.read.parquet(f"{folder}/job/quarantine").groupBy("run").count().count() == 2
+    assert spark.read.parquet(f"{folder}/job/alerts/run=1").count() == 2
+    drifting = replace(params, drift=DriftParams())
+    run_job(spark, f"{folder}/job", f"{folder}/landing", params=drifting, refresh=False)
+    assert drifted_stations(spark, f"{folder}/job").count() == 2
+    run_job(spark, f"{folder}/job", f"{folder}/landing", params=params, refresh=False)
+    assert spark.read.parquet(f"{folder}/job/model_runs").count() == 2
+    assert run_job(spark, f"{folder}/other", f"{folder}/nothing", params=params)[1] == {}
