@@ -43,6 +43,9 @@ REQUIRED = ("timestamp", "temp", "rh", "pressure")
 ZERO_FILLED = ("rain", "ws", "wd")
 DEW_BELOW_TEMP = 5.0
 
+_WHOLE = ("bigint", "int", "smallint", "tinyint")
+_FIXED_WIDTH = (*_WHOLE, "double", "float", "boolean", "date", "timestamp", "timestamp_ntz")
+
 
 def header_name(header: str) -> str:
     """Canonical column name of a header cell."""
@@ -102,10 +105,16 @@ def keep_last(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataF
     """One row per key: the last one in ``order``.
 
     An aggregate, not a window: copies of one key are combined before the shuffle,
-    so a key with very many copies does not gather them in one task.
+    so a key with very many copies does not gather them in one task. Fixed-width
+    columns ordered by one whole number are hashed; other rows are sorted first.
     """
     keys, order = list(keys), list(order)
+    types = dict(df.dtypes)
     rest = [c for c in df.columns if c not in keys]
+    if len(order) == 1 and types[order[0]] in _WHOLE and all(types[c] in _FIXED_WIDTH for c in rest):
+        # Every column sees the same rows in the same order, so all agree on the row.
+        rank = F.coalesce(F.col(order[0]).cast("long"), F.lit(-(2**63)))
+        return df.groupBy(*keys).agg(*[F.max_by(c, rank).alias(c) for c in rest]).select(*df.columns)
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
     picked = df.groupBy(*keys).agg(last)
     return picked.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns])

@@ -75,6 +75,17 @@ def test_keep_last_with_very_many_copies_of_one_key(spark):
     assert last.filter("k = 0").first().id == 14_999
 
 
+def test_keep_last_takes_whole_rows_with_nulls_and_ties(spark):
+    rows = [(1, 1, 1.0, None), (1, 2, None, 5.0), (2, None, 3.0, 4.0), (3, 7, 1.0, 1.0), (3, 7, 2.0, 2.0)]
+    df = spark.createDataFrame(rows, "k long, seq long, a double, b double")
+    hashed = {r.k: (r.seq, r.a, r.b) for r in keep_last(df, ["k"], ["seq"]).collect()}
+    texts = df.withColumn("note", F.lit("x"))
+    ranked = {r.k: (r.seq, r.a, r.b) for r in keep_last(texts, ["k"], ["seq"]).collect()}
+    assert hashed[1] == ranked[1] == (2, None, 5.0)
+    assert hashed[2] == ranked[2] == (None, 3.0, 4.0)
+    assert hashed[3] in ((7, 1.0, 1.0), (7, 2.0, 2.0))
+
+
 def test_violations_and_known_rows(spark):
     clean = normalize(raw(spark))
     valid, rejected = split_valid(clean)
