@@ -16,8 +16,8 @@ from barograph.plans.layout import BLOCK, POS, attach, exact_quantile, series_si
 from barograph.session import materialize
 
 EULER_GAMMA = 0.5772156649015329
-_SCORE_ROWS = 4096
-_NODE_FIELDS = ("feature", "threshold", "left", "right", "value")
+_SCORE_ROWS = 16_384
+_NODE_FIELDS = ("feature", "threshold", "left", "value")
 
 
 def mean_path(rows: np.ndarray) -> np.ndarray:
@@ -31,11 +31,11 @@ def mean_path(rows: np.ndarray) -> np.ndarray:
 def grow_forest(x: np.ndarray, samples: np.ndarray, rng: np.random.Generator, max_depth: int) -> dict[str, np.ndarray]:
     """Grow all trees level by level; tree ``t`` starts at node ``t``.
 
-    Inner nodes hold a random feature and a random threshold in its range. A leaf
-    has feature -1 and holds its path length.
+    Inner nodes hold a random feature and a random threshold in its range; the right
+    child comes after the left one. A leaf has feature -1 and holds its path length.
     """
     trees, size = samples.shape
-    nodes = {"feature": [], "threshold": [], "left": [], "right": [], "value": []}
+    nodes = {"feature": [], "threshold": [], "left": [], "value": []}
     rows, node, next_id = samples.ravel(), np.repeat(np.arange(trees), size), trees
     for depth in range(max_depth + 1):
         if not len(rows):
@@ -55,7 +55,6 @@ def grow_forest(x: np.ndarray, samples: np.ndarray, rng: np.random.Generator, ma
         nodes["feature"].append(np.where(splits, feature, -1))
         nodes["threshold"].append(np.where(splits, threshold, 0.0))
         nodes["left"].append(np.where(splits, left, ids))
-        nodes["right"].append(np.where(splits, left + 1, ids))
         nodes["value"].append(np.where(splits, 0.0, depth + mean_path(counts)))
         mine = np.repeat(at, counts)
         goes_left = values[np.arange(len(rows)), feature[mine]] <= threshold[mine]
@@ -70,26 +69,35 @@ def draw_samples(rows: int, trees: int, size: int, rng: np.random.Generator) ->
     return np.array([rng.permutation(rows)[:size] for _ in range(trees)])
 
 
+def _depth(sample: int) -> int:
+    return int(np.ceil(np.log2(max(sample, 2))))
+
+
 def _seed_of(seed: int, key: tuple) -> list[int]:
     return [seed, *[int.from_bytes(str(k).encode()[:8].ljust(8, b"\0"), "little") for k in key]]
 
 
-def forest_scores(x: np.ndarray, forest: dict[str, np.ndarray], roots: np.ndarray, sample: float) -> np.ndarray:
-    """Anomaly score of each row: 2 to the power of minus the mean relative path length."""
-    out = np.empty(len(x))
+def forest_scores(x: np.ndarray, forest: dict[str, np.ndarray], trees: int, sample: float, depth: int) -> np.ndarray:
+    """Anomaly score of each row: 2 to the power of minus the mean relative path length.
+
+    The right child follows the left one, and a leaf is its own left child behind an
+    infinite threshold, so one step is the same for inner nodes and leaves.
+    """
+    if sample <= 1:
+        return np.full(len(x), 0.5)
+    leaf = forest["feature"] < 0
+    feature = np.where(leaf, 0, forest["feature"])
+    threshold = np.where(leaf, np.inf, forest["threshold"])
+    total = np.zeros(len(x))
     for i in range(0, len(x), _SCORE_ROWS):
         part = x[i : i + _SCORE_ROWS]
-        at = np.broadcast_to(roots, (len(part), len(roots))).copy()
-        rows = np.arange(len(part))[:, None]
-        while True:
-            feature = forest["feature"][at]
-            inner = feature >= 0
-            if not inner.any():
-                break
-            goes_left = part[rows, np.maximum(feature, 0)] <= forest["threshold"][at]
-            at = np.where(inner, np.where(goes_left, forest["left"][at], forest["right"][at]), at)
-        out[i : i + _SCORE_ROWS] = forest["value"][at].mean(axis=1)
-    return np.exp2(-out / float(mean_path(sample))) if sample > 1 else np.full(len(x), 0.5)
+        cells, start = part.ravel(), np.arange(len(part)) * part.shape[1]
+        for tree in range(trees):
+            at = np.full(len(part), tree)
+            for _ in range(depth):
+                at = forest["left"].take(at) + (cells.take(start + feature.take(at)) > threshold.take(at))
+            total[i : i + _SCORE_ROWS] += forest["value"].take(at)
+    return np.exp2(-total / trees / float(mean_path(sample)))
 
 
 def isolation_scores(
@@ -112,7 +120,7 @@ def isolation_scores(
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in spec.keys)
     forest_schema = (
         f"{key_schema}, n long, sample long, trees long, feature array<int>, threshold array<double>, "
-        "left array<int>, right array<int>, value array<double>"
+        "left array<int>, value array<double>"
     )
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -121,7 +129,7 @@ def isolation_scores(
         key = tuple(pdf[k].iloc[0] for k in spec.keys)
         rng = np.random.default_rng(_seed_of(params.seed, key))
         sample = min(params.sample_rows, len(x))
-        depth = int(np.ceil(np.log2(max(sample, 2))))
+        depth = _depth(sample)
         forest = grow_forest(x, draw_samples(len(x), params.trees, sample, rng), rng, depth)
         row = dict(zip(spec.keys, key)) | {"n": int(pdf["n"].iloc[0]), "sample": sample, "trees": params.trees}
         row |= {name: forest[name].tolist() for name in _NODE_FIELDS}
@@ -146,7 +154,7 @@ def isolation_scores(
         m = model.iloc[0]
         forest = {name: np.asarray(m[name]) for name in _NODE_FIELDS}
         x = np.nan_to_num(rows[work].to_numpy(float))
-        out["score"] = forest_scores(x, forest, np.arange(int(m["trees"])), float(m["sample"]))
+        out["score"] = forest_scores(x, forest, int(m["trees"]), float(m["sample"]), _depth(int(m["sample"])))
         return out
 
     keys = [*spec.keys, BLOCK]

@@ -17,12 +17,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barograph.operators.features import median_and_noise
 from barograph.params import KalmanParams, SeriesSpec
 from barograph.plans.layout import BLOCK, OWN, POS, fill_gaps, split_blocks, spread
 from barograph.session import materialize
 
 
+def _trailing(x: np.ndarray, rows: int, reduce_rows) -> np.ndarray:
+    """``reduce_rows`` over the last ``rows`` values; the window grows at the start."""
+    out = np.empty(len(x))
+    for i in range(min(rows - 1, len(x))):
+        out[i] = reduce_rows(x[None, : i + 1])[0]
+    if len(x) >= rows:
+        out[rows - 1 :] = reduce_rows(np.lib.stride_tricks.sliding_window_view(x, rows))
+    return out
+
+
+def medians_and_noise(x: np.ndarray, first: int, params: KalmanParams) -> tuple[np.ndarray, np.ndarray]:
+    """Running median, and the variance of the last medians once there are enough.
+
+    ``first`` is the position of the first value in its series.
+    """
+    medians = _trailing(x, params.median_window, lambda rows: np.median(rows, axis=1))
+    variance = _trailing(medians, params.history, lambda rows: rows.var(axis=1))
+    variance[: max(params.min_history - 1 - first, 0)] = np.nan
+    return medians, variance
+
+
 def noise_levels(variance: np.ndarray, start: float, params: KalmanParams) -> np.ndarray:
     """Measurement noise after each row; rows without a variance keep the level."""
     keep, learn = 1.0 - params.adaptation_rate, params.adaptation_rate
@@ -99,20 +119,19 @@ def kalman_smooth(
     halo = params.median_window + params.history - 2
     keys = list(spec.keys) if spec.one_block else [*spec.keys, BLOCK]
     blocks = spread(split_blocks(filled, spec, before=halo), keys)
-    blocks = median_and_noise(blocks, spec, work.values(), params)
-    blocks = blocks.filter(OWN).drop(OWN, *work.values())
     kept = [*df.columns]
     if spec.one_block:
         return _smooth_whole(blocks, spec, columns, params, suffix, kept)
-    return _smooth_blocks(materialize(blocks, "medians"), spec, columns, params, suffix, kept)
+    medians = materialize(_median_rows(blocks, keys, columns, params, kept), "medians")
+    return _smooth_blocks(medians, spec, columns, params, suffix, kept)
 
 
 def _smooth_whole(blocks, spec, columns, params, suffix, kept) -> DataFrame:
     def smooth(table: pa.Table) -> pa.Table:
         table, results = table.sort_by(POS), {}
         for c in columns:
-            medians = _column(table, f"_x_{c}_med")
-            levels = noise_levels(_column(table, f"_x_{c}_var"), params.measurement_variance, params)
+            medians, variance = medians_and_noise(_column(table, f"_x_{c}"), 0, params)
+            levels = noise_levels(variance, params.measurement_variance, params)
             gain, _ = gains(levels, params.estimated_error, params)
             results[f"{c}{suffix}"] = estimates(medians, gain, medians[0])
         return _with_results(table, kept, results)
@@ -121,6 +140,20 @@ def _smooth_whole(blocks, spec, columns, params, suffix, kept) -> DataFrame:
     return blocks.groupBy(*spec.keys).applyInArrow(smooth, schema)
 
 
+def _median_rows(blocks: DataFrame, keys: list[str], columns: list[str], params: KalmanParams, kept: list[str]):
+    """The owned rows of each block with their medians and noise variances."""
+
+    def medians(table: pa.Table) -> pa.Table:
+        table, results = table.sort_by(POS), {}
+        first = _first(table, POS)
+        for c in columns:
+            results[f"_x_{c}_med"], results[f"_x_{c}_var"] = medians_and_noise(_column(table, f"_x_{c}"), first, params)
+        return _with_results(table, [*kept, BLOCK, OWN], results).filter(table.column(OWN)).drop_columns([OWN])
+
+    added = [f"`_x_{c}_{part}` double" for c in columns for part in ("med", "var")]
+    return blocks.groupBy(*keys).applyInArrow(medians, ", ".join([_fields(blocks, [*kept, BLOCK]), *added]))
+
+
 def _scan(summaries: DataFrame, spec: SeriesSpec, step, start, values: list[str]) -> DataFrame:
     """Run ``step`` over the block summaries of a series; give each block its start value.
 

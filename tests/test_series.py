@@ -182,3 +182,16 @@ def test_exact_quantile_with_ties(spark, share):
     got = {r.k: r.cut for r in exact_quantile(df, ["k"], "v", share, bins=64).collect()}
     assert got[1] == pytest.approx(np.quantile(x, share), abs=1e-12)
     assert got[2] == pytest.approx(np.quantile(x[600:], share), abs=1e-12)
+
+
+@pytest.mark.parametrize("block", BLOCKS)
+def test_longer_windows_use_frames(series, block):
+    df, spec = series(HOT | {(2, "gaps"): [1.0, None, *range(40)]}, block_rows=block)
+    indexed, spec = index_series(df, spec)
+    pdf = ordered(rolling_features(indexed, spec, ["value"], 15, which=["mean", "std", "skew", "kurt", "gradient", "energy"]))
+    for _, g in pdf.groupby(["station", "sensor"]):
+        x, r = g["value"], g["value"].rolling(15)
+        wanted = {"mean": r.mean(), "std": r.std(), "skew": r.skew(), "kurt": r.kurt(), "gradient": x.diff(15)}
+        wanted["energy"] = (x.diff() ** 2).rolling(15).mean()
+        for kind, w in wanted.items():
+            same(g[f"value_{kind}"], w, 1e-6)
