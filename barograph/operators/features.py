@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from operator import add, mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,8 +75,9 @@ def _from_lags(blocks: DataFrame, spec: SeriesSpec, columns: dict[str, str], win
         frame, mean = x[:window], F.col(f"_mean_{n}")
         # A sum with a missing reading is null, so a null mean marks an incomplete window.
         moments[f"_mean_{n}"] = _total(frame) / window
+        off = [v - mean for v in frame]
         for power in (2, 3, 4):
-            central[f"_m{power}_{n}"] = _total([F.pow(v - mean, F.lit(power)) for v in frame]) / window
+            central[f"_m{power}_{n}"] = _total([reduce(mul, [d] * power) for d in off]) / window
         if window > 1:
             low, high = F.least(*frame), F.greatest(*frame)
         else:
@@ -106,7 +108,7 @@ def _from_lags(blocks: DataFrame, spec: SeriesSpec, columns: dict[str, str], win
 
 
 def _total(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, parts)
+    return reduce(add, parts)
 
 
 def _from_frames(blocks: DataFrame, spec: SeriesSpec, columns: dict[str, str], window: int, which: list[str]):

@@ -45,7 +45,8 @@ def run_stations(
     indexed, sized = index_series(valid, spec)
     smoothed = kalman_smooth(indexed, sized, sensors, params.kalman)
     features = composite_ratios(rolling_features(smoothed, sized, smooth, params.rolling_window, sensors))
-    kept = materialize(complete_rows(features, sized, params.rolling_window, params.drop), "features")
+    # Written before rows are dropped: a filter on features would compute them twice.
+    kept = complete_rows(materialize(features, "features"), sized, params.rolling_window, params.drop)
     indexed, sized = index_series(kept.drop(POS), spec)
     parts = materialize(seasonal_parts(indexed, sized, smooth, params.seasonal, sensors), "parts")
     forecast = replace(params.forecast, primary=params.primary)
