@@ -30,6 +30,7 @@ from barograph.operators.seasonal import (
 from barograph.operators.smooth import kalman_smooth as smooth
 from barograph.params import SeasonalParams, SeriesSpec
 from barograph.plans.layout import POS, exact_quantile, fill_gaps, index_series
+from barograph.session import materialize
 
 KEYS = ("station", "sensor", "seq")
 K = "station, sensor, seq"
@@ -119,7 +120,7 @@ SELECT * FROM a WHERE mean IS NOT NULL AND std IS NOT NULL AND skew IS NOT NULL
 )
 def features_complete(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
-    made = rolling_features(df, spec, ["value"], 6, ["value"])
+    made = materialize(rolling_features(df, spec, ["value"], 6, ["value"]), "features")
     kept = complete_rows(made, spec, 6).withColumnsRenamed(
         {f"value_{k}": k for k in ("mean", "std", "skew", "kurt", "gradient", "energy")}
     )

@@ -35,43 +35,52 @@ def difference_polynomial(d: int, seasonal_d: int, season: int) -> np.ndarray:
     return poly
 
 
-def lag_polynomials(theta: np.ndarray, params: SarimaParams, season: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expanded AR and MA polynomials of one parameter vector."""
+def lag_polynomials(thetas: np.ndarray, params: SarimaParams, season: int) -> tuple[np.ndarray, np.ndarray]:
+    """Expanded AR and MA polynomials, one row per parameter vector."""
     (p, _, q), (sp, _, sq) = params.order, params.seasonal_order
-    phi, th, sphi, sth = np.split(np.asarray(theta, float), np.cumsum([p, q, sp]))
-
-    def spread(values, step, sign):
-        poly = np.zeros(len(values) * step + 1)
-        poly[0] = 1.0
-        poly[step::step] = sign * values
+    phi, th, sphi, sth = np.split(np.atleast_2d(thetas).astype(float), np.cumsum([p, q, sp]), axis=1)
+
+    def expand(near: np.ndarray, far: np.ndarray, sign: float) -> np.ndarray:
+        one = np.ones((len(near), 1))
+        near, far = np.hstack([one, sign * near]), np.hstack([one, sign * far])
+        poly = np.zeros((len(near), near.shape[1] + season * (far.shape[1] - 1)))
+        for j in range(far.shape[1]):
+            poly[:, j * season : j * season + near.shape[1]] += near * far[:, j : j + 1]
         return poly
 
-    ar = np.convolve(spread(phi, 1, -1.0), spread(sphi, season, -1.0))
-    ma = np.convolve(spread(th, 1, 1.0), spread(sth, season, 1.0))
-    return ar, ma
+    return expand(phi, sphi, -1.0), expand(th, sth, 1.0)
+
 
+def innovations(w: np.ndarray, ars: np.ndarray, mas: np.ndarray, season: int = 1) -> np.ndarray:
+    """Innovations of each candidate (column), with zero values before the sample.
 
-def innovations(w: np.ndarray, ars: np.ndarray, mas: np.ndarray) -> np.ndarray:
-    """Innovations of each candidate (column), with zero values before the sample."""
+    Lags of a season and more reach back before the current season, so their part
+    is computed for a whole season at once; only the short lags go step by step.
+    """
     n, width = len(w), len(ars)
     u = np.zeros((n, width))
     for lag in np.flatnonzero(np.abs(ars).max(axis=0)):
         if lag < n:
             u[lag:] += w[: n - lag, None] * ars[:, lag]
-    lags = [lag for lag in np.flatnonzero(np.abs(mas).max(axis=0)) if 0 < lag]
-    e = np.zeros((n, width))
-    for t in range(n):
-        now = u[t]
-        for lag in lags:
-            if lag > t:
-                break
-            now = now - mas[:, lag] * e[t - lag]
-        e[t] = now
-    return e
+    lags = [int(lag) for lag in np.flatnonzero(np.abs(mas).max(axis=0)) if lag > 0]
+    near, far = [lag for lag in lags if lag < season], [lag for lag in lags if lag >= season]
+    pad = max(lags, default=0)
+    e = np.zeros((pad + n, width))
+    for begin in range(pad, pad + n, season):
+        end = min(begin + season, pad + n)
+        part = u[begin - pad : end - pad].copy()
+        for lag in far:
+            part -= mas[:, lag] * e[begin - lag : end - lag]
+        for t in range(begin, end):
+            now = part[t - begin]
+            for lag in near:
+                now = now - mas[:, lag] * e[t - lag]
+            e[t] = now
+    return e[pad:]
 
 
 def fit(values: np.ndarray, params: SarimaParams, season: int) -> SarimaFit | None:
-    """Fit by a coarse grid and then a shrinking neighbourhood search."""
+    """Fit by a coarse grid and then ever finer grids around the best point."""
     x = np.asarray(values, float)
     x = x[~np.isnan(x)]
     (p, d, q), (sp, sd, sq) = params.order, params.seasonal_order
@@ -82,26 +91,30 @@ def fit(values: np.ndarray, params: SarimaParams, season: int) -> SarimaFit | No
     k = p + q + sp + sq
 
     def cost(thetas: np.ndarray) -> np.ndarray:
-        polys = [lag_polynomials(t, params, season) for t in thetas]
-        e = innovations(w, np.array([a for a, _ in polys]), np.array([m for _, m in polys]))
-        total = np.square(e).sum(axis=0)
+        total = np.square(innovations(w, *lag_polynomials(thetas, params, season), season)).sum(axis=0)
         return np.where(np.isfinite(total), total, np.inf)
 
     ticks = np.linspace(-0.9, 0.9, 13) if k <= 2 else np.array([-0.6, 0.0, 0.6])
     grid = np.array(list(product(ticks, repeat=k))) if k else np.zeros((1, 0))
     costs = cost(grid)
     best, low = grid[costs.argmin()], costs.min()
-    step = (ticks[1] - ticks[0]) / 2
-    moves = np.array([m for m in product((-1.0, 0.0, 1.0), repeat=k) if k <= 2 or np.count_nonzero(m) == 1])
+    reach = 2 if k <= 2 else 1
+    offsets = np.arange(-reach, reach + 1) / (reach + 1)
+    moves = np.array(list(product(offsets, repeat=k)))
+    step = ticks[1] - ticks[0]
     while k and step > _FINEST_STEP:
         near = np.clip(best + moves * step, -_LIMIT, _LIMIT)
         costs = cost(near)
+        moved = np.abs(moves[costs.argmin()]).max() == np.abs(offsets).max()
         if costs.min() < low:
             best, low = near[costs.argmin()], costs.min()
         else:
-            step /= 2
+            moved = False
+        # A best point on the rim may have better ones beyond it: stay at this step.
+        if not moved:
+            step /= reach + 1
     ar, ma = lag_polynomials(best, params, season)
-    return SarimaFit(ar, ma, diff, best, float(np.sqrt(low / len(w))))
+    return SarimaFit(ar[0], ma[0], diff, best, float(np.sqrt(low / len(w))))
 
 
 def next_values(model: SarimaFit, x: np.ndarray, e: np.ndarray, steps: int) -> np.ndarray:

@@ -181,7 +181,11 @@ def adaptive_noise(df: DataFrame, spec: SeriesSpec, columns: Iterable[str], para
 
 
 def complete_rows(df: DataFrame, spec: SeriesSpec, window: int, drop: str = "any") -> DataFrame:
-    """Drop rows with any null, or with ``drop="warmup"`` only the first ``window`` rows."""
+    """Drop rows with any null, or with ``drop="warmup"`` only the first ``window`` rows.
+
+    Write computed features down first: the optimizer would move the filter below
+    them and compute them twice. Index the rows again afterwards.
+    """
     if drop == "warmup":
         return df.filter(F.col("pos") >= window)
     return df.dropna("any")

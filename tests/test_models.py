@@ -59,11 +59,12 @@ def test_sarima_autoregressive_orders():
     assert sarima.spread_of(model, 3) == pytest.approx(model.sigma * np.sqrt(np.cumsum([1, 0.49, 0.2401])), rel=0.2)
 
 
-def test_innovations_equal_the_plain_recursion():
+@pytest.mark.parametrize("season", [1, 6, 50])
+def test_innovations_equal_the_plain_recursion(season):
     w = RNG.normal(size=80)
     ma = np.zeros(8)
     ma[[0, 1, 6, 7]] = 1.0, 0.3, -0.5, -0.15
-    e = sarima.innovations(w, np.array([[1.0]]), ma[None, :])[:, 0]
+    e = sarima.innovations(w, np.array([[1.0]]), ma[None, :], season)[:, 0]
     plain = []
     for t in range(80):
         plain.append(w[t] - sum(ma[k] * plain[t - k] for k in range(1, 8) if t >= k))
