@@ -60,7 +60,6 @@ from barograph.operators.report import (
 from barograph.operators.sarima import fit_sarima, forecast_ahead, rolling_sarima
 from barograph.operators.scaling import minmax_scale as scale
 from barograph.operators.seasonal import seasonal_parts
-from barograph.operators.smooth import kalman_smooth
 from barograph.operators.validate import split_valid
 from barograph.params import ForecastParams, RunParams, SeasonalParams, SeriesSpec
 from barograph.plans.layout import POS, attach, index_series
