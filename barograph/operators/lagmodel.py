@@ -98,7 +98,7 @@ def _windows(pdf: pd.DataFrame, columns: list[str], lookback: int) -> tuple[np.n
     usable &= (group[lookback:] == group[:-lookback]) & ~np.isnan(lags).any(axis=(1, 2))
     usable &= ~np.isnan(z[lookback:]).any(axis=1)
     at = np.flatnonzero(usable)
-    return at + lookback, lags[at].reshape(len(at), -1), z[at + lookback] - z[at + lookback - 1]
+    return at + lookback, lags[at].reshape(len(at), lookback * len(columns)), z[at + lookback] - z[at + lookback - 1]
 
 
 def _add_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -357,3 +357,12 @@ def test_only_listed_models_are_fitted_anew(spark, series):
     listed = spark.createDataFrame([(1, "a")], "station long, sensor string")
     made = {r.station: r.sigma for r in refresh_models(old, listed, indexed, spec, "value", plan, SMALL.sarima).collect()}
     assert made[0] == -1.0 and made[1] > 0
+
+
+def test_lag_model_without_a_usable_window_is_absent(series):
+    df, spec = series({(0, "a"): wave(60), (1, "a"): [None, 1.0] * 40})
+    indexed, spec = index_series(df, spec)
+    params = replace(SMALL, use_sarima=False, lookback=40, tail_rows=0)
+    plan = forecast_plan(indexed, spec, params)
+    assert fit_lag_model(indexed, spec, ["value"], plan, params) is None
+    assert lag_forecast(indexed, spec, ["value"], plan, params).count() == 0
