@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import work_path
 
 U64 = np.uint64
 #: Distinct words whose hash a task remembers before it starts over.
@@ -66,21 +67,35 @@ class WordHashes(dict):
 
 
 
-def pieces(batches: Iterator, size: int) -> Iterator:
-    """Arrow batches cut so that none has more than ``size`` rows."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, size):
-            yield batch.slice(at, size)
+class Scratch:
+    """Work tables in the shared folder that are deleted together, once nothing reads them any more."""
 
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
 
-def drop_table(spark: SparkSession, path: str) -> None:
-    """Delete a work table once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        """``df`` written and read again, as ``materialize`` does."""
+        path = work_path(self.spark, label)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+        self.paths = []
+        release(self.spark)
 
-def components(links: DataFrame) -> DataFrame:
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files of finished plans: it does so when the driver has collected their handles."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root): the smallest node reachable over links (a, b), for every node with a link.
 
     Alternates large-star and small-star until the links stay the same. Each step is an
@@ -101,11 +116,11 @@ def components(links: DataFrame) -> DataFrame:
     def mark(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    now = materialize(links.select("a", "b").where("a <> b").distinct(), "links")
+    now = scratch.table(links.select("a", "b").where("a <> b").distinct(), "links")
     before = None
     while (state := mark(now)) != before:
         before = state
-        now = materialize(smallest(largest(now)), "links")
+        now = scratch.table(smallest(largest(now)), "links")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

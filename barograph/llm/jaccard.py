@@ -35,16 +35,19 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .common import U64, WordHashes, as_bytes, components, folded, mix
+from .common import U64, Scratch, WordHashes, as_bytes, components, folded, mix, release
 
 
 @dataclass(frozen=True)
 class Near:
-    """Shingles of ``words`` words, similarity of ``percent`` or more."""
+    """Shingles of ``words`` words, similarity of ``percent`` or more.
+
+    passes: the bucket join runs over one part of the keys after the other, to hold less on disk.
+    """
 
     words: int = 5
     percent: int = 80
+    passes: int = 4
 
 
 def shingles(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -168,7 +171,7 @@ def _linked(percent: int):
     return linked
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, near: Near) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, near: Near, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) of set ids with their exact answer; the sets are built again for these only."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     where = signed.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
@@ -176,39 +179,48 @@ def _verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, near: Near)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
     texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text")
     sets = texts.mapInArrow(_sets(near), "sid long, shingles binary").join(wanted, "sid", "left_semi")
-    sets = materialize(sets.dropDuplicates(["sid"]), "jaccard-sets")
+    sets = scratch.table(sets.dropDuplicates(["sid"]), "jaccard-sets")
+    release(scratch.spark)
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return materialize(both.mapInArrow(_linked(near.percent), "a long, b long, linked boolean"), "jaccard-links")
+    out = scratch.table(both.mapInArrow(_linked(near.percent), "a long, b long, linked boolean"), "jaccard-links")
+    release(scratch.spark)
+    return out
 
 
-def near_documents(docs: DataFrame, near: Near = Near()) -> DataFrame:
+def near_documents(docs: DataFrame, near: Near = Near(), scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id, the smallest id reachable over links.
 
     Null and empty texts have no shingles, link with nothing and are their own component. Equal
     texts are one set, so repeated rows cost no pairs. A null id takes part, but never names a component
-    unless all ids of it are null. Columns other than doc_id and text are ignored.
+    unless all ids of it are null. Columns other than doc_id and text are ignored. The tables that the
+    result reads go to ``scratch``, for a caller that wants to delete them; the others are deleted here.
     """
+    last, work = scratch or Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
-    signed = materialize(rows.mapInArrow(_sign(near), SIGNED), "jaccard-signed")
+    signed = work.table(rows.mapInArrow(_sign(near), SIGNED), "jaccard-signed")
     keys = signed.select(F.explode("keys").alias("key"), "sid")
     bucket = Window.partitionBy("key")
-    met = keys.select(
-        "key", "sid", F.min("sid").over(bucket).alias("low"), F.max("sid").over(bucket).alias("high")
-    ).where("low < high")
-    met = materialize(met.select("key", "sid").distinct(), "jaccard-buckets")
+    met = None
+    for part in range(near.passes):
+        some = keys.where(F.pmod("key", F.lit(near.passes)) == part).select(
+            "key", "sid", F.min("sid").over(bucket).alias("low"), F.max("sid").over(bucket).alias("high")
+        )
+        some = work.table(some.where("low < high").select("key", "sid").distinct(), "jaccard-buckets")
+        met = some if met is None else met.union(some)
+        release(docs.sparkSession)
 
     weight = met.join(met.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("sid").agg(F.sum("n").alias("w"))
     ranked = met.join(weight, "sid").select(
         "key", "sid", F.row_number().over(bucket.orderBy(F.desc("w"), "sid")).alias("place")
     )
-    ranked = materialize(ranked, "jaccard-ranked")
+    ranked = work.table(ranked, "jaccard-ranked")
     leaders = ranked.where("place <= 2").select("key", F.col("sid").alias("b"), F.col("place").alias("first"))
     pairs = ranked.join(leaders, "key").where("place > first").select(
         F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")
     )
-    pairs = materialize(pairs.distinct(), "jaccard-stars")
-    checked = _verified(pairs, docs, signed, near)
-    root = components(checked.where("linked"))
+    pairs = work.table(pairs.distinct(), "jaccard-stars")
+    checked = _verified(pairs, docs, signed, near, work)
+    root = components(checked.where("linked"), work)
 
     # Pairs of non-leaders that are still in different components.
     node = root.select(F.col("node").alias("sid"), "root")
@@ -219,30 +231,32 @@ def near_documents(docs: DataFrame, near: Near = Near()) -> DataFrame:
     open_ = open_.join(apart, "key", "left_semi")
     left, right = open_.toDF("key", "a", "ra"), open_.toDF("key", "b", "rb")
     rest = left.join(right, "key").where("a < b and ra <> rb").select("a", "b").distinct()
-    rest = materialize(rest.join(checked, ["a", "b"], "left_anti"), "jaccard-rest")
+    rest = work.table(rest.join(checked, ["a", "b"], "left_anti"), "jaccard-rest")
     if not rest.isEmpty():
-        more = _verified(rest, docs, signed, near)
-        root = components(checked.union(more).where("linked"))
+        more = _verified(rest, docs, signed, near, work)
+        root = components(checked.union(more).where("linked"), work)
 
     least = signed.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
     named = least.join(root.select(F.col("node").alias("sid"), "root"), "sid", "left")
     named = named.select("sid", "least", F.coalesce("root", "sid").alias("root"))
     lowest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.join(lowest, "root").select("sid", "component_id")
-    out = signed.select("doc_id", "n_shingles", "sid").join(classes, "sid", "left")
+    classes = last.table(named.join(lowest, "root").select("sid", "component_id"), "jaccard-classes")
+    slim = last.table(signed.select("doc_id", "n_shingles", "sid"), "jaccard-documents")
+    work.drop()
+    out = slim.join(classes, "sid", "left")
     return out.select(
         "doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"),
     )
 
 
-def one_of_each(docs: DataFrame, near: Near = Near()) -> DataFrame:
+def one_of_each(docs: DataFrame, near: Near = Near(), scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with its smallest id stays.
 
     Rows that repeat an id and its text count as copies; of rows with one id and different texts in one
     component all stay. Texts without words are no copies of each other.
     """
-    found = near_documents(docs, near)
+    found = near_documents(docs, near, scratch)
     keep = found.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__id"))
     once = docs.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     return once.dropDuplicates(["doc_id", "text"])

@@ -27,8 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .common import U64, WordHashes, as_bytes, folded, fresh, mix
+from .common import U64, Scratch, WordHashes, as_bytes, folded, fresh, mix, release
 
 BUCKET_BITS = 24
 BLOCK = 1 << 16
@@ -168,25 +167,28 @@ def _similar(percent: int):
     return similar
 
 
-def _filters(p: int):
-    """Length, positional and sketch filter for a line x and an earlier line y under one word."""
-    need = F.ceil(F.lit(p) * (F.col("xn") + F.col("yn")) / F.lit(100 + p))
-    left = 1 + F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi")) - 1
+def _candidate(p: int, x: str, y: str):
+    """Not before, and the length, positional and sketch filter, for entries x and y of one word."""
+    xn, yn = F.shiftright(f"{x}.ni", 32), F.shiftright(f"{y}.ni", 32)
+    xi, yi = (F.col(f"{side}.ni").bitwiseAND(F.lit(0xFFFFFFFF)) for side in (x, y))
+    need = F.ceil(F.lit(p) * (xn + yn) / F.lit(100 + p))
     return (
-        (100 * F.least("xn", "yn") >= p * F.greatest("xn", "yn"))
-        & (left >= need)
-        & (F.bit_count(F.col("xs").bitwiseXOR(F.col("ys"))) <= F.col("xn") + F.col("yn") - 2 * need)
-    )
+        (F.col(f"{x}.sid") != F.col(f"{y}.sid")) & (F.col(f"{x}.doc") >= F.col(f"{y}.doc"))
+        & (100 * F.least(xn, yn) >= p * F.greatest(xn, yn))
+        & (F.least(xn - xi, yn - yi) >= need)
+        & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity"))) <= xn + yn - 2 * need)
+    )
 
 
-def repeated_lines(docs: DataFrame, copies: LineCopies) -> tuple[DataFrame, DataFrame, str]:
+def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[DataFrame, DataFrame, str]:
     """(rows of ``docs`` with an id, (id, places of lines to remove), name of the id column)."""
-    spark = docs.sparkSession
+    spark, p = docs.sparkSession, copies.percent
+    work = Scratch(spark)
     rid = fresh("_row", docs.columns)
-    rows = materialize(docs.withColumn(rid, F.monotonically_increasing_id()), "lines-rows")
+    rows = last.table(docs.withColumn(rid, F.monotonically_increasing_id()), "lines-rows")
     texts = rows.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
     counts = spark.sparkContext.broadcast(rarity(texts.select("text"), copies.min_words))
-    lines = materialize(texts.mapInArrow(_index(counts, copies), LINES), "lines-index")
+    lines = work.table(texts.mapInArrow(_index(counts, copies), LINES), "lines-index")
 
     # Earlier means: smaller document id (null last), then row, then place.
     at = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid", "place")
@@ -194,47 +196,67 @@ def repeated_lines(docs: DataFrame, copies: LineCopies) -> tuple[DataFrame, Data
         F.min(at).alias("at"), F.max("n").alias("n"), F.max("parity").alias("parity"),
         F.max(F.struct("prefix", "spots")).alias("index"),
     )
-    sets = materialize(sets, "lines-sets")
+    sets = work.table(sets, "lines-sets")
+    release(spark)
+    # Entries carry the document id alone; of lines of one document the order is settled when pairs are verified.
     entry = sets.select(
-        "sid", "at", "n", "parity", F.explode(F.arrays_zip("index.prefix", "index.spots")).alias("e")
-    ).select(F.col("e.prefix").alias("word"), "sid", "at", "n", F.col("e.spots").alias("i"), F.col("parity").alias("s"))
+        F.explode(F.arrays_zip("index.prefix", "index.spots")).alias("e"), "sid",
+        F.coalesce("at.doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.shiftleft(F.col("n").cast("long"), 32).alias("n"),
+        "parity",
+    )
+    entry = entry.select(
+        F.col("e.prefix").alias("word"), "doc", "sid", F.col("n").bitwiseOR(F.col("e.spots")).alias("ni"), "parity"
+    )
     word = Window.partitionBy("word")
-    head = F.struct("at", "sid", "n", "i", "s")
-    entry = entry.select("*", F.min(head).over(word).alias("y"), F.count("*").over(word).alias("many"))
-    entry = materialize(entry.where("many > 1").drop("many"), "lines-entries")
+    me = F.struct("doc", "sid", "ni", "parity")
+    entry = entry.select("word", me.alias("x"), F.min(me).over(word).alias("y"), F.count("*").over(word).alias("many"))
+    star = F.when(_candidate(p, "x", "y"), F.col("y.sid")).alias("star")
+    entry = work.table(entry.where("many > 1").select("word", "x.*", star), "lines-entries")
+    release(spark)
 
-    named = [F.col(c).alias("x" + c) for c in ("sid", "at", "n", "i", "s")]
-    first = entry.select("word", *named, *[F.col("y." + c).alias("y" + c) for c in ("sid", "at", "n", "i", "s")])
-    first = first.where((F.col("xat") > F.col("yat")) & _filters(copies.percent))
-    first = materialize(first.select(F.col("xsid").alias("late"), F.col("ysid").alias("early")).distinct(), "lines-stars")
-    matched = _verified(first, rows, rid, sets, copies)
+    first = entry.where("star is not null").select(F.col("sid").alias("a"), F.col("star").alias("b")).distinct()
+    first = work.table(first, "lines-stars")
+    matched = _verified(first, rows, rid, sets, copies, work)
 
+    entry = entry.drop("star")
     open_ = entry.join(matched.select(F.col("late").alias("sid")).distinct(), "sid", "left_anti")
-    left = open_.select("word", *named)
-    right = entry.select("word", *[F.col(c).alias("y" + c) for c in ("sid", "at", "n", "i", "s")])
-    rest = left.join(right, "word").where((F.col("xat") > F.col("yat")) & _filters(copies.percent))
-    rest = rest.select(F.col("xsid").alias("late"), F.col("ysid").alias("early")).distinct()
-    rest = materialize(rest.join(first, ["late", "early"], "left_anti"), "lines-rest")
-    late = matched.union(_verified(rest, rows, rid, sets, copies)).select(F.col("late").alias("sid")).distinct()
+    left = open_.select("word", F.struct("doc", "sid", "ni", "parity").alias("x"))
+    right = entry.select("word", me.alias("y"))
+    rest = left.join(right, "word").where(_candidate(p, "x", "y"))
+    rest = rest.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
+    rest = work.table(rest.join(first, ["a", "b"], "left_anti"), "lines-rest")
+    release(spark)
+    late = matched.union(_verified(rest, rows, rid, sets, copies, work)).select(F.col("late").alias("sid")).distinct()
 
     fate = sets.select("sid", "at").join(late.withColumn("late", F.lit(True)), "sid", "left")
     gone = lines.select("sid", "rid", "place").join(fate, "sid").where(
         F.col("late").isNotNull() | (F.col("rid") != F.col("at.rid")) | (F.col("place") != F.col("at.place"))
     )
-    gone = gone.groupBy("rid").agg(F.collect_list("place").alias("places"))
-    return rows, materialize(gone, "lines-gone"), rid
+    gone = last.table(gone.groupBy("rid").agg(F.collect_list("place").alias("places")), "lines-gone")
+    work.drop()
+    return rows, gone, rid
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, rid: str, sets: DataFrame, copies: LineCopies) -> DataFrame:
-    """The pairs (late, early) of line ids whose sets are similar; only these lines are read again."""
-    wanted = pairs.select(F.explode(F.array("late", "early")).alias("sid")).distinct()
+def _verified(
+    pairs: DataFrame, rows: DataFrame, rid: str, sets: DataFrame, copies: LineCopies, work: Scratch
+) -> DataFrame:
+    """(late, early) of the pairs of line ids whose sets are similar; only these lines are read again."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     asked = sets.join(wanted, "sid", "left_semi").groupBy(F.col("at.rid").alias("rid")).agg(
         F.collect_list(F.struct("sid", F.col("at.place").alias("place"))).alias("asked")
     )
     texts = rows.select(F.col(rid).alias("rid"), as_bytes().alias("text")).join(asked, "rid").select("text", "asked")
-    chosen = materialize(texts.mapInArrow(_chosen(copies.min_words), "sid long, set binary"), "lines-chosen")
-    both = pairs.join(chosen.toDF("late", "x"), "late").join(chosen.toDF("early", "y"), "early")
-    return materialize(both.mapInArrow(_similar(copies.percent), "late long, early long"), "lines-similar")
+    chosen = work.table(texts.mapInArrow(_chosen(copies.min_words), "sid long, set binary"), "lines-chosen")
+    release(work.spark)
+    at = sets.select("sid", "at")
+    ordered = pairs.join(at.toDF("a", "ata"), "a").join(at.toDF("b", "atb"), "b").select(
+        F.when(F.col("ata") > F.col("atb"), F.col("a")).otherwise(F.col("b")).alias("late"),
+        F.when(F.col("ata") > F.col("atb"), F.col("b")).otherwise(F.col("a")).alias("early"),
+    ).distinct()
+    both = ordered.join(chosen.toDF("late", "x"), "late").join(chosen.toDF("early", "y"), "early")
+    out = work.table(both.mapInArrow(_similar(copies.percent), "late long, early long"), "lines-similar")
+    release(work.spark)
+    return out
 
 
 def _without(text: int, places: int):
@@ -258,7 +280,9 @@ def _without(text: int, places: int):
     return without
 
 
-def drop_repeated_lines(docs: DataFrame, copies: LineCopies = LineCopies(), count: str | None = None) -> DataFrame:
+def drop_repeated_lines(
+    docs: DataFrame, copies: LineCopies = LineCopies(), count: str | None = None, scratch: Scratch | None = None
+) -> DataFrame:
     """``docs`` without the lines that match an earlier line; documents that lose all their words go too.
 
     Lines are cut at \\n. Of equal or similar lines the one in the smallest document id stays (null ids
@@ -266,9 +290,9 @@ def drop_repeated_lines(docs: DataFrame, copies: LineCopies = LineCopies(), coun
     earlier match is itself removed. Lines with fewer than ``min_words`` distinct words stay. Null and
     empty texts, and texts without words, are returned as they are. Other columns are returned
     unchanged, also n_chars: the caller sets what depends on the text. ``count`` adds a column
-    with the number of lines removed.
+    with the number of lines removed. The two tables that the result reads go to ``scratch``.
     """
-    rows, gone, rid = repeated_lines(docs, copies)
+    rows, gone, rid = repeated_lines(docs, copies, scratch or Scratch(docs.sparkSession))
     places = fresh("_places", rows.columns)
     joined = rows.join(gone.select(F.col("rid").alias(rid), F.col("places").alias(places)), rid, "left")
     joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], places)

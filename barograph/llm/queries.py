@@ -95,7 +95,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 25 * n_words
             OR 100 * (length(t) - length(replace(t, '!', ''))) > 25 * n_words
-            OR 100 * n_dup_lines > 30 * len(lines)
+            OR 100 * n_dup_lines > 50 * len(lines)
             OR 100 * (length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')))
                > 50 * (length(t) - length(regexp_replace(t, '\p{L}', '', 'g')))
             OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept

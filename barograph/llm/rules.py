@@ -31,7 +31,7 @@ class Limits:
     repeated: int = 50
     symbols: int = 25
     shouts: int = 25
-    dup_lines: int = 30
+    dup_lines: int = 50
     capitals: int = 50
     short_words: int = 2
     long_words: int = 20
