@@ -29,6 +29,7 @@ MARKS = b".,;:!?\"'()[]{}*#%&$|<>-"
 class Toxicity:
     """rows, longest: the sample holds at most this many documents per label, of at most so many characters.
 
+    rounds, epochs, least_steps: rounds of choosing windows, and passes and steps in each of them.
     fold, held: documents whose crc32 of the id leaves ``held`` modulo ``fold`` lend no label.
     """
 
@@ -42,6 +43,7 @@ class Toxicity:
     longest: int = 20_000
     rounds: int = 2
     epochs: int = 3
+    least_steps: int = 150
     fold: int = 4
     held: int = 2
     threshold: float = 0.3
@@ -282,8 +284,9 @@ def train(texts: list[bytes], labels: np.ndarray, share: float, t: Toxicity) ->
                 chosen += [rows[i][j] for j in rng.integers(0, len(rows[i]), 2)]
                 target += [0.0, 0.0]
         chosen, target = np.stack(chosen), np.array(target, np.float32)
-        for _ in range(t.epochs):
-            for part in np.array_split(rng.permutation(len(target)), max(1, len(target) // 128)):
+        batches = max(1, len(target) // 64)
+        for _ in range(max(t.epochs, -(-t.least_steps // batches))):
+            for part in np.array_split(rng.permutation(len(target)), batches):
                 used, local = np.unique(np.append(chosen[part], -1), return_inverse=True)
                 used, local = used[1:], local[:-1].reshape(len(part), -1) - 1
                 grams, owner = _grams(index, used)
