@@ -116,12 +116,11 @@ def _streamed(spark, sf_dir):
     landing, root = work_path(spark, "landing"), work_path(spark, "stream")
     rows = hourly(spark, sf_dir, True)
     master = MasterTable(f"{root}/master", SENSORS)
-    headers = ["station", *_NAMES.values()]
     # An older copy first, then the rows themselves: the second batch corrects the first.
     for part in (rows.withColumns({"ws": F.col("ws") + 1}), rows):
         _append(part, landing)
         run = stream_ingest(
-            spark, landing, headers, master, f"{root}/checkpoint", f"{root}/rejected", _BOUNDS, interval=None
+            spark, landing, master, f"{root}/checkpoint", f"{root}/rejected", _BOUNDS, interval=None
         )
         run.awaitTermination()
     return master, f"{root}/rejected"

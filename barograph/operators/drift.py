@@ -13,7 +13,6 @@ from pyspark.sql.types import DoubleType
 from barograph.params import DriftParams, SeriesSpec
 from barograph.plans.layout import POS, with_size
 
-EXACT_LIMIT = 10_000
 _TERMS = 100
 
 
@@ -111,11 +110,11 @@ def _exact_p(h: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
 
 
 def ks_drift(samples: DataFrame, keys: Iterable[str], params: DriftParams = DriftParams()) -> DataFrame:
-    """Statistic, p-value and drift flag per series; too small samples have p = 1."""
+    """Statistic, p-value (by ``params.method``) and drift flag per series; too small samples have p = 1."""
     tested = ks_statistic(samples, keys)
     small = (F.col("n1") < params.min_sample) | (F.col("n2") < params.min_sample)
-    exact = F.greatest("n1", "n2") <= EXACT_LIMIT
-    p = F.when(small, F.lit(1.0)).when(exact, _exact_p("h", "n1", "n2")).otherwise(asymptotic_p())
+    value = _exact_p("h", "n1", "n2") if params.method == "exact" else asymptotic_p()
+    p = F.when(small, F.lit(1.0)).otherwise(value)
     return tested.withColumn("p_value", p).withColumn("drift", (F.col("p_value") < params.p_threshold).cast("int"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -74,7 +75,7 @@ def _depth(sample: int) -> int:
 
 
 def _seed_of(seed: int, key: tuple) -> list[int]:
-    return [seed, *[int.from_bytes(str(k).encode()[:8].ljust(8, b"\0"), "little") for k in key]]
+    return [seed, *[int.from_bytes(blake2b(str(k).encode(), digest_size=8).digest(), "little") for k in key]]
 
 
 def forest_scores(x: np.ndarray, forest: dict[str, np.ndarray], trees: int, sample: float, depth: int) -> np.ndarray:

@@ -116,6 +116,8 @@ class DriftParams:
     comparison_rows: int = 60
     min_rows: int = 50
     min_sample: int = 10
+    #: "exact" or "asymptotic": how the p-value is computed, for samples of any size.
+    method: str = "exact"
 
 
 @dataclass(frozen=True)

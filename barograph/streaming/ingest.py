@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,50 +14,66 @@ from barograph.operators.normalize import canonical_headers, normalize
 from barograph.operators.report import alerts
 from barograph.operators.validate import split_valid
 from barograph.params import BOUNDS
-from barograph.sources.csvfiles import ORIGIN
+from barograph.session import materialize
+from barograph.sources.csvfiles import ORIGIN, header_cells, separator_of
 from barograph.sources.master import MasterTable
 
 
+def file_rows(batch: DataFrame) -> DataFrame | None:
+    """Rows of text lines (value, file, block, row) under the canonical names of each file's own header.
+
+    Headers may differ in names, order and separator; files with the same header are parsed together. A file's
+    header is the first line of it that is not blank. ``None`` without any row.
+    """
+    first = batch.where((F.col(ORIGIN[1]) == 0) & (F.trim("value") != "")).groupBy(ORIGIN[0]).agg(
+        F.min_by("value", ORIGIN[2]).alias("header"), F.min(ORIGIN[2]).alias("at")
+    )
+    lines = batch.join(first, ORIGIN[0]).where((F.trim("value") != "") & (F.col(ORIGIN[2]) != F.col("at")))
+    parts = []
+    for (header,) in first.select("header").distinct().orderBy("header").collect():  # one row per kind of file
+        cells = header_cells(header)
+        schema = ", ".join(f"_c{i} string" for i in range(len(cells)))
+        row = F.from_csv("value", schema, {"sep": separator_of(header)}).alias("cells")
+        rows = lines.where(F.col("header") == header).select(row, *ORIGIN).select("cells.*", *ORIGIN)
+        parts.append(canonical_headers(rows, [*cells, *ORIGIN]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
 def stream_ingest(
     spark: SparkSession,
     landing: str,
-    headers: Iterable[str],
     master: MasterTable,
     checkpoint: str,
     quarantine: str | None = None,
     bounds: Mapping[str, tuple[float, float]] = BOUNDS,
     interval: str | None = "60 seconds",
+    station: str = "0",
 ) -> StreamingQuery:
-    """Poll ``landing`` for CSV files and merge their valid rows into the master.
+    """Poll ``landing`` for delimited files and merge their valid rows into the master.
 
-    Rows may come arbitrarily late: the master keeps the last value of each key.
-    A repeated micro-batch is recognised by its number. ``interval=None`` handles
-    what is there and stops.
+    Each file is read by its own header, as in a batch; ``station`` names the station of rows without one. Rows
+    may come arbitrarily late: the master keeps the last value of each key. A repeated micro-batch is
+    recognised by its number and the id of the streaming query, which lives in its checkpoint: batches
+    after a new checkpoint are new. ``interval=None`` handles what is there and stops.
     """
-    headers = list(headers)
-    schema = ", ".join(f"_c{i} string" for i in range(len(headers)))
-    lines = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .csv(landing)
-        .select(
-            "*",
-            F.col("_metadata.file_path").alias(ORIGIN[0]),
-            F.col("_metadata.file_block_start").alias(ORIGIN[1]),
-        )
+    lines = spark.readStream.text(landing).select(
+        "value", F.col("_metadata.file_path").alias(ORIGIN[0]), F.col("_metadata.file_block_start").alias(ORIGIN[1])
     )
 
     def merge(batch: DataFrame, number: int) -> None:
-        raw = canonical_headers(
-            batch.withColumn(ORIGIN[2], F.monotonically_increasing_id()), [*headers, *ORIGIN]
-        )
-        if "station" not in raw.columns:
-            raw = raw.withColumn("station", F.lit("0"))
-        clean = normalize(raw, master.sensors, ("station", "timestamp"), ORIGIN)
+        run = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()["value"]
+        run = json.loads(run)["id"]
+        raw = file_rows(materialize(batch.withColumn(ORIGIN[2], F.monotonically_increasing_id()), "lines"))
+        if raw is None:
+            return
+        named = F.col("station") if "station" in raw.columns else F.lit(None)
+        named = F.when(F.trim(named.cast("string")) != "", named.cast("string"))
+        raw = raw.withColumn("station", F.coalesce(named, F.lit(station)))
+        clean = materialize(normalize(raw, master.sensors, ("station", "timestamp"), ORIGIN), "clean")
         valid, rejected = split_valid(clean, bounds, master.sensors)
-        master.upsert(valid, f"stream:{landing}", number)
+        master.upsert(valid, f"stream:{landing}:{run}", number)
         if quarantine:
-            rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
+            rejected.write.mode("overwrite").parquet(f"{quarantine}/run={run}/batch={number}")
 
     writer = lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

@@ -129,9 +129,7 @@ def test_stream_ingest_equals_one_batch(spark, folder):
     landing, master = f"{folder}/landing", MasterTable(f"{folder}/master", SENSORS)
 
     def run():
-        stream_ingest(
-            spark, landing, ["timestamp", "temp", "rh", "pressure"], master, f"{folder}/c", f"{folder}/bad", interval=None
-        ).awaitTermination()
+        stream_ingest(spark, landing, master, f"{folder}/c", f"{folder}/bad", interval=None).awaitTermination()
 
     write(landing, "a.csv", head + "2025-01-01 02:00:00,1,1,900\n2025-01-01 03:00:00,1,300,900\n")
     run()
@@ -142,6 +140,26 @@ def test_stream_ingest_equals_one_batch(spark, folder):
     assert spark.read.parquet(f"{folder}/bad").count() == 1
 
 
+def test_stream_reads_each_file_by_its_header_and_survives_a_new_checkpoint(spark, folder):
+    landing, master = f"{folder}/landing", MasterTable(f"{folder}/master", SENSORS)
+
+    def run(checkpoint):
+        stream_ingest(spark, landing, master, f"{folder}/{checkpoint}", f"{folder}/bad", interval=None).awaitTermination()
+
+    write(landing, "a.csv", "timestamp,temp,rh,pressure\n2025-01-01 00:00:00,1,2,900\n")
+    write(landing, "b.csv", "Pressure,RH,Temp,DateTime,station\n901,50,20,2025-01-01 01:00:00,\n902,51,21,2025-01-01 01:00:00,B\n")
+    write(landing, "c.csv", "DateTime\tTemp\tRH\tPressure\n2025-01-01 02:00:00\t3\t4\t903\n")
+    run("first")
+    write(landing, "d.csv", "timestamp,temp,rh,pressure\n2025-01-01 03:00:00,7,8,904\n2025-01-01 04:00:00,7,300,904\n")
+    run("second")
+    got = {(r.station, r.timestamp.hour): (r.temp, r.rh, r.pressure) for r in master.read(spark).collect()}
+    assert got == {
+        ("0", 0): (1.0, 2.0, 900.0), ("0", 1): (20.0, 50.0, 901.0), ("B", 1): (21.0, 51.0, 902.0),
+        ("0", 2): (3.0, 4.0, 903.0), ("0", 3): (7.0, 8.0, 904.0),
+    }
+    assert spark.read.parquet(f"{folder}/bad").count() == 1
+
+
 def test_stream_smooth_equals_batch_and_sets_late_rows_aside(spark, folder):
     rng = np.random.default_rng(4)
     x = rng.normal(10, 2, 60)
