@@ -1,0 +1,188 @@
+"""Similarity joins, neighbours and packing against brute force."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from barograph.llm import jaccard, linededup, neighbours, packing
+from barograph.llm.tokens import Tokens
+
+
+def near_texts(seed=3, groups=12, size=60):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    out = {}
+    for g in range(groups):
+        base = [rng.choice(words) for _ in range(size + 5 * g)]
+        for c in range(8):
+            text = list(base)
+            for _ in range(c % 5):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            out[len(out) * 3 + 1] = " ".join(text).upper() if c == 3 else " ".join(text)
+    return out
+
+
+def classes(texts, words, percent):
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[j : j + words]) for j in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+@pytest.mark.parametrize("words,percent", [(3, 90), (5, 80)])
+def test_near_documents(documents, words, percent):
+    texts = near_texts() | {1000: "", 1001: None, 1002: "a b", 1003: "A  b", 1004: "a"}
+    got = jaccard.near_documents(documents(texts), jaccard.Near(words, percent)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(texts, words, percent)
+
+
+def test_near_documents_odd_rows(odd, spark):
+    got = jaccard.near_documents(odd).collect()
+    assert len(got) == odd.count()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 2), (3, 3), (None, 4), (4, 4), (5, 5), (6, 6)}
+    kept = jaccard.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 6]
+    assert jaccard.near_documents(odd.limit(0)).count() == 0
+
+
+def test_sketch_bound():
+    """Sets within k shingles share a key, whichever shingles differ."""
+    rng = np.random.default_rng(1)
+    bands = jaccard.Bands(jaccard.Near(3, 90))
+    for n in (20, 57, 300, 1000):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for _ in range(20):
+            other = base[rng.random(n) > 0.09]
+            other = np.union1d(other, rng.integers(0, 2**63, int(rng.integers(0, 3))).astype(np.uint64))
+            shared = len(np.intersect1d(base, other))
+            if 100 * shared >= 90 * (len(base) + len(other) - shared):
+                assert np.intersect1d(bands.keys(base), bands.keys(other)).size
+
+
+def brute_lines(rows, least=5, percent=80):
+    seen, out = [], []
+    for i, t in rows:
+        kept, gone = [], 0
+        for line in (t or "").split("\n"):
+            s = set(line.lower().split())
+            if len(s) >= least:
+                hit = any(100 * len(s & o) >= percent * len(s | o) for o in seen)
+                seen.append(s)
+                if hit:
+                    gone += 1
+                    continue
+            kept.append(line)
+        text = "\n".join(kept)
+        if not gone or text.split():
+            out.append((i, t if t is None else text, gone))
+    return out
+
+
+def test_line_dedup(documents):
+    rng = random.Random(5)
+    words = [f"v{i}" for i in range(150)]
+    base = [" ".join(rng.choices(words, k=rng.randint(3, 25))) for _ in range(60)]
+    rows = []
+    for i in range(80):
+        lines = []
+        for _ in range(rng.randint(1, 6)):
+            line = rng.choice(base).split()
+            if rng.random() < 0.5:
+                line[rng.randrange(len(line))] = rng.choice(words)
+            lines.append(" ".join(line))
+        rows.append((i, "\n".join(lines)))
+    got = linededup.drop_repeated_lines(documents(rows), count="gone").collect()
+    assert sorted((r.doc_id, r.text, r.gone) for r in got) == sorted(brute_lines(rows))
+
+
+def test_line_dedup_odd_rows(odd):
+    got = linededup.drop_repeated_lines(odd, count="n")
+    assert got.columns == [*odd.columns, "n"]
+    rows = sorted(((r.doc_id is None, r.doc_id, r.text) for r in got.collect()), key=str)
+    assert sum(x[2] == "a b c d e f g" for x in rows) == 1 and len(rows) == 6
+    assert linededup.drop_repeated_lines(odd.limit(0)).count() == 0
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(0, 1, (300, 12)).astype(np.float32)
+    vectors[50:90] = vectors[7]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    bad = [(900, None), (901, [0.0] * 12), (902, [float("nan")] * 12), (903, [None] * 12), (None, [1.0] * 12), (904, [])]
+    df = spark.createDataFrame(rows + bad + rows[:5], "vec_id long, embedding array<float>")
+    blocks = neighbours.Blocks(k=7, query_rows=8, candidate_rows=20, merged=3)
+    got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, blocks).collect()
+    full = vectors.astype(float)
+    want = []
+    for q in range(0, 300, 20):
+        score = neighbours.products(np.repeat(full[q : q + 1], 300, 0), full)
+        order = [i for i in np.lexsort((np.arange(300), -score)) if i != q][:7]
+        want += [(q, k + 1, i, score[i]) for k, i in enumerate(order)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == want
+    assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    few = neighbours.nearest(df.where("vec_id < 3"), F.col("vec_id") == 0).collect()
+    assert [r.rank for r in few] == [1, 2]
+
+
+def test_fill_is_optimal():
+    rng = random.Random(4)
+    for _ in range(60):
+        counts = Counter({rng.randint(1, 60): rng.randint(1, 3) for _ in range(rng.randint(1, 6))})
+        room = rng.randint(1, 100)
+        sums = {0}
+        for k, n in counts.items():
+            sums = {s + k * i for s in sums for i in range(n + 1)}
+        chosen = packing.fill(sorted(counts, reverse=True), counts, room)
+        assert all(chosen[k] <= counts[k] for k in chosen)
+        assert sum(k * n for k, n in chosen.items()) == max(s for s in sums if s <= room)
+
+
+def test_packing(documents):
+    rng = random.Random(6)
+    texts = [(i, " ".join(rng.choices(["one", "Two's", "drei", "ça", "x1y2", "。", "  "], k=rng.randint(0, 300))))
+             for i in range(60)]
+    texts += [(100, None), (101, ""), (7, "again"), (None, "no id"), (102, "<|endoftext|> a")]
+    got = packing.pack_documents(documents(texts), packing.Packing(capacity=64, bucket_rows=16)).toPandas()
+    tokens = Tokens()
+    ids = [(i, np.frombuffer(tokens.whole(t or "") + (0).to_bytes(4, "little"), "<u4")) for i, t in texts]
+    assert got["length"].sum() == sum(len(x) for _, x in ids)
+    for i, x in ids:
+        if i == 7 or i is None:
+            continue
+        part = got[got["doc_id"] == i].sort_values("start")
+        assert part["start"].tolist() == np.cumsum([0, *part["length"]])[:-1].tolist()
+        assert all(zlib.crc32(x[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in part.itertuples())
+        assert set(part["doc_tokens"]) == {len(x)}
+    filled = got.groupby("sequence_id")["length"].sum()
+    assert filled.max() <= 64 and (filled < 64).sum() <= 8
+    ordered = got.sort_values(["sequence_id", "offset"])
+    ends = ordered["offset"] + ordered["length"]
+    assert (ordered["offset"] == ends.groupby(ordered["sequence_id"]).shift(fill_value=0)).all()
+    assert packing.pack_documents(documents([]), packing.Packing()).count() == 0
+
+
+def test_tokens_match_the_tokenizer():
+    import public_tokenizers
+
+    tokens, whole = Tokens(), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ["a  b\n\n c's DON'T 123abc  ", "x\t\ty ñandú's  \r\n z", " ", "", "²½ ª º", "a\x0bb", "é'll  ''s", "日本 x"]:
+        assert np.frombuffer(tokens.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
