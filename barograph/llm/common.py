@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,9 +91,11 @@ class Scratch:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark remove shuffle files of finished plans: it does so when the driver has collected their handles."""
+    """Let Spark remove shuffle files of finished plans: it does so, a little later, when the driver has
+    collected their handles."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:

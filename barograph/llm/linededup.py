@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,10 +39,12 @@ class LineCopies:
     """Lines of ``min_words`` distinct words or more; similarity of ``percent`` or more.
 
     Shorter lines are never removed: greetings and list items repeat without being copies.
+    passes: the joins run over one part of the words after the other, to hold less on disk.
     """
 
     min_words: int = 5
     percent: int = 80
+    passes: int = 4
 
 
 def lines_of(data: bytes, hashes: WordHashes, least: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -188,7 +191,8 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
     rows = last.table(docs.withColumn(rid, F.monotonically_increasing_id()), "lines-rows")
     texts = rows.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
     counts = spark.sparkContext.broadcast(rarity(texts.select("text"), copies.min_words))
-    lines = work.table(texts.mapInArrow(_index(counts, copies), LINES), "lines-index")
+    index, fat = Scratch(spark), Scratch(spark)
+    lines = index.table(texts.mapInArrow(_index(counts, copies), LINES), "lines-index")
 
     # Earlier means: smaller document id (null last), then row, then place.
     at = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid", "place")
@@ -196,10 +200,12 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
         F.min(at).alias("at"), F.max("n").alias("n"), F.max("parity").alias("parity"),
         F.max(F.struct("prefix", "spots")).alias("index"),
     )
-    sets = work.table(sets, "lines-sets")
-    release(spark)
+    full = fat.table(sets, "lines-indexed")
+    lines = work.table(lines.select("sid", "rid", "place"), "lines-places")
+    index.drop()
+    sets = work.table(full.select("sid", "at"), "lines-sets")
     # Entries carry the document id alone; of lines of one document the order is settled when pairs are verified.
-    entry = sets.select(
+    entry = full.select(
         F.explode(F.arrays_zip("index.prefix", "index.spots")).alias("e"), "sid",
         F.coalesce("at.doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.shiftleft(F.col("n").cast("long"), 32).alias("n"),
         "parity",
@@ -209,24 +215,31 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
     )
     word = Window.partitionBy("word")
     me = F.struct("doc", "sid", "ni", "parity")
-    entry = entry.select("word", me.alias("x"), F.min(me).over(word).alias("y"), F.count("*").over(word).alias("many"))
     star = F.when(_candidate(p, "x", "y"), F.col("y.sid")).alias("star")
-    entry = work.table(entry.where("many > 1").select("word", "x.*", star), "lines-entries")
-    release(spark)
-
-    first = entry.where("star is not null").select(F.col("sid").alias("a"), F.col("star").alias("b")).distinct()
-    first = work.table(first, "lines-stars")
+    parts = []
+    for part in range(copies.passes):
+        some = entry.where(F.pmod("word", F.lit(copies.passes)) == part)
+        some = some.select("word", me.alias("x"), F.min(me).over(word).alias("y"), F.count("*").over(word).alias("many"))
+        parts.append(work.table(some.where("many > 1").select("word", "x.*", star), "lines-entries"))
+        release(spark)
+    fat.drop()
+
+    stars = reduce(DataFrame.union, [x.where("star is not null").select("sid", "star") for x in parts])
+    first = work.table(stars.toDF("a", "b").distinct(), "lines-stars")
     matched = _verified(first, rows, rid, sets, copies, work)
 
-    entry = entry.drop("star")
-    open_ = entry.join(matched.select(F.col("late").alias("sid")).distinct(), "sid", "left_anti")
-    left = open_.select("word", F.struct("doc", "sid", "ni", "parity").alias("x"))
-    right = entry.select("word", me.alias("y"))
-    rest = left.join(right, "word").where(_candidate(p, "x", "y"))
-    rest = rest.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
-    rest = work.table(rest.join(first, ["a", "b"], "left_anti"), "lines-rest")
-    release(spark)
-    late = matched.union(_verified(rest, rows, rid, sets, copies, work)).select(F.col("late").alias("sid")).distinct()
+    done = work.table(matched.select(F.col("late").alias("sid")).distinct(), "lines-done")
+    pairs = []
+    for part in parts:
+        open_ = part.join(done, "sid", "left_anti")
+        left, right = open_.select("word", me.alias("x")), part.select("word", me.alias("y"))
+        some = left.join(right, "word").where(_candidate(p, "x", "y"))
+        some = some.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
+        pairs.append(work.table(some, "lines-pairs"))
+        release(spark)
+    rest = reduce(DataFrame.union, pairs).distinct().join(first, ["a", "b"], "left_anti")
+    rest = work.table(rest, "lines-rest")
+    late = done.union(_verified(rest, rows, rid, sets, copies, work).select(F.col("late").alias("sid"))).distinct()
 
     fate = sets.select("sid", "at").join(late.withColumn("late", F.lit(True)), "sid", "left")
     gone = lines.select("sid", "rid", "place").join(fate, "sid").where(
