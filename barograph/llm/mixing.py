@@ -17,12 +17,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import as_bytes, folded, fresh
-from .features import PARTS, Buckets, adam
+from .common import REMEMBERED, U64, as_bytes, fresh
+from .features import PARTS, adam
 
 #: Domains, from the two labels of a row.
 DOMAINS = ("clean", "low", "toxic")
@@ -46,19 +47,38 @@ class Mixing:
     seed: int = 3
 
 
-def features(data: bytes, buckets: Buckets) -> np.ndarray:
+LOW = (1 << 62) - 1
+
+
+class Parts(dict):
+    """A part's code: 62 bits of the hash of its lower case, one bit for capitals, one for symbols."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size = size
+
+    def __missing__(self, part: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        kind = (part.isupper() and len(part) > 1) | (part[:1] in b"#*$%&|<>!") << 1
+        code = self[part] = xxhash.xxh3_64_intdigest(part.lower()) & LOW | kind << 62
+        return code
+
+
+def features(data: bytes, known: Parts) -> np.ndarray:
     """Distinct hashed parts of a text, and marks of its form: capitals, repeats, symbols."""
     parts = PARTS.findall(data)
-    low = [p.lower() for p in parts]
+    codes = np.fromiter(map(known.__getitem__, parts), U64, len(parts))
+    kind, low = codes >> U64(62), codes & U64(LOW)
     marks = []
     n = max(1, len(parts))
     for name, count in (
-        (b"\x01capitals", sum(p.isupper() and len(p) > 1 for p in parts)),
-        (b"\x01repeats", sum(a == b for a, b in zip(low, low[1:], strict=False))),
-        (b"\x01symbols", sum(p[:1] in b"#*$%&|<>!" for p in parts)),
+        (b"\x01capitals", np.count_nonzero(kind & U64(1))),
+        (b"\x01repeats", np.count_nonzero(low[1:] == low[:-1])),
+        (b"\x01symbols", np.count_nonzero(kind & U64(2))),
     ):
-        marks += [name + str(level).encode() for level in (5, 20, 50) if 100 * count > level * n]
-    return np.unique(buckets.of([*low, *marks]))
+        marks += [known[name + str(level).encode()] & LOW for level in (5, 20, 50) if 100 * count > level * n]
+    return np.unique(np.concatenate((low, np.array(marks, U64))) % U64(known.size)).astype(np.int64)
 
 
 def train(texts: list[bytes], labels: np.ndarray, m: Mixing) -> np.ndarray:
@@ -67,8 +87,8 @@ def train(texts: list[bytes], labels: np.ndarray, m: Mixing) -> np.ndarray:
     weights = np.zeros((m.buckets + 1, k))
     if not len(labels):
         return weights
-    buckets, rng = Buckets(m.buckets), np.random.default_rng(m.seed)
-    rows = [features(t, buckets) for t in texts]
+    known, rng = Parts(m.buckets), np.random.default_rng(m.seed)
+    rows = [features(t, known) for t in texts]
     step = adam([weights], 0.05)
     balance = 1 / np.maximum(np.bincount(labels, minlength=k), 1)
     for _ in range(m.epochs):
@@ -92,13 +112,13 @@ def posterior(row: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def _members(m: Mixing, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets(m.buckets)
+        known = Parts(m.buckets)
         for batch in batches:
             tokens, members = [], []
             for data in batch.column(batch.schema.get_field_index("__text")):
                 data = data.as_py()
-                tokens.append(len(folded(data)))
-                members.append(posterior(features(data, buckets), weights.value).tolist())
+                tokens.append(len(data.split()))
+                members.append(posterior(features(data, known), weights.value).tolist())
             columns = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != "__text"]
             names = [n for n in batch.schema.names if n != "__text"]
             yield pa.RecordBatch.from_arrays(
