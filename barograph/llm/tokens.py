@@ -1,9 +1,11 @@
-"""Ids of a byte-level subword vocabulary, looked up by pre-token.
+"""Ids of a byte-level subword vocabulary, looked up by word.
 
 The vocabulary splits a text into pre-tokens and then merges within each one, so the ids of a
-pre-token never depend on its neighbours. Texts with only characters whose class Python's ``re`` and
-the vocabulary's pattern agree on are split here and each distinct pre-token is merged once; any
-other text goes through the tokenizer as a whole.
+pre-token never depend on its neighbours. A space that a visible character follows always starts a pre-token, whatever
+is before it, so a text falls into words at such spaces, and the ids of a word are remembered. A new word with
+only characters whose class Python's ``re`` and the vocabulary's pattern agree on is split here, and each distinct
+pre-token is merged once; any other word goes through the tokenizer. Texts with a space before white space or a
+character that might be such, or at their end, are split as a whole.
 """
 
 from __future__ import annotations
@@ -19,7 +21,25 @@ PLAIN = re.compile(f"[\t\n\r -~{LETTERS}]*")
 SPLIT = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
 )
+#: What surely is no white space.
+VISIBLE = re.compile(f"[!-~{LETTERS}]")
 REMEMBERED = 300_000
+#: Longer words, and words across lines, hardly come again: they are not remembered.
+LONGEST = 64
+
+
+def _symbols() -> dict[int, str]:
+    """The character that stands for a byte in a byte-level vocabulary: itself if visible, else the next from U+0100."""
+    seen = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    unseen = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(unseen)}
+
+
+SYMBOLS = _symbols()
+
+
+class _Whole(Exception):
+    """The text cannot be taken word by word."""
 
 
 class Tokens(dict):
@@ -33,7 +53,9 @@ class Tokens(dict):
 
             path = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words = _Words(self)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -41,10 +63,39 @@ class Tokens(dict):
     def __missing__(self, part: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        ids = self[part] = self.whole(part)
+        merged = self.model.tokenize(part.encode().decode("latin-1").translate(SYMBOLS))
+        ids = self[part] = np.array([t.id for t in merged], "<u4").tobytes()
         return ids
 
-    def of(self, text: str) -> bytes:
+    def split(self, text: str) -> bytes:
         if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             return b"".join(map(self.__getitem__, SPLIT.findall(text)))
         return self.whole(text)
+
+    def of(self, text: str) -> bytes:
+        first, *words = text.split(" ")
+        if any(s in first for s in self.special):
+            return self.whole(text)
+        try:
+            rest = b"".join(map(self.words.__getitem__, words))
+        except _Whole:
+            return self.split(text)
+        return self.split(first) + rest
+
+
+class _Words(dict):
+    """Ids of a space and the word behind it, by word."""
+
+    def __init__(self, tokens: Tokens):
+        super().__init__()
+        self.tokens = tokens
+
+    def __missing__(self, word: str) -> bytes:
+        if not VISIBLE.match(word) or any(s in word for s in self.tokens.special):
+            raise _Whole
+        ids = self.tokens.split(" " + word)
+        if len(word) <= LONGEST and "\n" not in word:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = ids
+        return ids

@@ -184,5 +184,6 @@ def test_tokens_match_the_tokenizer():
     import public_tokenizers
 
     tokens, whole = Tokens(), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    for text in ["a  b\n\n c's DON'T 123abc  ", "x\t\ty ñandú's  \r\n z", " ", "", "²½ ª º", "a\x0bb", "é'll  ''s", "日本 x"]:
+    for text in ["a  b\n\n c's DON'T 123abc  ", "x\t\ty ñandú's  \r\n z", " ", "", "²½ ª º", "a\x0bb", "é'll  ''s", "日本 x",
+                 "a\n b \u3000c", "to be, to  be", "one <|endoftext|> two", "x\x1c y \x1c z ", "w" * 100 + " \u0301a\nb c"]:
         assert np.frombuffer(tokens.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
