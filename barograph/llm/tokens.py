@@ -23,6 +23,8 @@ SPLIT = re.compile(
 )
 #: What surely is no white space.
 VISIBLE = re.compile(f"[!-~{LETTERS}]")
+#: One pre-token behind a space, or one and a mark.
+SIMPLE = re.compile(f"([{LETTERS}]+)([.,:;!?]?)")
 REMEMBERED = 300_000
 #: Longer words, and words across lines, hardly come again: they are not remembered.
 LONGEST = 64
@@ -38,6 +40,10 @@ def _symbols() -> dict[int, str]:
 SYMBOLS = _symbols()
 
 
+def symbols_of(part: str) -> str:
+    return part.encode().decode("latin-1").translate(SYMBOLS)
+
+
 class _Whole(Exception):
     """The text cannot be taken word by word."""
 
@@ -63,10 +69,12 @@ class Tokens(dict):
     def __missing__(self, part: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        merged = self.model.tokenize(part.encode().decode("latin-1").translate(SYMBOLS))
-        ids = self[part] = np.array([t.id for t in merged], "<u4").tobytes()
+        ids = self[part] = self.merged(symbols_of(part))
         return ids
 
+    def merged(self, symbols: str) -> bytes:
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(symbols)])
+
     def split(self, text: str) -> bytes:
         if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             return b"".join(map(self.__getitem__, SPLIT.findall(text)))
@@ -91,11 +99,20 @@ class _Words(dict):
         self.tokens = tokens
 
     def __missing__(self, word: str) -> bytes:
+        if simple := SIMPLE.fullmatch(word):
+            stem, mark = simple.groups()
+            ids = self[stem] + self.tokens[mark] if mark else self.tokens.merged(symbols_of(" " + word))
+            if len(word) <= LONGEST:
+                self.remember(word, ids)
+            return ids
         if not VISIBLE.match(word) or any(s in word for s in self.tokens.special):
             raise _Whole
         ids = self.tokens.split(" " + word)
         if len(word) <= LONGEST and "\n" not in word:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = ids
+            self.remember(word, ids)
         return ids
+
+    def remember(self, word: str, ids: bytes) -> None:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = ids
