@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,7 @@ from barograph.operators.lagmodel import LagModel
 from barograph.operators.report import alerts
 from barograph.params import RunParams
 from barograph.plans.run import StationRun, run_stations
+from barograph.session import materialize
 from barograph.sources.master import MasterTable, ingest
 from barograph.sources.sinks import append_quarantine, append_run_metrics, schema_hash, table_or_none, write_results
 
@@ -64,7 +65,7 @@ def run_job(
     """
     paths = JobPaths(root)
     master = MasterTable(paths.at("master"), tuple(params.sensors))
-    before = _total(master, spark)
+    before = master.total(spark)
     readings = master.read(spark)
     if refresh or readings.isEmpty():
         readings = ingest(spark, master, stream_path, snapshot_path)
@@ -72,7 +73,8 @@ def run_job(
         return StationRun(readings, readings, readings), {}
     saved = None if params.forecast.fast else _saved_model(spark, paths, params)
     run = run_stations(readings, params, saved)
-    metrics = append_run_metrics(run.results, paths.at("metrics"), max(_total(master, spark) - before, 0))
+    run = replace(run, results=materialize(run.results, "results"))  # metrics, results and alerts read it
+    metrics = append_run_metrics(run.results, paths.at("metrics"), max(master.total(spark) - before, 0))
     number = metrics["run"]
     write_results(run.results, f"{paths.at('results')}/run={number}")
     append_quarantine(run.rejected.withColumn("run", F.lit(number).cast("long")), paths.at("quarantine"))
@@ -95,11 +97,6 @@ def _append_drift(drift: DataFrame, paths: JobPaths, number: int) -> None:
     found.write.mode("append").parquet(paths.at("drift_events"))
 
 
-def _total(master: MasterTable, spark: SparkSession) -> int:
-    last = master.commits(spark).agg(F.max(F.struct("epoch", "batch", "total_rows")).alias("c")).first()["c"]
-    return last["total_rows"] if last else 0
-
-
 def drifted_stations(spark: SparkSession, root: str) -> DataFrame:
     """Stations with any drift event so far."""
     events = table_or_none(spark, JobPaths(root).at("drift_events"), _EVENTS)

@@ -1,12 +1,13 @@
 """The master table of readings: append-only batches, last one wins on read.
 
-An upsert writes only the incoming rows. A commit table lists the finished
-batches; what is not listed is not read, and a repeated write of an unlisted batch
-replaces it, so a failed or repeated run leaves nothing behind.
+An upsert writes only the incoming rows, into a folder of its own. A commit table lists the
+finished folders; what is not listed is not read, so a failed run leaves nothing behind and
+writers at the same time, which may choose the same batch number, keep all their rows.
 """
 
 from __future__ import annotations
 
+import secrets
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -15,10 +16,10 @@ from pyspark.sql import functions as F
 
 from barograph.operators.normalize import keep_last
 from barograph.params import SENSORS
-from barograph.session import materialize
 from barograph.sources.csvfiles import scan_readings
 
-_COMMITS = "epoch long, batch long, source string, source_batch long, new_rows long, total_rows long"
+_COMMITS = "epoch long, batch long, source string, source_batch long, new_rows long, total_rows long, " \
+    "write long, whole boolean"
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ class MasterTable:
     @property
     def _schema(self) -> str:
         sensors = ", ".join(f"`{s}` double" for s in self.sensors)
-        return f"station string, timestamp timestamp_ntz, {sensors}, epoch long, batch long, day date"
+        return f"station string, timestamp timestamp_ntz, {sensors}, epoch long, batch long, write long, day date"
 
     def commits(self, spark: SparkSession) -> DataFrame:
         """The ledger: one row per finished batch with new and total rows."""
@@ -42,43 +43,60 @@ class MasterTable:
                 raise
             return spark.createDataFrame([], _COMMITS)
 
+    def _current(self, spark: SparkSession) -> DataFrame:
+        """Commits of the last epoch. Of snapshots written at the same time one counts."""
+        done = self.commits(spark)
+        last = done.agg(F.max("epoch").alias("epoch"), F.max_by(F.when(F.col("whole"), F.col("write")), F.struct(
+            F.when(F.col("whole"), F.col("epoch")), "write")).alias("snapshot"))
+        snapshot = ~F.col("whole") | (F.col("write") == F.col("snapshot"))
+        return done.join(last, "epoch").filter(snapshot).drop("snapshot")
+
     def _last(self, spark: SparkSession) -> tuple[int, int, int]:
-        last = self.commits(spark).agg(F.max(F.struct("epoch", "batch", "total_rows")).alias("c")).first()["c"]
-        return (last["epoch"], last["batch"], last["total_rows"]) if last else (-1, -1, 0)
+        last = self._current(spark).agg(F.max("epoch").alias("e"), F.max("batch").alias("b"), F.sum("new_rows").alias("n"))
+        last = last.first()
+        return (last["e"], last["b"], last["n"]) if last["e"] is not None else (-1, -1, 0)
+
+    def total(self, spark: SparkSession) -> int:
+        """Keys in the table, by the ledger."""
+        return self._last(spark)[2]
 
     def _rows(self, spark: SparkSession) -> DataFrame:
-        epoch, batch, _ = self._last(spark)
+        """Rows of all finished batches; ``place`` orders these."""
+        epoch, _, _ = self._last(spark)
         if epoch < 0:
-            return spark.createDataFrame([], self._schema)
+            return spark.createDataFrame([], self._schema).withColumn("place", F.col("batch"))
         data = f"{self.root}/data"
         rows = spark.read.schema(self._schema).option("basePath", data).parquet(f"{data}/epoch={epoch}")
-        return rows.filter(F.col("batch") <= batch)
+        # Batches with one number were written at the same time: any order of them will do, a snapshot comes first.
+        at = F.when(F.col("whole"), F.lit(0)).otherwise(F.col("write").bitwiseAND(F.lit((1 << 24) - 1)).bitwiseOR(F.lit(1)))
+        done = self._current(spark).select("batch", "write", (F.shiftleft("batch", 24) + at).alias("place"))
+        return rows.join(done, ["batch", "write"])
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Current readings, one row per station and time."""
-        rows = self._rows(spark).drop("epoch", "day")
-        return keep_last(rows, ("station", "timestamp"), ("batch",)).drop("batch")
+        rows = self._rows(spark).drop("epoch", "batch", "write", "day")
+        return keep_last(rows, ("station", "timestamp"), ("place",)).drop("place")
 
-    def _write(self, df: DataFrame, epoch: int, batch: int) -> None:
-        day = F.to_date(F.col("timestamp"))
-        path = f"{self.root}/data/epoch={epoch}/batch={batch}"
+    def _write(self, df: DataFrame, epoch: int, batch: int) -> tuple[int, DataFrame]:
+        """Write a batch into a new folder; its number, and the rows as written."""
+        write = secrets.randbits(62)
+        path = f"{self.root}/data/epoch={epoch}/batch={batch}/write={write}"
         # Few files per day; adaptive execution splits a day that is heavy.
-        out = df.select("station", "timestamp", *self.sensors).withColumn("day", day).hint("rebalance", "day")
-        out.write.mode("overwrite").partitionBy("day").parquet(path)
+        out = df.select("station", "timestamp", *self.sensors).withColumn("day", F.to_date("timestamp"))
+        out.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+        return write, df.sparkSession.read.schema(out.schema).parquet(path)
 
-    def _commit(self, spark, epoch, batch, source, source_batch, new_rows, total_rows) -> None:
-        row = [(epoch, batch, source, source_batch, new_rows, total_rows)]
-        spark.createDataFrame(row, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+    def _commit(self, spark, *row) -> None:
+        spark.createDataFrame([row], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def replace(self, df: DataFrame, source: str = "snapshot") -> int:
         """Make ``df`` the whole table; an empty one changes nothing. Returns its rows."""
         spark = df.sparkSession
-        incoming = materialize(df.select("station", "timestamp", *self.sensors), "incoming")
-        rows = incoming.count()
+        epoch = self._last(spark)[0] + 1
+        write, written = self._write(df, epoch, 0)
+        rows = written.count()
         if rows:
-            epoch = self._last(spark)[0] + 1
-            self._write(incoming, epoch, 0)
-            self._commit(spark, epoch, 0, source, None, rows, rows)
+            self._commit(spark, epoch, 0, source, None, rows, rows, write, True)
         return rows
 
     def upsert(self, df: DataFrame, source: str = "stream", source_batch: int | None = None) -> int:
@@ -92,15 +110,16 @@ class MasterTable:
             done = (F.col("source") == source) & (F.col("source_batch") == source_batch)
             if not self.commits(spark).filter(done).isEmpty():
                 return 0
-        incoming = materialize(df.select("station", "timestamp", *self.sensors), "incoming")
-        if incoming.isEmpty():
-            return 0
         epoch, batch, total = self._last(spark)
-        keyed = incoming.select("station", "timestamp", F.to_date("timestamp").alias("day"))
-        known = self._rows(spark).join(keyed.select("day").distinct(), "day", "left_semi")
-        new_rows = keyed.join(known.select("station", "timestamp").distinct(), ["station", "timestamp"], "left_anti").count()
-        self._write(incoming, max(epoch, 0), batch + 1)
-        self._commit(spark, max(epoch, 0), batch + 1, source, source_batch, new_rows, total + new_rows)
+        known = self._rows(spark)
+        write, written = self._write(df, max(epoch, 0), batch + 1)
+        if written.isEmpty():
+            return 0
+        keyed = written.select("station", "timestamp", "day")
+        known = known.join(keyed.select("day").distinct(), "day", "left_semi").select("station", "timestamp")
+        new_rows = keyed.join(known.distinct(), ["station", "timestamp"], "left_anti").count()
+        row = (source, source_batch, new_rows, total + new_rows, write, False)
+        self._commit(spark, max(epoch, 0), batch + 1, *row)
         return new_rows
 
     def compact(self, spark: SparkSession) -> int:

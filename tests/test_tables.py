@@ -94,6 +94,25 @@ def test_a_repeated_or_unfinished_batch_changes_nothing(spark, folder):
     assert values(master.read(spark)) == {("a", 0): 1.0, ("a", 1): 2.0}
 
 
+def test_two_writers_keep_both_batches(spark, folder):
+    master = MasterTable(folder, SENSORS)
+    master.upsert(frame(spark, [("a", 0, 1)]))
+    before = master._last(spark)
+
+    class Late(MasterTable):  # has looked at the ledger before the other writer committed
+        def _last(self, spark):
+            return before
+
+    master.upsert(frame(spark, [("a", 1, 2)]))
+    Late(folder, SENSORS).upsert(frame(spark, [("b", 1, 3)]))
+    assert values(master.read(spark)) == {("a", 0): 1.0, ("a", 1): 2.0, ("b", 1): 3.0}
+    assert master.total(spark) == 3
+    Late(folder, SENSORS).replace(frame(spark, [("c", 1, 4), ("c", 2, 4)]))
+    Late(folder, SENSORS).replace(frame(spark, [("d", 1, 5)]))
+    assert values(master.read(spark)) in ({("c", 1): 4.0, ("c", 2): 4.0}, {("d", 1): 5.0})
+    assert master.total(spark) == master.read(spark).count()
+
+
 def test_ingest_prefers_the_snapshot(spark, folder):
     head = "timestamp,temp,rh,pressure\n"
     write(f"{folder}/stream", "a.csv", head + "2025-01-01 00:00:00,1,1,900\n")
