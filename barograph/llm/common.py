@@ -7,6 +7,8 @@ import time
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,56 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), U64, len(words))
 
 
+#: Bytes of text that are split into words together.
+CHUNK = 1 << 22
+
+
+def chunks(data: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(place of its first value, texts) of parts of a binary column with about ``CHUNK`` bytes, or one long text."""
+    ends = np.cumsum(pc.binary_length(data).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(data):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
+        yield at, data.slice(at, to - at).view(pa.string())
+        at = to
+
+
+#: Words with more bytes are hashed one by one.
+LONG_WORD = 256
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of the words of all texts, words per text): the words of ``folded``, split by Arrow.
+
+    A word's hash takes in its length and then eight bytes at a time, for all words together.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = lists.flatten()
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    start, left = ends[:-1], np.diff(ends)
+    if not left.all():
+        sizes -= np.bincount(np.repeat(np.arange(len(sizes)), sizes)[left == 0], minlength=len(sizes))
+        start, left = start[left > 0], left[left > 0]
+    data = words.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    long = np.flatnonzero(left > LONG_WORD)
+    whole = [xxhash.xxh3_64_intdigest(data[start[i] : start[i] + left[i]]) for i in long]
+    left = np.where(left > LONG_WORD, 0, left)
+    out = mix(left.astype(U64))
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    now = np.flatnonzero(left)
+    while len(now):
+        some = np.minimum(left[now], 8)
+        bits = eight[start[now]] & (U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - U64(8) * some.astype(U64)))
+        out[now] = mix(out[now] ^ bits)
+        start, left = start + 8, left - 8
+        now = now[left[now] > 0]
+    out[long] = np.array(whole, U64)
+    return out, sizes
+
 
 class Scratch:
     """Work tables in the shared folder that are deleted together, once nothing reads them any more."""

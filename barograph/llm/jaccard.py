@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, WordHashes, as_bytes, components, folded, mix, release
+from .common import U64, Scratch, as_bytes, chunks, components, mix, release, word_hashes
 
 
 @dataclass(frozen=True)
@@ -62,6 +62,14 @@ def shingles(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.unique(out)
 
 
+def shingle_sets(data: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The shingles of every text of a binary column."""
+    for _, texts in chunks(data):
+        found, sizes = word_hashes(texts)
+        for part in np.split(found, np.cumsum(sizes)[:-1]):
+            yield shingles(part, words)
+
+
 def set_id(sets: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(sets.tobytes()) - (1 << 63)
 
@@ -119,11 +127,10 @@ SIGNED = "doc_id long, n_shingles long, sid long, keys array<long>"
 
 def _sign(near: Near):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bands, seen = WordHashes(), Bands(near), set()
+        bands, seen = Bands(near), set()
         for batch in batches:
             sizes, ids, lists = [], [], []
-            for data in batch.column(1):
-                sets = shingles(hashes.of(folded(data.as_py())), near.words)
+            for sets in shingle_sets(batch.column(1), near.words):
                 sizes.append(len(sets))
                 sid = set_id(sets) if len(sets) else None
                 ids.append(sid)
@@ -142,10 +149,8 @@ def _sign(near: Near):
 
 def _sets(near: Near):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            out = [shingles(hashes.of(folded(x.as_py())), near.words) for x in batch.column(0)]
-            out = [x for x in out if len(x)]
+            out = [x for x in shingle_sets(batch.column(0), near.words) if len(x)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_id(x) for x in out], pa.int64()), pa.array([x.tobytes() for x in out], pa.binary())],
                 names=["sid", "shingles"],

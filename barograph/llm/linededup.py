@@ -22,13 +22,12 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, WordHashes, as_bytes, folded, fresh, mix, release
+from .common import U64, Scratch, WordHashes, as_bytes, chunks, folded, fresh, mix, release, word_hashes
 
 BUCKET_BITS = 24
 BLOCK = 1 << 16
@@ -47,52 +46,91 @@ class LineCopies:
     passes: int = 4
 
 
-def lines_of(data: bytes, hashes: WordHashes, least: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(place, sorted distinct word hashes) of the lines with enough words."""
-    for place, line in enumerate(data.split(b"\n")):
-        words = set(folded(line))
-        if len(words) >= least:
-            sets = hashes.of(list(words))
-            sets.sort()
-            yield place, sets
+@dataclass(frozen=True)
+class LineSets:
+    """Lines with enough words: text and place of each, size and start of its set in ``sets`` (sorted per line)."""
+
+    text: np.ndarray
+    place: np.ndarray
+    size: np.ndarray
+    start: np.ndarray
+    sets: np.ndarray
+
+
+def _line_words(texts: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line of each word, its hash, lines per text) over the lines with ``least`` words or more."""
+    lists = pc.split_pattern(texts, "\n")
+    words, sizes = word_hashes(lists.flatten())
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    enough = np.repeat(sizes >= least, sizes)
+    return line[enough], words[enough], pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+
+
+def line_sets(texts: pa.Array, least: int) -> LineSets:
+    """The sets of distinct word hashes of the lines with ``least`` distinct words or more."""
+    line, words, lines = _line_words(texts, least)
+    order = np.lexsort((words, line))
+    line, words = line[order], words[order]
+    new = np.ones(len(words), bool)
+    new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
+    line, words = line[new], words[new]
+    total = int(lines.sum())
+    size = np.bincount(line, minlength=total)
+    words, size = words[(size >= least)[line]], np.where(size >= least, size, 0)
+    which = np.flatnonzero(size)
+    size = size[which]
+    first = np.cumsum(lines) - lines
+    text = np.searchsorted(first, which, side="right") - 1
+    return LineSets(text, which - first[text], size, np.cumsum(size) - size, words)
 
 
 def bucket_of(sets: np.ndarray) -> np.ndarray:
     return (sets >> U64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def _blocks(counts: np.ndarray) -> pa.RecordBatch:
+    """(block, counts of its words, up to 255) of the blocks with any."""
+    blocks = counts.reshape(-1, BLOCK)
+    full = np.flatnonzero(blocks.any(axis=1))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(full, pa.int64()),
+            pa.array([np.minimum(blocks[i], 255).astype(np.uint8).tobytes() for i in full], pa.binary()),
+        ],
+        names=["block", "counts"],
+    )
+
+
 def _count(least: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(1 << BUCKET_BITS, np.uint8)
+        counts = np.zeros(1 << BUCKET_BITS, np.uint32)
         for batch in batches:
-            for data in batch.column(0):
-                for _, sets in lines_of(data.as_py(), hashes, least):
-                    at = bucket_of(sets)  # equal buckets within one line count once; only the order feels it
-                    counts[at] += counts[at] < 255
-        blocks = counts.reshape(-1, BLOCK)
-        full = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(full, pa.int64()), pa.array([blocks[i].tobytes() for i in full], pa.binary())],
-            names=["block", "counts"],
-        )
+            for _, texts in chunks(batch.column(0)):
+                _, words, _ = _line_words(texts, least)
+                np.add.at(counts, bucket_of(words), 1)  # a word counts again in its line: only the order feels it
+        yield _blocks(counts)
 
     return count
 
 
-def _add(key, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros(BLOCK, np.int64)
-    for part in rows:
-        for x in part["counts"]:
-            total += np.frombuffer(x, np.uint8)
-    yield pd.DataFrame({"block": [key[0]], "counts": [np.minimum(total, 255).astype(np.uint8).tobytes()]})
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the blocks that came to this task, which holds one sum per block."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            total = sums.setdefault(block, np.zeros(BLOCK, np.uint16))
+            np.minimum(total + np.frombuffer(counts.as_buffer(), np.uint8), 255, out=total)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.int64()), pa.array([x.astype(np.uint8).tobytes() for x in sums.values()], pa.binary())],
+        names=["block", "counts"],
+    )
 
 
 def rarity(texts: DataFrame, least: int) -> np.ndarray:
     """Lines per hashed word, up to 255: 2^24 bytes, whatever the input's size."""
     schema = "block long, counts binary"
-    parts = texts.mapInArrow(_count(least), schema)
-    merged = parts.groupBy("block").applyInPandas(lambda k, x: next(_add(k, iter([x]))), schema)
-    counts = np.zeros((1 << BUCKET_BITS) // BLOCK * BLOCK, np.uint8)
+    merged = texts.mapInArrow(_count(least), schema).repartition("block").mapInArrow(_add, schema)
+    counts = np.zeros(1 << BUCKET_BITS, np.uint8)
     for row in merged.toLocalIterator():
         counts[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], np.uint8)
     return counts
@@ -102,34 +140,41 @@ LINES = "rid long, doc_id long, place int, sid long, n int, parity long, prefix
 
 
 def _index(shared, copies: LineCopies):
-    """One row per line; prefix and spots (their places in the order) only at the first copy in a task."""
+    """One row per line; parity, prefix and spots (their places in the order) only at the first copy in a task."""
     p = copies.percent
 
+    def rows(found: LineSets, seen: set[int], counts: np.ndarray) -> list[pa.Array]:
+        size, start, sets = found.size, found.start, found.sets
+        spread = mix(sets)
+        sid = mix(np.add.reduceat(mix(spread), start) + size.astype(U64)).view(np.int64)
+        parity = np.bitwise_xor.reduceat(U64(1) << (spread & U64(63)), start).view(np.int64)
+        first = np.empty(len(sid), bool)
+        for i, one in enumerate(sid.tolist()):
+            first[i] = one not in seen
+            seen.add(one)
+        line = np.repeat(np.arange(len(size)), size)
+        lines = counts[bucket_of(sets)]
+        order = np.argsort((line << 8) | lines, kind="stable")  # ties by hash: sets are sorted
+        spot = np.arange(len(sets)) - start[line]
+        some = first[line] & (spot < (size + (-p * size) // 100 + 1)[line]) & (lines[order] > 1)
+        ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(line[some], minlength=len(size))))), pa.int32())
+        prefix = (sets[order[some]] >> U64(8)).astype(np.uint32).view(np.int32)
+        return [
+            pa.array(found.place, pa.int32()), pa.array(sid), pa.array(size, pa.int32()), pa.array(parity, mask=~first),
+            pa.ListArray.from_arrays(ends, pa.array(prefix)), pa.ListArray.from_arrays(ends, pa.array(spot[some], pa.int32())),
+        ]
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, hashes, seen = shared.value, WordHashes(), set()
+        counts, seen = shared.value, set()
         for batch in batches:
-            rows: dict[str, list] = {c: [] for c in ("rid", "doc_id", "place", "sid", "n", "parity", "prefix", "spots")}
-            for rid, doc_id, data in zip(*(batch.column(i) for i in range(3)), strict=True):
-                rid, doc_id = rid.as_py(), doc_id.as_py()
-                for place, sets in lines_of(data.as_py(), hashes, copies.min_words):
-                    n = len(sets)
-                    sid = xxhash.xxh3_64_intdigest(sets.tobytes()) - (1 << 63)
-                    prefix = spots = parity = None
-                    if sid not in seen:
-                        seen.add(sid)
-                        lines = counts[bucket_of(sets)]
-                        order = np.argsort(lines, kind="stable")  # ties by hash: sets are sorted
-                        first = order[: n + (-p * n) // 100 + 1]
-                        spots = np.flatnonzero(lines[first] > 1).astype(np.int32)
-                        prefix = (sets[first[spots]] >> U64(8)).astype(np.uint32).view(np.int32)
-                        bits = U64(1) << (mix(sets) & U64(63))
-                        parity = int(np.bitwise_xor.reduce(bits).view(np.int64))
-                    for name, x in zip(rows, (rid, doc_id, place, sid, n, parity, prefix, spots), strict=True):
-                        rows[name].append(x)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()] + 2 * [pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, kind) for x, kind in zip(rows.values(), kinds, strict=True)], names=list(rows)
-            )
+            for at, texts in chunks(batch.column(2)):
+                found = line_sets(texts, copies.min_words)
+                if len(found.text):
+                    source = pa.array(at + found.text)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(source), batch.column(1).take(source), *rows(found, seen, counts)],
+                        names=["rid", "doc_id", "place", "sid", "n", "parity", "prefix", "spots"],
+                    )
 
     return index
 

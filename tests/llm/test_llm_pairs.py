@@ -187,3 +187,23 @@ def test_tokens_match_the_tokenizer():
     for text in ["a  b\n\n c's DON'T 123abc  ", "x\t\ty ñandú's  \r\n z", " ", "", "²½ ª º", "a\x0bb", "é'll  ''s", "日本 x",
                  "a\n b \u3000c", "to be, to  be", "one <|endoftext|> two", "x\x1c y \x1c z ", "w" * 100 + " \u0301a\nb c"]:
         assert np.frombuffer(tokens.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_word_hashes_tell_words_apart():
+    import pyarrow as pa
+
+    from barograph.llm.common import chunks, folded, word_hashes
+    from barograph.llm.linededup import line_sets
+
+    long = b"y" * 300
+    texts = [b" A\x0bb \x1c c\xc2\xa0d ", b"", b"   ", b"\n x y z u v w v\n\r\nX", b"\xff E e\x00f", long + b" " + long.upper(), long[:-1]]
+    column = pa.array([b"skipped", *texts], pa.binary()).slice(1)
+    ((at, chunk),) = chunks(column)
+    hashes, sizes = word_hashes(chunk)
+    words = [folded(x) for x in texts]
+    flat = [w for x in words for w in x]
+    assert at == 0 and sizes.tolist() == [len(x) for x in words]
+    assert len(set(hashes.tolist())) == len(set(flat)) == len(set(zip(hashes.tolist(), flat, strict=True)))
+    found = line_sets(chunk, 5)
+    assert (found.text.tolist(), found.place.tolist(), found.size.tolist()) == ([3], [1], [6])
+    assert word_hashes(pa.array([], pa.string()))[0].size == 0
