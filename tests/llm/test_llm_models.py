@@ -114,6 +114,41 @@ PAGE = """<html><head><title>T</title></head><body><nav><ul><li><a href=/>Home</
 <footer>&copy; site</footer></body>"""
 
 
+def members_of(spark, rows):
+    schema = "__tokens long, __members array<double>"
+    return spark.createDataFrame([(n, [float(v) for v in p]) for n, p in rows], schema)
+
+
+@pytest.mark.parametrize("words", [100_000, 1_000_000])
+def test_mixing_meets_all_targets_beside_very_long_documents(spark, words):
+    sure = 0.005 + 0.985 * np.eye(3)
+    rows = [(40 + i % 300, sure[i % 3]) for i in range(900)] + [(words, sure[0])] * 3
+    _, target, totals = mixing.rates(members_of(spark, rows), mixing.Mixing())
+    assert totals == pytest.approx(target, rel=1e-3)
+    start = sum(n * np.array(p) for n, p in rows)
+    assert target == pytest.approx(start * (1.0, 0.5, 0.25))
+
+
+def test_mixing_drops_and_multiplies_documents(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(n), p) for n, p in zip(rng.integers(1, 5_000, 300), rng.dirichlet((0.3, 0.3, 0.3), 300), strict=True)]
+    start = sum(n * p for n, p in rows)
+    want = tuple(start * (1.6, 0.9, 0.1))
+    made = members_of(spark, [*rows, (0, (0.2, 0.3, 0.5))])
+    rate, _, totals = mixing.rates(made, mixing.Mixing(totals=want))
+    assert totals == pytest.approx(want, rel=1e-3)
+    got = made.select("__tokens", "__members", rate.alias("rate")).collect()
+    assert sum(r.rate * r["__tokens"] * np.array(r["__members"]) for r in got) == pytest.approx(want, rel=1e-3)
+    assert min(r.rate for r in got) == 0 and [r.rate for r in got if not r["__tokens"]] == [1]
+
+
+def test_mixing_says_when_no_rates_reach_the_targets(spark):
+    p, want = np.array((0.5, 0.3, 0.2)), np.array((900.0, 100.0, 50.0))
+    with pytest.warns(UserWarning, match="no rates reach"):
+        _, _, totals = mixing.rates(members_of(spark, [(100, p)] * 20), mixing.Mixing(totals=tuple(want)))
+    assert totals == pytest.approx(p * (p @ want) / (p @ p), rel=1e-2)
+
+
 def test_main_text(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<script>x</script"), (4, "u", "<<<a <p>&lt;"), (1, "u", PAGE)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
