@@ -37,7 +37,7 @@ BLOCK = 1 << 16
 class LineCopies:
     """Lines of ``min_words`` distinct words or more; similarity of ``percent`` or more.
 
-    Shorter lines are never removed: greetings and list items repeat without being copies.
+    Shorter lines stay; with ``min_words=1``, as the queries have it, every line with a word is compared.
     passes: the joins run over one part of the words after the other, to hold less on disk.
     """
 

@@ -42,7 +42,8 @@ def op4_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), count="lines_removed")
+    copies = linededup.LineCopies(min_words=1)
+    rows = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), copies, count="lines_removed")
     return rows.select("doc_id", "text", "lines_removed")
 
 

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barograph.llm import jaccard, linededup, neighbours, packing
+import corpus_pipeline
+from barograph.llm import jaccard, linededup, neighbours, packing, queries
 from barograph.llm.tokens import Tokens
 
 
@@ -114,6 +115,21 @@ def test_line_dedup(documents):
     assert sorted((r.doc_id, r.text, r.gone) for r in got) == sorted(brute_lines(rows))
 
 
+def test_registered_line_dedup_covers_short_lines(spark, documents, folder):
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(12)]
+    rows = []
+    for i in range(60):
+        lines = [" ".join(rng.choices(words, k=rng.randint(0, 7))) for _ in range(rng.randint(1, 5))]
+        rows.append((i, "\n".join([*lines, "all rights reserved."] if i % 4 == 0 else lines)))
+    documents(rows).write.parquet(f"{folder}/documents.parquet")
+    want = sorted(brute_lines(rows, least=1))
+    got = queries.QUERIES["op5_line_dedup"](spark, folder).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [x[:2] for x in want]
+    got = corpus_pipeline.line_dedup(spark, documents(rows), folder).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [x[:2] for x in want]
+
+
 def test_line_dedup_odd_rows(odd):
     got = linededup.drop_repeated_lines(odd, count="n")
     assert got.columns == [*odd.columns, "n"]
