@@ -68,22 +68,30 @@ def _planned(df: DataFrame, spec: SeriesSpec, columns: list[str], params: Season
 
 
 def _long_trend(df: DataFrame, spec: SeriesSpec, columns: list[str], period: int) -> DataFrame:
-    """Centred mean of one known period from running sums: constant work per row."""
+    """Centred mean of one known period: constant work per row.
+
+    Rows are cut into chunks as long as the inner window, which so spans two chunks at most: the sums from its
+    first row to the end of that chunk and from the start of the next chunk to its last row. Nothing is
+    subtracted, so a value that is infinite or very large is felt by its own windows only.
+    """
     half, even = period // 2, period % 2 == 0
-    blocks = split_blocks(df, spec, before=half + 1, after=half)
-    w = block_window(spec)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    blocks = blocks.withColumns({f"_s_{c}": F.sum(c).over(running) for c in columns})
+    reach = half - 1 if even else half
+    size = 2 * reach + 1
+    blocks = split_blocks(df, spec, before=half, after=half).withColumn("_chunk", F.expr(f"{POS} div {size}"))
+    w, chunk = block_window(spec), Window.partitionBy(*spec.keys, BLOCK, "_chunk")
+    so_far, to_come = (chunk.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (POS, F.desc(POS)))
+    blocks = blocks.withColumns({f"_s_{c}": F.sum(c).over(so_far) for c in columns})
+    blocks = blocks.withColumns({f"_e_{c}": F.sum(c).over(to_come) for c in columns})
     trends = {}
     for c in columns:
-        total = F.col(f"_s_{c}")
-        upper, lower = F.lead(total, half).over(w), F.coalesce(F.lag(total, half + 1).over(w), F.lit(0.0))
-        inside = upper - lower
+        upper, lower = F.lead(f"_s_{c}", reach).over(w), F.lag(f"_e_{c}", reach).over(w)
+        inside = F.when((F.col(POS) - reach) % size == 0, upper).otherwise(lower + upper)
         if even:
-            inside = inside - (F.lag(c, half).over(w) + F.lead(c, half).over(w)) / 2
+            inside = inside + (F.lag(c, half).over(w) + F.lead(c, half).over(w)) / 2
         edge = (F.col(POS) < half) | (F.col(POS) >= F.col("n") - half)
         trends[f"{c}{TREND}"] = F.when(~edge & F.col(f"_ok_{c}"), inside / period)
-    return merge_blocks(blocks.withColumns(trends), spec).drop(*[f"_s_{c}" for c in columns])
+    helpers = [f"_{part}_{c}" for part in "se" for c in columns]
+    return merge_blocks(blocks.withColumns(trends), spec).drop("_chunk", *helpers)
 
 
 def _short_trend(df: DataFrame, spec: SeriesSpec, columns: list[str]) -> DataFrame:

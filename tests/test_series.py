@@ -6,7 +6,7 @@ import pytest
 from conftest import ordered, same
 
 from barograph.operators.features import adaptive_noise, complete_rows, rolling_features, running_median
-from barograph.operators.seasonal import seasonal_parts
+from barograph.operators.seasonal import centered_trend, seasonal_parts
 from barograph.operators.smooth import kalman_smooth
 from barograph.params import SeasonalParams
 from barograph.plans.layout import exact_quantile, fill_gaps, index_series, merge_blocks, split_blocks
@@ -165,6 +165,29 @@ def test_decomposition_of_every_length(series, block, period):
             same(g[f"value_{name}"], wanted, 1e-8)
 
 
+@pytest.mark.parametrize("block", [1_000_000, 32])
+@pytest.mark.parametrize("period", [12, 7, 2])
+def test_infinite_and_huge_values_stay_in_their_windows(series, block, period):
+    values, rng = {}, np.random.default_rng(6)
+    for n in (3 * period - 1, 150):
+        x = rng.normal(20, 2, n)
+        for name, bad in (("inf", np.inf), ("minus", -np.inf), ("huge", 1e30)):
+            values[(n, name)] = [*x[: n // 3], bad, *x[n // 3 + 1 :]]
+    df, spec = series(values, block_rows=block)
+    indexed, spec = index_series(df, spec)
+    pdf = ordered(centered_trend(indexed, spec, ["value"], SeasonalParams(period)))
+    for (station, sensor), x in values.items():
+        if len(x) < 8:
+            continue
+        p = min(period, max(2, len(x) // 3))
+        half = p // 2
+        weights = np.r_[0.5, np.ones(p - 1), 0.5] if p % 2 == 0 else np.ones(p)
+        want = np.full(len(x), np.nan)
+        for i in range(half, len(x) - half):
+            want[i] = (weights * x[i - half : i - half + len(weights)]).sum() / p
+        same(pdf[(pdf.station == station) & (pdf.sensor == sensor)]["value_trend"], want)
+
+
 def test_multiplicative_decomposition_needs_positive_values(series):
     values = {(0, "a"): RNG.uniform(1, 2, 60), (0, "b"): [0.0, *RNG.uniform(1, 2, 59)]}
     df, spec = series(values)
