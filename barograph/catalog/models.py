@@ -50,7 +50,7 @@ from barograph.operators.forecast import (
     tail_mean,
 )
 from barograph.operators.forest import isolation_flags
-from barograph.operators.lagmodel import lag_forecast, lag_windows as windows_of
+from barograph.operators.lagmodel import lag_windows as windows_of, rolling_lag_forecast
 from barograph.operators.report import (
     alert_sample as sample_of,
     alert_summary as summary_of,
@@ -413,7 +413,8 @@ def retrain_list(spark, sf_dir):
 @query()
 def rolling_origin(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
-    made = rolling_sarima(df, spec, ["value"], forecast_plan(df, spec))
+    params = ForecastParams(tail_rows=0)
+    made = rolling_sarima(df, spec, ["value"], forecast_plan(df, spec, params), params)
     return made.withColumnsRenamed({f"value_{p}": p for p in ("forecast", "lower", "upper")})
 
 
@@ -432,8 +433,8 @@ def forecast_interval(spark, sf_dir):
 @query()
 def lag_model(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
-    params = ForecastParams(use_sarima=False, lookback=24, tail_rows=120)
-    return lag_forecast(df, spec, ["value"], forecast_plan(df, spec, params), params)
+    params = ForecastParams(use_sarima=False, lookback=24, tail_rows=0)
+    return rolling_lag_forecast(df, spec, ["value"], forecast_plan(df, spec, params), params)
 
 
 @query()

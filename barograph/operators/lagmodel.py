@@ -7,8 +7,10 @@ the one with the least error on the held-out rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from barograph.operators.scaling import scale_limits, scaled, unscaled
 from barograph.params import ForecastParams, SeriesSpec
 from barograph.plans.layout import BLOCK, OWN, POS, attach, block_window, merge_blocks, split_blocks, spread
+from barograph.session import materialize
 
 RIDGES = (1e-4, 1e-3, 1e-2, 1e-1)
 TRAIN_SHARE = 0.8
@@ -203,3 +206,26 @@ def lag_forecast(
 
     predicted = blocks.groupBy(*spec.keys, BLOCK).applyInPandas(predict, schema).filter(F.col(POS) >= F.col("start"))
     return predicted.select(*spec.keys, POS, *[unscaled(F.col(f"_p_{c}"), c).alias(f"{c}_forecast") for c in columns])
+
+
+def rolling_lag_forecast(
+    df: DataFrame, spec: SeriesSpec, columns: Iterable[str], plan: DataFrame, params: ForecastParams = ForecastParams()
+) -> DataFrame:
+    """``<column>_forecast`` from the first origin on, by models that saw at least half the rows before.
+
+    The first origin is ``start``, or where a series alone has ten windows to train on. The model is fitted anew at
+    twice, four times and so on the first origin, on the rows before that only, and forecasts up to the
+    next one. All fits together read two to three times the rows.
+    """
+    columns = list(columns)
+    least = math.ceil((params.lookback + MIN_WINDOWS) / TRAIN_SHARE)
+    df = materialize(df, "lag-rows")
+    plan = materialize(plan.withColumn("start", F.greatest("start", F.lit(least).cast("long"))), "lag-plan")
+    most = plan.agg(F.max(F.col("n") / F.col("start"))).first()[0]
+    parts = []
+    for i in range(max(1, math.ceil(math.log2(most or 1)))):
+        seen = plan.withColumn("_until", F.col("start") * (2 << i))
+        seen = seen.withColumn("start", F.least("n", F.col("start") * (1 << i)))
+        rows = attach(df, seen.select(*spec.keys, "n", "_until"), spec).filter(F.col(POS) < F.col("_until"))
+        parts.append(lag_forecast(rows.drop("n", "_until"), spec, columns, seen.drop("_until"), params))
+    return reduce(DataFrame.unionByName, parts)

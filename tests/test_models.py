@@ -10,12 +10,14 @@ import pytest
 from conftest import ordered, same
 from pyspark.sql import functions as F
 
+from barograph.catalog import QUERIES
+from barograph.catalog.inputs import indexed as indexed_events
 from barograph.functions import sarima
 from barograph.operators.anomaly import combine_flags, error_flag, mean_impute, zscore_flags
 from barograph.operators.drift import drift_samples, exact_p, ks_drift, ks_statistic, retrain_list
 from barograph.operators.forecast import forecast_plan, forecast_series, mask_warmup, tail_mean
 from barograph.operators.forest import isolation_flags, isolation_scores
-from barograph.operators.lagmodel import LagModel, fit_lag_model, lag_forecast, lag_windows
+from barograph.operators.lagmodel import LagModel, fit_lag_model, lag_forecast, lag_windows, rolling_lag_forecast
 from barograph.operators.report import alert_summary, alerts, markdown_report
 from barograph.operators.sarima import fit_sarima, forecast_ahead, refresh_models, rolling_sarima
 from barograph.operators.scaling import minmax_scale
@@ -157,6 +159,36 @@ def test_lag_model_learns_a_planted_signal(spark, series, block, folder):
     same(again["value_forecast"], made["value_forecast"])
 
 
+def test_registered_forecasts_cover_every_position(spark):
+    df, spec = indexed_events(spark, "/root/testdata/sf0.01")
+    for name, first in (("rolling_origin", 54), ("lag_model", 43)):
+        made = QUERIES[name](spark, "/root/testdata/sf0.01")
+        wanted = df.filter(F.col("pos") >= first).select("station", "sensor", "pos")
+        got = made.select("station", "sensor", "pos")
+        assert got.count() == got.distinct().count() == wanted.count()
+        assert wanted.subtract(got).count() == 0
+
+
+@pytest.mark.parametrize("block", BLOCKS)
+def test_rolling_lag_model_never_looks_ahead(series, block):
+    x = wave(400, noise=0.1)
+    changed = x.copy()
+    changed[250:] += 100.0
+    params = replace(SMALL, use_sarima=False, lookback=24, tail_rows=0)
+    made = []
+    for values in (x, changed):
+        df, spec = series({(0, "a"): values, (1, "b"): wave(90, 4), (2, "short"): x[:20]}, block_rows=block)
+        indexed, spec = index_series(df, spec)
+        plan = forecast_plan(indexed, spec, params)
+        made.append(ordered(rolling_lag_forecast(indexed, spec, ["value"], plan, params)))
+    a, b = (m[m.station == 0] for m in made)
+    assert a["pos"].tolist() == list(range(43, 400))
+    assert made[0][made[0].station == 1]["pos"].tolist() == list(range(43, 90))
+    assert not (made[0].station == 2).any()
+    same(a["value_forecast"][: 251 - 43], b["value_forecast"][: 251 - 43])
+    assert np.abs(a["value_forecast"] - x[43:])[57:].mean() < 0.5 * np.abs(np.diff(x)[99:]).mean()
+
+
 def test_lag_model_equals_direct_ridge(series):
     x = wave(200, noise=0.5)
     df, spec = series({(0, "a"): x}, block_rows=50)
