@@ -448,7 +448,7 @@ def isolation_forest(spark, sf_dir):
 
 @query()
 def isolation_forest_hourly(spark, sf_dir):
-    df, spec = index_series(hourly(spark, sf_dir), HOURLY)
+    df, spec = index_series(hourly(spark, sf_dir, by_station=True), HOURLY)
     return isolation_flags(df, spec, HOURLY_SENSORS).drop(POS)
 
 
@@ -459,7 +459,7 @@ def _run_params() -> RunParams:
 
 @query()
 def station_run(spark, sf_dir):
-    return run_stations(hourly(spark, sf_dir), _run_params()).results
+    return run_stations(hourly(spark, sf_dir, by_station=True), _run_params()).results
 
 
 @query(

@@ -169,6 +169,12 @@ def test_registered_forecasts_cover_every_position(spark):
         assert wanted.subtract(got).count() == 0
 
 
+@pytest.mark.parametrize("name", ["isolation_forest_hourly", "station_run"])
+def test_registered_runs_work_per_station(spark, name):
+    made = QUERIES[name](spark, "/root/testdata/sf0.1")
+    assert {r.station for r in made.select("station").distinct().collect()} == set(range(8))
+
+
 @pytest.mark.parametrize("block", BLOCKS)
 def test_rolling_lag_model_never_looks_ahead(series, block):
     x = wave(400, noise=0.1)
