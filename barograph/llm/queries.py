@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, jaccard, linededup, mixing, neighbours, packing, quality, rules, scoring, toxicity
+from . import alignment, html, jaccard, linededup, mixing, neighbours, packing, quality, rangejoin, rules, scoring
+from . import toxicity, whitening
 
 QUERIES = {}
 ORACLES = {}
@@ -72,6 +73,21 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_documents(table(spark, sf_dir, "documents"), jaccard.Near(words=3, percent=90))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rangejoin.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 ORACLES["op9_quality_rules"] = r"""
 WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce("text", '') AS t FROM documents),
 words AS (
