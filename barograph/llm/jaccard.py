@@ -15,6 +15,10 @@ shingles. A document with more of them emits them too.
 Size bands: linked sizes lie in the same or in neighbouring bands, so each document has a sketch
 for the pair of bands below and one for the pair above.
 
+A pair goes on to verification only if the Hamming distance of their parity sketches of 512 bits, one bit for each
+shingle's hash, leaves room for a link; in the join of a bucket this is part of the join condition, so documents of one
+template that are similar but below the limit make no pairs.
+
 Hot groups: equal sets share one set id before the join. In a bucket only two leaders, those met in
 most buckets, are compared with all others; what is then still in different components is compared
 pair by pair. So a group of near copies costs a star, and no link between components is lost.
@@ -28,11 +32,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, Scratch, as_bytes, chunks, components, mix, release, word_hashes
@@ -122,14 +128,35 @@ class Bands:
         return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
-SIGNED = "doc_id long, n_shingles long, sid long, keys array<long>"
+#: Bits of the parity sketch, as powers of two.
+PARITY_BITS = 9
+
+
+def parity(sets: np.ndarray) -> np.ndarray:
+    """The parity of the shingles that fall on each bit, as 64-bit words."""
+    counts = np.bincount((sets >> U64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def may_link(near: Near, x: str, y: str) -> Column:
+    """Whether sets with sizes ``n`` and sketches ``parity`` may be linked, by size and by Hamming distance."""
+    xn, yn = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differ = reduce(add, [
+        F.bit_count(F.col(f"{x}.parity")[i].bitwiseXOR(F.col(f"{y}.parity")[i])) for i in range((1 << PARITY_BITS) // 64)
+    ])
+    return (100 * F.least(xn, yn) >= near.percent * F.greatest(xn, yn)) & (
+        differ * (100 + near.percent) <= (100 - near.percent) * (xn + yn)
+    )
+
+
+SIGNED = "doc_id long, n_shingles long, sid long, keys array<long>, parity array<long>"
 
 
 def _sign(near: Near):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(near), set()
         for batch in batches:
-            sizes, ids, lists = [], [], []
+            sizes, ids, lists, bits = [], [], [], []
             for sets in shingle_sets(batch.column(1), near.words):
                 sizes.append(len(sets))
                 sid = set_id(sets) if len(sets) else None
@@ -137,11 +164,13 @@ def _sign(near: Near):
                 first = sid is not None and sid not in seen
                 seen.add(sid)
                 lists.append(bands.keys(sets) if first else np.empty(0, np.int64))
+                bits.append(parity(sets) if first else None)
             ends = np.cumsum([0] + [len(x) for x in lists])
             keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), keys],
-                names=["doc_id", "n_shingles", "sid", "keys"],
+                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), keys,
+                 pa.array(bits, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "sid", "keys", "parity"],
             )
 
     return sign
@@ -177,7 +206,11 @@ def _linked(percent: int):
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, near: Near, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of set ids with their exact answer; the sets are built again for these only."""
+    """Pairs (a, b) of set ids that may be linked, with their exact answer; the sets are built again for these only."""
+    sketch = F.struct(F.col("n_shingles").alias("n"), "parity").alias("s")
+    of = signed.where("parity is not null").select("sid", sketch).dropDuplicates(["sid"])
+    pairs = pairs.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").where(may_link(near, "x", "y"))
+    pairs = scratch.table(pairs.select("a", "b"), "jaccard-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     where = signed.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     ids = where.select(F.col("doc_id").alias("__id")).distinct()
@@ -233,9 +266,12 @@ def near_documents(docs: DataFrame, near: Near = Near(), scratch: Scratch | None
         "key", "sid", F.coalesce("root", "sid").alias("root")
     )
     apart = open_.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_ = open_.join(apart, "key", "left_semi")
-    left, right = open_.toDF("key", "a", "ra"), open_.toDF("key", "b", "rb")
-    rest = left.join(right, "key").where("a < b and ra <> rb").select("a", "b").distinct()
+    sketches = signed.where("parity is not null").select("sid", F.col("n_shingles").alias("n"), "parity").dropDuplicates(["sid"])
+    open_ = open_.join(apart, "key", "left_semi").join(sketches, "sid")
+    open_ = open_.select("key", F.struct("sid", "root", "n", "parity").alias("x"))
+    apart = (F.col("x.sid") < F.col("y.sid")) & (F.col("x.root") != F.col("y.root")) & may_link(near, "x", "y")
+    rest = open_.alias("l").join(open_.withColumnRenamed("x", "y").alias("r"), (F.col("l.key") == F.col("r.key")) & apart)
+    rest = rest.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
     rest = work.table(rest.join(checked, ["a", "b"], "left_anti"), "jaccard-rest")
     if not rest.isEmpty():
         more = _verified(rest, docs, signed, near, work)

@@ -6,9 +6,11 @@ each line is indexed under its prefix: two sets of n1 and n2 tokens that overlap
 Candidates must pass the length filter (p n1 <= 100 n2), the positional filter (enough tokens left
 behind the shared one) and a bound from 64-bit parity sketches; Jaccard is then verified on whole sets.
 
-Rarity is read from a table of 2^24 one-byte counts of hashed words, over all lines. Any order
+Rarity is read from a table of 2^24 counts of hashed words, over all lines, each a byte that holds a logarithm (eight
+steps per doubling, so that frequent words keep their order at any size of the input). Any order
 gives the same result, the counts only make buckets small; a word whose bucket counts one
-line cannot match another line and is not emitted.
+line cannot match another line and is not emitted. Neither is a line so short that only an equal set is similar: equal
+sets are one already.
 
 Hot words: the lines under a word are first compared with the earliest of them, which
 already removes copies in large groups; only what then remains as a later line is
@@ -24,7 +26,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, Scratch, WordHashes, as_bytes, chunks, folded, fresh, mix, release, word_hashes
@@ -88,15 +90,24 @@ def bucket_of(sets: np.ndarray) -> np.ndarray:
     return (sets >> U64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+#: Steps of a logarithmic count per doubling.
+STEPS = 8
+#: The count that each byte stands for; none, one and two are exact.
+MEANT = np.concatenate(([0], 2 ** (np.arange(255) / STEPS)))
+
+
+def logarithmic(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes: 0 for none, then eight steps per doubling."""
+    steps = np.rint(STEPS * np.log2(np.maximum(counts, 1))) + 1
+    return np.where(counts > 0, np.minimum(steps, 255), 0).astype(np.uint8)
+
+
 def _blocks(counts: np.ndarray) -> pa.RecordBatch:
-    """(block, counts of its words, up to 255) of the blocks with any."""
+    """(block, counts of its words) of the blocks with any."""
     blocks = counts.reshape(-1, BLOCK)
     full = np.flatnonzero(blocks.any(axis=1))
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(full, pa.int64()),
-            pa.array([np.minimum(blocks[i], 255).astype(np.uint8).tobytes() for i in full], pa.binary()),
-        ],
+        [pa.array(full, pa.int64()), pa.array([logarithmic(blocks[i]).tobytes() for i in full], pa.binary())],
         names=["block", "counts"],
     )
 
@@ -118,16 +129,16 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            total = sums.setdefault(block, np.zeros(BLOCK, np.uint16))
-            np.minimum(total + np.frombuffer(counts.as_buffer(), np.uint8), 255, out=total)
+            total = sums.setdefault(block, np.zeros(BLOCK))
+            total += MEANT[np.frombuffer(counts.as_buffer(), np.uint8)]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(sums), pa.int64()), pa.array([x.astype(np.uint8).tobytes() for x in sums.values()], pa.binary())],
+        [pa.array(list(sums), pa.int64()), pa.array([logarithmic(x).tobytes() for x in sums.values()], pa.binary())],
         names=["block", "counts"],
     )
 
 
 def rarity(texts: DataFrame, least: int) -> np.ndarray:
-    """Lines per hashed word, up to 255: 2^24 bytes, whatever the input's size."""
+    """Lines per hashed word, as logarithms: 2^24 bytes, whatever the input's size."""
     schema = "block long, counts binary"
     merged = texts.mapInArrow(_count(least), schema).repartition("block").mapInArrow(_add, schema)
     counts = np.zeros(1 << BUCKET_BITS, np.uint8)
@@ -156,7 +167,8 @@ def _index(shared, copies: LineCopies):
         lines = counts[bucket_of(sets)]
         order = np.argsort((line << 8) | lines, kind="stable")  # ties by hash: sets are sorted
         spot = np.arange(len(sets)) - start[line]
-        some = first[line] & (spot < (size + (-p * size) // 100 + 1)[line]) & (lines[order] > 1)
+        some = (first & (100 * size >= p * (size + 1)))[line]
+        some &= (spot < (size + (-p * size) // 100 + 1)[line]) & (lines[order] > 1)
         ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(line[some], minlength=len(size))))), pa.int32())
         prefix = (sets[order[some]] >> U64(8)).astype(np.uint32).view(np.int32)
         return [
@@ -258,14 +270,14 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
     entry = entry.select(
         F.col("e.prefix").alias("word"), "doc", "sid", F.col("n").bitwiseOR(F.col("e.spots")).alias("ni"), "parity"
     )
-    word = Window.partitionBy("word")
     me = F.struct("doc", "sid", "ni", "parity")
     star = F.when(_candidate(p, "x", "y"), F.col("y.sid")).alias("star")
     parts = []
     for part in range(copies.passes):
-        some = entry.where(F.pmod("word", F.lit(copies.passes)) == part)
-        some = some.select("word", me.alias("x"), F.min(me).over(word).alias("y"), F.count("*").over(word).alias("many"))
-        parts.append(work.table(some.where("many > 1").select("word", "x.*", star), "lines-entries"))
+        some = entry.where(F.pmod("word", F.lit(copies.passes)) == part).select("word", me.alias("x"))
+        earliest = some.groupBy("word").agg(F.min("x").alias("y"), F.count("*").alias("many")).where("many > 1")
+        some = some.join(earliest, "word")  # a join, not a window: a frequent word may be split over tasks
+        parts.append(work.table(some.select("word", "x.*", star), "lines-entries"))
         release(spark)
     fat.drop()
 
