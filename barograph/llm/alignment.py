@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,23 +63,24 @@ class ByteIds:
         self.bytes = [bytes(byte[c] for c in e) if all(c in byte for c in e) else b"" for e in names]
         self.entries = Entries(self.bytes)
 
-    def of(self, text: str) -> np.ndarray:
+    def words(self, words: list[str]) -> list[bytes | None]:
+        """Ids of a space and each word; None where they depend on the words around it."""
+        return [self.tokens.behind_space(w) for w in words]
+
+    def whole(self, text: str) -> np.ndarray:
         return np.frombuffer(self.tokens.of(" " + text), "<u4")
 
 
-class PieceIds(dict):
-    """Ids of the piece vocabulary by word, as little-endian uint32.
+class PieceIds:
+    """Ids of the piece vocabulary, as little-endian uint32.
 
     No piece holds a space behind another character, so words that single spaces divide are cut apart; texts with
     other runs of spaces, or with the character that stands for a space, are encoded whole.
     """
 
-    REMEMBERED = 300_000
-    LONGEST = 64
-    WHOLE = re.compile("  |^ | $|[▁\x00]")
+    ODD = re.compile("[▁\x00]")
 
     def __init__(self, path: str | None):
-        super().__init__()
         from sentencepiece import SentencePieceProcessor
 
         if path is None:
@@ -98,33 +100,50 @@ class PieceIds(dict):
             return b""
         return piece.replace("▁", " ").encode()
 
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of ``words``, found by one call."""
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.REMEMBERED:
-            self.clear()
-            new = list(words)
-        self.update(zip(new, [array("I", ids).tobytes() for ids in self.model.encode(new, num_threads=1)], strict=True))
+    def words(self, words: list[str]) -> list[bytes | None]:
+        """Ids of a space and each word; None for words that can't be encoded apart."""
+        apart = [bool(self.by_word and w and not self.ODD.search(w)) for w in words]
+        found = iter(self.model.encode([w for w, fit in zip(words, apart, strict=True) if fit], num_threads=1))
+        return [array("I", next(found)).tobytes() if fit else None for fit in apart]
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), "<u4")
 
-    def __missing__(self, word: str) -> bytes:
-        return array("I", self.model.encode(word)).tobytes()
 
-    def of(self, texts: list[str]) -> list[np.ndarray]:
-        words = [x.split(" ") if self.by_word and not self.WHOLE.search(x) else None for x in texts]
-        some = set().union(*filter(None, words))
-        self.learn({w for w in some if len(w) <= self.LONGEST})
-        return [
-            np.frombuffer(b"".join(map(self.__getitem__, w)), "<u4") if w else np.array(self.model.encode(x), "<u4")
-            for x, w in zip(texts, words, strict=True)
-        ]
+class Words(dict):
+    """Ids in both vocabularies by word; forgets all when it has grown large."""
+
+    REMEMBERED = 400_000
+    LONGEST = 64
+
+    def __init__(self, sides: tuple):
+        super().__init__()
+        self.sides = sides
+
+    def of(self, words: list[str]) -> list[tuple[bytes | None, bytes | None]]:
+        found = list(map(self.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            asked = [words[i] for i in new]
+            made = list(zip(*(side.words(asked) for side in self.sides), strict=True))
+            if len(self) + len(new) > self.REMEMBERED:
+                self.clear()
+            for i, word, ids in zip(new, asked, made, strict=True):
+                found[i] = ids
+                if len(word) <= self.LONGEST:
+                    self[word] = ids
+        return found
+
+
+def spread_out(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of runs with the given sizes, one run behind the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 def same_bytes(ids: np.ndarray, entries: Entries, data: np.ndarray) -> np.ndarray:
     """Whether each byte of the tokens, which together are as long as ``data``, equals the byte there."""
-    size = entries.size[ids]
-    ends = np.cumsum(size)
-    at = np.repeat(entries.start[ids] - (ends - size), size) + np.arange(len(data))
-    return entries.data[at] == data
+    return entries.data[spread_out(entries.start[ids], entries.size[ids])] == data
 
 
 def gallop(targets: np.ndarray, finger: np.ndarray, longer: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -252,15 +271,37 @@ class Vocabularies:
 
     def __init__(self, alignment: Alignment):
         self.a, self.b = ByteIds(alignment.byte_level), PieceIds(alignment.pieces)
+        self.words = Words((self.a, self.b))
         self.text = GroupText(max(len(self.a.bytes), len(self.b.bytes)))
 
+    def by_word(self, data: list[bytes]) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+        """(texts whose words can all be encoded apart, ids of all texts by vocabulary): each distinct word once."""
+        words = pc.split_pattern(pa.array(data, pa.binary()).cast(pa.string()), " ")
+        many = words.value_lengths().to_numpy(zero_copy_only=False)
+        coded = words.flatten().dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        known = self.words.of(coded.dictionary.to_pylist())
+        first = np.cumsum(many) - many
+        apart = np.ones(len(data), bool)
+        sides = []
+        for ids in zip(*known, strict=True):
+            apart &= np.logical_and.reduceat(np.array([x is not None for x in ids])[code], first)
+            size = np.array([len(x) // 4 if x else 0 for x in ids], np.int64)
+            start = np.cumsum(size) - size
+            flat = np.frombuffer(b"".join([x for x in ids if x]), "<u4")
+            cuts = np.cumsum(np.add.reduceat(size[code], first))[:-1]
+            sides.append(np.split(flat[spread_out(start[code], size[code])], cuts))
+        return apart, sides
+
     def tokens(self, data: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each text; none for texts that are empty or that either vocabulary doesn't give back."""
         none = np.empty(0, "<u4")
-        texts = [x.decode() for x in data]
-        sides = []
-        for own, found in ((self.a, map(self.a.of, texts)), (self.b, self.b.of(texts))):
-            sides.append([x if own.entries.size[x].sum() == len(d) + 1 else none for x, d in zip(found, data, strict=True)])
+        apart, sides = self.by_word(data)
+        for i in np.flatnonzero(~apart):
+            for own, side in zip((self.a, self.b), sides, strict=True):
+                side[i] = own.whole(data[i].decode()) if data[i] else none
+        for own, side in zip((self.a, self.b), sides, strict=True):
+            side[:] = [x if own.entries.size[x].sum() == len(d) + 1 else none for x, d in zip(side, data, strict=True)]
         fits = [bool(d) and len(x) > 0 and len(y) > 0 for d, x, y in zip(data, *sides, strict=True)]
         whole = np.frombuffer(b"".join([b" " + d for d, fit in zip(data, fits, strict=True) if fit]), np.uint8)
         sizes = np.array([len(d) + 1 for d, fit in zip(data, fits, strict=True) if fit], np.int64)

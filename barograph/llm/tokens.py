@@ -80,6 +80,16 @@ class Tokens(dict):
             return b"".join(map(self.__getitem__, SPLIT.findall(text)))
         return self.whole(text)
 
+    def behind_space(self, word: str) -> bytes | None:
+        """Ids of a space and ``word``, not remembered; None where they depend on what is around it."""
+        if simple := SIMPLE.fullmatch(word):
+            stem, mark = simple.groups()
+            ids = self.merged(symbols_of(" " + stem))
+            return ids + self[mark] if mark else ids
+        if not VISIBLE.match(word) or any(s in word for s in self.special):
+            return None
+        return self.split(" " + word)
+
     def of(self, text: str) -> bytes:
         first, *words = text.split(" ")
         if any(s in first for s in self.special):

@@ -80,7 +80,7 @@ def test_alignment_equals_walk(documents, known):
 
 def test_pieces_of_a_batch_and_the_cache_change_nothing(documents, known, monkeypatch):
     monkeypatch.setattr(alignment, "PIECE", 50)
-    monkeypatch.setattr(alignment.PieceIds, "REMEMBERED", 5)
+    monkeypatch.setattr(alignment.Words, "REMEMBERED", 5)
     rows = list(enumerate(TEXTS))
     found = alignment._chunks(Alignment(chunk=100))
     rows_of = documents(rows).select("doc_id", alignment.as_bytes().alias("text")).coalesce(1)
