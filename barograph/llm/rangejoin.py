@@ -43,7 +43,7 @@ class Range:
     sample: int = 4096
     pivots: int = 1024
     cell: int = 4096
-    rows: int = 2048
+    rows: int = 8192
 
     @property
     def radius(self) -> float:
