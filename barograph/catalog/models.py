@@ -60,11 +60,13 @@ from barograph.operators.report import (
 from barograph.operators.sarima import fit_sarima, forecast_ahead, rolling_sarima
 from barograph.operators.scaling import minmax_scale as scale
 from barograph.operators.seasonal import seasonal_parts
+from barograph.operators.seriesmodel import SeriesModelParams, fit_series_models
 from barograph.operators.validate import split_valid
 from barograph.params import ForecastParams, RunParams, SeasonalParams, SeriesSpec
 from barograph.plans.layout import POS, attach, index_series
 from barograph.plans.run import run_stations
-from barograph.session import materialize
+from barograph.session import materialize, work_path
+from barograph.sources.models import ModelTable
 
 SERIES = ("station", "sensor")
 DAY = SeasonalParams(period=24)
@@ -407,6 +409,40 @@ def retrain_list(spark, sf_dir):
     return to_retrain(events, consumed, SERIES)
 
 
+# Models per series: run 1 fits the first half of every series but "error"; run 2 fits the new and the drifted ones on all rows.
+
+REFIT_SQL = f"""{EXACT_SQL},
+w0 AS (SELECT station, sensor, pos, n, lag(value) OVER (PARTITION BY station, sensor ORDER BY pos) AS x, value FROM p),
+w AS (SELECT station, sensor, pos, n, x, value - x AS y FROM w0 WHERE x IS NOT NULL AND value IS NOT NULL),
+again AS (SELECT DISTINCT station, sensor FROM p WHERE sensor = 'error' UNION SELECT station, sensor FROM pv WHERE p_value < 0.5),
+f1 AS (SELECT w.station, w.sensor, 1 AS run, x, y FROM w ANTI JOIN again USING (station, sensor) WHERE pos < n // 2),
+f2 AS (SELECT w.station, w.sensor, 2 AS run, x, y FROM w SEMI JOIN again USING (station, sensor)),
+g AS (SELECT station, sensor, run, count(*) AS windows, avg(x) AS mx, avg(y) AS my, covar_pop(y, x) / (var_pop(x) * 1.1) AS slope
+  FROM (SELECT * FROM f1 UNION ALL SELECT * FROM f2) GROUP BY ALL HAVING count(*) >= 10)
+SELECT CAST(station AS VARCHAR) AS station, sensor, CAST(run AS BIGINT) AS run, windows,
+  {rounded_sql('my - slope * mx', 'intercept')}, {rounded_sql('slope', 'slope')} FROM g"""
+
+
+@query(f"WITH RECURSIVE {REFIT_SQL}")
+def models_after_drift(spark, sf_dir):
+    df, spec = indexed(spark, sf_dir)
+    table = ModelTable(work_path(spark, "models"), ("value",), "value", 1)
+    plan, params = df.groupBy(*SERIES).agg(F.count("*").alias("n")), SeriesModelParams(lookback=1, ridge=0.1)
+    halves = plan.filter("sensor <> 'error'").withColumn("start", F.expr("n div 2"))
+    table.commit(_by_text(fit_series_models(df, spec, ["value"], halves, params)), 1)
+    tested = ks_drift(_samples(spark, sf_dir), SERIES)
+    table.add_events(tested.withColumn("drift", flag(F.col("p_value") < 0.5)), 1)
+    listed = materialize(table.to_refit(spark, plan), "refit").withColumn("station", F.col("station").cast("long"))
+    whole = plan.withColumn("start", F.col("n"))
+    table.commit(_by_text(fit_series_models(df, spec, ["value"], whole, params, only=listed)), 2)
+    current = table.current(spark).withColumn("slope", F.col("coefficients")[0])
+    return rounded(current.select(*SERIES, "run", "windows", "intercept", "slope"), ["intercept", "slope"])
+
+
+def _by_text(models):
+    return models.withColumn("station", F.col("station").cast("string"))
+
+
 # Fitted models: no SQL states them; tests hold them against brute force and planted signals.
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barograph.functions.columns import capped_season
 from barograph.operators.lagmodel import LagModel, lag_forecast
 from barograph.operators.sarima import rolling_sarima
+from barograph.operators.seriesmodel import SeriesModels, series_forecast
 from barograph.params import ForecastParams, SeriesSpec
 from barograph.plans.layout import POS, attach, block_window, fill_gaps, merge_blocks, split_blocks
 
@@ -126,7 +127,7 @@ def forecast_series(
     columns: Iterable[str],
     names: Iterable[str] | None = None,
     params: ForecastParams = ForecastParams(),
-    lag_model: LagModel | None = None,
+    lag_model: LagModel | SeriesModels | None = None,
 ) -> DataFrame:
     """Add ``forecast_<name>`` for every column and the error of the primary one.
 
@@ -155,7 +156,10 @@ def forecast_series(
         else:
             out = out.withColumns({f"_s_{c}": F.lit(None).cast("double") for c in columns})
         if params.use_lag_model:
-            lagged = lag_forecast(df, spec, columns, plan, params, lag_model)
+            if isinstance(lag_model, SeriesModels):
+                lagged = series_forecast(df, spec, columns, plan, lag_model, names)
+            else:
+                lagged = lag_forecast(df, spec, columns, plan, params, lag_model)
             lagged = lagged.select(*spec.keys, POS, *[F.col(f"{c}_forecast").alias(f"_l_{c}") for c in columns])
             out = out.join(lagged, [*spec.keys, POS], "left")
         else:

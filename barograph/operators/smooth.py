@@ -1,19 +1,23 @@
 """Median and adaptive Kalman smoothing.
 
-The recurrence runs over a whole series. A series that fits into one block is
-smoothed by one grouped call. A longer one is smoothed block by block: the noise
-level is an affine recurrence, the error a product of 2x2 matrices and the
-estimate an affine recurrence again, so each block is first reduced to its
-effect on the carried value, the effects are applied in order (one row per
-block), and the blocks are then replayed from their start values.
+The recurrence runs over a whole series, but each of its parts can be scanned: the noise level and the estimate are
+affine recurrences, the error is a product of 2x2 matrices. A task takes the rows of many series or blocks at once,
+lays them out in chunks, reduces every chunk to its effect, applies the effects in order (one step per
+chunk) and replays all chunks side by side, so that no Python step sees a single row.
+
+A series that fits into one block is smoothed in one such pass. A longer one is smoothed block by block in the same
+way: each block is first reduced to its effect on the carried value, the effects are applied in order (one row
+per block), and the blocks are then replayed from their start values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,76 +25,197 @@ from barograph.params import KalmanParams, SeriesSpec
 from barograph.plans.layout import BLOCK, OWN, POS, fill_gaps, split_blocks, spread
 from barograph.session import materialize
 
-
-def _trailing(x: np.ndarray, rows: int, reduce_rows) -> np.ndarray:
-    """``reduce_rows`` over the last ``rows`` values; the window grows at the start."""
-    out = np.empty(len(x))
-    for i in range(min(rows - 1, len(x))):
-        out[i] = reduce_rows(x[None, : i + 1])[0]
-    if len(x) >= rows:
-        out[rows - 1 :] = reduce_rows(np.lib.stride_tricks.sliding_window_view(x, rows))
-    return out
-
-
-def medians_and_noise(x: np.ndarray, first: int, params: KalmanParams) -> tuple[np.ndarray, np.ndarray]:
+#: Rows that are scanned together, or one segment if it is longer.
+ROWS = 1 << 17
+
+
+@dataclass(frozen=True)
+class Chunks:
+    """Segments of rows, one behind the other, cut into chunks of ``width`` (the last of a segment is padded)."""
+
+    sizes: np.ndarray
+    width: int
+    #: Chunks per segment, and the place of each row in the padded layout.
+    counts: np.ndarray
+    spots: np.ndarray
+
+    @staticmethod
+    def of(sizes: np.ndarray) -> Chunks:
+        total = int(sizes.sum())
+        width = max(1, min(int(sizes.max(initial=1)), int(np.ceil(np.sqrt(total)))))
+        counts = -(-sizes // width)
+        first = (np.cumsum(counts) - counts) * width
+        rows = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return Chunks(sizes, width, counts, np.repeat(first, sizes) + rows)
+
+    def lay(self, values: np.ndarray, pad: float) -> np.ndarray:
+        """Values by (place in the chunk, chunk)."""
+        out = np.full(int(self.counts.sum()) * self.width, pad)
+        out[self.spots] = values
+        return np.ascontiguousarray(out.reshape(-1, self.width).T)
+
+    def back(self, laid: np.ndarray) -> np.ndarray:
+        return laid.T.reshape(-1)[self.spots]
+
+    def carry(self, step, starts) -> list:
+        """The value that each chunk starts from: ``step(chunk, value)`` leads to the next chunk of a segment."""
+        out, at = [], 0
+        for count, value in zip(self.counts.tolist(), starts, strict=True):
+            for i in range(at, at + count):
+                out.append(value)
+                value = step(i, value)
+            at += count
+        return out
+
+    def totals(self, step, start) -> list:
+        """What ``step`` makes of ``start`` over all chunks of each segment."""
+        out, at = [], 0
+        for count in self.counts.tolist():
+            value = start
+            for i in range(at, at + count):
+                value = step(i, value)
+            out.append(value)
+            at += count
+        return out
+
+
+def _effect(a: np.ndarray, b: np.ndarray) -> tuple[list[float], list[float]]:
+    """Each chunk's effect on a carried value: x becomes a x + b."""
+    scale, shift = np.ones(a.shape[1]), np.zeros(a.shape[1])
+    for x, y in zip(a, b, strict=True):
+        scale, shift = x * scale, x * shift + y
+    return scale.tolist(), shift.tolist()
+
+
+def affine_scan(chunks: Chunks, a: np.ndarray, b: np.ndarray, starts) -> np.ndarray:
+    """y = a y + b over each segment, from its start value."""
+    a, b = chunks.lay(a, 1.0), chunks.lay(b, 0.0)
+    scale, shift = _effect(a, b)
+    y = np.array(chunks.carry(lambda i, x: scale[i] * x + shift[i], starts), float)
+    out = np.empty_like(a)
+    for i in range(chunks.width):
+        y = a[i] * y + b[i]
+        out[i] = y
+    return chunks.back(out)
+
+
+def running_medians(x: np.ndarray, place: np.ndarray, rows: int) -> np.ndarray:
+    """Median of the last ``rows`` values; ``place`` counts from the start of a segment, where the window grows."""
+    last = np.stack([np.where(place >= k, np.roll(x, k), np.nan) for k in range(rows)], axis=1)
+    last.sort(axis=1)  # what is missing comes last
+    many = np.minimum(place + 1, rows)
+    each = np.arange(len(x))
+    return (last[each, (many - 1) // 2] + last[each, many // 2]) / 2 if len(x) else x
+
+
+def trailing_variance(x: np.ndarray, place: np.ndarray, rows: int) -> np.ndarray:
+    """Population variance of the last ``rows`` values; the window grows at the start of a segment."""
+    many = np.minimum(place + 1, rows).astype(float)
+    mean, out = np.zeros(len(x)), np.zeros(len(x))
+    for k in range(rows):
+        mean += np.where(place >= k, np.roll(x, k), 0.0)
+    mean /= np.maximum(many, 1)
+    for k in range(rows):
+        out += np.where(place >= k, np.roll(x, k) - mean, 0.0) ** 2
+    return out / np.maximum(many, 1)
+
+
+def medians_and_noise(x: np.ndarray, sizes: np.ndarray, firsts: np.ndarray, params: KalmanParams):
     """Running median, and the variance of the last medians once there are enough.
 
-    ``first`` is the position of the first value in its series.
+    ``firsts`` are the positions of the first rows of the segments in their series.
     """
-    medians = _trailing(x, params.median_window, lambda rows: np.median(rows, axis=1))
-    variance = _trailing(medians, params.history, lambda rows: rows.var(axis=1))
-    variance[: max(params.min_history - 1 - first, 0)] = np.nan
+    place = np.arange(len(x)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    medians = running_medians(x, place, params.median_window)
+    variance = trailing_variance(medians, place, params.history)
+    variance[place + np.repeat(firsts, sizes) < params.min_history - 1] = np.nan
+    variance[np.isnan(medians)] = np.nan
     return medians, variance
 
 
-def noise_levels(variance: np.ndarray, start: float, params: KalmanParams) -> np.ndarray:
+def noise_levels(chunks: Chunks, variance: np.ndarray, starts, params: KalmanParams) -> np.ndarray:
     """Measurement noise after each row; rows without a variance keep the level."""
-    keep, learn = 1.0 - params.adaptation_rate, params.adaptation_rate
-    level, out = start, np.empty(len(variance))
-    for i, v in enumerate(variance.tolist()):
-        if v == v:
-            level = keep * level + learn * (v if v > params.min_variance else params.min_variance)
-        out[i] = level
-    return out
-
+    known = ~np.isnan(variance)
+    learn = params.adaptation_rate
+    a = np.where(known, 1.0 - learn, 1.0)
+    b = np.where(known, learn * np.maximum(np.where(known, variance, 0.0), params.min_variance), 0.0)
+    return affine_scan(chunks, a, b, starts)
+
+
+def _matrices(chunks: Chunks, levels: np.ndarray, params: KalmanParams) -> list[np.ndarray]:
+    """Each chunk's 2x2 matrix (four arrays) of the error update, scaled to stay finite."""
+    q, laid = params.process_variance, chunks.lay(levels, np.nan)
+    n = laid.shape[1]
+    a, b, c, d = np.ones(n), np.zeros(n), np.zeros(n), np.ones(n)
+    for level in laid:
+        new = level * (a + q * c), level * (b + q * d), a + (q + level) * c, b + (q + level) * d
+        top = np.maximum.reduce([np.abs(x) for x in new])
+        live = ~np.isnan(level)
+        a, b, c, d = (np.where(live, x / top, old) for x, old in zip(new, (a, b, c, d), strict=True))
+    return [a, b, c, d]
+
+
+def gains(chunks: Chunks, levels: np.ndarray, starts, params: KalmanParams) -> np.ndarray:
+    """Kalman gain of each row, from the error before each segment."""
+    a, b, c, d = (x.tolist() for x in _matrices(chunks, levels, params))
+    error = np.array(chunks.carry(lambda i, e: (a[i] * e + b[i]) / (c[i] * e + d[i]), starts), float)
+    laid = chunks.lay(levels, 1.0)
+    out = np.empty_like(laid)
+    for i, level in enumerate(laid):
+        predicted = error + params.process_variance
+        out[i] = predicted / (predicted + level)
+        error = (1.0 - out[i]) * predicted
+    return chunks.back(out)
+
+
+def error_matrices(chunks: Chunks, levels: np.ndarray, params: KalmanParams) -> list[tuple[float, float, float, float]]:
+    """Each segment's 2x2 matrix of the error update over all its rows."""
+    each = list(zip(*(x.tolist() for x in _matrices(chunks, levels, params)), strict=True))
+
+    def step(i: int, m):
+        (a, b, c, d), (e, f, g, h) = each[i], m
+        out = a * e + b * g, a * f + b * h, c * e + d * g, c * f + d * h
+        top = max(map(abs, out))
+        return tuple(x / top for x in out)
+
+    return chunks.totals(step, (1.0, 0.0, 0.0, 1.0))
+
+
+def estimates(chunks: Chunks, medians: np.ndarray, gain: np.ndarray, starts) -> np.ndarray:
+    """Smoothed value of each row."""
+    return affine_scan(chunks, 1.0 - gain, gain * medians, starts)
 
-def gains(levels: np.ndarray, error: float, params: KalmanParams) -> tuple[np.ndarray, float]:
-    """Kalman gain of each row and the error after the last one."""
-    out, q = np.empty(len(levels)), params.process_variance
-    for i, level in enumerate(levels.tolist()):
-        predicted = error + q
-        gain = predicted / (predicted + level)
-        error = (1.0 - gain) * predicted
-        out[i] = gain
-    return out, error
 
+def segments(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = ROWS) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(whole segments of sorted rows, their sizes): at least ``rows`` rows at a time, until the last."""
 
-def estimates(medians: np.ndarray, gain: np.ndarray, value: float) -> np.ndarray:
-    """Smoothed value of each row."""
-    out = np.empty(len(medians))
-    for i, (m, k) in enumerate(zip(medians.tolist(), gain.tolist())):
-        value = value + k * (m - value)
-        out[i] = value
-    return out
+    def cuts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(max(len(table) - 1, 0), bool)
+        for k in keys:
+            column = table.column(k)
+            new |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(new) + 1
 
-
-def error_matrix(levels: np.ndarray, params: KalmanParams) -> tuple[float, float, float, float]:
-    """2x2 matrix of the error update over all rows, scaled to stay finite."""
-    q = params.process_variance
-    a, b, c, d = 1.0, 0.0, 0.0, 1.0
-    for level in levels.tolist():
-        a, b, c, d = level * (a + q * c), level * (b + q * d), a + (q + level) * c, b + (q + level) * d
-        top = max(abs(a), abs(b), abs(c), abs(d))
-        a, b, c, d = a / top, b / top, c / top, d / top
-    return a, b, c, d
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            table = pa.Table.from_batches(held).combine_chunks()
+            ends = cuts(table)
+            if len(ends):
+                yield table.slice(0, ends[-1]), np.diff(ends, prepend=0)
+                held = table.slice(ends[-1]).to_batches()
+    table = pa.Table.from_batches(held).combine_chunks() if held else None
+    if table is not None and len(table):
+        yield table, np.diff(np.append(cuts(table), len(table)), prepend=0)
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy().astype(float)
 
 
-def _first(table: pa.Table, name: str):
-    return table.column(name)[0].as_py()
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
 
 
 def _fields(df: DataFrame, names: Iterable[str]) -> str:
@@ -126,32 +251,42 @@ def kalman_smooth(
     return _smooth_blocks(medians, spec, columns, params, suffix, kept)
 
 
+def _sorted_blocks(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    return spread(blocks, keys).sortWithinPartitions(*keys, POS)
+
+
 def _smooth_whole(blocks, spec, columns, params, suffix, kept) -> DataFrame:
-    def smooth(table: pa.Table) -> pa.Table:
-        table, results = table.sort_by(POS), {}
-        for c in columns:
-            medians, variance = medians_and_noise(_column(table, f"_x_{c}"), 0, params)
-            levels = noise_levels(variance, params.measurement_variance, params)
-            gain, _ = gains(levels, params.estimated_error, params)
-            results[f"{c}{suffix}"] = estimates(medians, gain, medians[0])
-        return _with_results(table, kept, results)
+    keys = list(spec.keys)
+
+    def smooth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, sizes in segments(batches, keys):
+            chunks, results, first = Chunks.of(sizes), {}, _starts(sizes)
+            for c in columns:
+                medians, variance = medians_and_noise(_column(table, f"_x_{c}"), sizes, np.zeros(len(sizes), int), params)
+                levels = noise_levels(chunks, variance, [params.measurement_variance] * len(sizes), params)
+                gain = gains(chunks, levels, [params.estimated_error] * len(sizes), params)
+                results[f"{c}{suffix}"] = estimates(chunks, medians, gain, medians[first].tolist())
+            yield from _with_results(table, kept, results).to_batches()
 
     schema = ", ".join([_fields(blocks, kept), *[f"`{c}{suffix}` double" for c in columns]])
-    return blocks.groupBy(*spec.keys).applyInArrow(smooth, schema)
+    return _sorted_blocks(blocks, keys).mapInArrow(smooth, schema)
 
 
 def _median_rows(blocks: DataFrame, keys: list[str], columns: list[str], params: KalmanParams, kept: list[str]):
     """The owned rows of each block with their medians and noise variances."""
 
-    def medians(table: pa.Table) -> pa.Table:
-        table, results = table.sort_by(POS), {}
-        first = _first(table, POS)
-        for c in columns:
-            results[f"_x_{c}_med"], results[f"_x_{c}_var"] = medians_and_noise(_column(table, f"_x_{c}"), first, params)
-        return _with_results(table, [*kept, BLOCK, OWN], results).filter(table.column(OWN)).drop_columns([OWN])
+    def medians(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, sizes in segments(batches, keys):
+            firsts, results = table.column(POS).to_numpy()[_starts(sizes)], {}
+            for c in columns:
+                results[f"_x_{c}_med"], results[f"_x_{c}_var"] = medians_and_noise(
+                    _column(table, f"_x_{c}"), sizes, firsts, params
+                )
+            rows = _with_results(table, [*kept, BLOCK, OWN], results).filter(table.column(OWN)).drop_columns([OWN])
+            yield from rows.to_batches()
 
     added = [f"`_x_{c}_{part}` double" for c in columns for part in ("med", "var")]
-    return blocks.groupBy(*keys).applyInArrow(medians, ", ".join([_fields(blocks, [*kept, BLOCK]), *added]))
+    return _sorted_blocks(blocks, keys).mapInArrow(medians, ", ".join([_fields(blocks, [*kept, BLOCK]), *added]))
 
 
 def _scan(summaries: DataFrame, spec: SeriesSpec, step, start, values: list[str]) -> DataFrame:
@@ -178,9 +313,6 @@ def _smooth_blocks(blocks, spec, columns, params, suffix, kept) -> DataFrame:
     keys = [*spec.keys, BLOCK]
     keep, learn = 1.0 - params.adaptation_rate, params.adaptation_rate
 
-    def one_row(table: pa.Table, values: dict[str, float]) -> pa.Table:
-        return _with_results(table.slice(0, 1), keys, {name: np.array([v], float) for name, v in values.items()})
-
     # Noise: level_out = keep^k * level_in + sum(learn * keep^(rows left) * variance).
     last = (F.col(BLOCK) + 1) * spec.block_rows - 1
     parts = []
@@ -200,13 +332,18 @@ def _smooth_blocks(blocks, spec, columns, params, suffix, kept) -> DataFrame:
         [f"r_{c}" for c in columns],
     )
 
+    def first_of(table: pa.Table, name: str, sizes: np.ndarray) -> list:
+        return table.column(name).take(pa.array(_starts(sizes))).to_pylist()
+
     # Error: a product of 2x2 matrices.
-    def error_parts(table: pa.Table) -> pa.Table:
-        table, out = table.sort_by(POS), {}
-        for c in columns:
-            level = noise_levels(_column(table, f"_x_{c}_var"), _first(table, f"r_{c}"), params)
-            out.update(zip((f"m{i}_{c}" for i in range(4)), error_matrix(level, params)))
-        return one_row(table, out)
+    def error_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, sizes in segments(batches, keys):
+            chunks, out = Chunks.of(sizes), {}
+            for c in columns:
+                level = noise_levels(chunks, _column(table, f"_x_{c}_var"), first_of(table, f"r_{c}", sizes), params)
+                found = zip(*error_matrices(chunks, level, params), strict=True)
+                out.update({f"m{i}_{c}": np.array(x) for i, x in enumerate(found)})
+            yield from _with_results(table.take(pa.array(_starts(sizes))), keys, out).to_batches()
 
     def next_error(v: str, row: dict, p: float) -> float:
         m = [row[f"m{i}_{v[2:]}"] for i in range(4)]
@@ -214,46 +351,37 @@ def _smooth_blocks(blocks, spec, columns, params, suffix, kept) -> DataFrame:
 
     matrix_schema = ", ".join(f"`m{i}_{c}` double" for c in columns for i in range(4))
     noise = blocks.select(*keys, POS, *[f"_x_{c}_var" for c in columns])
-    errors = _scan(
-        noise.join(levels, keys).groupBy(*keys).applyInArrow(error_parts, f"{_fields(blocks, keys)}, {matrix_schema}"),
-        spec,
-        next_error,
-        lambda v, row: params.estimated_error,
-        [f"p_{c}" for c in columns],
+    parts = _sorted_blocks(noise.join(levels, keys), keys).mapInArrow(error_parts, f"{_fields(blocks, keys)}, {matrix_schema}")
+    errors = _scan(parts, spec, next_error, lambda v, row: params.estimated_error, [f"p_{c}" for c in columns])
+    carried = levels.join(errors, keys)
+
+    # Estimate: a row's value is affine in the value before its block, with a scale and a shift of its own.
+    def value_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, sizes in segments(batches, keys):
+            chunks, out, none = Chunks.of(sizes), {}, np.zeros(len(table))
+            for c in columns:
+                level = noise_levels(chunks, _column(table, f"_x_{c}_var"), first_of(table, f"r_{c}", sizes), params)
+                gain = gains(chunks, level, first_of(table, f"p_{c}", sizes), params)
+                out[f"_x_{c}_shift"] = estimates(chunks, _column(table, f"_x_{c}_med"), gain, [0.0] * len(sizes))
+                out[f"_x_{c}_scale"] = affine_scan(chunks, 1.0 - gain, none, [1.0] * len(sizes))
+            medians = [f"_x_{c}_med" for c in columns]
+            yield from _with_results(table, [*kept, BLOCK, *medians], out).to_batches()
+
+    order = [f"_x_{c}_med" for c in columns], [f"_x_{c}_{part}" for c in columns for part in ("shift", "scale")]
+    made = ", ".join(f"`{name}` double" for part in order for name in part)
+    rows = _sorted_blocks(blocks.join(carried, keys), keys).mapInArrow(value_parts, f"{_fields(blocks, [*kept, BLOCK])}, {made}")
+    rows = materialize(rows, "estimates")
+    ends = rows.groupBy(*keys).agg(
+        *[F.max_by(f"_x_{c}_scale", POS).alias(f"a_{c}") for c in columns],
+        *[F.max_by(f"_x_{c}_shift", POS).alias(f"b_{c}") for c in columns],
+        *[F.min_by(f"_x_{c}_med", POS).alias(f"s_{c}") for c in columns],
     )
-    carried = materialize(levels.join(errors, keys), "errors")
-
-    # Estimate: value_out = a * value_in + b; the first block starts from its first median.
-    def gain_of(table: pa.Table, c: str) -> np.ndarray:
-        level = noise_levels(_column(table, f"_x_{c}_var"), _first(table, f"r_{c}"), params)
-        return gains(level, _first(table, f"p_{c}"), params)[0]
-
-    def value_parts(table: pa.Table) -> pa.Table:
-        table, out = table.sort_by(POS), {}
-        for c in columns:
-            medians, gain = _column(table, f"_x_{c}_med"), gain_of(table, c)
-            out[f"a_{c}"], out[f"b_{c}"] = np.prod(1.0 - gain), estimates(medians, gain, 0.0)[-1]
-            out[f"s_{c}"] = medians[0]
-        return one_row(table, out)
-
-    value_schema = ", ".join(f"`{part}_{c}` double" for c in columns for part in "abs")
-    medians_only = blocks.select(*keys, POS, *[f"_x_{c}_{part}" for c in columns for part in ("med", "var")])
-    summaries = medians_only.join(carried, keys).groupBy(*keys)
     values = _scan(
-        summaries.applyInArrow(value_parts, f"{_fields(blocks, keys)}, {value_schema}"),
+        ends,
         spec,
         lambda v, row, x: affine(v, row, x) if x is not None else None,
         lambda v, row: row[f"s_{v[2:]}"],
         [f"x_{c}" for c in columns],
     )
-
-    def replay(table: pa.Table) -> pa.Table:
-        table, results = table.sort_by(POS), {}
-        for c in columns:
-            start = _first(table, f"x_{c}")
-            start = float("nan") if start is None else start
-            results[f"{c}{suffix}"] = estimates(_column(table, f"_x_{c}_med"), gain_of(table, c), start)
-        return _with_results(table, kept, results)
-
-    schema = ", ".join([_fields(blocks, kept), *[f"`{c}{suffix}` double" for c in columns]])
-    return blocks.join(carried, keys).join(values, keys).groupBy(*keys).applyInArrow(replay, schema)
+    smoothed = [(F.col(f"_x_{c}_scale") * F.col(f"x_{c}") + F.col(f"_x_{c}_shift")).alias(f"{c}{suffix}") for c in columns]
+    return rows.join(values, keys).select(*kept, *smoothed)

@@ -1,24 +1,20 @@
-"""One scheduled run: ingest, compute, write all tables, keep models until drift."""
+"""One scheduled run: ingest, compute, write all tables, keep each series' model until it drifts."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.operators.drift import drift_flags
-from barograph.operators.lagmodel import LagModel
 from barograph.operators.report import alerts
 from barograph.params import RunParams
 from barograph.plans.run import StationRun, run_stations
 from barograph.session import materialize
 from barograph.sources.master import MasterTable, ingest
-from barograph.sources.sinks import append_quarantine, append_run_metrics, schema_hash, table_or_none, write_results
-
-_MODELS = "run long, schema_hash string"
-_EVENTS = "station string, sensor string, p_value double, drift int, run long"
+from barograph.sources.models import EVENTS, ModelTable
+from barograph.sources.sinks import append_quarantine, append_run_metrics, table_or_none, write_results
 
 
 @dataclass(frozen=True)
@@ -31,24 +27,6 @@ class JobPaths:
         return f"{self.root}/{table}"
 
 
-def _saved_model(spark: SparkSession, paths: JobPaths, params: RunParams) -> LagModel | None:
-    """The last saved model, unless sensors changed or a later run found drift."""
-    fits = table_or_none(spark, paths.at("model_runs"), _MODELS)
-    if fits is None:
-        return None
-    wanted = fits.filter(F.col("schema_hash") == schema_hash(params.sensors, params.primary))
-    fitted = wanted.agg(F.max("run")).first()[0]
-    if fitted is None:
-        return None
-    events = table_or_none(spark, paths.at("drift_events"), _EVENTS)
-    if events is not None and not events.filter((F.col("run") >= fitted) & (F.col("drift") == 1)).isEmpty():
-        return None
-    try:
-        return LagModel.load(spark, f"{paths.at('models')}/run={fitted}", [f"{s}_filt" for s in params.sensors])
-    except AnalysisException:
-        return None
-
-
 def run_job(
     spark: SparkSession,
     root: str,
@@ -59,9 +37,9 @@ def run_job(
 ) -> tuple[StationRun, dict]:
     """Run all steps once and write results, quarantine, metrics, alerts, drift events and models.
 
-    Without ``refresh`` the stored master is used if it has rows. The lag model of
-    an earlier run is used again until drift is found or the sensors change. A run
-    without readings writes nothing.
+    Without ``refresh`` the stored master is used if it has rows. Each station and sensor has a lag model of its own,
+    which later runs use again until that series drifts or the sensors change; a run fits only the series
+    without a valid model. A run without readings writes nothing.
     """
     paths = JobPaths(root)
     master = MasterTable(paths.at("master"), tuple(params.sensors))
@@ -71,8 +49,8 @@ def run_job(
         readings = ingest(spark, master, stream_path, snapshot_path)
     if readings.isEmpty():
         return StationRun(readings, readings, readings), {}
-    saved = None if params.forecast.fast else _saved_model(spark, paths, params)
-    run = run_stations(readings, params, saved)
+    models = ModelTable(root, tuple(params.sensors), params.primary, params.forecast.lookback)
+    run = run_stations(readings, params, models=models)
     run = replace(run, results=materialize(run.results, "results"))  # metrics, results and alerts read it
     metrics = append_run_metrics(run.results, paths.at("metrics"), max(master.total(spark) - before, 0))
     number = metrics["run"]
@@ -81,24 +59,14 @@ def run_job(
     alerts(run.results, ["station"], ["timestamp"], params.min_anomalies).write.mode("overwrite").parquet(
         f"{paths.at('alerts')}/run={number}"
     )
-    if run.lag_model is not None and saved is None:
-        run.lag_model.save(spark, f"{paths.at('models')}/run={number}")
-        fitted = spark.range(1).select(
-            F.lit(number).cast("long").alias("run"), schema_hash(params.sensors, params.primary).alias("schema_hash")
-        )
-        fitted.write.mode("append").parquet(paths.at("model_runs"))
-    _append_drift(run.drift, paths, number)
+    if run.fitted is not None:
+        models.commit(run.fitted, number)
+    models.add_events(run.drift, number)
     return run, metrics
 
 
-def _append_drift(drift: DataFrame, paths: JobPaths, number: int) -> None:
-    found = drift.filter(F.col("drift") == 1)
-    found = found.select("station", "sensor", "p_value", "drift", F.lit(number).cast("long").alias("run"))
-    found.write.mode("append").parquet(paths.at("drift_events"))
-
-
 def drifted_stations(spark: SparkSession, root: str) -> DataFrame:
     """Stations with any drift event so far."""
-    events = table_or_none(spark, JobPaths(root).at("drift_events"), _EVENTS)
-    events = spark.createDataFrame([], _EVENTS) if events is None else events
+    events = table_or_none(spark, JobPaths(root).at("drift_events"), EVENTS)
+    events = spark.createDataFrame([], EVENTS) if events is None else events
     return drift_flags(events, ["station"])

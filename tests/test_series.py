@@ -4,11 +4,14 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import ordered, same
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
+from barograph.operators import smooth
 from barograph.operators.features import adaptive_noise, complete_rows, rolling_features, running_median
 from barograph.operators.seasonal import centered_trend, seasonal_parts
 from barograph.operators.smooth import kalman_smooth
-from barograph.params import SeasonalParams
+from barograph.params import KalmanParams, SeasonalParams
 from barograph.plans.layout import exact_quantile, fill_gaps, index_series, merge_blocks, split_blocks
 
 RNG = np.random.default_rng(3)
@@ -114,6 +117,45 @@ def test_kalman_equals_the_plain_loop(series, block):
         same(pdf[(pdf.station == key[0]) & (pdf.sensor == key[1])]["value_filt"], brute_kalman(x), 1e-8)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 70), min_size=1, max_size=12), st.integers(0, 2**32 - 1))
+def test_scans_equal_loops_over_segments_of_any_length(sizes, seed):
+    rng, params = np.random.default_rng(seed), KalmanParams()
+    sizes, total = np.array(sizes), sum(sizes)
+    chunks, cuts = smooth.Chunks.of(sizes), np.cumsum(sizes)[:-1]
+    variance = np.where(rng.random(total) < 0.2, np.nan, rng.exponential(1, total))
+    x, starts = rng.normal(10, 3, total), rng.random(len(sizes)) + 0.5
+    levels = smooth.noise_levels(chunks, variance, starts, params)
+    gain = smooth.gains(chunks, levels, starts, params)
+    values = smooth.estimates(chunks, x, gain, starts)
+    matrices = smooth.error_matrices(chunks, levels, params)
+    for i, (v, m) in enumerate(zip(np.split(variance, cuts), np.split(x, cuts), strict=True)):
+        level = error = value = starts[i]
+        want = []
+        for noise, median in zip(v, m, strict=True):
+            if noise == noise:
+                level = 0.9 * level + 0.1 * max(noise, params.min_variance)
+            predicted = error + params.process_variance
+            k = predicted / (predicted + level)
+            error, value = (1 - k) * predicted, value + k * (median - value)
+            want.append((level, k, value))
+        same(np.column_stack((np.split(levels, cuts)[i], np.split(gain, cuts)[i], np.split(values, cuts)[i])), want, 1e-12)
+        a, b, c, d = matrices[i]
+        assert (a * starts[i] + b) / (c * starts[i] + d) == pytest.approx(error, rel=1e-12)
+
+
+def test_segments_are_cut_at_key_changes_across_batches():
+    import pyarrow as pa
+
+    keys = [1] * 5 + [2] * 9 + [3] * 2 + [4] * 20
+    table = pa.table({"k": keys, "v": range(len(keys))})
+    for size, rows in ((1, 3), (4, 7), (100, 5), (7, 1000)):
+        parts = list(smooth.segments(iter(table.to_batches(size)), ["k"], rows))
+        assert pa.concat_tables([t for t, _ in parts]).equals(table)
+        assert [n for _, sizes in parts for n in sizes] == [5, 9, 2, 20]
+    assert list(smooth.segments(iter([]), ["k"])) == []
+
+
 def test_median_grows_at_the_start_and_noise_waits_for_five(series):
     df, spec = series({(0, "a"): [5.0, 1.0, 4.0, 2.0, 3.0, 9.0]})
     indexed, spec = index_series(df, spec)

@@ -88,29 +88,116 @@ def test_a_repeated_or_unfinished_batch_changes_nothing(spark, folder):
     master = MasterTable(folder, SENSORS)
     master.upsert(frame(spark, [("a", 0, 1)]), "s", 0)
     assert master.upsert(frame(spark, [("a", 0, 7)]), "s", 0) == 0
-    master._write(frame(spark, [("z", 0, 7)]), 0, 1)  # written, never committed
+    master._write(frame(spark, [("z", 0, 7)]))  # written, never committed
     assert values(master.read(spark)) == {("a", 0): 1.0}
     master.upsert(frame(spark, [("a", 1, 2)]), "s", 1)
     assert values(master.read(spark)) == {("a", 0): 1.0, ("a", 1): 2.0}
 
 
+class Interrupted(MasterTable):
+    """Another writer does something between this one's look at the ledger and its commit, once."""
+
+    def meanwhile(self, act):
+        object.__setattr__(self, "_act", act)
+        return self
+
+    def state(self, spark):
+        found, act = super().state(spark), self.__dict__.pop("_act", None)
+        if act:
+            act(MasterTable(self.root, self.sensors))
+        return found
+
+
 def test_two_writers_keep_both_batches(spark, folder):
     master = MasterTable(folder, SENSORS)
-    master.upsert(frame(spark, [("a", 0, 1)]))
-    before = master._last(spark)
+    assert Interrupted(folder, SENSORS).meanwhile(lambda m: m.upsert(frame(spark, [("a", 0, 1), ("a", 30, 1)]))).upsert(
+        frame(spark, [("a", 0, 2), ("b", 1, 3)])
+    ) == 1
+    assert values(master.read(spark)) == {("a", 0): 2.0, ("a", 30): 1.0, ("b", 1): 3.0}
+    assert [(r.new_rows, r.total_rows) for r in master.commits(spark).orderBy("number").collect()] == [(2, 2), (1, 3)]
+    batch = frame(spark, [("c", 0, 5)])
+    assert Interrupted(folder, SENSORS).meanwhile(lambda m: m.upsert(batch, "s", 4)).upsert(batch, "s", 4) == 0
+    assert master.total(spark) == 4
+
+
+@pytest.mark.parametrize("act,want", [
+    ("compact", {("a", 0): 1.0, ("a", 30): 9.0, ("b", 0): 8.0}),
+    ("replace", {("a", 30): 9.0, ("b", 0): 8.0, ("z", 0): 7.0}),
+])
+def test_a_snapshot_during_an_upsert_loses_no_row(spark, folder, act, want):
+    """An upsert whose epoch is over before it commits is counted again and committed on the new one."""
+    master = MasterTable(folder, SENSORS)
+    master.upsert(frame(spark, [("a", 0, 1), ("a", 30, 2)]))
+
+    def other(m):
+        m.compact(spark) if act == "compact" else m.replace(frame(spark, [("z", 0, 7)]))
+
+    assert Interrupted(folder, SENSORS).meanwhile(other).upsert(frame(spark, [("a", 30, 9), ("b", 0, 8)])) == len(want) - (
+        2 if act == "compact" else 1
+    )
+    assert values(master.read(spark)) == want
+    assert master.total(spark) == len(want)
+
+
+def test_an_upsert_during_a_compaction_or_a_snapshot(spark, folder):
+    master = MasterTable(folder, SENSORS)
+    master.upsert(frame(spark, [("a", 0, 1), ("a", 30, 2)]))
+    late = frame(spark, [("a", 30, 9), ("b", 0, 8)])
+    assert Interrupted(folder, SENSORS).meanwhile(lambda m: m.upsert(late)).compact(spark) == 2
+    want = {("a", 0): 1.0, ("a", 30): 9.0, ("b", 0): 8.0}
+    assert values(master.read(spark)) == want and master.total(spark) == 3
+    assert master.upsert(frame(spark, [("b", 0, 5), ("c", 0, 5)])) == 1
+    assert master.compact(spark) == 4
+    # A snapshot during a compaction stays: the compaction starts again from it.
+    snapshot = frame(spark, [("z", 0, 7)])
+    assert Interrupted(folder, SENSORS).meanwhile(lambda m: m.replace(snapshot)).compact(spark) == 1
+    assert values(master.read(spark)) == {("z", 0): 7.0}
+    # A replacement that comes second replaces what was committed while it was written.
+    assert Interrupted(folder, SENSORS).meanwhile(lambda m: m.upsert(late)).replace(frame(spark, [("y", 0, 6)])) == 1
+    assert values(master.read(spark)) == {("y", 0): 6.0} and master.total(spark) == 1
+
+
+def test_threads_that_write_at_once_keep_all_rows(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    master = MasterTable(folder, SENSORS)
+    master.upsert(frame(spark, [("a", 0, 0)]))
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [pool.submit(master.upsert, frame(spark, [("a", 0, i), (f"s{i}", i, i)])) for i in range(1, 5)]
+        jobs.append(pool.submit(master.compact, spark))
+        [job.result() for job in jobs]
+    got = values(master.read(spark))
+    assert {k: v for k, v in got.items() if k != ("a", 0)} == {(f"s{i}", i): float(i) for i in range(1, 5)}
+    assert master.total(spark) == len(got) == 5
 
-    class Late(MasterTable):  # has looked at the ledger before the other writer committed
-        def _last(self, spark):
-            return before
 
-    master.upsert(frame(spark, [("a", 1, 2)]))
-    Late(folder, SENSORS).upsert(frame(spark, [("b", 1, 3)]))
-    assert values(master.read(spark)) == {("a", 0): 1.0, ("a", 1): 2.0, ("b", 1): 3.0}
-    assert master.total(spark) == 3
-    Late(folder, SENSORS).replace(frame(spark, [("c", 1, 4), ("c", 2, 4)]))
-    Late(folder, SENSORS).replace(frame(spark, [("d", 1, 5)]))
-    assert values(master.read(spark)) in ({("c", 1): 4.0, ("c", 2): 4.0}, {("d", 1): 5.0})
-    assert master.total(spark) == master.read(spark).count()
+def test_days_of_one_batch_are_read_without_a_shuffle(spark, folder):
+    def exchanges(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning"), plan.count("Scan parquet")
+
+    master = MasterTable(folder, SENSORS)
+    master.upsert(frame(spark, [("a", h, h) for h in range(0, 240, 5)]))
+    assert exchanges(master.read(spark)) == (0, 1)
+    master.upsert(frame(spark, [("a", 0, 9), ("a", 1, 9), ("a", 300, 9)]))
+    assert exchanges(master.read(spark)) == (1, 2)
+    several = master.read(spark).filter(F.col("rh") >= 0)
+    files = [f for f in several.inputFiles() if "day=2025-01-01" in f]
+    assert len(files) == 2  # only the shared day is read from both batches
+    assert values(master.read(spark)) == {("a", h): 9.0 if h == 0 else float(h) for h in range(0, 240, 5)} | {
+        ("a", 1): 9.0, ("a", 300): 9.0,
+    }
+
+
+def test_repeated_and_incomplete_keys_in_a_batch(spark, folder):
+    master = MasterTable(folder, SENSORS)
+    rows = frame(spark, [("a", 0, 1), ("a", 0, 2), ("a", 1, 3)])
+    assert master.upsert(rows.union(rows.selectExpr("station", "cast(null as timestamp_ntz)", "rh", "temp", "pressure"))) == 2
+    first = values(master.read(spark))
+    assert set(first) == {("a", 0), ("a", 1)}
+    other = MasterTable(f"{folder}/other", SENSORS)
+    other.upsert(rows.repartition(3))
+    assert values(other.read(spark)) == first
 
 
 def test_ingest_prefers_the_snapshot(spark, folder):
@@ -256,27 +343,41 @@ def test_index_of_an_empty_frame(spark):
     assert indexed.count() == 0 and spec.longest == 0
 
 
-def test_job_writes_every_table_and_keeps_the_model_until_drift(spark, folder):
+def test_job_writes_every_table_and_keeps_each_model_until_its_series_drifts(spark, folder):
     params = RunParams(
         sensors=SENSORS,
         seasonal=SeasonalParams(30),
-        forecast=ForecastParams(lookback=12, tail_rows=100),
+        forecast=ForecastParams(lookback=12, tail_rows=100, use_sarima=False),
         drift=DriftParams(p_threshold=0.0),
     )
+
+    def fits():
+        rows = spark.read.parquet(f"{folder}/job/models").collect()
+        return {run: {(r.station, r.sensor) for r in rows if r.run == run} for run in {r.run for r in rows}}
+
     cells = station_frame(spark).select("station", F.col("timestamp").cast("string"), *SENSORS)
     cells.write.option("header", True).csv(f"{folder}/landing")
     run, metrics = run_job(spark, f"{folder}/job", f"{folder}/landing", params=params)
     assert metrics["run"] == 1 and metrics["new_records_last_run"] == 840
     assert metrics["records_total"] == run.results.count()
+    assert run.results.filter("forecast_temp IS NOT NULL").count() == 200
     _, again = run_job(spark, f"{folder}/job", f"{folder}/landing", params=params, refresh=False)
     assert again == metrics | {"run": 2, "new_records_last_run": 0}
-    assert spark.read.parquet(f"{folder}/job/model_runs").count() == 1
+    every = {(s, c) for s in "ab" for c in SENSORS}
+    assert fits() == {1: every}
     assert spark.read.parquet(f"{folder}/job/results/run=2").count() == metrics["records_total"]
     assert spark.read.parquet(f"{folder}/job/quarantine").groupBy("run").count().count() == 2
     assert spark.read.parquet(f"{folder}/job/alerts/run=1").count() == 2
-    drifting = replace(params, drift=DriftParams())
-    run_job(spark, f"{folder}/job", f"{folder}/landing", params=drifting, refresh=False)
-    assert drifted_stations(spark, f"{folder}/job").count() == 2
-    run_job(spark, f"{folder}/job", f"{folder}/landing", params=params, refresh=False)
-    assert spark.read.parquet(f"{folder}/job/model_runs").count() == 2
+    chances = sorted({r.p_value for r in run.drift.collect()})
+    drifting = replace(params, drift=DriftParams(p_threshold=chances[len(chances) // 2]))
+    third, _ = run_job(spark, f"{folder}/job", f"{folder}/landing", params=drifting, refresh=False)
+    moved = {(r.station, r.sensor.removesuffix("_filt")) for r in third.drift.filter("drift = 1").collect()}
+    assert moved and moved != every
+    assert drifted_stations(spark, f"{folder}/job").count() == len({s for s, _ in moved})
+    for _ in range(2):  # the next run fits the series that drifted, the one after it none
+        run_job(spark, f"{folder}/job", f"{folder}/landing", params=params, refresh=False)
+    assert fits() == {1: every, 4: moved}
+    other = replace(params, forecast=replace(params.forecast, lookback=6))
+    run_job(spark, f"{folder}/job", f"{folder}/landing", params=other, refresh=False)
+    assert fits()[6] == every  # models for other lags are stale
     assert run_job(spark, f"{folder}/other", f"{folder}/nothing", params=params)[1] == {}
