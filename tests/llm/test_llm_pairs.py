@@ -159,6 +159,28 @@ def test_neighbours(spark):
     assert [r.rank for r in few] == [1, 2]
 
 
+def test_neighbours_of_repeated_ids_other_lengths_and_tiny_vectors(spark):
+    """Every vector takes part; a pair of ids counts once, with its largest product, among vectors of one length."""
+    rng = np.random.default_rng(3)
+    rows = [(int(i), rng.normal(size=6)) for i in rng.integers(0, 40, 120)] + [(i, rng.normal(size=3)) for i in range(40, 60)]
+    rows += [(20, np.array([1e-323, 0, 0, 0, 0, 0])), (60, np.array([1e-323, 1e-323, 0])), (61, np.array([0.0, 1e300, 0]))]
+    rows += [rows[0], (40, rng.normal(size=6)), (80, np.full(1500, 0.5)), (81, np.full(1500, -0.25)), (82, rng.normal(size=1500))]
+    df = spark.createDataFrame([(i, v.tolist(), 1, 2) for i, v in rows], "vec_id long, embedding array<double>, query int, id int")
+    for blocks in (neighbours.Blocks(k=5), neighbours.Blocks(k=5, query_rows=2, candidate_rows=9, merged=2)):
+        got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, blocks).collect()
+        want = {}
+        for i, v in rows:
+            for j, w in rows:
+                if i % 20 == 0 and i != j and len(v) == len(w):
+                    score = float(neighbours.products(v[None], w[None])[0])
+                    want[i, j] = max(want.get((i, j), -np.inf), score)
+        listed = []
+        for q in sorted({i for i, _ in want}):
+            near = sorted((-s, j) for (i, j), s in want.items() if i == q)[:5]
+            listed += [(q, k + 1, j, -s) for k, (s, j) in enumerate(near)]
+        assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == listed
+
+
 def test_fill_is_optimal():
     rng = random.Random(4)
     for _ in range(60):
