@@ -85,7 +85,7 @@ def _contexts(q: Quality):
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used // 256, pa.int64()), pa.array(used, pa.int64()),
-             pa.array([x.astype(np.float32).tobytes() for x in total[used]], pa.binary())],
+             pa.array([x.tobytes() for x in total[used]], pa.binary())],
             names=["block", "bucket", "vector"],
         )
 
@@ -94,10 +94,11 @@ def _contexts(q: Quality):
 
 def _sum(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     ids, at = np.unique(rows["bucket"], return_inverse=True)
-    vectors = np.stack([np.frombuffer(x, np.float32) for x in rows["vector"]]).astype(np.float64)
+    # Whole numbers: their sums don't depend on the order.
+    vectors = np.stack([np.frombuffer(x, np.float64) for x in rows["vector"]])
     total = np.zeros((len(ids), vectors.shape[1]))
     np.add.at(total, at, vectors)
-    return pd.DataFrame({"block": key[0], "bucket": ids, "vector": [x.astype(np.float32).tobytes() for x in total]})
+    return pd.DataFrame({"block": key[0], "bucket": ids, "vector": [x.tobytes() for x in total]})
 
 
 def word_vectors(texts: DataFrame, q: Quality) -> np.ndarray:
@@ -106,7 +107,7 @@ def word_vectors(texts: DataFrame, q: Quality) -> np.ndarray:
     parts = texts.mapInArrow(_contexts(q), schema)
     out = np.zeros((q.buckets, q.width), np.float32)
     for row in parts.groupBy("block").applyInPandas(_sum, schema).collect():  # one row per bucket
-        out[row["bucket"]] = np.frombuffer(row["vector"], np.float32)
+        out[row["bucket"]] = np.frombuffer(row["vector"], np.float64)
     out -= out.sum(axis=0) / max(1, np.count_nonzero(out.any(axis=1))) * out.any(axis=1)[:, None]
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
@@ -128,7 +129,9 @@ def _features(q: Quality, vectors):
         buckets = Buckets(q.buckets)
         for batch in batches:
             out = [pooled(x, vectors.value).tobytes() for x in texts_of(batch.column("text"), buckets)]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, pa.binary())], names=["label", "x"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("label"), pa.array(out, pa.binary())], names=["doc_id", "label", "x"]
+            )
 
     return run
 
@@ -197,7 +200,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, q: Quality = Quality()) -
     """One row per document: doc_id, held_out, score (label 1 likelier when higher), predicted.
 
     The word vectors cover all texts. Labels come from rows that are not held out; of rows that repeat an id in
-    ``labels`` the largest counts, null labels and ids are left out. Null and empty texts are scored as
+    ``labels`` the largest counts, null labels and ids are left out, and of its texts the largest by bytes is learned
+    from. The scores don't depend on the partitions of the tables. Null and empty texts are scored as
     texts without words. With no usable labels, or one label only, every score is the share of label 1
     (one half without labels). Columns other than doc_id, text and quality are ignored.
     """
@@ -213,8 +217,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, q: Quality = Quality()) -
     ).first()
     share = counts[0] / sum(counts) if sum(counts) else 0.5
     chosen = labelled(labels, "quality", q.rows, learned)  # at most 2 x rows
-    sample = rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    got = sample.mapInArrow(_features(q, vectors), "label int, x binary").collect()
+    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
+    # In the order of the ids: training must not depend on how the rows were spread.
+    got = sorted(sample.mapInArrow(_features(q, vectors), "doc_id long, label int, x binary").collect())
     x = np.stack([np.frombuffer(r["x"]) for r in got]) if got else np.zeros((0, 2 * q.width + 1))
     network = fit(x, np.array([r["label"] for r in got], float), share, q)
     held = rows.select("doc_id", (~learned(F.col("doc_id"))).alias("held_out"), "text")

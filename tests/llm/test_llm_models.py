@@ -206,3 +206,44 @@ def test_pipeline(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).toPandas()
     assert set(packed["doc_id"]) == set(r.doc_id for r in docs.collect())
     assert packed.groupby("sequence_id")["length"].sum().max() <= 1024
+
+
+def test_quality_vectors_pooling_and_gradients_equal_plain_loops(documents):
+    """Random indexing, pooling and the network's training step, written out word by word."""
+    q = quality.Quality(buckets=64, width=8)
+    texts = ["alpha beta gamma beta!", "", "beta alpha delta " * 20, "gamma\nbeta, Alpha", "x"]
+    rows = documents(list(enumerate(texts))).select(quality.as_bytes().alias("text")).repartition(3)
+    vectors = quality.word_vectors(rows, q)
+    buckets, index = quality.Buckets(64), quality.index_vectors(64, 8, q.seed)
+    ids = [buckets.of(quality.PARTS.findall(t.encode())).tolist() for t in texts]
+    total = np.zeros((64, 8))
+    for one in ids:
+        for i, word in enumerate(one):
+            for j in range(max(0, i - 2), min(len(one), i + 3)):
+                if j != i:
+                    total[word] += index[one[j]]
+    used = total.any(axis=1)
+    total[used] -= total.sum(axis=0) / used.sum()
+    want = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+    np.testing.assert_allclose(vectors, want, atol=1e-5)
+    for one in ids:
+        mean = [sum(vectors[w][k] for w in one) / len(one) if one else 0 for k in range(8)]
+        steps = [
+            sum(abs(vectors[b][k] - vectors[a][k]) for a, b in zip(one, one[1:])) / (len(one) - 1) if len(one) > 1 else 0
+            for k in range(8)
+        ]
+        plain = [*mean, *steps, 1 / len(one) if one else 0]
+        np.testing.assert_allclose(quality.pooled(np.array(one, int), vectors), plain, atol=1e-5)
+
+
+def test_quality_scores_do_not_depend_on_partitions(spark, documents):
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(words[: 30 + 30 * (i % 2)], 40))) for i in range(240)] + [(3, "other text"), (3, None)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(240)], "doc_id long, quality int, toxic int")
+    q, found = quality.Quality(epochs=5), []
+    for parts in (1, 5):
+        docs = documents(rows if parts == 1 else rows[::-1]).repartition(parts)
+        got = quality.quality_scores(docs, labels.repartition(parts), q).collect()
+        found.append(sorted((r.doc_id, r.score, r.predicted) for r in got))
+    assert found[0] == found[1]
