@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
@@ -121,10 +120,10 @@ def rules(limits: Limits) -> dict[str, Column]:
 def ordered(docs: DataFrame, limits: Limits, checks: dict[str, Column]) -> list[str]:
     """Rule names by rejections per second on a sample of at most ``limits.sample`` rows.
 
-    The sample is the first rows a scan returns; it decides the order only.
+    The sample is the first rows a scan returns, from as few partitions as hold them; it decides the order only.
     """
     text = F.coalesce(F.col("text"), F.lit("")).alias("__text")
-    sample = materialize(docs.select(text).limit(limits.sample), "rules-sample")
+    sample = docs.sparkSession.createDataFrame(docs.select(text).take(limits.sample), "__text string")
     rejected = sample.agg(F.count("*"), *[F.count(F.when(c, 1)) for c in checks.values()]).first()
 
     def seconds(column: Column) -> float:
