@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barograph.catalog.registry import laid_out
 from barograph.functions.columns import hour_of
 from barograph.params import SeriesSpec
 from barograph.plans.layout import index_series
@@ -32,7 +33,7 @@ def readings(spark: SparkSession, sf_dir: str, stations: int = 8) -> DataFrame:
 
 
 def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]:
-    return index_series(readings(spark, sf_dir), LONG)
+    return index_series(readings(spark, sf_dir), laid_out(LONG))
 
 
 def hourly(spark: SparkSession, sf_dir: str, by_station: bool = False) -> DataFrame:
@@ -43,6 +44,10 @@ def hourly(spark: SparkSession, sf_dir: str, by_station: bool = False) -> DataFr
     return rows.groupBy("station", "timestamp").agg(*means).select("station", "timestamp", *HOURLY_SENSORS)
 
 
+def indexed_hourly(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]:
+    return index_series(hourly(spark, sf_dir, True), laid_out(HOURLY))
+
+
 def raw_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one wide row of text cells, with bad cells planted by row number."""
     text, at = F.col("value").cast("string"), F.col("event_id")

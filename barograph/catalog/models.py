@@ -14,11 +14,12 @@ from barograph.catalog.inputs import (
     hourly,
     hourly_sql,
     indexed,
+    indexed_hourly,
     readings,
     rounded,
     rounded_sql,
 )
-from barograph.catalog.registry import query
+from barograph.catalog.registry import SMALL, query
 from barograph.catalog.windows import K, KEYS, seasonal_sql
 from barograph.functions.columns import flag
 from barograph.operators.anomaly import (
@@ -86,17 +87,19 @@ def series_stats(spark, sf_dir):
 
 @query(
     f"""WITH {hourly_sql(True)} SELECT station, "timestamp", {", ".join(
-        rounded_sql(f'coalesce({s}, avg({s}) OVER (PARTITION BY station))', s) for s in HOURLY_SENSORS)} FROM h"""
+        rounded_sql(f'coalesce({s}, avg({s}) OVER (PARTITION BY station))', s) for s in HOURLY_SENSORS)} FROM h""",
+    SMALL,
 )
 def mean_impute(spark, sf_dir):
-    df, spec = index_series(hourly(spark, sf_dir, True), HOURLY)
+    df, spec = indexed_hourly(spark, sf_dir)
     return rounded(impute(df, spec, HOURLY_SENSORS).drop(POS), HOURLY_SENSORS)
 
 
 @query(
     f"""WITH {READINGS_SQL}, l AS (SELECT *, min(value) OVER s AS low, max(value) OVER s AS high FROM r
  WINDOW s AS (PARTITION BY station, sensor))
-SELECT {K}, {rounded_sql('(value - low) / CASE WHEN high = low THEN 1e-6 ELSE high - low END', 'value_scaled', 6)} FROM l"""
+SELECT {K}, {rounded_sql('(value - low) / CASE WHEN high = low THEN 1e-6 ELSE high - low END', 'value_scaled', 6)} FROM l""",
+    SMALL,
 )
 def minmax_scale(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
@@ -112,7 +115,7 @@ z AS (SELECT *, CAST(coalesce(stddev_samp(value) OVER w > 0
   FROM p WINDOW w AS ({_Z}))"""
 
 
-@query(f"WITH {ZSCORE_SQL} SELECT {K}, anomaly_zscore FROM z")
+@query(f"WITH {ZSCORE_SQL} SELECT {K}, anomaly_zscore FROM z", SMALL)
 def zscore_flags(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
     return flag_zscores(df, spec, {"anomaly_zscore": ["value"]}, 2.0).select(*KEYS, "anomaly_zscore")
@@ -123,7 +126,7 @@ _START = "CASE WHEN n < 30 THEN n ELSE greatest(least(54, n - 1), n - 120) END"
 FORECAST_SQL = f"{INDEXED_SQL}, f AS (SELECT *, {_TAIL} AS forecast FROM p)"
 
 
-@query(f"WITH {FORECAST_SQL} SELECT {K}, {rounded_sql('forecast', 'forecast', 6)} FROM f")
+@query(f"WITH {FORECAST_SQL} SELECT {K}, {rounded_sql('forecast', 'forecast', 6)} FROM f", SMALL)
 def tail_mean_forecast(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
     made = tail_mean(df, spec, ["value"], ["value"]).withColumnRenamed("forecast_value", "forecast")
@@ -153,7 +156,7 @@ def _with_errors(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return forecast_errors(made, spec, "value", "forecast", 30)
 
 
-@query(f"WITH {ERROR_SQL} SELECT {K}, {ERRORS_SQL} FROM e")
+@query(f"WITH {ERROR_SQL} SELECT {K}, {ERRORS_SQL} FROM e", SMALL)
 def forecast_error_stats(spark, sf_dir):
     return rounded(_with_errors(*indexed(spark, sf_dir)).select(*KEYS, *ERRORS), ERRORS, 7)
 
@@ -163,7 +166,7 @@ _MASKED = ", ".join(
 )
 
 
-@query(f"WITH {ERROR_SQL} SELECT {K}, {_MASKED} FROM e")
+@query(f"WITH {ERROR_SQL} SELECT {K}, {_MASKED} FROM e", SMALL)
 def warmup_mask(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
     plan = forecast_plan(df, spec, ForecastParams(use_sarima=False, fast=True))
@@ -175,7 +178,8 @@ def warmup_mask(spark, sf_dir):
     f"""WITH {INDEXED_SQL}, f AS (SELECT *, CASE WHEN pos >= ({_START}) THEN {_TAIL} END AS forecast FROM p),
 e0 AS (SELECT *, abs(value - forecast) AS forecast_error FROM f),
 e AS (SELECT *, avg(forecast_error) OVER {_E} AS forecast_error_mean, coalesce(stddev_samp(forecast_error) OVER {_E}, 0.0) AS forecast_error_std FROM e0)
-SELECT {K}, {rounded_sql('forecast', 'forecast_value', 7)}, {_MASKED} FROM e"""
+SELECT {K}, {rounded_sql('forecast', 'forecast_value', 7)}, {_MASKED} FROM e""",
+    SMALL,
 )
 def fast_forecast(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
@@ -232,7 +236,7 @@ rf AS (SELECT station, sensor, seq, CAST(coalesce(stddev_samp(residual) OVER w >
   FROM s5 WINDOW w AS ({_Z}))"""
 
 
-@query(f"WITH {RESIDUAL_SQL} SELECT {K}, anomaly_residual FROM rf")
+@query(f"WITH {RESIDUAL_SQL} SELECT {K}, anomaly_residual FROM rf", SMALL)
 def residual_flags(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
     parts = materialize(seasonal_parts(df, spec, ["value"], DAY), "parts")
@@ -257,7 +261,7 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine_flags(flagged.withColumn("anomaly_forecast_error", error_flag()), FLAGS)
 
 
-@query(f"WITH {FLAGGED_SQL} SELECT {K}, {', '.join(FLAGS)}, anomaly_combined FROM a")
+@query(f"WITH {FLAGGED_SQL} SELECT {K}, {', '.join(FLAGS)}, anomaly_combined FROM a", SMALL)
 def anomaly_combined(spark, sf_dir):
     return _flagged(spark, sf_dir).select(*KEYS, *FLAGS, "anomaly_combined")
 
@@ -319,7 +323,7 @@ def markdown_report(spark, sf_dir):
     return report_of(readings(spark, sf_dir), ["station"], ["sensor", "seq", "value"], ["ts", "seq"])
 
 
-@query(f"WITH {INDEXED_SQL} SELECT {K}, pos, value FROM p WHERE pos >= n - 120")
+@query(f"WITH {INDEXED_SQL} SELECT {K}, pos, value FROM p WHERE pos >= n - 120", SMALL)
 def tail_rows(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
     sizes = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
@@ -329,7 +333,8 @@ def tail_rows(spark, sf_dir):
 @query(
     f"""WITH {INDEXED_SQL}, l AS (SELECT *, list(value) OVER (PARTITION BY station, sensor ORDER BY pos ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS lags,
  list(value) OVER (PARTITION BY station, sensor ORDER BY pos ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS targets FROM p)
-SELECT {K}, array_to_string(lags, ',') AS lags, array_to_string(targets, ',') AS targets FROM l WHERE len(lags) = 6 AND len(targets) = 2"""
+SELECT {K}, array_to_string(lags, ',') AS lags, array_to_string(targets, ',') AS targets FROM l WHERE len(lags) = 6 AND len(targets) = 2""",
+    SMALL,
 )
 def lag_windows(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
@@ -369,7 +374,7 @@ def _samples(spark, sf_dir):
     return take_samples(df, spec, ["value"])
 
 
-@query(f"WITH {SAMPLES_SQL} SELECT station, sensor, sample, pos, value FROM d")
+@query(f"WITH {SAMPLES_SQL} SELECT station, sensor, sample, pos, value FROM d", SMALL)
 def drift_samples(spark, sf_dir):
     return _samples(spark, sf_dir)
 

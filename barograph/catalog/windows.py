@@ -11,14 +11,16 @@ from barograph.catalog.inputs import (
     hourly,
     hourly_sql,
     indexed,
+    indexed_hourly,
     readings,
     rounded,
     rounded_sql,
 )
-from barograph.catalog.registry import query
+from barograph.catalog.registry import SMALL, query
 from barograph.operators.features import (
     adaptive_noise,
     complete_rows,
+    median_features as features_of_medians,
     rolling_features,
     running_median as add_median,
 )
@@ -67,19 +69,19 @@ def series_positions_by_range(spark, sf_dir):
     return df.select(*KEYS, POS)
 
 
-@query(f"WITH {INDEXED_SQL} SELECT {K}, {rounded_sql(f'median(value) OVER {_w(5)}', 'med5')} FROM p")
+@query(f"WITH {INDEXED_SQL} SELECT {K}, {rounded_sql(f'median(value) OVER {_w(5)}', 'med5')} FROM p", SMALL)
 def running_median(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
     made = add_median(df, spec, ["value"]).withColumnRenamed("value_med", "med5")
     return rounded(made.select(*KEYS, "med5"), ["med5"])
 
 
-@query(f"WITH {INDEXED_SQL} SELECT {K}, {_full(f'avg(value) OVER {_w(6)}', 'mean')}, {_full(f'stddev_samp(value) OVER {_w(6)}', 'std')} FROM p")
+@query(f"WITH {INDEXED_SQL} SELECT {K}, {_full(f'avg(value) OVER {_w(6)}', 'mean')}, {_full(f'stddev_samp(value) OVER {_w(6)}', 'std')} FROM p", SMALL)
 def rolling_mean_std(spark, sf_dir):
     return _features(spark, sf_dir, ["mean", "std"])
 
 
-@query(f"WITH {INDEXED_SQL} SELECT {K}, {_full(f'min(value) OVER {_w(6)}', 'min')}, {_full(f'max(value) OVER {_w(6)}', 'max')} FROM p")
+@query(f"WITH {INDEXED_SQL} SELECT {K}, {_full(f'min(value) OVER {_w(6)}', 'min')}, {_full(f'max(value) OVER {_w(6)}', 'max')} FROM p", SMALL)
 def rolling_min_max(spark, sf_dir):
     return _features(spark, sf_dir, ["min", "max"])
 
@@ -89,7 +91,7 @@ def _shape_sql(function: str, constant: str) -> str:
  WHEN var_pop(value) OVER {_w(6)} > 1e-14 THEN {function}(value) OVER {_w(6)} END"""
 
 
-@query(f"WITH {INDEXED_SQL} SELECT {K}, {_full(_shape_sql('skewness', '0.0'), 'skew')}, {_full(_shape_sql('kurtosis', '-3.0'), 'kurt')} FROM p")
+@query(f"WITH {INDEXED_SQL} SELECT {K}, {_full(_shape_sql('skewness', '0.0'), 'skew')}, {_full(_shape_sql('kurtosis', '-3.0'), 'kurt')} FROM p", SMALL)
 def rolling_skew_kurt(spark, sf_dir):
     return _features(spark, sf_dir, ["skew", "kurt"])
 
@@ -98,7 +100,7 @@ def _lag(n: int) -> str:
     return f"lag(value, {n}) OVER (PARTITION BY station, sensor ORDER BY pos)"
 
 
-@query(f"WITH {INDEXED_SQL} SELECT {K}, {rounded_sql(f'value - {_lag(1)}', 'delta')}, {rounded_sql(f'value - {_lag(6)}', 'gradient')} FROM p")
+@query(f"WITH {INDEXED_SQL} SELECT {K}, {rounded_sql(f'value - {_lag(1)}', 'delta')}, {rounded_sql(f'value - {_lag(6)}', 'gradient')} FROM p", SMALL)
 def delta_gradient(spark, sf_dir):
     return _features(spark, sf_dir, ["delta", "gradient"])
 
@@ -106,7 +108,7 @@ def delta_gradient(spark, sf_dir):
 DELTA_SQL = f"{INDEXED_SQL}, d AS (SELECT *, value - {_lag(1)} AS delta FROM p)"
 
 
-@query(f"WITH {DELTA_SQL} SELECT {K}, {_full(f'avg(delta * delta) OVER {_w(6)}', 'energy', places=6, counted='delta')} FROM d")
+@query(f"WITH {DELTA_SQL} SELECT {K}, {_full(f'avg(delta * delta) OVER {_w(6)}', 'energy', places=6, counted='delta')} FROM d", SMALL)
 def rolling_energy(spark, sf_dir):
     return _features(spark, sf_dir, ["energy"], 6)
 
@@ -116,7 +118,8 @@ def rolling_energy(spark, sf_dir):
  {_full(_shape_sql('skewness', '0.0'), 'skew')}, {_full(_shape_sql('kurtosis', '-3.0'), 'kurt')},
  {rounded_sql(f'value - {_lag(6)}', 'gradient')}, {_full(f'avg(delta * delta) OVER {_w(6)}', 'energy', places=6, counted='delta')} FROM d)
 SELECT * FROM a WHERE mean IS NOT NULL AND std IS NOT NULL AND skew IS NOT NULL AND kurt IS NOT NULL
- AND gradient IS NOT NULL AND energy IS NOT NULL"""
+ AND gradient IS NOT NULL AND energy IS NOT NULL""",
+    SMALL,
 )
 def features_complete(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
@@ -128,6 +131,34 @@ def features_complete(spark, sf_dir):
     return rounded(rounded(kept, ["mean", "std", "skew", "kurt", "gradient"]), ["energy"], 6)
 
 
+# A window longer than lag columns serve, and features of medians: two operators on one set of blocks.
+
+_LONG = [("mean", "avg(value)"), ("std", "stddev_samp(value)"), ("min", "min(value)"), ("max", "max(value)")]
+
+
+@query(f"WITH {INDEXED_SQL} SELECT {K}, {', '.join(_full(f'{e} OVER {_w(24)}', n, 24, 6) for n, e in _LONG)} FROM p", SMALL)
+def rolling_day(spark, sf_dir):
+    df, spec = indexed(spark, sf_dir)
+    which = [n for n, _ in _LONG]
+    made = rolling_features(df, spec, ["value"], 24, [""], which).withColumnsRenamed({f"_{k}": k for k in which})
+    return rounded(made.select(*KEYS, *which), which, 6)
+
+
+@query(
+    f"""WITH {INDEXED_SQL}, m AS (SELECT *, median(value) OVER {_w(5)} AS med FROM p),
+d AS (SELECT *, med - lag(med) OVER (PARTITION BY station, sensor ORDER BY pos) AS delta FROM m)
+SELECT {K}, {rounded_sql('med', 'med', 6)}, {_full(f'avg(med) OVER {_w(6)}', 'mean', 6, 6, 'med')},
+ {_full(f'stddev_samp(med) OVER {_w(6)}', 'std', 6, 6, 'med')}, {_full(f'avg(delta * delta) OVER {_w(6)}', 'energy', 6, 8, 'delta')} FROM d""",
+    SMALL,
+)
+def median_features(spark, sf_dir):
+    df, spec = indexed(spark, sf_dir)
+    made = features_of_medians(df, spec, ["value"], which=["mean", "std", "energy"])
+    made = made.withColumnsRenamed({f"value_{k}": k for k in ("med", "mean", "std", "energy")})
+    made = made.select(*KEYS, "med", "mean", "std", "energy")
+    return rounded(rounded(made, ["med", "mean", "std"], 6), ["energy"], 8)
+
+
 _FILLED = ", ".join(
     rounded_sql(
         f"""coalesce(last_value({s} IGNORE NULLS) OVER (PARTITION BY station ORDER BY "timestamp"
@@ -139,9 +170,9 @@ _FILLED = ", ".join(
 )
 
 
-@query(f'WITH {hourly_sql(True)} SELECT station, "timestamp", {_FILLED} FROM h')
+@query(f'WITH {hourly_sql(True)} SELECT station, "timestamp", {_FILLED} FROM h', SMALL)
 def fill_forward_back(spark, sf_dir):
-    df, spec = index_series(hourly(spark, sf_dir, True), HOURLY)
+    df, spec = indexed_hourly(spark, sf_dir)
     filled = fill_gaps(df, spec, HOURLY_SENSORS).select("station", "timestamp", *HOURLY_SENSORS)
     return rounded(filled, HOURLY_SENSORS)
 
@@ -151,7 +182,7 @@ NOISE_SQL = f"""{MEDIAN_SQL},
 v AS (SELECT *, CASE WHEN pos >= 4 THEN var_pop(med) OVER {_w(20)} END AS noise FROM m)"""
 
 
-@query(f"WITH {NOISE_SQL} SELECT {K}, {rounded_sql('med', 'med5')}, {rounded_sql('sqrt(noise)', 'std20')} FROM v")
+@query(f"WITH {NOISE_SQL} SELECT {K}, {rounded_sql('med', 'med5')}, {rounded_sql('sqrt(noise)', 'std20')} FROM v", SMALL)
 def adaptive_noise_var(spark, sf_dir):
     df, spec = indexed(spark, sf_dir)
     made = adaptive_noise(df, spec, ["value"]).withColumnRenamed("value_med", "med5")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barograph.functions.columns import full_window, median_of, window_kurtosis, window_skew
 from barograph.params import KalmanParams, SeriesSpec
-from barograph.plans.layout import block_window, merge_blocks, split_blocks
+from barograph.plans.layout import Step, block_window, merge_blocks, run_chain, split_blocks
 
 _STATISTICS = {
     "count": lambda x, d, frame, rows, w: F.count(x).over(frame),
@@ -168,6 +168,23 @@ def running_median(df: DataFrame, spec: SeriesSpec, columns: Iterable[str], wind
     return merge_blocks(blocks.withColumns(medians), spec)
 
 
+def median_features(
+    df: DataFrame,
+    spec: SeriesSpec,
+    columns: Iterable[str],
+    median_window: int = 5,
+    window: int = 6,
+    which: Iterable[str] = FEATURES,
+) -> DataFrame:
+    """Running median of each column and the chosen features of these medians, in one exchange."""
+    columns, which = list(columns), list(which)
+    medians = [f"{c}_med" for c in columns]
+    return run_chain(df, spec, [
+        Step(lambda rows, inner: running_median(rows, inner, columns, median_window), median_window - 1),
+        Step(lambda rows, inner: rolling_features(rows, inner, medians, window, columns, which), window),
+    ])
+
+
 def adaptive_noise(df: DataFrame, spec: SeriesSpec, columns: Iterable[str], params: KalmanParams = KalmanParams()):
     """Running medians and their recent population variance, the measurement noise."""
     columns, w = list(columns), block_window(spec)

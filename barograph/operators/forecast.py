@@ -12,7 +12,7 @@ from barograph.operators.lagmodel import LagModel, lag_forecast
 from barograph.operators.sarima import rolling_sarima
 from barograph.operators.seriesmodel import SeriesModels, series_forecast
 from barograph.params import ForecastParams, SeriesSpec
-from barograph.plans.layout import POS, attach, block_window, fill_gaps, merge_blocks, split_blocks
+from barograph.plans.layout import POS, Step, attach, block_window, fill_gaps, merge_blocks, run_chain, split_blocks
 
 ERROR_COLUMNS = ("forecast_error", "forecast_error_mean", "forecast_error_std")
 
@@ -144,9 +144,20 @@ def forecast_series(
     planned = attach(df, plan.withColumnRenamed("start", "_start").drop("season"), spec)
     outputs = [f"forecast_{n}" for n in names]
     in_tail = F.col(POS) >= F.col("_start")
+    actual = columns[names.index(primary)]
+    errors = Step(
+        lambda rows, inner: forecast_errors(rows, inner, actual, f"forecast_{primary}", params.error_window),
+        params.error_window - 1,
+    )
     if params.fast:
-        based = tail_mean(planned, spec, columns, names, params.baseline_rows, params.history_rows)
-        out = based.withColumns({o: F.when(in_tail, F.col(o)) for o in outputs})
+        # Forecasts and their errors are one chain: the rows are cut into blocks once.
+        based = Step(
+            lambda rows, inner: tail_mean(rows, inner, columns, names, params.baseline_rows, params.history_rows).withColumns(
+                {o: F.when(in_tail, F.col(o)) for o in outputs}
+            ),
+            params.history_rows,
+        )
+        scored = run_chain(planned, spec, [based, errors])
     else:
         out = planned
         if params.use_sarima:
@@ -171,7 +182,6 @@ def forecast_series(
         out = out.withColumns(blended)
         if params.fill:
             out = fill_gaps(out, spec, outputs)
-    actual = columns[names.index(primary)]
-    scored = forecast_errors(out, spec, actual, f"forecast_{primary}", params.error_window)
+        scored = run_chain(out, spec, [errors])
     scored = mask_warmup(scored, params.warmup_rows, "_start")
     return scored.select(*df.columns, *outputs, *ERROR_COLUMNS)

@@ -25,7 +25,8 @@ class SeriesSpec:
     ties and must be unique within a series). No task ever holds more than
     ``block_rows`` rows of a series plus the halo an operator asks for.
     ``longest`` and ``shortest`` are the row counts seen when the series were
-    indexed; ``None`` means unknown.
+    indexed; ``None`` means unknown. ``blocked`` says that the frame holds blocks with
+    a halo already, so operators neither cut nor merge it.
     """
 
     keys: tuple[str, ...] = ("station", "sensor")
@@ -33,6 +34,7 @@ class SeriesSpec:
     block_rows: int = 262_144
     longest: int | None = None
     shortest: int | None = None
+    blocked: bool = False
 
     @property
     def one_block(self) -> bool:

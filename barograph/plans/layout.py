@@ -10,7 +10,8 @@ block to block by a small table with one row per block.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -75,6 +76,8 @@ def split_blocks(df: DataFrame, spec: SeriesSpec, before: int = 0, after: int =
 
     ``_own`` marks the one copy of a row that belongs to its block.
     """
+    if spec.blocked:
+        return df
     if spec.one_block:
         return df.withColumn(BLOCK, F.lit(0).cast("long")).withColumn(OWN, F.lit(True))
     size = spec.block_rows
@@ -103,11 +106,36 @@ def block_window(spec: SeriesSpec) -> WindowSpec:
 
 def merge_blocks(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Keep the owned copies and drop the block columns."""
+    if spec.blocked:
+        return df
     if not spec.one_block:
         df = df.filter(F.col(OWN))
     return df.drop(BLOCK, OWN)
 
 
+@dataclass(frozen=True)
+class Step:
+    """An operator of a chain, and how many rows before and after a row it looks at."""
+
+    run: Callable[[DataFrame, SeriesSpec], DataFrame]
+    before: int = 0
+    after: int = 0
+
+
+def run_chain(df: DataFrame, spec: SeriesSpec, steps: Iterable[Step]) -> DataFrame:
+    """Run row-counting operators one on top of the other with a single exchange.
+
+    The rows are cut into blocks once, with a halo as wide as all steps together, and stay in place by
+    (keys, block) until the end; each step leaves one step's reach of the halo incomplete, which never gets as far as
+    the owned rows. A step must look at its block only: it may use ``block_window``, but not join or aggregate.
+    """
+    steps = list(steps)
+    blocks = split_blocks(df, spec, sum(s.before for s in steps), sum(s.after for s in steps))
+    for step in steps:
+        blocks = step.run(blocks, replace(spec, blocked=True))
+    return merge_blocks(blocks, spec)
+
+
 def series_sizes(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """One row per series with its row count ``n``."""
     return df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))

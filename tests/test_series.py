@@ -6,13 +6,14 @@ import pytest
 from conftest import ordered, same
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from barograph.operators import smooth
-from barograph.operators.features import adaptive_noise, complete_rows, rolling_features, running_median
+from barograph.operators.features import adaptive_noise, complete_rows, median_features, rolling_features, running_median
 from barograph.operators.seasonal import centered_trend, seasonal_parts
 from barograph.operators.smooth import kalman_smooth
 from barograph.params import KalmanParams, SeasonalParams
-from barograph.plans.layout import exact_quantile, fill_gaps, index_series, merge_blocks, split_blocks
+from barograph.plans.layout import Step, block_window, exact_quantile, fill_gaps, index_series, merge_blocks, run_chain, split_blocks
 
 RNG = np.random.default_rng(3)
 BLOCKS = (1_000_000, 16)
@@ -69,6 +70,40 @@ def test_rolling_features_equal_pandas(series, block):
             same(g[f"value_{kind}"], w, 1e-6)
 
 
+def test_a_chain_cuts_blocks_once_and_equals_its_steps(series):
+    df, spec = series(HOT, block_rows=16)
+    df, spec = index_series(df, spec)
+    chained = median_features(df, spec, ["value"], 5, 6)
+    alone = running_median(df, spec, ["value"], 5)
+    alone = rolling_features(alone, spec, ["value_med"], 6, ["value"])
+    def exchanges(made):
+        return made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    numbering = exchanges(df)
+    assert exchanges(chained) - numbering <= 1 < exchanges(alone) - numbering
+
+    one, other = ordered(chained), ordered(alone)
+    assert list(one.columns) == list(other.columns)
+    for c in (x for x in one.columns if one[x].dtype.kind == "f"):
+        same(one[c], other[c], 1e-9)
+
+
+def test_a_chain_looks_ahead_and_back(series):
+    df, spec = series(HOT, block_rows=7)
+    df, spec = index_series(df, spec)
+
+    def near(rows, inner):
+        frame = block_window(inner).rowsBetween(-2, 3)
+        return rows.withColumn("value", F.sum("value").over(frame))
+
+    got = ordered(run_chain(df, spec, [Step(near, 2, 3), Step(near, 2, 3)]))
+    for key, values in HOT.items():
+        want = pd.Series(values, dtype=float)
+        for _ in range(2):
+            want = pd.Series([want[max(0, i - 2) : i + 4].sum() for i in range(len(want))])
+        same(got[(got.station == key[0]) & (got.sensor == key[1])]["value"], want, 1e-9)
+
+
 def test_complete_rows_drops_warmup_or_any_null(series):
     df, spec = series({(0, "a"): [5.0] * 6 + [5.0 + 1e-8 * i for i in range(8)]})
     indexed, spec = index_series(df, spec)
