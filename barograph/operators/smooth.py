@@ -156,15 +156,15 @@ def _matrices(chunks: Chunks, levels: np.ndarray, params: KalmanParams) -> list[
 
 
 def gains(chunks: Chunks, levels: np.ndarray, starts, params: KalmanParams) -> np.ndarray:
-    """Kalman gain of each row, from the error before each segment."""
+    """Kalman gain of each row, from the error before each segment; rows without a level change nothing."""
     a, b, c, d = (x.tolist() for x in _matrices(chunks, levels, params))
     error = np.array(chunks.carry(lambda i, e: (a[i] * e + b[i]) / (c[i] * e + d[i]), starts), float)
-    laid = chunks.lay(levels, 1.0)
-    out = np.empty_like(laid)
+    laid = chunks.lay(levels, np.nan)
+    live, out = ~np.isnan(laid), np.empty_like(laid)
     for i, level in enumerate(laid):
         predicted = error + params.process_variance
-        out[i] = predicted / (predicted + level)
-        error = (1.0 - out[i]) * predicted
+        out[i] = np.where(live[i], predicted / (predicted + level), 0.0)
+        error = np.where(live[i], (1.0 - out[i]) * predicted, error)
     return chunks.back(out)
 
 
@@ -230,14 +230,31 @@ def _with_results(table: pa.Table, kept: list[str], results: dict[str, np.ndarra
     return out
 
 
+#: Column of a frame that goes on from an earlier one: false on rows that were smoothed then.
+LIVE = "_live"
+#: Per smoothed column, the noise, error and value to go on from; null in a new series.
+CARRIED = ("noise0", "error0", "value0")
+
+
+def _carried(c: str) -> list[str]:
+    return [f"_{part}_{c}" for part in CARRIED]
+
+
 def kalman_smooth(
     df: DataFrame,
     spec: SeriesSpec,
     columns: Iterable[str],
     params: KalmanParams = KalmanParams(),
     suffix: str = "_filt",
+    carried: bool = False,
 ) -> DataFrame:
-    """Add the smoothed value of each column; an all-null series stays null."""
+    """Add the smoothed value of each column; an all-null series stays null.
+
+    With ``carried`` a series goes on from an earlier frame: its rows begin with the last ones of that
+    frame, marked by a false ``_live``, which only fill the windows, and the columns ``_noise0_<c>``, ``_error0_<c>`` and
+    ``_value0_<c>`` hold what they ended with. The columns ``<c>_filled``, ``<c>_noise`` and ``<c>_error`` are
+    added then, for the next frame.
+    """
     columns = list(columns)
     work = {c: f"_x_{c}" for c in columns}
     filled = fill_gaps(df.withColumns({x: F.col(c).cast("double") for c, x in work.items()}), spec, work.values())
@@ -245,43 +262,70 @@ def kalman_smooth(
     keys = list(spec.keys) if spec.one_block else [*spec.keys, BLOCK]
     blocks = spread(split_blocks(filled, spec, before=halo), keys)
     kept = [*df.columns]
+    if carried:
+        blocks = blocks.withColumns({f"{c}_filled": F.col(f"_x_{c}") for c in columns})
+        kept += [f"{c}_filled" for c in columns]
     if spec.one_block:
-        return _smooth_whole(blocks, spec, columns, params, suffix, kept)
-    medians = materialize(_median_rows(blocks, keys, columns, params, kept), "medians")
-    return _smooth_blocks(medians, spec, columns, params, suffix, kept)
+        return _smooth_whole(blocks, spec, columns, params, suffix, kept, carried)
+    medians = materialize(_median_rows(blocks, keys, columns, params, kept, carried), "medians")
+    return _smooth_blocks(medians, spec, columns, params, suffix, kept, carried)
+
+
+def _live(table: pa.Table, carried: bool) -> np.ndarray:
+    return table.column(LIVE).to_numpy().astype(bool) if carried else np.ones(len(table), bool)
+
+
+def _first_of(table: pa.Table, name: str, sizes: np.ndarray, otherwise=None) -> list:
+    """Values of a column on the first row of each segment, ``otherwise`` where they are null."""
+    found = table.column(name).take(pa.array(_starts(sizes))).to_pylist()
+    if otherwise is None:
+        return found
+    other = otherwise if isinstance(otherwise, list) else [otherwise] * len(found)
+    return [o if v is None else v for v, o in zip(found, other, strict=True)]
 
 
 def _sorted_blocks(blocks: DataFrame, keys: list[str]) -> DataFrame:
     return spread(blocks, keys).sortWithinPartitions(*keys, POS)
 
 
-def _smooth_whole(blocks, spec, columns, params, suffix, kept) -> DataFrame:
+def _smooth_whole(blocks, spec, columns, params, suffix, kept, carried) -> DataFrame:
     keys = list(spec.keys)
 
     def smooth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, sizes in segments(batches, keys):
-            chunks, results, first = Chunks.of(sizes), {}, _starts(sizes)
+            chunks, results, live = Chunks.of(sizes), {}, _live(table, carried)
             for c in columns:
                 medians, variance = medians_and_noise(_column(table, f"_x_{c}"), sizes, np.zeros(len(sizes), int), params)
-                levels = noise_levels(chunks, variance, [params.measurement_variance] * len(sizes), params)
-                gain = gains(chunks, levels, [params.estimated_error] * len(sizes), params)
-                results[f"{c}{suffix}"] = estimates(chunks, medians, gain, medians[first].tolist())
+                starts = [params.measurement_variance, params.estimated_error, medians[_starts(sizes)].tolist()]
+                if carried:
+                    starts = [_first_of(table, n, sizes, o) for n, o in zip(_carried(c), starts, strict=True)]
+                else:
+                    starts[:2] = ([x] * len(sizes) for x in starts[:2])
+                variance[~live] = np.nan
+                levels = noise_levels(chunks, variance, starts[0], params)
+                gain = gains(chunks, np.where(live, levels, np.nan), starts[1], params)
+                results[f"{c}{suffix}"] = estimates(chunks, medians, gain, starts[2])
+                if carried:
+                    results[f"{c}_noise"], results[f"{c}_error"] = levels, gain * levels
             yield from _with_results(table, kept, results).to_batches()
 
-    schema = ", ".join([_fields(blocks, kept), *[f"`{c}{suffix}` double" for c in columns]])
+    made = [f"{c}{part}" for c in columns for part in ([suffix, "_noise", "_error"] if carried else [suffix])]
+    schema = ", ".join([_fields(blocks, kept), *[f"`{name}` double" for name in made]])
     return _sorted_blocks(blocks, keys).mapInArrow(smooth, schema)
 
 
-def _median_rows(blocks: DataFrame, keys: list[str], columns: list[str], params: KalmanParams, kept: list[str]):
+def _median_rows(
+    blocks: DataFrame, keys: list[str], columns: list[str], params: KalmanParams, kept: list[str], carried: bool
+) -> DataFrame:
     """The owned rows of each block with their medians and noise variances."""
 
     def medians(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, sizes in segments(batches, keys):
             firsts, results = table.column(POS).to_numpy()[_starts(sizes)], {}
+            live = _live(table, carried)
             for c in columns:
-                results[f"_x_{c}_med"], results[f"_x_{c}_var"] = medians_and_noise(
-                    _column(table, f"_x_{c}"), sizes, firsts, params
-                )
+                medians, variance = medians_and_noise(_column(table, f"_x_{c}"), sizes, firsts, params)
+                results[f"_x_{c}_med"], results[f"_x_{c}_var"] = medians, np.where(live, variance, np.nan)
             rows = _with_results(table, [*kept, BLOCK, OWN], results).filter(table.column(OWN)).drop_columns([OWN])
             yield from rows.to_batches()
 
@@ -309,8 +353,20 @@ def _scan(summaries: DataFrame, spec: SeriesSpec, step, start, values: list[str]
     return summaries.groupBy(*spec.keys).applyInArrow(run, schema)
 
 
-def _smooth_blocks(blocks, spec, columns, params, suffix, kept) -> DataFrame:
+def _smooth_blocks(blocks, spec, columns, params, suffix, kept, carried) -> DataFrame:
     keys = [*spec.keys, BLOCK]
+
+    def begin(part: int, otherwise):
+        """The start of a series: what its first block carries, or the value of a new series."""
+
+        def of(v: str, row: dict):
+            c = v[2:]
+            found = row.get(_carried(c)[part]) if carried else None
+            return found if found is not None else otherwise(c, row)
+
+        return of
+
+    starts = [F.max(name).alias(name) for c in columns for name in _carried(c)] if carried else []
     keep, learn = 1.0 - params.adaptation_rate, params.adaptation_rate
 
     # Noise: level_out = keep^k * level_in + sum(learn * keep^(rows left) * variance).
@@ -321,67 +377,75 @@ def _smooth_blocks(blocks, spec, columns, params, suffix, kept) -> DataFrame:
         weight = learn * F.pow(F.lit(keep), last - F.col(POS))
         parts += [
             F.pow(F.lit(keep), F.count(v)).alias(f"a_{c}"),
-            F.coalesce(F.sum(F.greatest(v, F.lit(params.min_variance)) * weight), F.lit(0.0)).alias(f"b_{c}"),
+            # greatest() skips nulls: rows without a variance must not count as the least one.
+            F.coalesce(F.sum(F.when(v.isNotNull(), F.greatest(v, F.lit(params.min_variance))) * weight), F.lit(0.0)).alias(
+                f"b_{c}"
+            ),
         ]
     affine = lambda v, row, x: row[f"a_{v[2:]}"] * x + row[f"b_{v[2:]}"]
     levels = _scan(
-        blocks.groupBy(*keys).agg(*parts),
+        blocks.groupBy(*keys).agg(*parts, *starts),
         spec,
         affine,
-        lambda v, row: params.measurement_variance,
+        begin(0, lambda c, row: params.measurement_variance),
         [f"r_{c}" for c in columns],
     )
 
-    def first_of(table: pa.Table, name: str, sizes: np.ndarray) -> list:
-        return table.column(name).take(pa.array(_starts(sizes))).to_pylist()
-
     # Error: a product of 2x2 matrices.
     def error_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, sizes in segments(batches, keys):
-            chunks, out = Chunks.of(sizes), {}
+            chunks, out, live = Chunks.of(sizes), {}, _live(table, carried)
             for c in columns:
-                level = noise_levels(chunks, _column(table, f"_x_{c}_var"), first_of(table, f"r_{c}", sizes), params)
-                found = zip(*error_matrices(chunks, level, params), strict=True)
+                level = noise_levels(chunks, _column(table, f"_x_{c}_var"), _first_of(table, f"r_{c}", sizes), params)
+                found = zip(*error_matrices(chunks, np.where(live, level, np.nan), params), strict=True)
                 out.update({f"m{i}_{c}": np.array(x) for i, x in enumerate(found)})
-            yield from _with_results(table.take(pa.array(_starts(sizes))), keys, out).to_batches()
+            first = table.take(pa.array(_starts(sizes)))
+            yield from _with_results(first, [*keys, *passed], out).to_batches()
 
     def next_error(v: str, row: dict, p: float) -> float:
         m = [row[f"m{i}_{v[2:]}"] for i in range(4)]
         return (m[0] * p + m[1]) / (m[2] * p + m[3])
 
     matrix_schema = ", ".join(f"`m{i}_{c}` double" for c in columns for i in range(4))
-    noise = blocks.select(*keys, POS, *[f"_x_{c}_var" for c in columns])
-    parts = _sorted_blocks(noise.join(levels, keys), keys).mapInArrow(error_parts, f"{_fields(blocks, keys)}, {matrix_schema}")
-    errors = _scan(parts, spec, next_error, lambda v, row: params.estimated_error, [f"p_{c}" for c in columns])
-    carried = levels.join(errors, keys)
+    passed = [name for c in columns for name in _carried(c)] if carried else []
+    noise = blocks.select(*keys, POS, *([LIVE] if carried else []), *passed, *[f"_x_{c}_var" for c in columns])
+    parts = _sorted_blocks(noise.join(levels, keys), keys)
+    parts = parts.mapInArrow(error_parts, f"{_fields(blocks, [*keys, *passed])}, {matrix_schema}")
+    errors = _scan(parts, spec, next_error, begin(1, lambda c, row: params.estimated_error), [f"p_{c}" for c in columns])
+    known = levels.join(errors, keys)
 
     # Estimate: a row's value is affine in the value before its block, with a scale and a shift of its own.
     def value_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, sizes in segments(batches, keys):
-            chunks, out, none = Chunks.of(sizes), {}, np.zeros(len(table))
+            chunks, out, none, live = Chunks.of(sizes), {}, np.zeros(len(table)), _live(table, carried)
             for c in columns:
-                level = noise_levels(chunks, _column(table, f"_x_{c}_var"), first_of(table, f"r_{c}", sizes), params)
-                gain = gains(chunks, level, first_of(table, f"p_{c}", sizes), params)
+                level = noise_levels(chunks, _column(table, f"_x_{c}_var"), _first_of(table, f"r_{c}", sizes), params)
+                gain = gains(chunks, np.where(live, level, np.nan), _first_of(table, f"p_{c}", sizes), params)
+                if carried:
+                    out[f"{c}_noise"], out[f"{c}_error"] = level, gain * level
                 out[f"_x_{c}_shift"] = estimates(chunks, _column(table, f"_x_{c}_med"), gain, [0.0] * len(sizes))
                 out[f"_x_{c}_scale"] = affine_scan(chunks, 1.0 - gain, none, [1.0] * len(sizes))
             medians = [f"_x_{c}_med" for c in columns]
-            yield from _with_results(table, [*kept, BLOCK, *medians], out).to_batches()
+            rows = _with_results(table, [*kept, BLOCK, *medians], {name: out[name] for name in order[1]})
+            yield from rows.to_batches()
 
-    order = [f"_x_{c}_med" for c in columns], [f"_x_{c}_{part}" for c in columns for part in ("shift", "scale")]
+    traced = [f"{c}_{part}" for c in columns for part in ("noise", "error")] if carried else []
+    order = [f"_x_{c}_med" for c in columns], [*traced, *[f"_x_{c}_{part}" for c in columns for part in ("shift", "scale")]]
     made = ", ".join(f"`{name}` double" for part in order for name in part)
-    rows = _sorted_blocks(blocks.join(carried, keys), keys).mapInArrow(value_parts, f"{_fields(blocks, [*kept, BLOCK])}, {made}")
+    rows = _sorted_blocks(blocks.join(known, keys), keys).mapInArrow(value_parts, f"{_fields(blocks, [*kept, BLOCK])}, {made}")
     rows = materialize(rows, "estimates")
     ends = rows.groupBy(*keys).agg(
         *[F.max_by(f"_x_{c}_scale", POS).alias(f"a_{c}") for c in columns],
         *[F.max_by(f"_x_{c}_shift", POS).alias(f"b_{c}") for c in columns],
         *[F.min_by(f"_x_{c}_med", POS).alias(f"s_{c}") for c in columns],
+        *starts,
     )
     values = _scan(
         ends,
         spec,
         lambda v, row, x: affine(v, row, x) if x is not None else None,
-        lambda v, row: row[f"s_{v[2:]}"],
+        begin(2, lambda c, row: row[f"s_{c}"]),
         [f"x_{c}" for c in columns],
     )
     smoothed = [(F.col(f"_x_{c}_scale") * F.col(f"x_{c}") + F.col(f"_x_{c}_shift")).alias(f"{c}{suffix}") for c in columns]
-    return rows.join(values, keys).select(*kept, *smoothed)
+    return rows.join(values, keys).select(*kept, *smoothed, *traced)

@@ -149,7 +149,7 @@ def test_kalman_equals_the_plain_loop(series, block):
     indexed, spec = index_series(df, spec)
     pdf = ordered(kalman_smooth(indexed, spec, ["value"]))
     for key, x in values.items():
-        same(pdf[(pdf.station == key[0]) & (pdf.sensor == key[1])]["value_filt"], brute_kalman(x), 1e-8)
+        same(pdf[(pdf.station == key[0]) & (pdf.sensor == key[1])]["value_filt"], brute_kalman(x), 1e-11)
 
 
 @settings(max_examples=60, deadline=None)

@@ -20,7 +20,7 @@ from barograph.sources.csvfiles import scan_readings
 from barograph.sources.master import MasterTable, count_new_keys, ingest
 from barograph.sources.sinks import append_run_metrics, schema_hash, stale_models, write_results
 from barograph.streaming.ingest import stream_ingest
-from barograph.streaming.smooth import stream_smooth
+from barograph.streaming.smooth import stream_smooth, stream_smooth_table
 
 SENSORS = ("rh", "temp", "pressure")
 
@@ -284,6 +284,37 @@ def test_stream_smooth_equals_batch_and_sets_late_rows_aside(spark, folder):
     assert out[out.late]["seq"].tolist() == [5, 6, 7]
 
 
+@pytest.mark.parametrize("block", [1_000_000, 16])
+def test_table_stream_smooth_equals_batch(spark, folder, block):
+    """Arrivals of any size, a series that comes and goes, gaps, late rows and rows before the first value."""
+    rng = np.random.default_rng(5)
+    series = {(1, "a"): rng.normal(10, 2, 150), (2, "b"): rng.normal(5, 1, 40), (3, "c"): np.full(30, np.nan)}
+    series[1, "a"][[3, 70, 71]] = np.nan
+    series[2, "b"][:4] = np.nan
+    start = pd.Timestamp("2025-01-01")
+    rows = [
+        (k[0], k[1], (start + pd.Timedelta(minutes=i)).to_pydatetime(), i, None if v != v else float(v))
+        for k, x in series.items() for i, v in enumerate(x)
+    ]
+    schema = "station long, sensor string, ts timestamp_ntz, seq long, value double"
+    late = [r for r in rows if r[1] == "a" and r[3] in (5, 6)]
+    arrivals = [rows[:2], [r for r in rows[2:] if r[3] < 30], [r for r in rows if 30 <= r[3] < 33 and r[1] == "a"] + late]
+    arrivals.append([r for r in rows if r[3] >= 33 or (r[3] >= 30 and r[1] != "a")])
+    for part in arrivals:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        stream_smooth_table(stream, f"{folder}/out", f"{folder}/state", f"{folder}/c", block_rows=block).awaitTermination()
+    out = spark.read.parquet(f"{folder}/out").toPandas().sort_values(["sensor", "seq"])
+    assert out[out.late]["seq"].tolist() == [5, 6]
+    kept = out[~out.late]
+    filled = pd.Series(series[1, "a"]).ffill().to_numpy()
+    same(kept[kept.sensor == "a"]["value_filt"], brute_kalman(filled), 1e-9)
+    b = kept[kept.sensor == "b"]["value_filt"].to_numpy()
+    same(b, np.concatenate((np.full(4, np.nan), brute_kalman(series[2, "b"][4:]))), 1e-9)
+    assert kept[kept.sensor == "c"]["value_filt"].isna().all() and len(kept) == 220
+    assert sorted(os.listdir(f"{folder}/state")) == ["batch=2", "batch=3"]
+
+
 def station_frame(spark, n=420):
     rng, t = np.random.default_rng(8), np.arange(n)
     pdf = pd.DataFrame({"timestamp": pd.date_range("2025-01-01", periods=n, freq="1min")})
