@@ -12,8 +12,8 @@ from barograph.operators.report import alert_summary
 from barograph.session import work_path
 from barograph.sources.csvfiles import scan_readings
 from barograph.sources.master import MasterTable, ingest
-from barograph.streaming.ingest import stream_alerts, stream_ingest
-from barograph.streaming.smooth import stream_smooth as smooth_stream
+from barograph.streaming.ingest import first_within, stream_alerts, stream_ingest
+from barograph.streaming.smooth import stream_smooth as smooth_stream, stream_smooth_table
 
 SENSORS = tuple(HOURLY_SENSORS)
 _NAMES = {"timestamp": "DateTime", "ws": "WS", "pressure": "Pressure", "rh": "RH", "temp": "Temp", "dew": "Dew"}
@@ -109,6 +109,47 @@ def ingest_fallback(spark, sf_dir):
     return _clean(ingest(spark, master, stream, snapshot_path=work_path(spark, "missing")))
 
 
+@query(CLEAN_ROWS)
+def stream_first_wins(spark, sf_dir):
+    """Repeated keys of a stream are dropped with bounded state: the copies of the second arrival change nothing."""
+    landing, out = work_path(spark, "landing"), work_path(spark, "first")
+    path = work_path(spark, "csv")
+    _written(hourly(spark, sf_dir, True), _NAMES, path)
+    rows = scan_readings(spark, path, SENSORS)
+    for part in (rows, rows.withColumns({s: F.col(s) + 1 for s in SENSORS})):
+        part.write.mode("append").parquet(landing)
+        stream = first_within(spark.readStream.schema(rows.schema).parquet(landing), delay="365 days")
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return _clean(spark.read.parquet(out))
+
+
+@query(CLEAN_ROWS)
+def scan_mixed_headers(spark, sf_dir):
+    """Files with other names, column orders and separators in one folder; each line is read by its file's header."""
+    root, rows = work_path(spark, "mixed"), hourly(spark, sf_dir, True)
+    part = F.pmod(F.xxhash64("station", "timestamp"), F.lit(3))
+    _written(rows.where(part == 0), _NAMES, f"{root}/a")
+    _written(rows.where(part == 1), dict(reversed(_OLD_NAMES.items())) | {"dew": "dew point"}, f"{root}/b")
+    _written(rows.where(part == 2), {"temp": "TEMP", **_NAMES}, f"{root}/c", "\t")
+    return _clean(scan_readings(spark, root, SENSORS))
+
+
+@query(KALMAN_ROWS)
+def stream_smooth_blocks(spark, sf_dir):
+    """Smoothing of a stream with its state in a table, each arrival cut into blocks."""
+    landing, out = work_path(spark, "landing"), work_path(spark, "smoothed")
+    rows = readings(spark, sf_dir)
+    edges = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    middle = F.lit(edges["low"] + (edges["high"] - edges["low"]) / 2).cast("timestamp_ntz")
+    for part in (rows.filter(F.col("ts") < middle), rows.filter(F.col("ts") >= middle)):
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(rows.schema).parquet(landing)
+        stream_smooth_table(stream, out, f"{out}-state", f"{out}-checkpoint", block_rows=128).awaitTermination()
+    made = spark.read.parquet(out).filter(~F.col("late")).withColumnRenamed("value_filt", "filt")
+    return rounded(made.select(*KEYS, "filt"), ["filt"])
+
+
 _BOUNDS = {"temp": (0.0, 150.0), "rh": (0.0, 1000.0), "pressure": (0.0, 1000.0)}
 
 

@@ -57,7 +57,12 @@ def alerts(df: DataFrame, keys: Iterable[str], order: Iterable[str], min_anomali
 
 def run_metrics(df: DataFrame) -> DataFrame:
     """One row: records and anomalies of a run."""
-    return df.agg(F.count(F.lit(1)).alias("records_total"), F.count(F.when(_flagged(df), 1)).alias("anomalies"))
+    return df.agg(*[c.alias(name) for name, c in metric_columns(df).items()])
+
+
+def metric_columns(df: DataFrame) -> dict[str, Column]:
+    """The aggregates of ``run_metrics``, for a write that observes them."""
+    return {"records_total": F.count(F.lit(1)), "anomalies": F.count(F.when(_flagged(df), 1))}
 
 
 def _cell(column: str) -> Column:

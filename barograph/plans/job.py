@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.operators.drift import drift_flags
-from barograph.operators.report import alerts
+from barograph.operators.report import alerts, metric_columns
 from barograph.params import RunParams
 from barograph.plans.run import StationRun, run_stations
 from barograph.session import materialize
@@ -51,8 +51,10 @@ def run_job(
         return StationRun(readings, readings, readings), {}
     models = ModelTable(root, tuple(params.sensors), params.primary, params.forecast.lookback)
     run = run_stations(readings, params, models=models)
-    run = replace(run, results=materialize(run.results, "results"))  # metrics, results and alerts read it
-    metrics = append_run_metrics(run.results, paths.at("metrics"), max(master.total(spark) - before, 0))
+    # Results and alerts read the table; the metrics come from its write.
+    results, counts = materialize(run.results, "results", metric_columns(run.results))
+    run = replace(run, results=results)
+    metrics = append_run_metrics(results, paths.at("metrics"), max(master.total(spark) - before, 0), counts)
     number = metrics["run"]
     write_results(run.results, f"{paths.at('results')}/run={number}")
     append_quarantine(run.rejected.withColumn("run", F.lit(number).cast("long")), paths.at("quarantine"))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -58,13 +58,18 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, seen: dict[str, Column] | None = None) -> DataFrame | tuple[DataFrame, dict]:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read, not a recomputation,
-    and values that depend on task layout keep the value they were written with.
+    and values that depend on task layout keep the value they were written with. With aggregates to be ``seen``
+    their values over the rows come too, observed by the write itself.
     """
     spark = df.sparkSession
+    if seen:
+        watch = Observation()
+        table = materialize(df.observe(watch, *[c.alias(name) for name, c in seen.items()]), label)
+        return table, watch.get
     path = work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

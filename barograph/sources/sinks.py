@@ -36,12 +36,15 @@ def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | No
 METRICS = "run long, records_total long, anomalies long, new_records_last_run long"
 
 
-def append_run_metrics(df: DataFrame, path: str, new_records: int) -> dict:
-    """Append the metrics of a run; the run number counts the runs before it."""
+def append_run_metrics(df: DataFrame, path: str, new_records: int, counts: dict | None = None) -> dict:
+    """Append the metrics of a run; the run number counts the runs before it.
+
+    ``counts`` are those that the write of ``df`` has observed; without them the rows are counted.
+    """
     spark = df.sparkSession
     earlier = table_or_none(spark, path, METRICS)
     run = (earlier.count() if earlier is not None else 0) + 1
-    counts = run_metrics(df).first()
+    counts = counts or run_metrics(df).first()
     row = (run, counts["records_total"], counts["anomalies"], new_records)
     spark.createDataFrame([row], METRICS).coalesce(1).write.mode("append").parquet(path)
     return dict(zip(("run", "records_total", "anomalies", "new_records_last_run"), row))

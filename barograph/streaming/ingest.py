@@ -4,39 +4,32 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barograph.operators.normalize import canonical_headers, normalize
+from barograph.operators.normalize import normalize
 from barograph.operators.report import alerts
 from barograph.operators.validate import split_valid
 from barograph.params import BOUNDS
 from barograph.session import materialize
-from barograph.sources.csvfiles import ORIGIN, header_cells, separator_of
+from barograph.sources.csvfiles import ORIGIN, file_rows
 from barograph.sources.master import MasterTable
 
 
-def file_rows(batch: DataFrame) -> DataFrame | None:
-    """Rows of text lines (value, file, block, row) under the canonical names of each file's own header.
+def first_within(
+    stream: DataFrame, keys: Iterable[str] = ("station", "timestamp"), time: str = "timestamp", delay: str = "10 minutes"
+) -> DataFrame:
+    """The first row of each key, for streams that cannot keep every key: an option with bounded state.
 
-    Headers may differ in names, order and separator; files with the same header are parsed together. A file's
-    header is the first line of it that is not blank. ``None`` without any row.
+    Unlike the master table, where the last reading of a key wins however late it comes, a repeated key is dropped
+    as long as it comes within ``delay`` of the newest time seen; state older than that is forgotten. For
+    rows no later than ``delay`` the result is that of a batch.
     """
-    first = batch.where((F.col(ORIGIN[1]) == 0) & (F.trim("value") != "")).groupBy(ORIGIN[0]).agg(
-        F.min_by("value", ORIGIN[2]).alias("header"), F.min(ORIGIN[2]).alias("at")
-    )
-    lines = batch.join(first, ORIGIN[0]).where((F.trim("value") != "") & (F.col(ORIGIN[2]) != F.col("at")))
-    parts = []
-    for (header,) in first.select("header").distinct().orderBy("header").collect():  # one row per kind of file
-        cells = header_cells(header)
-        schema = ", ".join(f"_c{i} string" for i in range(len(cells)))
-        row = F.from_csv("value", schema, {"sep": separator_of(header)}).alias("cells")
-        rows = lines.where(F.col("header") == header).select(row, *ORIGIN).select("cells.*", *ORIGIN)
-        parts.append(canonical_headers(rows, [*cells, *ORIGIN]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+    at = F.col(time).cast("timestamp")  # a watermark needs an instant; the session's zone is UTC
+    marked = stream.withColumn("_at", at).withWatermark("_at", delay)
+    return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_at")
 
 
 def stream_ingest(
@@ -81,9 +74,19 @@ def stream_ingest(
 
 
 def stream_alerts(
-    flagged: DataFrame, keys: Iterable[str], order: Iterable[str], path: str, checkpoint: str, min_anomalies: int = 1
+    flagged: DataFrame,
+    keys: Iterable[str],
+    order: Iterable[str],
+    path: str,
+    checkpoint: str,
+    min_anomalies: int = 1,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """Write the alert rows of every micro-batch of a flagged stream."""
+    """Write the alert rows of every micro-batch of a flagged stream.
+
+    With an ``interval`` (such as "60 seconds") it looks again and again until it is stopped; without, it handles what is
+    there and stops.
+    """
     keys, order = list(keys), list(order)
 
     def write(batch: DataFrame, number: int) -> None:
@@ -91,4 +94,4 @@ def stream_alerts(
         found.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = flagged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()

@@ -16,7 +16,7 @@ from barograph.params import DriftParams, ForecastParams, RunParams, SeasonalPar
 from barograph.plans.layout import index_series
 from barograph.plans.job import drifted_stations, run_job
 from barograph.plans.run import run_stations
-from barograph.sources.csvfiles import scan_readings
+from barograph.sources.csvfiles import read_delimited, scan_readings
 from barograph.sources.master import MasterTable, count_new_keys, ingest
 from barograph.sources.sinks import append_run_metrics, schema_hash, stale_models, write_results
 from barograph.streaming.ingest import stream_ingest
@@ -50,6 +50,18 @@ def test_tab_separated_with_mark_and_bad_bytes(spark, folder):
     assert [(r.timestamp, r.temp) for r in rows] == [(dt.datetime(2025, 1, 1), 1.5)]
 
 
+def test_headers_of_many_files_do_not_come_to_the_driver_one_by_one(spark, folder):
+    """Files with two kinds of headers, two columns for one name, quotes, blank lines and a repeated header."""
+    for i in range(4):
+        write(folder, f"a{i}.csv", f'timestamp,temp,rh,pressure\n\n2025-01-01 0{i}:00:00,"{i}",2,900\ntimestamp,temp,rh,pressure\n')
+        write(folder, f"b{i}.csv", f"\npressure\ttemp\ttemperature\thumidity\ttime\n901\t\t{i}\t5\t2025-01-02 0{i}:00:00\n")
+    lines = read_delimited(spark, folder)
+    assert set(lines.columns) >= {"timestamp", "temp", "rh", "pressure"}
+    assert lines._jdf.queryExecution().executedPlan().toString().count("FileScan text") <= 2
+    got = {(r.timestamp.day, r.timestamp.hour): (r.temp, r.rh, r.pressure) for r in scan_readings(spark, folder, SENSORS).collect()}
+    assert got == {(1, i): (float(i), 2.0, 900.0) for i in range(4)} | {(2, i): (float(i), 5.0, 901.0) for i in range(4)}
+
+
 def test_missing_and_empty_folders_give_an_empty_typed_frame(spark, folder):
     for path in (f"{folder}/missing", folder):
         got = scan_readings(spark, path, SENSORS)
