@@ -30,7 +30,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, as_bytes, chunks, fresh, mix, release, word_hashes
+from .common import U64, Scratch, WordHashes, as_bytes, chunks, folded, fresh, mix, release, word_hashes
 
 BUCKET_BITS = 24
 BLOCK = 1 << 16
@@ -148,14 +148,11 @@ def rarity(texts: DataFrame, least: int) -> np.ndarray:
     return counts
 
 
-LINES = (
-    "rid long, doc_id long, place int, sid long, n int, parity long, words array<long>, prefix array<int>, "
-    "spots array<int>"
-)
+LINES = "rid long, doc_id long, place int, sid long, n int, parity long, prefix array<int>, spots array<int>"
 
 
 def _index(shared, copies: LineCopies):
-    """One row per line; parity, words, prefix and spots (their places in the order) only at the first copy in a task."""
+    """One row per line; parity, prefix and spots (their places in the order) only at the first copy in a task."""
     p = copies.percent
 
     def rows(found: LineSets, seen: set[int], counts: np.ndarray) -> list[pa.Array]:
@@ -175,11 +172,8 @@ def _index(shared, copies: LineCopies):
         some &= (spot < (size + (-p * size) // 100 + 1)[line]) & (lines[order] > 1)
         ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(line[some], minlength=len(size))))), pa.int32())
         prefix = (sets[order[some]] >> U64(8)).astype(np.uint32).view(np.int32)
-        words = pa.ListArray.from_arrays(
-            pa.array(np.concatenate(([0], np.cumsum(np.where(first, size, 0)))), pa.int32()), pa.array(sets[first[line]].view(np.int64))
-        )
         return [
-            pa.array(found.place, pa.int32()), pa.array(sid), pa.array(size, pa.int32()), pa.array(parity, mask=~first), words,
+            pa.array(found.place, pa.int32()), pa.array(sid), pa.array(size, pa.int32()), pa.array(parity, mask=~first),
             pa.ListArray.from_arrays(ends, pa.array(prefix)), pa.ListArray.from_arrays(ends, pa.array(spot[some], pa.int32())),
         ]
 
@@ -192,23 +186,37 @@ def _index(shared, copies: LineCopies):
                     source = pa.array(at + found.text)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(source), batch.column(1).take(source), *rows(found, seen, counts)],
-                        names=["rid", "doc_id", "place", "sid", "n", "parity", "words", "prefix", "spots"],
+                        names=["rid", "doc_id", "place", "sid", "n", "parity", "prefix", "spots"],
                     )
 
     return index
 
 
-def _arrays(lists: pa.ListArray) -> list[np.ndarray]:
-    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-    return np.split(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes)[:-1])
+def _chosen(least: int):
+    """(ord, words) of the lines asked for."""
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            ids, out = [], []
+            for data, asked in zip(batch.column(0), batch.column(1), strict=True):
+                lines = data.as_py().split(b"\n")
+                for one in asked.as_py():
+                    sets = hashes.of(list(set(folded(lines[one["place"]]))))
+                    sets.sort()
+                    ids.append(one["sid"])
+                    out.append(sets.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["sid", "set"])
+
+    return chosen
 
 
 def _similar(percent: int):
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(_arrays(batch.column("x")), _arrays(batch.column("y")), strict=True):
-                both = np.concatenate((x, y))
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                both = np.concatenate([np.frombuffer(v.as_buffer(), U64) for v in (x, y)])
                 both.sort()
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
                 keep.append(100 * shared >= percent * (len(both) - shared))
@@ -260,12 +268,12 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
     at = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid", "place")
     sets = lines.groupBy("sid").agg(
         F.min(at).alias("at"), F.max("n").alias("n"), F.max("parity").alias("parity"),
-        F.max("words").alias("words"), F.max(F.struct("prefix", "spots")).alias("index"),
+        F.max(F.struct("prefix", "spots")).alias("index"),
     )
     full = fat.table(sets, "lines-indexed")
     lines = work.table(lines.select("sid", "rid", "place"), "lines-places")
     index.drop()
-    sets = work.table(full.select("sid", "at", "words"), "lines-sets")
+    sets = work.table(full.select("sid", "at"), "lines-sets")
     # Entries carry the document id alone; of lines of one document the order is settled when pairs are verified.
     entry = full.select(
         F.explode(F.arrays_zip("index.prefix", "index.spots")).alias("e"), "sid",
@@ -288,7 +296,7 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
 
     stars = reduce(DataFrame.union, [x.where("star is not null").select("sid", "star") for x in parts])
     first = work.table(stars.toDF("a", "b").distinct(), "lines-stars")
-    matched = _verified(first, sets, copies, work)
+    matched = _verified(first, rows, rid, sets, copies, work)
 
     done = work.table(matched.select(F.col("late").alias("sid")).distinct(), "lines-done")
     pairs = []
@@ -301,7 +309,7 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
         release(spark)
     rest = reduce(DataFrame.union, pairs).distinct().join(first, ["a", "b"], "left_anti")
     rest = work.table(rest, "lines-rest")
-    late = done.union(_verified(rest, sets, copies, work).select(F.col("late").alias("sid"))).distinct()
+    late = done.union(_verified(rest, rows, rid, sets, copies, work).select(F.col("late").alias("sid"))).distinct()
 
     fate = sets.select("sid", "at").join(late.withColumn("late", F.lit(True)), "sid", "left")
     gone = lines.select("sid", "rid", "place").join(fate, "sid").where(
@@ -312,20 +320,30 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
     return rows, gone, rid
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, copies: LineCopies, work: Scratch) -> DataFrame:
-    """(late, early) of the pairs of line ids whose sets are similar; only these lines' sets are moved."""
+def _verified(
+    pairs: DataFrame, rows: DataFrame, rid: str, sets: DataFrame, copies: LineCopies, work: Scratch
+) -> DataFrame:
+    """(late, early) of the pairs of line ids whose sets are similar; only these lines are read again."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    chosen = work.table(sets.join(wanted, "sid", "left_semi"), "lines-chosen")
-    line = F.struct("at", "sid", "words")
-    one, other = (chosen.select(F.col("sid").alias(side), line.alias(f"line_{side}")) for side in "ab")
-    both = pairs.join(one, "a").join(other, "b").select(
-        F.greatest("line_a", "line_b").alias("late"), F.least("line_a", "line_b").alias("early")
+    asked = sets.join(wanted, "sid", "left_semi").groupBy(F.col("at.rid").alias("rid")).agg(
+        F.collect_list(F.struct("sid", F.col("at.place").alias("place"))).alias("asked")
     )
-    both = both.select(
-        F.col("late.sid").alias("late"), F.col("early.sid").alias("early"), F.col("late.words").alias("x"),
-        F.col("early.words").alias("y"),
-    )
-    out = work.table(both.mapInArrow(_similar(copies.percent), "late long, early long").distinct(), "lines-similar")
+    asked = work.table(asked, "lines-asked")
+    texts = rows.select(F.col(rid).alias("rid"), as_bytes().alias("text"))
+    parts = []
+    for part in range(copies.passes):  # the join moves whole texts: a part of them at a time
+        mine = F.pmod("rid", F.lit(copies.passes)) == part
+        some = texts.where(mine).join(asked.where(mine), "rid").select("text", "asked")
+        parts.append(work.table(some.mapInArrow(_chosen(copies.min_words), "sid long, set binary"), "lines-chosen"))
+        release(work.spark)
+    chosen = reduce(DataFrame.union, parts)
+    at = sets.select("sid", "at")
+    ordered = pairs.join(at.toDF("a", "ata"), "a").join(at.toDF("b", "atb"), "b").select(
+        F.when(F.col("ata") > F.col("atb"), F.col("a")).otherwise(F.col("b")).alias("late"),
+        F.when(F.col("ata") > F.col("atb"), F.col("b")).otherwise(F.col("a")).alias("early"),
+    ).distinct()
+    both = ordered.join(chosen.toDF("late", "x"), "late").join(chosen.toDF("early", "y"), "early")
+    out = work.table(both.mapInArrow(_similar(copies.percent), "late long, early long"), "lines-similar")
     release(work.spark)
     return out
 
