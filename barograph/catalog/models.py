@@ -19,7 +19,7 @@ from barograph.catalog.inputs import (
     rounded,
     rounded_sql,
 )
-from barograph.catalog.registry import SMALL, query
+from barograph.catalog.registry import SMALL, laid_out, query
 from barograph.catalog.windows import K, KEYS, seasonal_sql
 from barograph.functions.columns import flag
 from barograph.operators.anomaly import (
@@ -50,7 +50,7 @@ from barograph.operators.forecast import (
     mask_warmup,
     tail_mean,
 )
-from barograph.operators.forest import isolation_flags
+from barograph.operators.forest import isolation_flags, tree_samples
 from barograph.operators.lagmodel import lag_windows as windows_of, rolling_lag_forecast
 from barograph.operators.report import (
     alert_sample as sample_of,
@@ -478,6 +478,25 @@ def lag_model(spark, sf_dir):
     return rolling_lag_forecast(df, spec, ["value"], forecast_plan(df, spec, params), params)
 
 
+_H1 = "(pos % 2147483647 * 48271 + t.range * 69621 + 42) % 2147483647"
+_H2 = "(h1 * h1 + tree * 16807 + pos) % 2147483647"
+
+
+@query(
+    f"""WITH {READINGS_SQL}, q AS (SELECT station, row_number() OVER (PARTITION BY station ORDER BY ts, seq) - 1 AS pos FROM r),
+a AS (SELECT station, pos, t.range AS tree, {_H1} AS h1 FROM q, range(0, 100) t),
+b AS (SELECT *, {_H2} AS h2 FROM a),
+c AS (SELECT station, tree, pos, row_number() OVER (PARTITION BY station, tree ORDER BY (h2 * h2 + h1) % 2147483647, pos) AS place FROM b)
+SELECT station, tree, pos, CAST(place AS INTEGER) AS place FROM c WHERE place <= 256""",
+    SMALL,
+)
+def forest_samples(spark, sf_dir):
+    """The rows that each tree of a station's forest is built on: the smallest hashes of the whole series."""
+    df, spec = index_series(readings(spark, sf_dir), laid_out(SeriesSpec(("station",), ("ts", "seq"))))
+    sized = attach(df.select("station", POS), df.groupBy("station").agg(F.count("*").alias("n")), spec)
+    return tree_samples(sized, spec).select("station", "tree", POS, "place")
+
+
 @query()
 def isolation_forest(spark, sf_dir):
     """One forest per station on the reading, its step and its hour."""

@@ -7,7 +7,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barograph.functions.columns import flag
@@ -50,7 +50,9 @@ def grow_forest(x: np.ndarray, samples: np.ndarray, rng: np.random.Generator, ma
         splits = uneven.any(axis=1) & (depth < max_depth)
         feature = np.argmax(rng.random(uneven.shape) * uneven, axis=1)
         at = np.arange(len(ids))
-        threshold = low[at, feature] + rng.random(len(ids)) * (high[at, feature] - low[at, feature])
+        bottom, top = low[at, feature], high[at, feature]
+        # Below the top even where rounding would reach it: a split leaves rows on both sides.
+        threshold = np.minimum(bottom + rng.random(len(ids)) * (top - bottom), np.nextafter(top, bottom))
         left = next_id + 2 * (np.cumsum(splits) - 1)
         next_id += 2 * int(splits.sum())
         nodes["feature"].append(np.where(splits, feature, -1))
@@ -65,9 +67,44 @@ def grow_forest(x: np.ndarray, samples: np.ndarray, rng: np.random.Generator, ma
     return {name: np.concatenate(parts) for name, parts in nodes.items()}
 
 
-def draw_samples(rows: int, trees: int, size: int, rng: np.random.Generator) -> np.ndarray:
-    """Row numbers of each tree's sample, drawn without replacement."""
-    return np.array([rng.permutation(rows)[:size] for _ in range(trees)])
+#: The hash that deals rows to trees works modulo this prime, so that its squares fit 64 bits.
+PRIME = 2**31 - 1
+
+
+def tree_hash(pos: Column | str, tree: Column, seed: int) -> Column:
+    """A number below ``PRIME`` for each row and tree: two rounds of squaring, plain arithmetic."""
+    pos = F.col(pos) if isinstance(pos, str) else pos
+    one = (pos % PRIME * 48271 + tree * 69621 + seed) % PRIME
+    two = (one * one + tree * 16807 + pos) % PRIME
+    return (two * two + one) % PRIME
+
+
+def tree_samples(df: DataFrame, spec: SeriesSpec, params: ForestParams = ForestParams()) -> DataFrame:
+    """The rows of each tree: the ``sample_rows`` of the series with the smallest hashes, ties to the earlier row.
+
+    ``df`` has ``n``, the rows of the series; ``tree`` and ``place`` (in the order of the hashes) are added. Every row may
+    be drawn by every tree. A row is sent to the trees whose hash is so small that about twice as many rows as wanted
+    come together; should too few come for any tree, its series is drawn again from all rows.
+    """
+    keys, wanted = list(spec.keys), params.sample_rows
+    trees = F.sequence(F.lit(0).cast("long"), F.lit(params.trees - 1).cast("long"))
+
+    def drawn(rows: DataFrame, cut: Column) -> DataFrame:
+        each = F.transform(trees, lambda t: F.struct(t.alias("tree"), tree_hash(POS, t, params.seed).alias("hash")))
+        near = rows.withColumn("_t", F.explode(F.filter(each, lambda x: x["hash"] < cut)))
+        first = Window.partitionBy(*keys, "tree").orderBy("_hash", POS)
+        near = near.select(*rows.columns, F.col("_t.tree").alias("tree"), F.col("_t.hash").alias("_hash"))
+        # About twice the wanted rows in a group.
+        return near.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= wanted).drop("_hash")
+
+    share = F.least(F.lit(1.0), F.lit(2.0 * wanted + 64) / F.col("n"))
+    found = materialize(drawn(df, F.ceil(share * PRIME)), "forest-samples")
+    sizes = found.groupBy(*keys, "n").agg(F.count("*").alias("_drawn"))
+    short = sizes.filter(F.col("_drawn") < params.trees * F.least(F.lit(wanted).cast("long"), "n")).select(*keys)
+    if short.isEmpty():
+        return found
+    again = attach(df.drop("n"), series_sizes(df, spec).join(short, keys, "left_semi"), spec).select(*df.columns)
+    return found.join(short, keys, "left_anti").unionByName(drawn(again, F.lit(PRIME)))
 
 
 def _depth(sample: int) -> int:
@@ -106,18 +143,15 @@ def isolation_scores(
 ) -> DataFrame:
     """Keys, position and ``score`` in (0, 1]; higher is more isolated. One forest per series key.
 
-    Nulls are replaced by the mean of the series. The trees are built on a hashed
-    sample of at most about trees x sample rows per series, whatever its length.
+    Nulls are replaced by the mean of the series. Each tree is built on its own sample of the whole series
+    (``tree_samples``); together they are at most trees x sample rows, whatever the series' length.
     Scoring runs per block: the packed forest of a series meets each of its blocks.
     """
     columns = list(columns)
     work = [f"_f_{c}" for c in columns]
     numbers = [F.col(c).cast("double").alias(f) for c, f in zip(columns, work)]
     inputs = mean_impute(df.select(*spec.keys, POS, *numbers), spec, work)
-    wanted = params.trees * params.sample_rows
-    sized = attach(inputs, series_sizes(inputs, spec), spec)
-    draw = F.pmod(F.xxhash64(*spec.keys, POS, F.lit(params.seed)), F.lit(2**31)) / F.lit(float(2**31))
-    pool = sized.filter(draw * F.col("n") < wanted)
+    pool = tree_samples(attach(inputs, series_sizes(inputs, spec), spec), spec, params)
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in spec.keys)
     forest_schema = (
         f"{key_schema}, n long, sample long, trees long, feature array<int>, threshold array<double>, "
@@ -125,13 +159,13 @@ def isolation_scores(
     )
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
+        pdf = pdf.sort_values(["tree", "place"])
         x = np.nan_to_num(pdf[work].to_numpy(float))
         key = tuple(pdf[k].iloc[0] for k in spec.keys)
         rng = np.random.default_rng(_seed_of(params.seed, key))
-        sample = min(params.sample_rows, len(x))
+        sample = len(x) // params.trees
         depth = _depth(sample)
-        forest = grow_forest(x, draw_samples(len(x), params.trees, sample, rng), rng, depth)
+        forest = grow_forest(x, np.arange(len(x)).reshape(params.trees, sample), rng, depth)
         row = dict(zip(spec.keys, key)) | {"n": int(pdf["n"].iloc[0]), "sample": sample, "trees": params.trees}
         row |= {name: forest[name].tolist() for name in _NODE_FIELDS}
         return pd.DataFrame([row])

@@ -16,13 +16,13 @@ from barograph.functions import sarima
 from barograph.operators.anomaly import combine_flags, error_flag, mean_impute, zscore_flags
 from barograph.operators.drift import drift_samples, exact_p, ks_drift, ks_statistic, retrain_list
 from barograph.operators.forecast import forecast_plan, forecast_series, mask_warmup, tail_mean
-from barograph.operators.forest import isolation_flags, isolation_scores
+from barograph.operators.forest import PRIME, grow_forest, isolation_flags, isolation_scores, tree_samples
 from barograph.operators.lagmodel import LagModel, fit_lag_model, lag_forecast, lag_windows, rolling_lag_forecast
 from barograph.operators.report import alert_summary, alerts, markdown_report
 from barograph.operators.sarima import fit_sarima, forecast_ahead, refresh_models, rolling_sarima
 from barograph.operators.scaling import minmax_scale
 from barograph.params import DriftParams, ForecastParams, ForestParams, SarimaParams
-from barograph.plans.layout import index_series
+from barograph.plans.layout import attach, index_series, series_sizes
 
 RNG = np.random.default_rng(11)
 BLOCKS = (1_000_000, 32)
@@ -299,6 +299,35 @@ def test_forest_flags_planted_outliers(series, block):
     assert made[made.station == 2]["anomaly_iforest"].tolist() == [0, 0]
 
 
+def test_each_tree_is_drawn_from_the_whole_series(series):
+    """The smallest hashes, also when the first cut leaves too few rows, and all rows of short series."""
+    df, spec = series({(0, "a"): wave(900), (1, "a"): wave(12), (2, "a"): [1.0]}, block_rows=100)
+    df, spec = index_series(df, spec)
+    params = ForestParams(trees=7, sample_rows=20, seed=5)
+    sized = attach(df, series_sizes(df, spec), spec)
+    got = ordered(tree_samples(sized, spec, params), ("station", "tree", "place"))
+
+    def number(pos, tree):
+        one = (pos * 48271 + tree * 69621 + 5) % PRIME
+        two = (one * one + tree * 16807 + pos) % PRIME
+        return (two * two + one) % PRIME
+
+    for station, n in ((0, 900), (1, 12), (2, 1)):
+        for tree in range(7):
+            want = sorted(range(n), key=lambda pos: (number(pos, tree), pos))[:20]
+            assert got[(got.station == station) & (got.tree == tree)]["pos"].tolist() == want
+    drawn = got[got.station == 0].groupby("pos").size()
+    assert len(drawn) > 100 and drawn.max() < 7  # trees differ
+
+
+def test_a_split_between_neighbouring_numbers_leaves_both_sides():
+    x = np.array([[1.0], [np.nextafter(1.0, 2.0)]] * 8)
+    for seed in range(20):
+        forest = grow_forest(x, np.arange(16).reshape(2, 8), np.random.default_rng(seed), 3)
+        inner = forest["feature"] >= 0
+        assert (forest["left"][inner] + 1 < len(forest["left"])).all() and inner.sum() == 2
+
+
 def test_forest_is_repeatable_and_independent_of_blocks(series):
     values = {(0, "a"): RNG.normal(0, 1, 300), (1, "b"): RNG.normal(5, 2, 90)}
     scores = []
