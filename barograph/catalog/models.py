@@ -414,12 +414,15 @@ def retrain_list(spark, sf_dir):
     return to_retrain(events, consumed, SERIES)
 
 
-# Models per series: run 1 fits the first half of every series but "error"; run 2 fits the new and the drifted ones on all rows.
+# Models per series: run 1 fits the first half of every series but "error"; run 2 fits those without a
+# model, too short in run 1 or new, and the drifted ones on all rows.
 
 REFIT_SQL = f"""{EXACT_SQL},
 w0 AS (SELECT station, sensor, pos, n, lag(value) OVER (PARTITION BY station, sensor ORDER BY pos) AS x, value FROM p),
 w AS (SELECT station, sensor, pos, n, x, value - x AS y FROM w0 WHERE x IS NOT NULL AND value IS NOT NULL),
-again AS (SELECT DISTINCT station, sensor FROM p WHERE sensor = 'error' UNION SELECT station, sensor FROM pv WHERE p_value < 0.5),
+again AS (SELECT DISTINCT station, sensor FROM p WHERE sensor = 'error' UNION SELECT station, sensor FROM pv WHERE p_value < 0.5
+ UNION SELECT station, sensor FROM w0 GROUP BY station, sensor
+  HAVING count(*) FILTER (WHERE x IS NOT NULL AND value IS NOT NULL AND pos < n // 2) < 10),
 f1 AS (SELECT w.station, w.sensor, 1 AS run, x, y FROM w ANTI JOIN again USING (station, sensor) WHERE pos < n // 2),
 f2 AS (SELECT w.station, w.sensor, 2 AS run, x, y FROM w SEMI JOIN again USING (station, sensor)),
 g AS (SELECT station, sensor, run, count(*) AS windows, avg(x) AS mx, avg(y) AS my, covar_pop(y, x) / (var_pop(x) * 1.1) AS slope
