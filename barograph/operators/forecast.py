@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,7 +73,8 @@ def tail_mean(
     out = {}
     for c, name in zip(columns, names):
         recent = [F.when(F.col(f"_{k}_{c}.p") >= F.col(POS) - history, F.col(f"_{k}_{c}.v")) for k in range(1, rows + 1)]
-        total = sum((F.coalesce(v, F.lit(0.0)) for v in recent[1:]), F.coalesce(recent[0], F.lit(0.0)))
+        # Added in the order of the rows, as a mean over a frame adds them: another order rounds differently.
+        total = reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0.0)) for v in reversed(recent)])
         found = sum((v.isNotNull().cast("int") for v in recent[1:]), recent[0].isNotNull().cast("int"))
         out[f"{prefix}{name}"] = F.when(found > 0, total / found)
     helpers = [f"_{k}_{c}" for k in range(1, rows + 1) for c in columns]

@@ -132,6 +132,14 @@ def test_tail_mean_skips_gaps_within_its_history(series, block):
     same(pdf["forecast_value"], brute_tail_mean(x, 3, 8))
 
 
+def test_tail_mean_adds_in_the_order_of_the_rows(series):
+    """To the last bit, so that an error on the threshold falls on the side of the mean over a frame."""
+    df, spec = series({(0, "a"): [0.1, 0.2, 0.3, 1.0]})
+    indexed, spec = index_series(df, spec)
+    pdf = ordered(tail_mean(indexed, spec, ["value"], rows=3))
+    assert pdf["forecast_value"][3] == (0.1 + 0.2 + 0.3) / 3 != (0.3 + 0.2 + 0.1) / 3
+
+
 def test_lag_windows_hold_the_rows_around(series):
     df, spec = series({(0, "a"): [1.0, 2.0, 3.0, 4.0, 5.0]})
     indexed, spec = index_series(df, spec)
