@@ -31,7 +31,8 @@ def _plan_columns(columns: list[str], params: SeasonalParams) -> dict[str, Colum
     out = {"period": period, "half": F.floor(period / 2)}
     for c in columns:
         enough = F.col(f"_k_{c}") >= 2 * period
-        out[f"_ok_{c}"] = enough & (F.col(f"_m_{c}") > 0) if params.model == "multiplicative" else enough
+        positive = params.model == "multiplicative" and params.positive_only
+        out[f"_ok_{c}"] = enough & (F.col(f"_m_{c}") > 0) if positive else enough
     return out
 
 
@@ -39,7 +40,7 @@ def season_plan(df: DataFrame, spec: SeriesSpec, columns: Iterable[str], params:
     """Per series: rows ``n``, capped ``period``, ``half``, and which columns qualify.
 
     A column qualifies with two full periods of readings and, for the
-    multiplicative model, only positive ones.
+    multiplicative model, only positive ones (unless ``positive_only`` is off).
     """
     columns = list(columns)
     counts = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"), *_value_counts(columns))
@@ -185,8 +186,13 @@ def extend_trend(trended: DataFrame, spec: SeriesSpec, columns: Iterable[str]) -
     return joined.withColumns(extended).drop(BLOCK, OWN, "_n", *lines)
 
 
+def _share(a: Column, b: Column) -> Column:
+    """``a / b``; infinite or NaN where b is zero, as for floating-point numbers."""
+    return F.when(b == 0, a * F.lit(float("inf"))).otherwise(a / b)
+
+
 def _centred(mean: Column, overall: Column, ratio: bool) -> Column:
-    return mean / overall if ratio else mean - overall
+    return _share(mean, overall) if ratio else mean - overall
 
 
 def _phase_windows(df: DataFrame, spec: SeriesSpec, detrended: dict[str, Column], ratio: bool) -> DataFrame:
@@ -236,7 +242,7 @@ def seasonal_parts(
     extended = extend_trend(trended, spec, ys)
     ratio = params.model == "multiplicative"
     phase = F.col(POS) % F.col("period")
-    detrended = {y: (F.col(y) / F.col(f"{y}{TREND}")) if ratio else (F.col(y) - F.col(f"{y}{TREND}")) for y in ys}
+    detrended = {y: _share(F.col(y), F.col(f"{y}{TREND}")) if ratio else (F.col(y) - F.col(f"{y}{TREND}")) for y in ys}
     joined = (_phase_windows if spec.one_block else _phase_joins)(
         extended.withColumn("_phase", phase), spec, detrended, ratio
     )
@@ -245,5 +251,5 @@ def seasonal_parts(
         value, trend, season = F.col(y), F.col(f"{y}{TREND}"), F.col(f"{y}{SEASONAL}")
         name = names[c]
         out[f"{name}{TREND}"], out[f"{name}{SEASONAL}"] = trend, season
-        out[f"{name}{RESIDUAL}"] = value / season / trend if ratio else value - trend - season
+        out[f"{name}{RESIDUAL}"] = _share(_share(value, season), trend) if ratio else value - trend - season
     return joined.select(*df.columns, *[e.alias(name) for name, e in out.items()])

@@ -61,6 +61,8 @@ class KalmanParams:
 class SeasonalParams:
     period: int = 1440
     model: str = "additive"
+    #: The multiplicative model leaves out columns with a reading of zero or less.
+    positive_only: bool = True
 
 
 @dataclass(frozen=True)

@@ -275,6 +275,25 @@ def test_multiplicative_decomposition_needs_positive_values(series):
         same(pdf[pdf.sensor == "a"][f"value_{name}"], wanted, 1e-8)
 
 
+@pytest.mark.parametrize("block", [1_000_000, 32])
+def test_ratios_to_the_trend_with_readings_of_zero(series, block):
+    """Without the rule on positive readings a zero is a reading like any other; a season of zeros divides as floats do."""
+    x, y = RNG.uniform(1, 2, 60), RNG.uniform(1, 2, 60)
+    x[7], y[2::6] = 0.0, 0.0
+    df, spec = series({(0, "a"): x, (0, "b"): y}, block_rows=block)
+    indexed, spec = index_series(df, spec)
+    params = SeasonalParams(6, "multiplicative", positive_only=False)
+    pdf = ordered(seasonal_parts(indexed, spec, ["value"], params))
+    trend = brute_parts(x, 6)[0]
+    phases = np.array([(x / trend)[i::6].mean() for i in range(6)])
+    season = np.tile(phases / phases.mean(), 10)
+    for name, wanted in (("trend", trend), ("seasonal", season), ("residual", x / season / trend)):
+        same(pdf[pdf.sensor == "a"][f"value_{name}"], wanted, 1e-8)
+    b = pdf[pdf.sensor == "b"]
+    assert (b["value_seasonal"][2::6] == 0).all() and b["value_residual"][2::6].isna().all()
+    assert b["value_residual"].notna().sum() == 50
+
+
 @pytest.mark.parametrize("share", [0.0, 0.25, 0.96, 1.0])
 def test_exact_quantile_with_ties(spark, share):
     x = np.r_[np.full(700, 0.5), RNG.random(300)]
