@@ -13,7 +13,9 @@ from barograph.functions import sarima
 from barograph.params import ForecastParams, SarimaParams, SeriesSpec
 from barograph.plans.layout import POS, attach, spread
 
-_ORIGIN = "_origin"
+_SPAN = "_span"
+#: Origins that a group forecasts; their models are fitted side by side.
+_ORIGINS = 32
 
 
 def _key_schema(df: DataFrame, spec: SeriesSpec) -> str:
@@ -26,37 +28,45 @@ def rolling_sarima(
     """One-step forecasts with 95 % limits for every position from ``start`` on.
 
     The model is fitted anew every ``refit_rows`` positions on the rows before
-    that origin only. Origins do not depend on each other: each row is copied to
-    the few origins whose history it belongs to, and every (series, origin) group
-    holds at most ``history_rows + refit_rows`` rows, so one very long series is
-    forecast by as many tasks as there are origins.
+    that origin only. Origins do not depend on each other: a series is cut into spans
+    of ``_ORIGINS`` of them, and each row is copied to the spans whose history it belongs to. A
+    (series, span) group holds at most ``history_rows + _ORIGINS * refit_rows`` rows, so one very long series is
+    forecast by as many tasks as there are spans, and copying adds a part of the input only.
     """
     columns = list(columns)
     history, refit = params.history_rows, params.refit_rows
+    span = _ORIGINS * refit
     rows = attach(df.select(*spec.keys, POS, *columns), plan, spec).filter(
         (F.col("start") < F.col("n")) & (F.col(POS) >= F.col("start") - history)
     )
-    first = F.expr(f"greatest(({POS} - start) div {refit}, 0)")
-    last = F.expr(f"least(({POS} + {history} - start) div {refit}, (n - 1 - start) div {refit})")
-    copies = rows.withColumn(_ORIGIN, F.explode(F.sequence(first, last)))
+    first = F.expr(f"greatest(({POS} - start) div {span}, 0)")
+    last = F.expr(f"least(({POS} + {history} - start) div {span}, (n - 1 - start) div {span})")
+    copies = rows.withColumn(_SPAN, F.explode(F.sequence(first, last)))
     parts = ("forecast", "lower", "upper")
     schema = f"{_key_schema(df, spec)}, {POS} long, " + ", ".join(f"`{c}_{p}` double" for c in columns for p in parts)
 
     def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(POS)
-        origin = int(pdf["start"].iloc[0]) + refit * int(pdf[_ORIGIN].iloc[0])
-        ahead = pdf[POS].to_numpy() >= origin
-        out = pdf.loc[ahead, [*spec.keys, POS]].copy()
+        pos, season = pdf[POS].to_numpy(), int(pdf["season"].iloc[0])
+        begin = int(pdf["start"].iloc[0]) + span * int(pdf[_SPAN].iloc[0])
+        origins = range(begin, int(pos[-1]) + 1, refit)
+        edges = np.searchsorted(pos, [(o - history, o, o + refit) for o in origins])
+        out = pdf.loc[pos >= begin, [*spec.keys, POS]].copy()
         for c in columns:
             x = pdf[c].to_numpy(float)
-            past = x[~ahead]
-            model = sarima.fit(past, params.sarima, int(pdf["season"].iloc[0]))
-            values = sarima.one_step_forecasts(model, past, x[ahead]) if model else np.full(ahead.sum(), np.nan)
-            reach = sarima.Z_95 * model.sigma if model else np.nan
+            past, ahead = [x[a:b] for a, b, _ in edges], [x[b:e] for _, b, e in edges]
+            models = sarima.fit_many(past, params.sarima, season)
+            values, reach = [np.full(len(a), np.nan) for a in ahead], [np.full(len(a), np.nan) for a in ahead]
+            fitted = [i for i, m in enumerate(models) if m]
+            if fitted:
+                made = sarima.one_step_forecasts(*([of[i] for i in fitted] for of in (models, past, ahead)))
+                for i, v in zip(fitted, made, strict=True):
+                    values[i], reach[i] = v, np.full(len(v), sarima.Z_95 * models[i].sigma)
+            values, reach = np.concatenate(values), np.concatenate(reach)
             out[f"{c}_forecast"], out[f"{c}_lower"], out[f"{c}_upper"] = values, values - reach, values + reach
         return out
 
-    return spread(copies, [*spec.keys, _ORIGIN]).groupBy(*spec.keys, _ORIGIN).applyInPandas(forecast, schema)
+    return spread(copies, [*spec.keys, _SPAN]).groupBy(*spec.keys, _SPAN).applyInPandas(forecast, schema)
 
 
 def fit_sarima(

@@ -103,6 +103,41 @@ def test_rolling_sarima_beats_the_last_value_and_never_looks_ahead(series, block
     assert ((a["value_lower"] < x[140:]) & (x[140:] < a["value_upper"])).mean() > 0.8
 
 
+@pytest.mark.parametrize("orders", [((0, 1, 1), (0, 1, 1)), ((1, 0, 1), (0, 1, 0)), ((0, 1, 0), (0, 0, 0))])
+def test_samples_fitted_side_by_side_are_fitted_as_if_alone(orders):
+    params, rng = SarimaParams(*orders, season=12), np.random.default_rng(4)
+    samples = [seasonal_moving_average(n, -0.4, -0.6, 12, seed=n) for n in (20, 60, 90, 91, 90)]
+    samples[4][[0, 7, 50]] = np.nan
+    models = sarima.fit_many(samples, params, 12)
+    assert models[0] is None
+    aheads = [rng.normal(size=n) for n in (6, 9, 3, 9)]
+    aheads[1][[2, 3]] = np.nan
+    forecasts = sarima.one_step_forecasts(models[1:], samples[1:], aheads)
+    for model, x, ahead, forecast in zip(models[1:], samples[1:], aheads, forecasts, strict=True):
+        same(model.theta, sarima.fit(x, params, 12).theta)
+        x = x[~np.isnan(x)]
+        for value, made in zip(ahead, forecast, strict=True):
+            assert made == pytest.approx(sarima.next_values(model, x, sarima.observed_innovations(model, x), 1)[0])
+            x = np.append(x, value) if value == value else x
+
+
+def test_origins_share_the_rows_of_a_span(series, monkeypatch):
+    """A row is copied for a span of origins and not for each of them; the spans change no forecast."""
+    from barograph.operators import sarima as operator
+
+    df, spec = series({(0, "a"): wave(200), (1, "a"): [*wave(70), None, None, *wave(50)]})
+    indexed, spec = index_series(df, spec)
+    params, made = replace(SMALL, tail_rows=0, refit_rows=5), []
+    for origins in (1, 4, 32):
+        monkeypatch.setattr(operator, "_ORIGINS", origins)
+        forecasts = rolling_sarima(indexed, spec, ["value"], forecast_plan(indexed, spec, params), params)
+        made.append(ordered(forecasts))
+    for other in made[1:]:
+        assert other["pos"].tolist() == made[0]["pos"].tolist()
+        for part in ("forecast", "lower", "upper"):
+            same(made[0][f"value_{part}"], other[f"value_{part}"])
+
+
 def test_forecast_ahead_continues_the_wave(series):
     df, spec = series({(0, "a"): wave(240, noise=0.05)})
     indexed, spec = index_series(df, spec)
