@@ -90,10 +90,11 @@ def tree_samples(df: DataFrame, spec: SeriesSpec, params: ForestParams = ForestP
     trees = F.sequence(F.lit(0).cast("long"), F.lit(params.trees - 1).cast("long"))
 
     def drawn(rows: DataFrame, cut: Column) -> DataFrame:
-        each = F.transform(trees, lambda t: F.struct(t.alias("tree"), tree_hash(POS, t, params.seed).alias("hash")))
-        near = rows.withColumn("_t", F.explode(F.filter(each, lambda x: x["hash"] < cut)))
+        # A row per tree lives in the task's loop only: what the filter drops is never stored.
+        each = rows.withColumn("_cut", cut).withColumn("tree", F.explode(trees))
+        near = each.withColumn("_hash", tree_hash(POS, F.col("tree"), params.seed)).filter(F.col("_hash") < F.col("_cut"))
+        near = near.drop("_cut")
         first = Window.partitionBy(*keys, "tree").orderBy("_hash", POS)
-        near = near.select(*rows.columns, F.col("_t.tree").alias("tree"), F.col("_t.hash").alias("_hash"))
         # About twice the wanted rows in a group.
         return near.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= wanted).drop("_hash")
 

@@ -363,6 +363,22 @@ def test_each_tree_is_drawn_from_the_whole_series(series):
     assert len(drawn) > 100 and drawn.max() < 7  # trees differ
 
 
+def test_rows_are_drawn_in_compiled_code(series, monkeypatch):
+    """The hashes of all rows and trees are most of the work; a lambda over the trees is interpreted for each of them."""
+    from barograph.operators import forest as operator
+
+    plans, write = [], operator.materialize
+
+    def watch(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(operator, "materialize", watch)
+    df, spec = index_series(*series({(0, "a"): wave(90)}))
+    tree_samples(attach(df, series_sizes(df, spec), spec), spec, ForestParams(trees=7, sample_rows=20))
+    assert len(plans) == 1 and "lambda" not in plans[0]
+
+
 def test_a_split_between_neighbouring_numbers_leaves_both_sides():
     x = np.array([[1.0], [np.nextafter(1.0, 2.0)]] * 8)
     for seed in range(20):
