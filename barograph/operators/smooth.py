@@ -25,8 +25,9 @@ from barograph.params import KalmanParams, SeriesSpec
 from barograph.plans.layout import BLOCK, OWN, POS, fill_gaps, split_blocks, spread
 from barograph.session import materialize
 
-#: Rows that are scanned together, or one segment if it is longer.
-ROWS = 1 << 17
+#: Rows that are scanned together, or one segment if it is longer. A scan needs some dozens of numbers per row in Python,
+#: in every task of an executor and twice where one scan feeds another.
+ROWS = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -198,8 +199,12 @@ def segments(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = ROW
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
+        if not batch.num_rows:
+            continue
         held.append(batch)
-        if sum(b.num_rows for b in held) >= rows:
+        # Sorted rows: with the same keys at both ends all of it is one segment, which goes on.
+        one = all(held[0].column(k)[0] == batch.column(k)[-1] for k in keys)
+        if not one and sum(b.num_rows for b in held) >= rows:
             table = pa.Table.from_batches(held).combine_chunks()
             ends = cuts(table)
             if len(ends):

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import ordered, same
 from hypothesis import given, settings
@@ -200,6 +201,17 @@ def test_median_grows_at_the_start_and_noise_waits_for_five(series):
     assert noise[5] == pytest.approx(np.var([5, 3, 4, 3, 3, 3]))
 
 
+def test_scans_hold_few_rows_at_a_time():
+    """However many rows a task has, and whole segments still; one long segment is not cut."""
+    sizes = [*[151] * 1000, 90_000, *[3] * 20]
+    table = pa.table({"k": np.repeat(np.arange(len(sizes)), sizes), "v": np.arange(sum(sizes))})
+    empty = table.slice(0, 0).combine_chunks().to_batches() or [pa.RecordBatch.from_pylist([], table.schema)]
+    found = list(smooth.segments(iter([*table.to_batches(10_000), *empty]), ["k"]))
+    assert np.concatenate([s for _, s in found]).tolist() == sizes
+    assert pa.concat_tables([t for t, _ in found]).column("v").to_pylist() == list(range(sum(sizes)))
+    assert max(len(t) for t, s in found if len(s) > 1 and s.max() == 151) < 45_000
+
+
 def brute_parts(values, requested, model="additive"):
     x = pd.Series(values, dtype=float)
     n = len(x)
