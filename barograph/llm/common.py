@@ -86,6 +86,9 @@ def chunks(data: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 
 #: Words with more bytes are hashed one by one.
 LONG_WORD = 256
+#: What a word's hash starts with, by its length, and the bits of its last bytes, by their number.
+LENGTHS = mix(np.arange(LONG_WORD + 1))
+MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], U64)
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,16 +109,15 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     long = np.flatnonzero(left > LONG_WORD)
     whole = [xxhash.xxh3_64_intdigest(data[start[i] : start[i] + left[i]]) for i in long]
     left = np.where(left > LONG_WORD, 0, left)
-    out = mix(left.astype(U64))
+    out = LENGTHS[left]
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
     eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
     now = np.flatnonzero(left)
+    start, left = start[now], left[now]
     while len(now):
-        some = np.minimum(left[now], 8)
-        bits = eight[start[now]] & (U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - U64(8) * some.astype(U64)))
-        out[now] = mix(out[now] ^ bits)
-        start, left = start + 8, left - 8
-        now = now[left[now] > 0]
+        out[now] = mix(out[now] ^ (eight[start] & MASKS[np.minimum(left, 8)]))
+        more = left > 8
+        now, start, left = now[more], start[more] + 8, left[more] - 8
     out[long] = np.array(whole, U64)
     return out, sizes
 

@@ -4,7 +4,8 @@ A line's set holds its distinct lower-cased words. Tokens are ordered by rarity
 each line is indexed under its prefix: two sets of n1 and n2 tokens that overlap in
 ``a = ceil(p (n1 + n2) / (100 + p))`` tokens share one of their ``n - ceil(p n / 100) + 1`` rarest.
 Candidates must pass the length filter (p n1 <= 100 n2), the positional filter (enough tokens left
-behind the shared one) and a bound from 64-bit parity sketches; Jaccard is then verified on whole sets.
+behind the shared one) and a bound from 128-bit parity sketches; Jaccard is then verified on whole sets, which are
+built again for the lines of these pairs only.
 
 Rarity is read from a table of 2^24 counts of hashed words, over all lines, each a byte that holds a logarithm (eight
 steps per doubling, so that frequent words keep their order at any size of the input). Any order
@@ -12,9 +13,11 @@ gives the same result, the counts only make buckets small; a word whose bucket c
 line cannot match another line and is not emitted. Neither is a line so short that only an equal set is similar: equal
 sets are one already.
 
-Hot words: the lines under a word are first compared with the earliest of them, which
-already removes copies in large groups; only what then remains as a later line is
-compared with all earlier ones. Lines and words are known by 64-bit hashes.
+The entries of a word travel once, sorted by word, and are compared where they arrive. Hot words: of very many
+lines under a word only the earliest are compared with all others there, and of very many candidates of
+a line only the earliest leave the task; both already remove copies in large groups. Such words are
+named, and under them what remains as an open line is then joined with all lines. Lines and
+words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -30,10 +33,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, WordHashes, as_bytes, chunks, folded, fresh, mix, release, word_hashes
+from .common import U64, Scratch, as_bytes, chunks, fresh, mix, release, word_hashes
 
 BUCKET_BITS = 24
 BLOCK = 1 << 16
+#: Entries that a task compares together, lines under a word beyond which it is hot, and the lines and candidates kept then.
+ROOM, CROWD, FEW = 1 << 16, 2048, 32
+#: Bits of the filter of lines to be read again, as a power of two.
+FILTER_BITS = 27
 
 
 @dataclass(frozen=True)
@@ -41,7 +48,7 @@ class LineCopies:
     """Lines of ``min_words`` distinct words or more; similarity of ``percent`` or more.
 
     Shorter lines stay; with ``min_words=1``, as the queries have it, every line with a word is compared.
-    passes: the joins run over one part of the words after the other, to hold less on disk.
+    passes: words are compared one part after the other, to hold less on disk.
     """
 
     min_words: int = 5
@@ -51,7 +58,8 @@ class LineCopies:
 
 @dataclass(frozen=True)
 class LineSets:
-    """Lines with enough words: text and place of each, size and start of its set in ``sets`` (sorted per line)."""
+    """Lines with enough words: text and place of each, size and start of its set in ``sets`` (sorted per line: rarest
+    first, if counts are given, then by hash)."""
 
     text: np.ndarray
     place: np.ndarray
@@ -69,14 +77,28 @@ def _line_words(texts: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray, np
     return line[enough], words[enough], pc.list_value_length(lists).to_numpy(zero_copy_only=False)
 
 
-def line_sets(texts: pa.Array, least: int) -> LineSets:
+def _distinct(line: np.ndarray, words: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of each line, by line, count and hash."""
+    if not len(line):
+        return line, words
+    ranks = np.zeros(len(words), np.uint8) if counts is None else counts[bucket_of(words)]
+    room = 56 - int(line[-1]).bit_length()
+    key = (line.astype(U64) << U64(8 + room)) | (ranks.astype(U64) << U64(room)) | (words >> U64(64 - room))
+    order = np.argsort(key)
+    key, found = key[order], words[order]
+    if np.any((key[1:] == key[:-1]) & (found[1:] != found[:-1])):  # the bits do not tell two words apart
+        order = np.lexsort((words, ranks, line))
+        found = words[order]
+    line = line[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (line[1:] != line[:-1]) | (found[1:] != found[:-1])
+    return line[new], found[new]
+
+
+def line_sets(texts: pa.Array, least: int, counts: np.ndarray | None = None) -> LineSets:
     """The sets of distinct word hashes of the lines with ``least`` distinct words or more."""
     line, words, lines = _line_words(texts, least)
-    order = np.lexsort((words, line))
-    line, words = line[order], words[order]
-    new = np.ones(len(words), bool)
-    new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
-    line, words = line[new], words[new]
+    line, words = _distinct(line, words, counts)
     total = int(lines.sum())
     size = np.bincount(line, minlength=total)
     words, size = words[(size >= least)[line]], np.where(size >= least, size, 0)
@@ -103,12 +125,17 @@ def logarithmic(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, np.minimum(steps, 255), 0).astype(np.uint8)
 
 
+#: The bytes of small counts.
+SMALL = logarithmic(np.arange(1 << 16))
+
+
 def _blocks(counts: np.ndarray) -> pa.RecordBatch:
     """(block, counts of its words) of the blocks with any."""
     blocks = counts.reshape(-1, BLOCK)
     full = np.flatnonzero(blocks.any(axis=1))
+    found = [SMALL[x] if x.max() < len(SMALL) else logarithmic(x) for x in blocks[full]]
     return pa.RecordBatch.from_arrays(
-        [pa.array(full, pa.int64()), pa.array([logarithmic(blocks[i]).tobytes() for i in full], pa.binary())],
+        [pa.array(full, pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
         names=["block", "counts"],
     )
 
@@ -119,7 +146,10 @@ def _count(least: int):
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
                 _, words, _ = _line_words(texts, least)
-                np.add.at(counts, bucket_of(words), 1)  # a word counts again in its line: only the order feels it
+                buckets = np.sort(bucket_of(words).astype(np.uint32))
+                at = np.flatnonzero(np.diff(buckets, prepend=np.uint32(0xFFFFFFFF)))
+                # A word counts again in its line: only the order feels it.
+                counts[buckets[at]] += np.diff(at, append=len(buckets)).astype(np.uint32)
         yield _blocks(counts)
 
     return count
@@ -148,65 +178,216 @@ def rarity(texts: DataFrame, least: int) -> np.ndarray:
     return counts
 
 
-LINES = "rid long, doc_id long, place int, sid long, n int, parity long, prefix array<int>, spots array<int>"
+LINES = "rid long, doc_id long, place int, sid long, n int, p1 long, p2 long"
 
 
 def _index(shared, copies: LineCopies):
-    """One row per line; parity, prefix and spots (their places in the order) only at the first copy in a task."""
+    """One row per line. Only the first copy in a task has a sketch and entries (word and its place in the order, in 32
+    bits each), in a list for each pass."""
     p = copies.percent
 
     def rows(found: LineSets, seen: set[int], counts: np.ndarray) -> list[pa.Array]:
         size, start, sets = found.size, found.start, found.sets
         spread = mix(sets)
         sid = mix(np.add.reduceat(mix(spread), start) + size.astype(U64)).view(np.int64)
-        parity = np.bitwise_xor.reduceat(U64(1) << (spread & U64(63)), start).view(np.int64)
+        bit, high = U64(1) << (spread & U64(63)), spread & U64(64) > 0
+        sketch = [np.bitwise_xor.reduceat(np.where(half, bit, U64(0)), start).view(np.int64) for half in (high, ~high)]
         first = np.empty(len(sid), bool)
         for i, one in enumerate(sid.tolist()):
             first[i] = one not in seen
             seen.add(one)
         line = np.repeat(np.arange(len(size)), size)
-        lines = counts[bucket_of(sets)]
-        order = np.argsort((line << 8) | lines, kind="stable")  # ties by hash: sets are sorted
         spot = np.arange(len(sets)) - start[line]
         some = (first & (100 * size >= p * (size + 1)))[line]
-        some &= (spot < (size + (-p * size) // 100 + 1)[line]) & (lines[order] > 1)
-        ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(line[some], minlength=len(size))))), pa.int32())
-        prefix = (sets[order[some]] >> U64(8)).astype(np.uint32).view(np.int32)
+        some &= (spot < (size + (-p * size) // 100 + 1)[line]) & (counts[bucket_of(sets)] > 1)
+        word, spot, line = (sets[some] >> U64(8)) & U64(0xFFFFFFFF), spot[some], line[some]
+        entries, part, lists = (word << U64(32) | spot.astype(U64)).view(np.int64), word % U64(copies.passes), []
+        for i in range(copies.passes):
+            mine = part == U64(i)
+            ends = np.concatenate(([0], np.cumsum(np.bincount(line[mine], minlength=len(size)))))
+            lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(entries[mine])))
         return [
-            pa.array(found.place, pa.int32()), pa.array(sid), pa.array(size, pa.int32()), pa.array(parity, mask=~first),
-            pa.ListArray.from_arrays(ends, pa.array(prefix)), pa.ListArray.from_arrays(ends, pa.array(spot[some], pa.int32())),
+            pa.array(found.place, pa.int32()), pa.array(sid), pa.array(size, pa.int32()),
+            *[pa.array(x, mask=~first) for x in sketch], *lists,
         ]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
+        names = ["rid", "doc_id", "place", "sid", "n", "p1", "p2", *[f"e{i}" for i in range(copies.passes)]]
         for batch in batches:
             for at, texts in chunks(batch.column(2)):
-                found = line_sets(texts, copies.min_words)
+                found = line_sets(texts, copies.min_words, counts)
                 if len(found.text):
                     source = pa.array(at + found.text)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(source), batch.column(1).take(source), *rows(found, seen, counts)],
-                        names=["rid", "doc_id", "place", "sid", "n", "parity", "prefix", "spots"],
+                        [batch.column(0).take(source), batch.column(1).take(source), *rows(found, seen, counts)], names=names
                     )
 
     return index
 
 
-def _chosen(least: int):
-    """(ord, words) of the lines asked for."""
+def _room(p: int, xn, yn, xleft, yleft, sketches):
+    """The positional and sketch filter for sets of ``xn`` and ``yn`` words with so many left from the shared one on."""
+    need = -(-p * (xn + yn) // (100 + p))
+    differ = sum(np.bitwise_count(x ^ y).astype(np.int64) for x, y in sketches)
+    return (np.minimum(xleft, yleft) >= need) & (differ <= xn + yn - 2 * need)
+
+
+def _earliest(x: np.ndarray, y: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of each x with its ``FEW`` lowest ys, and the xs that had more."""
+    order = np.lexsort((rank[y], x))
+    x, y = x[order], y[order]
+    first = np.flatnonzero(np.diff(x, prepend=-1))
+    place = np.arange(len(x)) - np.repeat(first, np.diff(first, append=len(x)))
+    return x[place < FEW], y[place < FEW], np.unique(x[place >= FEW])
+
+
+def _compared(entries: list[np.ndarray], p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of lines, ids of lines that may be similar to them, hot words) among all entries of some words."""
+    word, doc, sid, ni, p1, p2 = entries
+    order = np.lexsort((doc, sid, word))
+    new = np.ones(len(order), bool)  # the first of each line under a word: copies come from other tasks
+    new[1:] = (np.diff(word[order]) != 0) | (np.diff(sid[order]) != 0)
+    order = order[new]
+    order = order[np.lexsort((ni[order], word[order]))]
+    word, doc, sid = word[order], doc[order], sid[order]
+    p1, p2 = p1[order].view(U64), p2[order].view(U64)  # numpy counts the bits of absolute values
+    n = ni[order] >> 32
+    left = n - (ni[order] & 0xFFFFFFFF)
+    rank = np.empty(len(order), np.int64)
+    rank[np.lexsort((sid, doc))] = np.arange(len(order))
+    starts = np.flatnonzero(np.diff(word, prepend=word[0] - 1))
+    many = np.diff(starts, append=len(word))
+    end = np.repeat(starts + many, many)
+    xs, ys, hot, held = [], [], [word[starts[many > CROWD]]], 0
+
+    def meet(x: np.ndarray, y: np.ndarray) -> None:
+        nonlocal held
+        fits = _room(p, n[x], n[y], left[x], left[y], [(p1[x], p1[y]), (p2[x], p2[y])])
+        x, y = x[fits], y[fits]
+        late = rank[x] > rank[y]
+        xs.append(np.where(late, x, y))
+        ys.append(np.where(late, y, x))
+        held += len(x)
+        if held > 1 << 22:
+            fewer()
+
+    def fewer() -> None:
+        nonlocal held
+        x, y, more = _earliest(np.concatenate(xs), np.concatenate(ys), rank)
+        xs[:], ys[:], held = [x], [y], 0
+        hot.append(word[more])
+
+    x = np.flatnonzero(np.repeat(many <= CROWD, many))
+    apart = 1
+    while len(x):  # sizes grow along a word's lines: what is too long now stays so
+        x = x[x + apart < end[x]]
+        x = x[100 * n[x] >= p * n[x + apart]]
+        meet(x, x + apart)
+        apart += 1
+    for at, size in zip(starts[many > CROWD], many[many > CROWD], strict=True):
+        lines = np.arange(at, at + size)
+        for one in lines[np.argsort(rank[lines])[:FEW]]:
+            others = lines[(lines != one) & (100 * np.minimum(n[lines], n[one]) >= p * np.maximum(n[lines], n[one]))]
+            meet(others, np.full(len(others), one))
+    fewer()
+    return sid[xs[0]], sid[ys[0]], np.unique(np.concatenate(hot))
+
+
+def _meeting(percent: int):
+    """(a, b) of lines that may be similar, and (word) of hot words; entries come sorted by word and document."""
+
+    def found(entries: list[np.ndarray]) -> pa.RecordBatch:
+        x, y, hot = _compared(entries, percent)
+        pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1), axis=0)
+        none = pa.nulls(len(hot), pa.int64())
+        columns = [pa.concat_arrays([pa.array(pairs[:, i]), none]) for i in (0, 1)]
+        words = pa.concat_arrays([pa.nulls(len(pairs), pa.int32()), pa.array(hot, pa.int32())])
+        return pa.RecordBatch.from_arrays([*columns, words], names=["a", "b", "word"])
+
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append([x.to_numpy() for x in batch.columns])
+            rows += batch.num_rows
+            if rows < ROOM:
+                continue
+            entries = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = int(np.searchsorted(entries[0], entries[0][-1]))
+            if cut:
+                yield found([x[:cut] for x in entries])
+                held = [[x[cut:] for x in entries]]
+            else:  # a single word, hot: its earliest lines stay for those to come
+                yield found(entries)
+                held = [[x[:FEW] for x in entries]]
+            rows = len(held[0][0])
+        if rows:
+            yield found([np.concatenate(x) for x in zip(*held, strict=True)])
+
+    return meeting
+
+
+def _spot(rid: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (mix(rid.view(U64) ^ mix(place.astype(U64))) >> U64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, bytes) of the filter over the lines that came to this task."""
+    marks = np.zeros(1 << FILTER_BITS, bool)
+    for batch in batches:
+        marks[_spot(batch.column(0).to_numpy(), batch.column(1).to_numpy())] = True
+    blocks = np.packbits(marks).reshape(-1, BLOCK)
+    full = np.flatnonzero(blocks.any(axis=1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(full, pa.int64()), pa.array([blocks[i].tobytes() for i in full], pa.binary())], names=["block", "bits"]
+    )
+
+
+def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, bits in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            total = sums.setdefault(block, np.zeros(BLOCK, np.uint8))
+            total |= np.frombuffer(bits.as_buffer(), np.uint8)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
+        names=["block", "bits"],
+    )
+
+
+def line_filter(lines: DataFrame) -> np.ndarray:
+    """A filter of 2^27 bits over (rid, place), whatever the input's size; a line outside may pass, none within fails."""
+    schema = "block long, bits binary"
+    merged = lines.mapInArrow(_mark, schema).repartition("block").mapInArrow(_union, schema)
+    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for row in merged.toLocalIterator():
+        bits[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["bits"], np.uint8)
+    return bits
+
+
+def _chosen(shared):
+    """(rid, place, words) of the lines that pass the filter."""
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        bits = shared.value
         for batch in batches:
-            ids, out = [], []
-            for data, asked in zip(batch.column(0), batch.column(1), strict=True):
-                lines = data.as_py().split(b"\n")
-                for one in asked.as_py():
-                    sets = hashes.of(list(set(folded(lines[one["place"]]))))
-                    sets.sort()
-                    ids.append(one["sid"])
-                    out.append(sets.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["sid", "set"])
+            rids = batch.column(0).to_numpy()
+            for at, texts in chunks(batch.column(1)):
+                lists = pc.split_pattern(texts, "\n")
+                many = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+                rid = np.repeat(rids[at : at + len(texts)], many)
+                place = np.arange(len(rid)) - np.repeat(np.cumsum(many) - many, many)
+                spot = _spot(rid, place)
+                which = np.flatnonzero(bits[spot >> 3] & (128 >> (spot & 7)))
+                words, sizes = word_hashes(lists.flatten().take(pa.array(which)))
+                line, words = _distinct(np.repeat(np.arange(len(sizes)), sizes), words)
+                ends = np.concatenate(([0], 8 * np.cumsum(np.bincount(line, minlength=len(which))))).astype(np.int32)
+                sets = pa.Array.from_buffers(
+                    pa.binary(), len(which), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(words.tobytes())]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rid[which]), pa.array(place[which], pa.int32()), sets], names=["rid", "place", "set"]
+                )
 
     return chosen
 
@@ -229,15 +410,16 @@ def _similar(percent: int):
 
 
 def _candidate(p: int, x: str, y: str):
-    """Not before, and the length, positional and sketch filter, for entries x and y of one word."""
+    """The length, positional and sketch filter, for entries x and y of one word."""
     xn, yn = F.shiftright(f"{x}.ni", 32), F.shiftright(f"{y}.ni", 32)
     xi, yi = (F.col(f"{side}.ni").bitwiseAND(F.lit(0xFFFFFFFF)) for side in (x, y))
     need = F.ceil(F.lit(p) * (xn + yn) / F.lit(100 + p))
+    differ = [F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in ("p1", "p2")]
     return (
-        (F.col(f"{x}.sid") != F.col(f"{y}.sid")) & (F.col(f"{x}.doc") >= F.col(f"{y}.doc"))
+        (F.col(f"{x}.sid") != F.col(f"{y}.sid"))
         & (100 * F.least(xn, yn) >= p * F.greatest(xn, yn))
         & (F.least(xn - xi, yn - yi) >= need)
-        & (F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity"))) <= xn + yn - 2 * need)
+        & (differ[0] + differ[1] <= xn + yn - 2 * need)
     )
 
 
@@ -261,55 +443,53 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
     rows, rid = _identified(docs, last)
     texts = rows.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
     counts = spark.sparkContext.broadcast(rarity(texts.select("text"), copies.min_words))
-    index, fat = Scratch(spark), Scratch(spark)
-    lines = index.table(texts.mapInArrow(_index(counts, copies), LINES), "lines-index")
+    schema = LINES + "".join(f", e{i} array<long>" for i in range(copies.passes))
+    lines = work.table(texts.mapInArrow(_index(counts, copies), schema), "lines-index")
+    counts.unpersist()
 
     # Earlier means: smaller document id (null last), then row, then place.
     at = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid", "place")
-    sets = lines.groupBy("sid").agg(
-        F.min(at).alias("at"), F.max("n").alias("n"), F.max("parity").alias("parity"),
-        F.max(F.struct("prefix", "spots")).alias("index"),
-    )
-    full = fat.table(sets, "lines-indexed")
-    lines = work.table(lines.select("sid", "rid", "place"), "lines-places")
-    index.drop()
-    sets = work.table(full.select("sid", "at"), "lines-sets")
-    # Entries carry the document id alone; of lines of one document the order is settled when pairs are verified.
-    entry = full.select(
-        F.explode(F.arrays_zip("index.prefix", "index.spots")).alias("e"), "sid",
-        F.coalesce("at.doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.shiftleft(F.col("n").cast("long"), 32).alias("n"),
-        "parity",
-    )
-    entry = entry.select(
-        F.col("e.prefix").alias("word"), "doc", "sid", F.col("n").bitwiseOR(F.col("e.spots")).alias("ni"), "parity"
-    )
-    me = F.struct("doc", "sid", "ni", "parity")
-    star = F.when(_candidate(p, "x", "y"), F.col("y.sid")).alias("star")
+    sets = work.table(lines.groupBy("sid").agg(F.min(at).alias("at")), "lines-sets")
+    release(spark)
+
+    def entries(part: int) -> DataFrame:
+        some = lines.where("p1 is not null").select(
+            F.explode(f"e{part}").alias("e"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "sid",
+            F.shiftleft(F.col("n").cast("long"), 32).alias("n"), "p1", "p2",
+        )
+        return some.select(
+            F.shiftright("e", 32).cast("int").alias("word"), "doc", "sid",
+            F.col("n").bitwiseOR(F.col("e").bitwiseAND(F.lit(0xFFFFFFFF))).alias("ni"), "p1", "p2",
+        )
+
     parts = []
     for part in range(copies.passes):
-        some = entry.where(F.pmod("word", F.lit(copies.passes)) == part).select("word", me.alias("x"))
-        earliest = some.groupBy("word").agg(F.min("x").alias("y"), F.count("*").alias("many")).where("many > 1")
-        some = some.join(earliest, "word")  # a join, not a window: a frequent word may be split over tasks
-        parts.append(work.table(some.select("word", "x.*", star), "lines-entries"))
-        release(spark)
-    fat.drop()
-
-    stars = reduce(DataFrame.union, [x.where("star is not null").select("sid", "star") for x in parts])
-    first = work.table(stars.toDF("a", "b").distinct(), "lines-stars")
-    matched = _verified(first, rows, rid, sets, copies, work)
-
-    done = work.table(matched.select(F.col("late").alias("sid")).distinct(), "lines-done")
-    pairs = []
-    for part in parts:
-        open_ = part.join(done, "sid", "left_anti")
-        left, right = open_.select("word", me.alias("x")), part.select("word", me.alias("y"))
-        some = left.join(right, "word").where(_candidate(p, "x", "y"))
-        some = some.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
-        pairs.append(work.table(some, "lines-pairs"))
+        some = entries(part).repartition("word").sortWithinPartitions("word", "doc")
+        parts.append(work.table(some.mapInArrow(_meeting(p), "a long, b long, word int"), "lines-met"))
         release(spark)
-    rest = reduce(DataFrame.union, pairs).distinct().join(first, ["a", "b"], "left_anti")
-    rest = work.table(rest, "lines-rest")
-    late = done.union(_verified(rest, rows, rid, sets, copies, work).select(F.col("late").alias("sid"))).distinct()
+    met = reduce(DataFrame.union, parts)
+    first = work.table(met.where("word is null").select("a", "b").distinct(), "lines-pairs")
+    done = work.table(_verified(first, rows, rid, sets, copies, work).select(F.col("late").alias("sid")).distinct(), "lines-done")
+
+    late = done
+    hot = work.table(met.where("word is not null").select("word").distinct(), "lines-hot")
+    if not hot.isEmpty():
+        me = F.struct("sid", "ni", "p1", "p2")
+        pairs = []
+        for part in range(copies.passes):
+            some = entries(part).join(hot, "word", "left_semi").dropDuplicates(["word", "sid"])
+            some = work.table(some.drop("doc"), "lines-entries")
+            open_ = some.join(done, "sid", "left_anti")
+            some = open_.select("word", me.alias("x")).join(some.select("word", me.alias("y")), "word")
+            some = some.where(_candidate(p, "x", "y")).select(
+                F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")
+            )
+            pairs.append(work.table(some.distinct(), "lines-rest"))
+            release(spark)
+        rest = reduce(DataFrame.union, pairs).distinct().join(first, ["a", "b"], "left_anti")
+        rest = work.table(rest, "lines-rest")
+        if not rest.isEmpty():
+            late = done.union(_verified(rest, rows, rid, sets, copies, work).select(F.col("late").alias("sid"))).distinct()
 
     fate = sets.select("sid", "at").join(late.withColumn("late", F.lit(True)), "sid", "left")
     gone = lines.select("sid", "rid", "place").join(fate, "sid").where(
@@ -325,18 +505,14 @@ def _verified(
 ) -> DataFrame:
     """(late, early) of the pairs of line ids whose sets are similar; only these lines are read again."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    asked = sets.join(wanted, "sid", "left_semi").groupBy(F.col("at.rid").alias("rid")).agg(
-        F.collect_list(F.struct("sid", F.col("at.place").alias("place"))).alias("asked")
-    )
+    asked = sets.join(wanted, "sid", "left_semi").select("sid", F.col("at.rid").alias("rid"), F.col("at.place").alias("place"))
     asked = work.table(asked, "lines-asked")
+    shared = work.spark.sparkContext.broadcast(line_filter(asked.select("rid", "place")))
     texts = rows.select(F.col(rid).alias("rid"), as_bytes().alias("text"))
-    parts = []
-    for part in range(copies.passes):  # the join moves whole texts: a part of them at a time
-        mine = F.pmod("rid", F.lit(copies.passes)) == part
-        some = texts.where(mine).join(asked.where(mine), "rid").select("text", "asked")
-        parts.append(work.table(some.mapInArrow(_chosen(copies.min_words), "sid long, set binary"), "lines-chosen"))
-        release(work.spark)
-    chosen = reduce(DataFrame.union, parts)
+    chosen = texts.mapInArrow(_chosen(shared), "rid long, place int, set binary").join(asked, ["rid", "place"])
+    chosen = work.table(chosen.select("sid", "set"), "lines-chosen")
+    shared.unpersist()
+    release(work.spark)
     at = sets.select("sid", "at")
     ordered = pairs.join(at.toDF("a", "ata"), "a").join(at.toDF("b", "atb"), "b").select(
         F.when(F.col("ata") > F.col("atb"), F.col("a")).otherwise(F.col("b")).alias("late"),

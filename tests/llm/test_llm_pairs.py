@@ -130,6 +130,81 @@ def test_registered_line_dedup_covers_short_lines(spark, documents, folder):
     assert sorted((r.doc_id, r.text) for r in got) == [x[:2] for x in want]
 
 
+def line_entries(texts, copies):
+    """The entries of the first pass, sorted by word, as the index of one task gives them, and the id of each text."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    counts = np.full(1 << linededup.BUCKET_BITS, 9, np.uint8)
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array([t.encode() for t in texts])], names=["rid", "doc_id", "text"])
+    (rows,) = linededup._index(SimpleNamespace(value=counts), copies)(iter([batch]))
+    rows = rows.to_pydict()
+    out = [
+        (e >> 32, doc, sid, (n << 32) | (e & 0xFFFFFFFF), p1, p2)
+        for doc, sid, n, p1, p2, some in zip(*[rows[c] for c in ("doc_id", "sid", "n", "p1", "p2", "e0")], strict=True)
+        for e in some
+    ]
+    columns = zip(*sorted(out), strict=True)
+    kinds = [pa.int32(), *[pa.int64()] * 5]
+    arrays = [pa.array(x, k) for x, k in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=["word", "doc", "sid", "ni", "p1", "p2"]), rows["sid"]
+
+
+def similar_texts(texts):
+    sets = [set(t.split()) for t in texts]
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j)]
+    return {(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+
+
+@pytest.mark.parametrize("limits", [{}, {"CROWD": 8, "FEW": 2, "ROOM": 40}, {"FEW": 1, "ROOM": 40}])
+def test_candidates_of_lines_hold_every_link(monkeypatch, limits):
+    """Each late line meets an earlier similar one, unless a word of both is hot."""
+    for name, value in limits.items():
+        monkeypatch.setattr(linededup, name, value)
+    rng = random.Random(3)
+    base = [rng.sample([f"v{i}" for i in range(400)], rng.randint(5, 120)) for _ in range(12)]
+    texts = set()
+    for _ in range(150):
+        line = list(rng.choice(base))
+        for _ in range(rng.randint(0, len(line) // 8)):
+            line[rng.randrange(len(line))] = f"x{rng.randrange(40)}"
+        texts.add(" ".join(sorted(set(line))))
+    texts = sorted(texts)
+    batch, ids = line_entries(texts, linededup.LineCopies(min_words=1, passes=1))
+    met, hot = set(), set()
+    for out in linededup._meeting(80)(iter([batch.slice(i, 25) for i in range(0, batch.num_rows, 25)])):
+        met |= {(r["a"], r["b"]) for r in out.to_pylist() if r["word"] is None}
+        hot |= {r["word"] for r in out.to_pylist() if r["word"] is not None}
+    words = {}
+    for r in batch.to_pylist():
+        words.setdefault(r["sid"], set()).add(r["word"])
+    links = similar_texts(texts)
+    assert links and (hot or not limits) and all(a < b for a, b in met)
+    of = {i: {j for j in range(i) if (j, i) in links} for i in range(len(texts))}
+    for i, earlier in of.items():
+        if earlier and not any((min(ids[i], ids[j]), max(ids[i], ids[j])) in met for j in earlier):
+            assert any(words[ids[i]] & words[ids[j]] & hot for j in earlier)
+
+
+def test_long_lines_under_a_word_are_no_candidates(documents, monkeypatch):
+    """Lines of 150 words that share a few rare ones differ too much: hardly a pair reaches verification."""
+    seen, verified = [], linededup._verified
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(linededup, "_verified", counted)
+    rng = random.Random(9)
+    rare = [f"r{i}" for i in range(8)]
+    texts = [" ".join([*rng.sample(rare, 4), *rng.sample([f"v{i}" for i in range(300)], 146)]) for _ in range(80)]
+    got = linededup.drop_repeated_lines(documents(list(enumerate(texts))), count="gone").collect()
+    assert sorted((r.doc_id, r.text, r.gone) for r in got) == brute_lines(list(enumerate(texts)))
+    assert sum(seen) < 20
+
+
 def test_line_dedup_odd_rows(odd):
     got = linededup.drop_repeated_lines(odd, count="n")
     assert got.columns == [*odd.columns, "n"]
