@@ -25,7 +25,10 @@ SPLIT = re.compile(
 VISIBLE = re.compile(f"[!-~{LETTERS}]")
 #: One pre-token behind a space, or one and a mark.
 SIMPLE = re.compile(f"([{LETTERS}]+)([.,:;!?]?)")
+MARKS = frozenset(".,:;!?")
 REMEMBERED = 300_000
+#: Words, whose long tail is most of the work, are remembered in larger numbers: about 150 MB in a worker.
+WORDS = 1_000_000
 #: Longer words, and words across lines, hardly come again: they are not remembered.
 LONGEST = 64
 
@@ -38,6 +41,7 @@ def _symbols() -> dict[int, str]:
 
 
 SYMBOLS = _symbols()
+SPACE = SYMBOLS[0x20]
 
 
 def symbols_of(part: str) -> str:
@@ -60,9 +64,15 @@ class Tokens(dict):
             path = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: A character that all special tokens share: a text without it has none of them.
+        self.sign = min(set.intersection(*map(set, self.special)), default=None) if self.special else None
         self.words = _Words(self)
 
+    def holds_special(self, text: str) -> bool:
+        return (self.sign is None or self.sign in text) and any(s in text for s in self.special)
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -73,10 +83,13 @@ class Tokens(dict):
         return ids
 
     def merged(self, symbols: str) -> bytes:
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(symbols)])
+        found = self.model.tokenize(symbols)
+        if len(found) == 1:
+            return self.bytes_of[found[0].id]
+        return b"".join([self.bytes_of[t.id] for t in found])
 
     def split(self, text: str) -> bytes:
-        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+        if PLAIN.fullmatch(text) and not self.holds_special(text):
             return b"".join(map(self.__getitem__, SPLIT.findall(text)))
         return self.whole(text)
 
@@ -86,13 +99,13 @@ class Tokens(dict):
             stem, mark = simple.groups()
             ids = self.merged(symbols_of(" " + stem))
             return ids + self[mark] if mark else ids
-        if not VISIBLE.match(word) or any(s in word for s in self.special):
+        if not VISIBLE.match(word) or self.holds_special(word):
             return None
         return self.split(" " + word)
 
     def of(self, text: str) -> bytes:
         first, *words = text.split(" ")
-        if any(s in first for s in self.special):
+        if self.holds_special(first):
             return self.whole(text)
         try:
             rest = b"".join(map(self.words.__getitem__, words))
@@ -109,13 +122,24 @@ class _Words(dict):
         self.tokens = tokens
 
     def __missing__(self, word: str) -> bytes:
-        if simple := SIMPLE.fullmatch(word):
+        if word.isascii():  # the simple words among these, without the pattern
+            if word.isalpha():
+                ids = self.tokens.merged(SPACE + word)
+                if len(word) <= LONGEST:
+                    self.remember(word, ids)
+                return ids
+            if word[-1:] in MARKS and (stem := word[:-1]).isalpha():
+                ids = self[stem] + self.tokens[word[-1]]
+                if len(word) <= LONGEST:
+                    self.remember(word, ids)
+                return ids
+        elif simple := SIMPLE.fullmatch(word):
             stem, mark = simple.groups()
             ids = self[stem] + self.tokens[mark] if mark else self.tokens.merged(symbols_of(" " + word))
             if len(word) <= LONGEST:
                 self.remember(word, ids)
             return ids
-        if not VISIBLE.match(word) or any(s in word for s in self.tokens.special):
+        if not VISIBLE.match(word) or self.tokens.holds_special(word):
             raise _Whole
         ids = self.tokens.split(" " + word)
         if len(word) <= LONGEST and "\n" not in word:
@@ -123,6 +147,6 @@ class _Words(dict):
         return ids
 
     def remember(self, word: str, ids: bytes) -> None:
-        if len(self) >= REMEMBERED:
+        if len(self) >= WORDS:
             self.clear()
         self[word] = ids

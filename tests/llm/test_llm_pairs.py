@@ -320,3 +320,22 @@ def test_word_hashes_tell_words_apart():
     found = line_sets(chunk, 5)
     assert (found.text.tolist(), found.place.tolist(), found.size.tolist()) == ([3], [1], [6])
     assert word_hashes(pa.array([], pa.string()))[0].size == 0
+
+
+def test_words_of_all_kinds_have_the_vocabulary_s_ids(monkeypatch):
+    """Simple words take a short way, many are remembered, and a special token is found wherever it is."""
+    from barograph.llm import tokens as module
+
+    tokens = Tokens()
+    whole = tokens.tokenizer
+    words = ["to", "be,", "To:", "ñandú", "ñandú!", "Ünïted?", "a1", "1a.", "don't", "e.\nThe", "it!!", "I;", ".", "日本", "²", "ª.",
+             "straße,", "ſ", "K", "x" * 70, "x" * 70 + ".", "<", "|", "<|endoftext|>", "a<|endoftext|>b", "İx", "ı", "µ", "é\nè,"]
+    rng = random.Random(4)
+    monkeypatch.setattr(module, "WORDS", 6)
+    for _ in range(200):
+        text = " ".join(rng.choices(words, k=rng.randint(1, 9)))
+        assert np.frombuffer(tokens.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    monkeypatch.undo()
+    tokens = Tokens()
+    tokens.of(" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{'z' * (i // 17576)}" for i in range(310_000)))
+    assert len(tokens.words) > 300_000
