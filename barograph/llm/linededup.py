@@ -245,17 +245,18 @@ def _earliest(x: np.ndarray, y: np.ndarray, rank: np.ndarray) -> tuple[np.ndarra
 def _compared(entries: list[np.ndarray], p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids of lines, ids of lines that may be similar to them, hot words) among all entries of some words."""
     word, doc, sid, ni, p1, p2 = entries
-    order = np.lexsort((doc, sid, word))
-    new = np.ones(len(order), bool)  # the first of each line under a word: copies come from other tasks
+    group = np.cumsum(np.diff(word, prepend=word[0]) != 0).astype(U64)
+    order = np.argsort((group << U64(40)) | (sid.view(U64) >> U64(24)))
+    new = np.ones(len(order), bool)  # one of each line under a word: copies come from other tasks
     new[1:] = (np.diff(word[order]) != 0) | (np.diff(sid[order]) != 0)
     order = order[new]
-    order = order[np.lexsort((ni[order], word[order]))]
+    order = order[np.argsort((group[order] << U64(40)) | (ni[order] >> 32).astype(U64))]
     word, doc, sid = word[order], doc[order], sid[order]
     p1, p2 = p1[order].view(U64), p2[order].view(U64)  # numpy counts the bits of absolute values
     n = ni[order] >> 32
     left = n - (ni[order] & 0xFFFFFFFF)
     rank = np.empty(len(order), np.int64)
-    rank[np.lexsort((sid, doc))] = np.arange(len(order))
+    rank[np.argsort(doc)] = np.arange(len(order))
     starts = np.flatnonzero(np.diff(word, prepend=word[0] - 1))
     many = np.diff(starts, append=len(word))
     end = np.repeat(starts + many, many)
@@ -263,7 +264,7 @@ def _compared(entries: list[np.ndarray], p: int) -> tuple[np.ndarray, np.ndarray
 
     def meet(x: np.ndarray, y: np.ndarray) -> None:
         nonlocal held
-        fits = _room(p, n[x], n[y], left[x], left[y], [(p1[x], p1[y]), (p2[x], p2[y])])
+        fits = _room(p, n[x], n[y], left[x], left[y], [(p1[x], p1[y]), (p2[x], p2[y])]) & (sid[x] != sid[y])
         x, y = x[fits], y[fits]
         late = rank[x] > rank[y]
         xs.append(np.where(late, x, y))
@@ -295,7 +296,7 @@ def _compared(entries: list[np.ndarray], p: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _meeting(percent: int):
-    """(a, b) of lines that may be similar, and (word) of hot words; entries come sorted by word and document."""
+    """(a, b) of lines that may be similar, and (word) of hot words; entries come sorted by word."""
 
     def found(entries: list[np.ndarray]) -> pa.RecordBatch:
         x, y, hot = _compared(entries, percent)
@@ -319,7 +320,7 @@ def _meeting(percent: int):
                 held = [[x[cut:] for x in entries]]
             else:  # a single word, hot: its earliest lines stay for those to come
                 yield found(entries)
-                held = [[x[:FEW] for x in entries]]
+                held = [[x[np.argsort(entries[1])[:FEW]] for x in entries]]
             rows = len(held[0][0])
         if rows:
             yield found([np.concatenate(x) for x in zip(*held, strict=True)])
@@ -464,7 +465,7 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
 
     parts = []
     for part in range(copies.passes):
-        some = entries(part).repartition("word").sortWithinPartitions("word", "doc")
+        some = entries(part).repartition("word").sortWithinPartitions("word")
         parts.append(work.table(some.mapInArrow(_meeting(p), "a long, b long, word int"), "lines-met"))
         release(spark)
     met = reduce(DataFrame.union, parts)
