@@ -73,13 +73,13 @@ class WordHashes(dict):
 CHUNK = 1 << 22
 
 
-def chunks(data: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """(place of its first value, texts) of parts of a binary column with about ``CHUNK`` bytes, or one long text."""
-    ends = np.cumsum(pc.binary_length(data).to_numpy(zero_copy_only=False), dtype=np.int64)
+def chunks(data: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, pa.Array]]:
+    """(place of its first value, texts) of parts of a binary column with about ``size`` bytes, or one long text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
     while at < len(data):
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield at, data.slice(at, to - at).view(pa.string())
         at = to
 

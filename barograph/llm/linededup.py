@@ -22,7 +22,7 @@ words are known by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,6 +41,9 @@ BLOCK = 1 << 16
 ROOM, CROWD, FEW = 1 << 16, 2048, 32
 #: Bits of the filter of lines to be read again, as a power of two.
 FILTER_BITS = 27
+#: Bytes of text that a task takes at a time, blocks of a table that leave it together, and pairs that it gathers before
+#: it keeps the earliest.
+PART, SENT, GATHERED = 1 << 20, 16, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -129,28 +132,31 @@ def logarithmic(counts: np.ndarray) -> np.ndarray:
 SMALL = logarithmic(np.arange(1 << 16))
 
 
-def _blocks(counts: np.ndarray) -> pa.RecordBatch:
-    """(block, counts of its words) of the blocks with any."""
-    blocks = counts.reshape(-1, BLOCK)
-    full = np.flatnonzero(blocks.any(axis=1))
-    found = [SMALL[x] if x.max() < len(SMALL) else logarithmic(x) for x in blocks[full]]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(full, pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
-        names=["block", "counts"],
-    )
+def _blocks(table: np.ndarray, name: str, sent: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(block, its bytes as ``sent``) of the blocks of a table with any, few at a time."""
+    blocks = table.reshape(-1, BLOCK)
+    full = [i for i, x in enumerate(blocks) if x.any()]
+    for at in range(0, len(full), SENT):
+        some = full[at : at + SENT]
+        data = pa.array([sent(blocks[i]).tobytes() for i in some], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), data], names=["block", name])
+
+
+def _as_bytes(counts: np.ndarray) -> np.ndarray:
+    return SMALL[counts] if counts.max() < len(SMALL) else logarithmic(counts)
 
 
 def _count(least: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.uint32)
         for batch in batches:
-            for _, texts in chunks(batch.column(0)):
+            for _, texts in chunks(batch.column(0), PART):
                 _, words, _ = _line_words(texts, least)
                 buckets = np.sort(bucket_of(words).astype(np.uint32))
                 at = np.flatnonzero(np.diff(buckets, prepend=np.uint32(0xFFFFFFFF)))
                 # A word counts again in its line: only the order feels it.
                 counts[buckets[at]] += np.diff(at, append=len(buckets)).astype(np.uint32)
-        yield _blocks(counts)
+        yield from _blocks(counts, "counts", _as_bytes)
 
     return count
 
@@ -215,7 +221,7 @@ def _index(shared, copies: LineCopies):
         counts, seen = shared.value, set()
         names = ["rid", "doc_id", "place", "sid", "n", "p1", "p2", *[f"e{i}" for i in range(copies.passes)]]
         for batch in batches:
-            for at, texts in chunks(batch.column(2)):
+            for at, texts in chunks(batch.column(2), PART):
                 found = line_sets(texts, copies.min_words, counts)
                 if len(found.text):
                     source = pa.array(at + found.text)
@@ -270,7 +276,7 @@ def _compared(entries: list[np.ndarray], p: int) -> tuple[np.ndarray, np.ndarray
         xs.append(np.where(late, x, y))
         ys.append(np.where(late, y, x))
         held += len(x)
-        if held > 1 << 22:
+        if held > GATHERED:
             fewer()
 
     def fewer() -> None:
@@ -334,14 +340,11 @@ def _spot(rid: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, bytes) of the filter over the lines that came to this task."""
-    marks = np.zeros(1 << FILTER_BITS, bool)
+    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for batch in batches:
-        marks[_spot(batch.column(0).to_numpy(), batch.column(1).to_numpy())] = True
-    blocks = np.packbits(marks).reshape(-1, BLOCK)
-    full = np.flatnonzero(blocks.any(axis=1))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(full, pa.int64()), pa.array([blocks[i].tobytes() for i in full], pa.binary())], names=["block", "bits"]
-    )
+        spot = _spot(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        np.bitwise_or.at(bits, spot >> 3, (128 >> (spot & 7)).astype(np.uint8))
+    yield from _blocks(bits, "bits", np.asarray)
 
 
 def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +376,7 @@ def _chosen(shared):
         bits = shared.value
         for batch in batches:
             rids = batch.column(0).to_numpy()
-            for at, texts in chunks(batch.column(1)):
+            for at, texts in chunks(batch.column(1), PART):
                 lists = pc.split_pattern(texts, "\n")
                 many = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
                 rid = np.repeat(rids[at : at + len(texts)], many)
@@ -526,22 +529,23 @@ def _verified(
 
 
 def _without(text: int, places: int):
-    """The batch with the lines at ``places`` taken out of its text column, and their number in its last column."""
+    """The batch, in parts, with the lines at ``places`` taken out of its text column, and their number in its last column."""
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, gone = [], []
-            for data, at in zip(batch.column(text), batch.column(places), strict=True):
-                data, at = data.as_py(), at.as_py()
-                if data is not None and at:
-                    off = set(at)
-                    data = "\n".join(x for i, x in enumerate(data.split("\n")) if i not in off)
-                out.append(data)
-                gone.append(len(at or ()))
-            columns = list(batch.columns)
-            columns[text] = pa.array(out, pa.string())
-            columns[places] = pa.array(gone, pa.int32())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            for at, texts in chunks(batch.column(text), PART):
+                part = batch.slice(at, len(texts))
+                off = part.column(places)
+                gone = pc.fill_null(pc.list_value_length(off), 0)
+                some = pc.and_(pc.greater(gone, 0), pc.is_valid(texts))
+                left = []
+                for data, lines in zip(texts.filter(some).to_pylist(), off.filter(some).to_pylist(), strict=True):
+                    lines = set(lines)
+                    left.append("\n".join(x for i, x in enumerate(data.split("\n")) if i not in lines))
+                columns = list(part.columns)
+                columns[text] = pc.replace_with_mask(texts, some, pa.array(left, pa.string()))
+                columns[places] = gone
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return without
 

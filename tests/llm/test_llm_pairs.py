@@ -1,10 +1,12 @@
 """Similarity joins, neighbours and packing against brute force."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -205,6 +207,44 @@ def test_long_lines_under_a_word_are_no_candidates(documents, monkeypatch):
     assert sum(seen) < 20
 
 
+def _peak_mb(step, batch):
+    tracemalloc.start()
+    try:
+        for _ in step(iter([batch])):
+            pass
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_line_dedup_tables_of_a_task_are_held_once():
+    rng = np.random.default_rng(8)
+    texts = pa.array([" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 200)).encode() for _ in range(500)], pa.binary())
+    assert _peak_mb(linededup._count(1), pa.RecordBatch.from_arrays([texts], names=["text"])) < 110
+    lines = [pa.array(rng.integers(0, 1 << 60, 100_000)), pa.array(np.arange(100_000), pa.int32())]
+    batch = pa.RecordBatch.from_arrays(lines, names=["rid", "place"])
+    assert _peak_mb(linededup._mark, batch) < 40
+    bits = np.zeros(1 << (linededup.FILTER_BITS - 3), np.uint8)
+    for out in linededup._mark(iter([batch])):
+        for block, data in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            bits[block * linededup.BLOCK : (block + 1) * linededup.BLOCK] = np.frombuffer(data, np.uint8)
+    spots = np.unique(linededup._spot(lines[0].to_numpy(), lines[1].to_numpy()))
+    assert np.array_equal(np.flatnonzero(np.unpackbits(bits)), spots)
+
+
+def test_line_dedup_hands_texts_on_in_parts():
+    texts = [None, "", *["é\n" + "x" * 50_000 + "\né"] * 100, "y" * 3_000_000]
+    places = [None, None, *[[2], [0, 1]] * 50, None]
+    columns = [pa.array(range(len(texts))), pa.array(texts), pa.array(places, pa.list_(pa.int32()))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "places"])
+    out = list(linededup._without(1, 2)(iter([batch])))
+    assert all(x.num_rows == 1 or x.column(1).nbytes < 1 << 21 for x in out)
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [r["doc_id"] for r in rows] == list(range(len(texts)))
+    assert [r["text"] for r in rows] == [None, "", *["é\n" + "x" * 50_000, "é"] * 50, texts[-1]]
+    assert [r["places"] for r in rows] == [0, 0, *[1, 2] * 50, 0]
+
+
 def test_line_dedup_odd_rows(odd):
     got = linededup.drop_repeated_lines(odd, count="n")
     assert got.columns == [*odd.columns, "n"]
