@@ -122,16 +122,28 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
+def few(table: DataFrame) -> int:
+    """Tasks, and so files, for tables that are small beside ``table``, a plain scan: one for four splits of it, but two
+    for each core. Shuffle partitions follow the largest shuffle; a file for each of them costs more than its rows do."""
+    return max(2 * table.sparkSession.sparkContext.defaultParallelism, table.rdd.getNumPartitions() // 4)
+
+
 class Scratch:
-    """Work tables in the shared folder that are deleted together, once nothing reads them any more."""
+    """Work tables in the shared folder that are deleted together, once nothing reads them any more.
+
+    tasks: set, a table is written by so many at most, which take shuffle partitions one after the other.
+    """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.paths, self.tasks = spark, [], None
+
+    def gathered(self, df: DataFrame) -> DataFrame:
+        return df.coalesce(self.tasks) if self.tasks else df
 
     def table(self, df: DataFrame, label: str) -> DataFrame:
         """``df`` written and read again, as ``materialize`` does."""
         path = work_path(self.spark, label)
-        df.write.parquet(path)
+        self.gathered(df).write.parquet(path)
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, as_bytes, chunks, components, mix, release, word_hashes
+from .common import U64, Scratch, as_bytes, chunks, components, few, mix, release, word_hashes
 
 
 @dataclass(frozen=True)
@@ -236,6 +236,7 @@ def near_documents(docs: DataFrame, near: Near = Near(), scratch: Scratch | None
     last, work = scratch or Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
     signed = work.table(rows.mapInArrow(_sign(near), SIGNED), "jaccard-signed")
+    work.tasks = last.tasks = few(signed)
     keys = signed.select(F.explode("keys").alias("key"), "sid")
     bucket = Window.partitionBy("key")
     met = None

@@ -33,7 +33,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, as_bytes, chunks, fresh, mix, release, word_hashes
+from .common import U64, Scratch, as_bytes, chunks, few, fresh, mix, release, word_hashes
 
 BUCKET_BITS = 24
 BLOCK = 1 << 16
@@ -302,7 +302,7 @@ def _compared(entries: list[np.ndarray], p: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _meeting(percent: int):
-    """(a, b) of lines that may be similar, and (word) of hot words; entries come sorted by word."""
+    """(a, b) of lines that may be similar, and (word) of hot words; the entries of a word come one after the other."""
 
     def found(entries: list[np.ndarray]) -> pa.RecordBatch:
         x, y, hot = _compared(entries, percent)
@@ -320,8 +320,9 @@ def _meeting(percent: int):
             if rows < ROOM:
                 continue
             entries = [np.concatenate(x) for x in zip(*held, strict=True)]
-            cut = int(np.searchsorted(entries[0], entries[0][-1]))
-            if cut:
+            other = np.flatnonzero(entries[0] != entries[0][-1])
+            if len(other):
+                cut = int(other[-1]) + 1
                 yield found([x[:cut] for x in entries])
                 held = [[x[cut:] for x in entries]]
             else:  # a single word, hot: its earliest lines stay for those to come
@@ -406,9 +407,7 @@ def _similar(percent: int):
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
                 keep.append(100 * shared >= percent * (len(both) - shared))
             picked = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("late").filter(picked), batch.column("early").filter(picked)], names=["late", "early"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("late").filter(picked)], names=["sid"])
 
     return similar
 
@@ -450,6 +449,7 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
     schema = LINES + "".join(f", e{i} array<long>" for i in range(copies.passes))
     lines = work.table(texts.mapInArrow(_index(counts, copies), schema), "lines-index")
     counts.unpersist()
+    work.tasks = last.tasks = few(lines)
 
     # Earlier means: smaller document id (null last), then row, then place.
     at = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid", "place")
@@ -469,11 +469,11 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
     parts = []
     for part in range(copies.passes):
         some = entries(part).repartition("word").sortWithinPartitions("word")
-        parts.append(work.table(some.mapInArrow(_meeting(p), "a long, b long, word int"), "lines-met"))
+        parts.append(work.table(work.gathered(some).mapInArrow(_meeting(p), "a long, b long, word int"), "lines-met"))
         release(spark)
     met = reduce(DataFrame.union, parts)
     first = work.table(met.where("word is null").select("a", "b").distinct(), "lines-pairs")
-    done = work.table(_verified(first, rows, rid, sets, copies, work).select(F.col("late").alias("sid")).distinct(), "lines-done")
+    done = work.table(_verified(first, rows, rid, sets, copies, work).distinct(), "lines-done")
 
     late = done
     hot = work.table(met.where("word is not null").select("word").distinct(), "lines-hot")
@@ -493,7 +493,7 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
         rest = reduce(DataFrame.union, pairs).distinct().join(first, ["a", "b"], "left_anti")
         rest = work.table(rest, "lines-rest")
         if not rest.isEmpty():
-            late = done.union(_verified(rest, rows, rid, sets, copies, work).select(F.col("late").alias("sid"))).distinct()
+            late = done.union(_verified(rest, rows, rid, sets, copies, work)).distinct()
 
     fate = sets.select("sid", "at").join(late.withColumn("late", F.lit(True)), "sid", "left")
     gone = lines.select("sid", "rid", "place").join(fate, "sid").where(
@@ -507,25 +507,21 @@ def repeated_lines(docs: DataFrame, copies: LineCopies, last: Scratch) -> tuple[
 def _verified(
     pairs: DataFrame, rows: DataFrame, rid: str, sets: DataFrame, copies: LineCopies, work: Scratch
 ) -> DataFrame:
-    """(late, early) of the pairs of line ids whose sets are similar; only these lines are read again."""
+    """(sid) of the later line of each pair (a, b) whose sets are similar; only these lines are read again, and each carries
+    its place to the pairs."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    asked = sets.join(wanted, "sid", "left_semi").select("sid", F.col("at.rid").alias("rid"), F.col("at.place").alias("place"))
+    asked = sets.join(wanted, "sid", "left_semi").select("sid", "at", F.col("at.rid").alias("rid"), F.col("at.place").alias("place"))
     asked = work.table(asked, "lines-asked")
     shared = work.spark.sparkContext.broadcast(line_filter(asked.select("rid", "place")))
     texts = rows.select(F.col(rid).alias("rid"), as_bytes().alias("text"))
     chosen = texts.mapInArrow(_chosen(shared), "rid long, place int, set binary").join(asked, ["rid", "place"])
-    chosen = work.table(chosen.select("sid", "set"), "lines-chosen")
+    chosen = work.table(chosen.select("sid", "at", "set"), "lines-chosen")
     shared.unpersist()
     release(work.spark)
-    at = sets.select("sid", "at")
-    ordered = pairs.join(at.toDF("a", "ata"), "a").join(at.toDF("b", "atb"), "b").select(
-        F.when(F.col("ata") > F.col("atb"), F.col("a")).otherwise(F.col("b")).alias("late"),
-        F.when(F.col("ata") > F.col("atb"), F.col("b")).otherwise(F.col("a")).alias("early"),
-    ).distinct()
-    both = ordered.join(chosen.toDF("late", "x"), "late").join(chosen.toDF("early", "y"), "early")
-    out = work.table(both.mapInArrow(_similar(copies.percent), "late long, early long"), "lines-similar")
-    release(work.spark)
-    return out
+    both = pairs.join(chosen.toDF("a", "ata", "x"), "a").join(chosen.toDF("b", "atb", "y"), "b").select(
+        F.when(F.col("ata") > F.col("atb"), F.col("a")).otherwise(F.col("b")).alias("late"), "x", "y"
+    )
+    return work.gathered(both).mapInArrow(_similar(copies.percent), "sid long")
 
 
 def _without(text: int, places: int):
@@ -564,7 +560,9 @@ def drop_repeated_lines(
     """
     rows, gone, rid = repeated_lines(docs, copies, scratch or Scratch(docs.sparkSession))
     places = fresh("_places", rows.columns)
-    joined = rows.join(gone.select(F.col("rid").alias(rid), F.col("places").alias(places)), rid, "left")
+    # The few places are hashed, so that texts are not sorted.
+    gone = gone.select(F.col("rid").alias(rid), F.col("places").alias(places)).hint("shuffle_hash")
+    joined = rows.join(gone, rid, "left")
     joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], places)
     fields = [f"`{f.name}` {'int' if f.name == places else f.dataType.simpleString()}" for f in joined.schema]
     out = joined.mapInArrow(_without(joined.columns.index("text"), joined.columns.index(places)), ", ".join(fields))

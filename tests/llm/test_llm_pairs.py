@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from barograph.llm import jaccard, linededup, neighbours, packing, queries
+from barograph.llm.common import Scratch
 from barograph.llm.tokens import Tokens
 
 
@@ -245,6 +246,34 @@ def test_line_dedup_hands_texts_on_in_parts():
     assert [r["places"] for r in rows] == [0, 0, *[1, 2] * 50, 0]
 
 
+def test_small_work_tables_are_few_files(spark, documents, monkeypatch):
+    """With many shuffle partitions, tables that are small beside the lines are not a file for each of them."""
+    files, table = {}, Scratch.table
+
+    def counted(self, df, label):
+        out = table(self, df, label)
+        files.setdefault(label, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(Scratch, "table", counted)
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    texts = near_texts(groups=4)
+    rows = [(i, f"{t}\nline {i} x\nsame line here") for i, t in texts.items()]
+    most = 2 * spark.sparkContext.defaultParallelism
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        lines = linededup.drop_repeated_lines(documents(rows), linededup.LineCopies(min_words=1), count="gone")
+        got = sorted((r.doc_id, r.text, r.gone) for r in lines.collect())
+        assert "SortMergeJoin" not in lines._jdf.queryExecution().executedPlan().toString()
+        assert got == brute_lines(rows, 1)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert most < 60 and len(files) > 5 and max(map(max, files.values())) <= most, files
+
+
 def test_line_dedup_odd_rows(odd):
     got = linededup.drop_repeated_lines(odd, count="n")
     assert got.columns == [*odd.columns, "n"]
