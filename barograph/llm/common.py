@@ -109,11 +109,11 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     long = np.flatnonzero(left > LONG_WORD)
     whole = [xxhash.xxh3_64_intdigest(data[start[i] : start[i] + left[i]]) for i in long]
     left = np.where(left > LONG_WORD, 0, left)
-    out = LENGTHS[left]
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
     eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
-    now = np.flatnonzero(left)
-    start, left = start[now], left[now]
+    out = mix(LENGTHS[left] ^ (eight[start] & MASKS[np.minimum(left, 8)]))
+    now = np.flatnonzero(left > 8)
+    start, left = start[now] + 8, left[now] - 8
     while len(now):
         out[now] = mix(out[now] ^ (eight[start] & MASKS[np.minimum(left, 8)]))
         more = left > 8

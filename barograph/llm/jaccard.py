@@ -44,6 +44,10 @@ from pyspark.sql import functions as F
 from .common import U64, Scratch, as_bytes, chunks, components, few, mix, release, word_hashes
 
 
+#: Bytes of text that a task takes, and hands on as sets or keys, at a time.
+PART = 1 << 20
+
+
 @dataclass(frozen=True)
 class Near:
     """Shingles of ``words`` words, similarity of ``percent`` or more.
@@ -68,12 +72,11 @@ def shingles(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.unique(out)
 
 
-def shingle_sets(data: pa.Array, words: int) -> Iterator[np.ndarray]:
-    """The shingles of every text of a binary column."""
-    for _, texts in chunks(data):
-        found, sizes = word_hashes(texts)
-        for part in np.split(found, np.cumsum(sizes)[:-1]):
-            yield shingles(part, words)
+def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The shingles of every text."""
+    found, sizes = word_hashes(texts)
+    for part in np.split(found, np.cumsum(sizes)[:-1]):
+        yield shingles(part, words)
 
 
 def set_id(sets: np.ndarray) -> int:
@@ -156,22 +159,23 @@ def _sign(near: Near):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(near), set()
         for batch in batches:
-            sizes, ids, lists, bits = [], [], [], []
-            for sets in shingle_sets(batch.column(1), near.words):
-                sizes.append(len(sets))
-                sid = set_id(sets) if len(sets) else None
-                ids.append(sid)
-                first = sid is not None and sid not in seen
-                seen.add(sid)
-                lists.append(bands.keys(sets) if first else np.empty(0, np.int64))
-                bits.append(parity(sets) if first else None)
-            ends = np.cumsum([0] + [len(x) for x in lists])
-            keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), keys,
-                 pa.array(bits, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "sid", "keys", "parity"],
-            )
+            for at, texts in chunks(batch.column(1), PART):
+                sizes, ids, lists, bits = [], [], [], []
+                for sets in shingle_sets(texts, near.words):
+                    sizes.append(len(sets))
+                    sid = set_id(sets) if len(sets) else None
+                    ids.append(sid)
+                    first = sid is not None and sid not in seen
+                    seen.add(sid)
+                    lists.append(bands.keys(sets) if first else np.empty(0, np.int64))
+                    bits.append(parity(sets) if first else None)
+                ends = np.cumsum([0] + [len(x) for x in lists])
+                keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(texts)).cast(pa.int64()), pa.array(sizes, pa.int64()),
+                     pa.array(ids, pa.int64()), keys, pa.array(bits, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "sid", "keys", "parity"],
+                )
 
     return sign
 
@@ -179,11 +183,12 @@ def _sign(near: Near):
 def _sets(near: Near):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [x for x in shingle_sets(batch.column(0), near.words) if len(x)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_id(x) for x in out], pa.int64()), pa.array([x.tobytes() for x in out], pa.binary())],
-                names=["sid", "shingles"],
-            )
+            for _, texts in chunks(batch.column(0), PART):
+                out = [x for x in shingle_sets(texts, near.words) if len(x)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_id(x) for x in out], pa.int64()), pa.array([x.tobytes() for x in out], pa.binary())],
+                    names=["sid", "shingles"],
+                )
 
     return sets
 

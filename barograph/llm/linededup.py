@@ -22,7 +22,8 @@ words are known by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -132,13 +133,15 @@ def logarithmic(counts: np.ndarray) -> np.ndarray:
 SMALL = logarithmic(np.arange(1 << 16))
 
 
-def _blocks(table: np.ndarray, name: str, sent: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(block, its bytes as ``sent``) of the blocks of a table with any, few at a time."""
+def _blocks(
+    table: np.ndarray, name: str, sent: Callable[[int, np.ndarray], np.ndarray], also: Iterable[int] = ()
+) -> Iterator[pa.RecordBatch]:
+    """(block, its bytes as ``sent``) of the blocks of a table with any, and of ``also``, few at a time."""
     blocks = table.reshape(-1, BLOCK)
-    full = [i for i, x in enumerate(blocks) if x.any()]
+    full = sorted({i for i, x in enumerate(blocks) if x.any()}.union(also))
     for at in range(0, len(full), SENT):
         some = full[at : at + SENT]
-        data = pa.array([sent(blocks[i]).tobytes() for i in some], pa.binary())
+        data = pa.array([sent(i, blocks[i]).tobytes() for i in some], pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), data], names=["block", name])
 
 
@@ -147,16 +150,29 @@ def _as_bytes(counts: np.ndarray) -> np.ndarray:
 
 
 def _count(least: int):
+    """Counts in 16 bits; what goes beyond them, of few words, is kept apart."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << BUCKET_BITS, np.uint32)
+        counts, beyond = np.zeros(1 << BUCKET_BITS, np.uint16), defaultdict(Counter)
         for batch in batches:
             for _, texts in chunks(batch.column(0), PART):
                 _, words, _ = _line_words(texts, least)
                 buckets = np.sort(bucket_of(words).astype(np.uint32))
                 at = np.flatnonzero(np.diff(buckets, prepend=np.uint32(0xFFFFFFFF)))
+                which = buckets[at]
                 # A word counts again in its line: only the order feels it.
-                counts[buckets[at]] += np.diff(at, append=len(buckets)).astype(np.uint32)
-        yield from _blocks(counts, "counts", _as_bytes)
+                now = counts[which] + np.diff(at, append=len(buckets)).astype(np.uint32)
+                counts[which] = now & np.uint32(0xFFFF)
+                for i in np.flatnonzero(now >> np.uint32(16)):
+                    beyond[int(which[i]) // BLOCK][int(which[i]) % BLOCK] += int(now[i]) & ~0xFFFF
+
+        def sent(i: int, block: np.ndarray) -> np.ndarray:
+            if i in beyond:
+                block = block.astype(np.int64)
+                block[list(beyond[i])] += list(beyond[i].values())
+            return _as_bytes(block)
+
+        yield from _blocks(counts, "counts", sent, beyond)
 
     return count
 
@@ -197,16 +213,18 @@ def _index(shared, copies: LineCopies):
         spread = mix(sets)
         sid = mix(np.add.reduceat(mix(spread), start) + size.astype(U64)).view(np.int64)
         bit, high = U64(1) << (spread & U64(63)), spread & U64(64) > 0
-        sketch = [np.bitwise_xor.reduceat(np.where(half, bit, U64(0)), start).view(np.int64) for half in (high, ~high)]
+        sketch = [np.bitwise_xor.reduceat(np.where(high, bit, U64(0)), start).view(np.int64)]
+        sketch.append(sketch[0] ^ np.bitwise_xor.reduceat(bit, start).view(np.int64))
         first = np.empty(len(sid), bool)
         for i, one in enumerate(sid.tolist()):
             first[i] = one not in seen
             seen.add(one)
-        line = np.repeat(np.arange(len(size)), size)
-        spot = np.arange(len(sets)) - start[line]
-        some = (first & (100 * size >= p * (size + 1)))[line]
-        some &= (spot < (size + (-p * size) // 100 + 1)[line]) & (counts[bucket_of(sets)] > 1)
-        word, spot, line = (sets[some] >> U64(8)) & U64(0xFFFFFFFF), spot[some], line[some]
+        prefix = np.where(first & (100 * size >= p * (size + 1)), size + (-p * size) // 100 + 1, 0)
+        line = np.repeat(np.arange(len(size)), prefix)
+        spot = np.arange(len(line)) - (np.cumsum(prefix) - prefix)[line]
+        word = sets[start[line] + spot]
+        some = counts[bucket_of(word)] > 1
+        word, spot, line = (word[some] >> U64(8)) & U64(0xFFFFFFFF), spot[some], line[some]
         entries, part, lists = (word << U64(32) | spot.astype(U64)).view(np.int64), word % U64(copies.passes), []
         for i in range(copies.passes):
             mine = part == U64(i)
@@ -345,7 +363,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spot = _spot(batch.column(0).to_numpy(), batch.column(1).to_numpy())
         np.bitwise_or.at(bits, spot >> 3, (128 >> (spot & 7)).astype(np.uint8))
-    yield from _blocks(bits, "bits", np.asarray)
+    yield from _blocks(bits, "bits", lambda _, block: block)
 
 
 def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

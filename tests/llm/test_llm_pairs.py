@@ -233,6 +233,34 @@ def test_line_dedup_tables_of_a_task_are_held_once():
     assert np.array_equal(np.flatnonzero(np.unpackbits(bits)), spots)
 
 
+def test_counts_of_lines_are_held_in_16_bits():
+    """The table takes half of what it did, and words found more often than 16 bits hold keep their counts."""
+    texts = pa.array([b"often " * 70_000, b"often once\nonce twice twice", b"often " * 61_071], pa.binary())
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    assert _peak_mb(linededup._count(1), batch) < 66
+    found = np.zeros(1 << linededup.BUCKET_BITS, np.uint8)
+    for out in linededup._count(1)(iter([batch])):
+        for block, data in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            found[block * linededup.BLOCK : (block + 1) * linededup.BLOCK] = np.frombuffer(data, np.uint8)
+    words = linededup.word_hashes(pa.array(["often", "once", "twice"]))[0]
+    assert found[linededup.bucket_of(words)].tolist() == linededup.logarithmic(np.array([131_072, 2, 2])).tolist()
+    assert np.count_nonzero(found) == 3
+
+
+def test_near_copies_hand_keys_and_sets_on_in_parts():
+    rng = np.random.default_rng(4)
+    texts = pa.array([" ".join(f"w{x}" for x in rng.integers(0, 1 << 30, 300)).encode() for _ in range(2500)], pa.binary())
+    near = jaccard.Near()
+    ids = pa.array(range(len(texts)))
+    out = list(jaccard._sign(near)(iter([pa.RecordBatch.from_arrays([ids, texts], names=["doc_id", "text"])])))
+    assert len(out) > 5 and max(x.nbytes for x in out) < 4 << 20
+    rows = pa.Table.from_batches(out)
+    assert rows["doc_id"].to_pylist() == ids.to_pylist() and set(rows["n_shingles"].to_pylist()) == {296}
+    sets = list(jaccard._sets(near)(iter([pa.RecordBatch.from_arrays([texts], names=["text"])])))
+    assert len(sets) > 5 and max(x.nbytes for x in sets) < 2 << 20
+    assert pa.Table.from_batches(sets)["sid"].to_pylist() == rows["sid"].to_pylist()
+
+
 def test_line_dedup_hands_texts_on_in_parts():
     texts = [None, "", *["é\n" + "x" * 50_000 + "\né"] * 100, "y" * 3_000_000]
     places = [None, None, *[[2], [0, 1]] * 50, None]
