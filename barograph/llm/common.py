@@ -158,10 +158,57 @@ class Scratch:
 
 def release(spark: SparkSession) -> None:
     """Let Spark remove shuffle files of finished plans: it does so, a little later, when the driver has
-    collected their handles."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.3)
+    collected their handles. It takes two collections: after the first, what the last plan left still holds them."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.15)
+
+
+#: Bits of a block of a filter of ids (4 KB), the most blocks it takes, and bits for each id while it has fewer.
+BLOCK_BITS = 1 << 15
+MOST_BLOCKS = 1 << 12
+BITS_PER_ID = 32
+
+
+class IdFilter:
+    """A filter of the ids in ``ids``, a table with few columns, by two bits each: 16 MB at most, whatever the input's size.
+
+    An id outside may pass, none within fails; a null is an id. Rows are told apart where they are read, so that
+    texts travel for those only that may be meant.
+    """
+
+    def __init__(self, ids: DataFrame, column: str):
+        self.blocks = 1
+        count = ids.count()
+        while self.blocks < MOST_BLOCKS and self.blocks * BLOCK_BITS < BITS_PER_ID * count:
+            self.blocks *= 2
+        block, bits = self._spot(F.col(column).cast("long"))
+        spots = ids.select(block.alias("block"), F.explode(F.array(*bits)).alias("bit"))
+        self.table = spots.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+    def _spot(self, key: Column) -> tuple[Column, list[Column]]:
+        """The block of an id and its bits there."""
+        found = F.xxhash64(key)
+        bits = [F.shiftrightunsigned(found, n).bitwiseAND(F.lit(BLOCK_BITS - 1)) for n in (34, 49)]
+        return found.bitwiseAND(F.lit(self.blocks - 1)), bits
+
+    def _joined(self, rows: DataFrame, column: str, how: str) -> DataFrame:
+        block, bits = fresh("_block", rows.columns), fresh("_bits", rows.columns)
+        at, spots = self._spot(F.col(f"`{column}`").cast("long"))
+        same = at == F.col(block)
+        for spot in spots:
+            byte = F.substring(bits, (F.shiftright(spot, 3) + 1).cast("int"), F.lit(1))
+            same &= F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), spot.bitwiseAND(F.lit(7)).cast("int")) == 1
+        return rows.join(F.broadcast(self.table.toDF(block, bits)), same, how)
+
+    def within(self, rows: DataFrame, column: str) -> DataFrame:
+        """All rows whose id in ``column`` is one of the ids, and a few others."""
+        return self._joined(rows, column, "left_semi")
+
+    def outside(self, rows: DataFrame, column: str) -> DataFrame:
+        """The other rows."""
+        return self._joined(rows, column, "left_anti")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, as_bytes, chunks, components, few, mix, release, word_hashes
+from .common import U64, IdFilter, Scratch, as_bytes, chunks, components, few, fresh, mix, release, word_hashes
 
 
 #: Bytes of text that a task takes, and hands on as sets or keys, at a time.
@@ -210,23 +210,43 @@ def _linked(percent: int):
     return linked
 
 
+#: The sets of pairs compared together hold a third of all shingles, or so many; and the most parts that the pairs fall into.
+SHARE, LEAST, MOST_PARTS = 3, 1 << 24, 16
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame, near: Near, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of set ids that may be linked, with their exact answer; the sets are built again for these only."""
+    """Pairs (a, b) of set ids that may be linked, with their exact answer.
+
+    The sets are built again for these only, and one part of the pairs is compared after the other, to hold less on disk.
+    """
     sketch = F.struct(F.col("n_shingles").alias("n"), "parity").alias("s")
     of = signed.where("parity is not null").select("sid", sketch).dropDuplicates(["sid"])
     pairs = pairs.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").where(may_link(near, "x", "y"))
-    pairs = scratch.table(pairs.select("a", "b"), "jaccard-pairs")
+    pairs = scratch.table(pairs.select("a", "b", (F.col("x.n") + F.col("y.n")).alias("n")), "jaccard-pairs")
+    some, whole = (x.agg(F.sum(c)).first()[0] or 0 for x, c in ((pairs, "n"), (signed, "n_shingles")))
+    parts = min(MOST_PARTS, max(1, math.ceil(some / max(LEAST, whole / SHARE))))
+    links = [
+        _compared(pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == part).select("a", "b"), docs, signed, near, scratch)
+        for part in range(parts)
+    ]
+    return reduce(DataFrame.union, links)
+
+
+def _compared(pairs: DataFrame, docs: DataFrame, signed: DataFrame, near: Near, scratch: Scratch) -> DataFrame:
+    """The pairs with their exact answer. Texts are found by a filter of ids, so none travels."""
+    work = Scratch(scratch.spark)
+    work.tasks = scratch.tasks
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     where = signed.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    ids = where.select(F.col("doc_id").alias("__id")).distinct()
+    ids = IdFilter(work.table(where.select("doc_id").distinct(), "jaccard-ids"), "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
-    texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text")
+    texts = ids.within(texts, "doc_id").select("text")
     sets = texts.mapInArrow(_sets(near), "sid long, shingles binary").join(wanted, "sid", "left_semi")
-    sets = scratch.table(sets.dropDuplicates(["sid"]), "jaccard-sets")
+    sets = work.table(sets.dropDuplicates(["sid"]), "jaccard-sets")
     release(scratch.spark)
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     out = scratch.table(both.mapInArrow(_linked(near.percent), "a long, b long, linked boolean"), "jaccard-links")
-    release(scratch.spark)
+    work.drop()
     return out
 
 
@@ -240,7 +260,8 @@ def near_documents(docs: DataFrame, near: Near = Near(), scratch: Scratch | None
     """
     last, work = scratch or Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes().alias("text"))
-    signed = work.table(rows.mapInArrow(_sign(near), SIGNED), "jaccard-signed")
+    keyed = Scratch(docs.sparkSession)
+    signed = keyed.table(rows.mapInArrow(_sign(near), SIGNED), "jaccard-signed")
     work.tasks = last.tasks = few(signed)
     keys = signed.select(F.explode("keys").alias("key"), "sid")
     bucket = Window.partitionBy("key")
@@ -252,6 +273,8 @@ def near_documents(docs: DataFrame, near: Near = Near(), scratch: Scratch | None
         some = work.table(some.where("low < high").select("key", "sid").distinct(), "jaccard-buckets")
         met = some if met is None else met.union(some)
         release(docs.sparkSession)
+    signed = work.table(signed.drop("keys"), "jaccard-sketches")
+    keyed.drop()
 
     weight = met.join(met.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("sid").agg(F.sum("n").alias("w"))
     ranked = met.join(weight, "sid").select(
@@ -303,7 +326,13 @@ def one_of_each(docs: DataFrame, near: Near = Near(), scratch: Scratch | None =
     Rows that repeat an id and its text count as copies; of rows with one id and different texts in one
     component all stay. Texts without words are no copies of each other.
     """
-    found = near_documents(docs, near, scratch)
-    keep = found.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("__id"))
-    once = docs.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return once.dropDuplicates(["doc_id", "text"])
+    last = scratch or Scratch(docs.sparkSession)
+    stays = F.coalesce(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")), F.lit(False))
+    found = near_documents(docs, near, last).groupBy("doc_id").agg(F.count("*").alias("n"), F.max(stays).alias("stays"))
+    id_, mark = fresh("_id", docs.columns), fresh("_stays", docs.columns)
+    unsure = last.table(found.where("n > 1 or not stays").select("doc_id", "stays"), "jaccard-unsure")
+    # Most ids stand in one row that stays: those rows go on as they are read.
+    ids = IdFilter(unsure, "doc_id")
+    rest = ids.within(docs, "doc_id").join(unsure.toDF(id_, mark), F.col("doc_id").eqNullSafe(F.col(id_)), "left")
+    rest = rest.where(F.coalesce(F.col(mark), F.lit(True))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return ids.outside(docs, "doc_id").union(rest.dropDuplicates(["doc_id", "text"]))

@@ -1,5 +1,6 @@
 """Similarity joins, neighbours and packing against brute force."""
 
+import os
 import random
 import tracemalloc
 import zlib
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from barograph.llm import jaccard, linededup, neighbours, packing, queries
-from barograph.llm.common import Scratch
+from barograph.llm.common import IdFilter, Scratch
 from barograph.llm.tokens import Tokens
 
 
@@ -261,6 +262,44 @@ def test_near_copies_hand_keys_and_sets_on_in_parts():
     assert pa.Table.from_batches(sets)["sid"].to_pylist() == rows["sid"].to_pylist()
 
 
+def test_near_copies_hold_little_on_disk(documents, monkeypatch):
+    """Keys are gone when sets are compared, pairs are compared part by part, and only copies' texts are dealt out."""
+    paths, held, table = {}, [], Scratch.table
+
+    def watched(self, df, label):
+        out = table(self, df, label)
+        paths.setdefault(label, []).append(self.paths[-1].removeprefix("file:"))
+        if label == "jaccard-links":
+            held.append({k: sum(map(os.path.exists, v)) for k, v in paths.items()})
+        return out
+
+    monkeypatch.setattr(Scratch, "table", watched)
+    monkeypatch.setattr(jaccard, "LEAST", 1, raising=False)
+    texts = near_texts(groups=5) | {1000: "", 1001: "a b"}
+    rows = [*texts.items(), (1, texts[1]), (1, "other words"), (1001, "a b"), (None, texts[7])]
+    kept = jaccard.one_of_each(documents(rows), jaccard.Near(5, 80))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(x["jaccard-signed"] for x in held) == 0 and all(x["jaccard-sets"] == 1 for x in held), held
+    assert len(held) > 2 and not any(os.path.exists(x) for x in paths["jaccard-sets"])
+    assert plan.splitlines()[0].startswith("Union") and "Join LeftAnti" in plan.partition("Aggregate [doc_id")[0]
+    least = {root for _, root in classes(texts, 5, 80).values()}
+    got = sorted((r.doc_id, r.text) for r in kept.collect())
+    assert got == sorted([*((i, texts[i]) for i in least), (1, "other words")])
+
+
+def test_filter_of_ids(spark):
+    for n in (0, 1, 5000):
+        ids = spark.range(n).selectExpr("if(id = 3, null, id * 7) as k")
+        rows = spark.range(40_000).selectExpr("if(id = 21, null, id) as doc_id", "1 as _bits", "'x' as _block")
+        chosen = IdFilter(ids, "k")
+        within, outside = chosen.within(rows, "doc_id"), chosen.outside(rows, "doc_id")
+        assert within.columns == outside.columns == rows.columns
+        inside, others = ({r.doc_id for r in x.collect()} for x in (within, outside))
+        meant = {r.k for r in ids.collect()}
+        assert meant <= inside and not meant & others and len(inside) + len(others) == 40_000
+        assert len(inside) - len(meant) < 400 and chosen.blocks == (8 if n == 5000 else 1)
+
+
 def test_line_dedup_hands_texts_on_in_parts():
     texts = [None, "", *["é\n" + "x" * 50_000 + "\né"] * 100, "y" * 3_000_000]
     places = [None, None, *[[2], [0, 1]] * 50, None]
